@@ -17,6 +17,7 @@ from docflow.operators import gates, normalize
 from docflow.operators.packing import text_pages
 from docflow.plans.ingest import Inputs, build_requests
 from docflow.session import configure
+from docflow.sources.readers import explode_items
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -192,7 +193,9 @@ class Fixtures:
         return self.spark.sql(text)
 
     def items(self, name: str) -> DataFrame:
-        return self.view(name).withColumn("item", F.try_parse_json("item"))
+        """Item texts parsed the way landed files are."""
+        lines = self.view(name).withColumnRenamed("item", "value")
+        return explode_items(lines).drop("item_no")
 
     @cached_property
     def companies(self) -> DataFrame:

@@ -659,7 +659,7 @@ def _(t):
 
 
 @query("sorted_json", r"""select row_key, case when json_type(response->'$.source_record') = 'NULL' then 'null'
- else '{"a": "café", "z": [1, 2]}' end as source_record,
+ else '{"a": "caf\u00e9", "z": [1, 2]}' end as source_record,
  '{"region": ' || json_extract_string(response, '$.metadata.region') || ', "sector": "'
  || json_extract_string(response, '$.metadata.sector') || '"}' as metadata
  from o_metadata where json_type(response) = 'OBJECT'""")
@@ -816,7 +816,7 @@ def _(t):
  '{"region": ' || json_extract_string(m.response, '$.metadata.region') || ', "sector": "'
  || json_extract_string(m.response, '$.metadata.sector') || '"}' as metadata_json,
  case when json_type(m.response->'$.source_record') = 'NULL' then '{}'
- else '{"a": "café", "z": [1, 2]}' end as source_record_json
+ else '{"a": "caf\u00e9", "z": [1, 2]}' end as source_record_json
  from o_metadata_ok m join o_metadata_id i on i.row_key = m.row_key""")
 def _(t):
     return _metadata(t).rows.drop("ingestion_timestamp")

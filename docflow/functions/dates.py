@@ -9,40 +9,35 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from docflow.functions.text import ColumnOrName, col, strip
+from docflow.functions.text import ColumnOrName, bind, col, strip
 
-CALENDAR = r"^([0-9]{4})(-?)([0-9]{2})\2([0-9]{2})$"
-WEEK = r"^([0-9]{4})(?:-W([0-9]{2})(?:-([0-9]))?|W([0-9]{2})([0-9])?)$"
-
-
-def _calendar_date(text: Column) -> Column:
-    dashed = F.regexp_replace(text, CALENDAR, "$1-$3-$4")
-    return dashed.try_cast("date")
+# A text of neither calendar form becomes "--", which casts to null.
+CALENDAR = r"(?s)^(?!0000)([0-9]{4})(-?)([0-9]{2})\2([0-9]{2})$|^.*$"
+WEEK = r"^(?!0000)([0-9]{4})(?:-W([0-9]{2})(?:-([0-9]))?|W([0-9]{2})([0-9])?)$"
 
 
 def _week_date(text: Column) -> Column:
-    def number(*groups: int) -> Column:
-        found = [F.nullif(F.regexp_extract(text, WEEK, g), F.lit("")) for g in groups]
-        return F.coalesce(*found).cast("int")
+    """Date of a week text; the day of the week defaults to Monday."""
+    parts = F.split(F.regexp_replace(text, WEEK, "$1-$2$4-$3$5"), "-")
 
-    year, week = number(1), number(2, 4)
-    day = F.coalesce(number(3, 5), F.lit(1))
-    # 4 January always lies in week 1 and 28 December always in the last week.
-    week_one = F.make_date(year, F.lit(1), F.lit(4))
-    last_week = F.weekofyear(F.make_date(year, F.lit(12), F.lit(28)))
-    monday = F.date_sub(week_one, F.weekday(week_one))
-    valid = week.between(1, last_week) & day.between(1, 7)
-    return F.when(valid, F.date_add(monday, (week - 1) * 7 + day - 1))
+    def from_parts(part: Column) -> Column:
+        year, week = part[0].cast("int"), part[1].cast("int")
+        day = F.coalesce(F.nullif(part[2], F.lit("")), F.lit("1")).cast("int")
+        # 4 January always lies in week 1 and 28 December always in the last week.
+        week_one = F.make_date(year, F.lit(1), F.lit(4))
+        last_week = F.weekofyear(F.make_date(year, F.lit(12), F.lit(28)))
+        monday = F.date_sub(week_one, F.weekday(week_one))
+        valid = week.between(1, last_week) & day.between(1, 7)
+        return F.when(valid, F.date_add(monday, (week - 1) * 7 + day - 1))
+
+    return F.when(text.rlike(WEEK), bind(parts, from_parts))
 
 
 def iso_date(c: ColumnOrName) -> Column:
     """DATE of an accepted date text, else null."""
     text = strip(c)
-    in_range = ~text.startswith("0000")
-    return (
-        F.when(in_range & text.rlike(CALENDAR), _calendar_date(text))
-        .when(in_range & text.rlike(WEEK), _week_date(text))
-    )
+    calendar = F.regexp_replace(text, CALENDAR, "$1-$3-$4").try_cast("date")
+    return F.coalesce(calendar, _week_date(text))
 
 
 def year_end(year: ColumnOrName) -> Column:

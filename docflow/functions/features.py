@@ -12,11 +12,9 @@ from run lengths in the sorted word array, so a text costs n log n.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
-from docflow.functions.text import ColumnOrName, col, strip
+from docflow.functions.text import ColumnOrName, bind, col, strip
 
 TOPIC_WORD = "([a-z]{5,})"
 ENTITY_WORD = "([A-Z][a-z]{3,})"
@@ -25,11 +23,6 @@ SUMMARY_PARAGRAPHS = 2
 PLACEHOLDER_SUMMARY = "Document parsing failed or document is empty."  # fixed value
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _words(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
@@ -50,11 +43,11 @@ def _most_frequent(sorted_words: Column) -> Column:
         positions,
         lambda i: (i == 0) | (F.get(sorted_words, i) != F.get(sorted_words, i - 1)),
     )
-    return _bind(first_of_run, from_starts)
+    return bind(first_of_run, from_starts)
 
 
 def topics(text: ColumnOrName) -> Column:
-    return _bind(F.sort_array(_words(F.lower(col(text)), TOPIC_WORD)), _most_frequent)
+    return bind(F.sort_array(_words(F.lower(col(text)), TOPIC_WORD)), _most_frequent)
 
 
 def key_entities(text: ColumnOrName) -> Column:
@@ -64,7 +57,7 @@ def key_entities(text: ColumnOrName) -> Column:
 def summary(text: ColumnOrName, topic_words: Column) -> Column:
     def pick(lines: Column) -> Column:
         def rank(line: Column, i: Column) -> Column:
-            mentioned = _bind(
+            mentioned = bind(
                 F.lower(line),
                 lambda low: F.size(F.filter(topic_words, lambda t: low.contains(t))),
             )
@@ -76,13 +69,13 @@ def summary(text: ColumnOrName, topic_words: Column) -> Column:
         return F.array_join(F.transform(in_order, lambda i: F.get(lines, i)), " ")
 
     paragraphs = F.transform(F.split(col(text), "\n"), lambda line: strip(line))
-    return _bind(paragraphs, pick)
+    return bind(paragraphs, pick)
 
 
 def standard_features(text: ColumnOrName) -> Column:
     """STRUCT(summary, key_entities, topics) of a text; null for a null text."""
     text = col(text)
-    made = _bind(
+    made = bind(
         topics(text),
         lambda found: F.struct(
             summary(text, found).alias("summary"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from docflow.functions.text import ColumnOrName, col, strip
+from docflow.functions.text import ColumnOrName, bind, col, strip
 
 # Schemes whose last path segment may carry ``;parameters`` (fixed values of
 # the URL standard library; a URL without a scheme counts too).
@@ -33,22 +33,22 @@ def field_text(item: ColumnOrName, name: str) -> Column:
     return F.try_variant_get(col(item), f"$.{name}", "string")
 
 
-def is_text(item: ColumnOrName, name: str) -> Column:
-    return F.coalesce(field_type(item, name) == "STRING", F.lit(False))
-
-
-def is_text_or_null(item: ColumnOrName, name: str) -> Column:
-    return F.coalesce(field_type(item, name).isin("STRING", "VOID"), F.lit(True))
+def type_names(item: ColumnOrName, names: tuple[str, ...]) -> Column:
+    """STRUCT with the type name of each field."""
+    return F.struct(*[field_type(item, name).alias(name) for name in names])
 
 
 def truthy_text(item: ColumnOrName, name: str) -> Column:
     """Text of a field, null where the value is empty, zero, false or missing."""
-    text = field_text(item, name)
-    empty_scalar = (text == "false") | (text.try_cast("double") == 0)
-    empty = (text == "") | (
-        (field_type(item, name) != "STRING") & (empty_scalar | text.isin("[]", "{}"))
-    )
-    return F.when(~F.coalesce(empty, F.lit(False)), text)
+
+    def non_empty(value: Column) -> Column:
+        text = F.try_variant_get(value, "$", "string")
+        zero = F.coalesce(text.try_cast("double") == 0, F.lit(False))
+        blank = zero | text.isin("false", "[]", "{}")
+        is_text = F.schema_of_variant(value) == "STRING"
+        return F.when(is_text, F.nullif(text, F.lit(""))).when(~blank, text)
+
+    return bind(field(item, name), non_empty)
 
 
 def url_path(url: ColumnOrName) -> Column:
@@ -68,18 +68,23 @@ def document_type(item: ColumnOrName = "item") -> Column:
             truthy_text(item, "type"), truthy_text(item, "article_type"), F.lit("")
         )
     )
-    flagged = (field_type(item, "is_pdf") == "BOOLEAN") & (
-        field_text(item, "is_pdf") == "true"
+    flagged = F.when(
+        field_type(item, "is_pdf") == "BOOLEAN", field_text(item, "is_pdf") == "true"
     )
+
+    def ends_pdf(path: Column) -> Column:
+        return F.coalesce(F.lower(path).endswith(".pdf"), F.lit(False))
+
     looks_pdf = (
         F.coalesce(flagged, F.lit(False))
-        | F.coalesce(F.lower(url_path(field_text(item, "url"))).endswith(".pdf"), F.lit(False))
-        | F.coalesce(F.lower(field_text(item, "filepath")).endswith(".pdf"), F.lit(False))
+        | ends_pdf(url_path(field_text(item, "url")))
+        | ends_pdf(field_text(item, "filepath"))
     )
-    return (
-        F.when(stated.isin("pdf", "html"), stated)
+    return bind(
+        stated,
+        lambda said: F.when(said.isin("pdf", "html"), said)
         .when(looks_pdf, "pdf")
-        .otherwise("html")
+        .otherwise("html"),
     )
 
 
@@ -87,13 +92,16 @@ def document_filepath(
     item: ColumnOrName = "item",
     company_id: ColumnOrName = "company_id",
     year: ColumnOrName = "year",
-    doc_type: Column | None = None,
+    doc_type: ColumnOrName | None = None,
 ) -> Column:
     """Given relative path, else a path made of the URL's hash."""
-    given = strip(F.coalesce(truthy_text(item, "filepath"), F.lit("")))
-    doc_type = document_type(item) if doc_type is None else doc_type
+    given = strip(truthy_text(item, "filepath"))
+    doc_type = document_type(item) if doc_type is None else col(doc_type)
     hashed = F.concat(
         F.lit("data/"), col(company_id), F.lit("/"), col(year).cast("string"),
         F.lit("/"), F.md5(field_text(item, "url")), F.lit("."), doc_type,
     )
-    return F.when((given != "") & ~given.contains("://"), given).otherwise(hashed)
+    return bind(
+        given,
+        lambda path: F.when((path != "") & ~path.contains("://"), path).otherwise(hashed),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 ColumnOrName = Column | str
@@ -20,6 +22,15 @@ def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable.
+
+    Keeps a value used in many places from being written out, and computed, in
+    each of them, also where a later filter is pushed through the projection.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(c: ColumnOrName) -> Column:
     return F.btrim(col(c), F.lit(WHITESPACE))
 

@@ -10,13 +10,13 @@ from docflow.config import ARTICLES, DEFAULT_SOURCES, FILINGS, METADATA
 from docflow.functions.items import (
     document_filepath,
     document_type,
+    field,
     field_text,
     field_type,
-    is_text,
-    is_text_or_null,
     truthy_text,
+    type_names,
 )
-from docflow.functions.text import blank_to_null, cik10, default_company_id, strip
+from docflow.functions.text import bind, blank_to_null, cik10, default_company_id, strip
 from docflow.operators.split import Split, split_by
 from docflow.schemas import FILING_FIELDS
 
@@ -78,24 +78,36 @@ def company_years(companies: DataFrame, first: int, last: int) -> DataFrame:
     )
 
 
-def _type_faults(filing: bool) -> dict[str, Column]:
-    """Field name -> whether its JSON type makes the item unusable."""
-    faults = {name: ~is_text("item", name) for name in ("title", "url")}
-    faults["date"] = ~is_text_or_null("item", "date")
+_ANY_ITEM = ("title", "url", "date")
+_FILING_ITEM = (*_ANY_ITEM, "form", *FILING_FIELDS)
+
+
+def _reject_reason(types: Column, filing: bool, stated: Column) -> Column:
+    """Name of the first field whose JSON type makes the item unusable."""
+
+    def must_be_text(name: str) -> Column:
+        return F.coalesce(types[name] != "STRING", F.lit(True))
+
+    def may_be_null(name: str) -> Column:
+        return F.coalesce(~types[name].isin("STRING", "VOID"), F.lit(False))
+
+    faults = {name: must_be_text(name) for name in ("title", "url")}
+    faults["date"] = may_be_null("date")
     if filing:
-        form_bad = ~is_text_or_null("item", "form")
-        filing_type_bad = ~is_text("item", "filing_type")
-        stated = truthy_text("item", "filing_type").isNotNull()
-        faults["filing_type"] = F.when(stated, filing_type_bad).otherwise(form_bad)
-        for name in FILING_FIELDS[1:]:
-            faults[name] = ~is_text_or_null("item", name)
-    return faults
+        faults["filing_type"] = F.when(stated, must_be_text("filing_type")).otherwise(
+            may_be_null("form")
+        )
+        faults |= {name: may_be_null(name) for name in FILING_FIELDS[1:]}
+    return F.coalesce(*[F.when(bad, F.lit(name)) for name, bad in faults.items()])
 
 
 def mark_invalid(items: DataFrame, filing: bool = False) -> DataFrame:
     """Add ``reject_reason``: the first field of the wrong type, null if fine."""
-    reasons = [F.when(bad, F.lit(name)) for name, bad in _type_faults(filing).items()]
-    return items.withColumn("reject_reason", F.coalesce(*reasons))
+    types = type_names("item", _FILING_ITEM if filing else _ANY_ITEM)
+    stated = truthy_text("item", "filing_type").isNotNull()
+    return items.withColumn(
+        "reject_reason", bind(types, lambda t: _reject_reason(t, filing, stated))
+    )
 
 
 def split_invalid(items: DataFrame, filing: bool = False) -> Split:
@@ -107,19 +119,16 @@ def split_invalid(items: DataFrame, filing: bool = False) -> Split:
 
 def _item_date() -> Column:
     """Absent: the year as text. Explicit null: null. Else the text itself."""
-    kind = field_type("item", "date")
-    return F.when(kind.isNull(), F.col("year").cast("string")).when(
-        kind != "VOID", field_text("item", "date")
-    )
+    text = F.when(field_type("item", "date") != "VOID", field_text("item", "date"))
+    return F.when(field("item", "date").isNull(), F.col("year").cast("string")).otherwise(text)
 
 
 def _to_documents(items: DataFrame, source_kind: str, extra: dict[str, Column]) -> DataFrame:
-    doc_type = document_type("item")
     none = F.lit(None).cast("string")
-    filing_fields = {name: extra.get(name, none) for name in FILING_FIELDS}
     carried = [c for c in ("pos",) if c in items.columns]
+    typed = items.withColumn("type", document_type("item"))
     return normalize_document(
-        items.select(
+        typed.select(
             *carried,
             field_text("item", "title").alias("title"),
             "company_name",
@@ -129,12 +138,12 @@ def _to_documents(items: DataFrame, source_kind: str, extra: dict[str, Column])
             F.col("year").cast("int").alias("year"),
             _item_date().alias("date"),
             field_text("item", "url").alias("url"),
-            doc_type.alias("type"),
-            document_filepath("item", doc_type=doc_type).alias("filepath"),
+            "type",
+            document_filepath("item", doc_type="type").alias("filepath"),
             F.lit(False).alias("downloaded"),
             none.alias("gcs_uri"),
             F.lit(source_kind).alias("source_kind"),
-            *[c.alias(name) for name, c in filing_fields.items()],
+            *[extra.get(name, none).alias(name) for name in FILING_FIELDS],
         )
     )
 
@@ -160,7 +169,7 @@ def normalize_document(docs: DataFrame) -> DataFrame:
     """Strip and case-fold the key fields; blank optional fields become null."""
     optional = {name: blank_to_null(name) for name in FILING_FIELDS}
     optional["filing_type"] = F.upper(optional["filing_type"])
-    optional["cik"] = cik10(optional["cik"])
+    optional["cik"] = bind(optional["cik"], cik10)
     kind = F.coalesce(F.nullif(F.col("source_kind"), F.lit("")), F.lit(ARTICLES))
     return docs.withColumns(
         {

@@ -59,8 +59,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def parse_items(lines: DataFrame) -> DataFrame:
-    """One row per discovery item: VARIANT ``item`` and its ``pos``.
+def explode_items(lines: DataFrame) -> DataFrame:
+    """One row per discovery item: VARIANT ``item`` and its number in the text.
 
     A text is a JSON array of items or one item. Unreadable text becomes one
     null item, which validation rejects, so nothing disappears silently.
@@ -68,12 +68,17 @@ def parse_items(lines: DataFrame) -> DataFrame:
     items = F.coalesce(
         F.from_json("value", "array<variant>"), F.array(F.try_parse_json("value"))
     )
-    rest = [c for c in lines.columns if c not in ("value", "line_pos")]
+    rest = [c for c in lines.columns if c != "value"]
+    filled = lines.where(F.col("value").rlike(r"\S"))
+    return filled.select(*rest, F.posexplode(items).alias("item_no", "item"))
+
+
+def parse_items(lines: DataFrame) -> DataFrame:
+    """Items of landed texts with their exact position ``pos``."""
     return (
-        lines.where(F.col("value").rlike(r"\S"))
-        .select(*rest, "line_pos", F.posexplode(items).alias("_i", "item"))
-        .withColumn("pos", F.struct("line_pos.*", F.col("_i").alias("item_no")))
-        .drop("line_pos", "_i")
+        explode_items(lines)
+        .withColumn("pos", F.struct("line_pos.*", "item_no"))
+        .drop("line_pos", "item_no")
     )
 
 
