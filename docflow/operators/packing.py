@@ -18,6 +18,8 @@ Documents of one segment, nearly all of them, skip steps 2 and 3.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -60,15 +62,43 @@ def unpackable(pages: DataFrame, target_bytes: int, doc: str) -> DataFrame:
     )
 
 
-def _walk(ends: np.ndarray, base: int, target: int) -> list[int]:
-    """Indexes of the pages that open a chunk, the first chunk opened at ``base``."""
-    opened: list[int] = []
-    while True:
-        start = int(np.searchsorted(ends, base + target, side="right"))
-        if start >= len(ends):
-            return opened
-        opened.append(start)
-        base = int(ends[start - 1]) if start else 0
+def _fold_batches(
+    batches: Iterator[pd.DataFrame], doc: str, target: int
+) -> Iterator[pd.DataFrame]:
+    """Number the chunks of pages that arrive sorted by document, segment and page.
+
+    Only the open chunk's size and number are kept from batch to batch, so
+    memory does not depend on how many pages a document has.
+    """
+    key: tuple | None = None
+    size = chunk = 0
+    for batch in batches:
+        sizes = batch["n_bytes"].to_numpy(np.int64)
+        ends = np.cumsum(sizes)
+        docs, segments = batch[doc].to_numpy(), batch["_segment"].to_numpy()
+        changed = np.ones(len(batch), dtype=bool)
+        changed[1:] = (docs[1:] != docs[:-1]) | (segments[1:] != segments[:-1])
+        starts = np.append(np.flatnonzero(changed), len(batch))
+        numbers = np.empty(len(batch), dtype=np.int64)
+        for first, stop in zip(starts[:-1], starts[1:], strict=True):
+            if (docs[first], segments[first]) != key:
+                key = (docs[first], segments[first])
+                size = int(batch["_carried"].iloc[first])
+                chunk = int(batch["_before"].iloc[first]) + 1
+            # Byte offset at which the open chunk began.
+            base = int(ends[first] - sizes[first]) - size
+            at = first
+            while at < stop:
+                nxt = min(int(np.searchsorted(ends, base + target, side="right")), stop)
+                numbers[at:nxt] = chunk
+                if nxt < stop:
+                    chunk += 1
+                    base = int(ends[nxt - 1]) if nxt else 0
+                at = nxt
+            size = int(ends[stop - 1]) - base
+        yield pd.DataFrame(
+            {doc: docs, "page_no": batch["page_no"], "n_bytes": sizes, "chunk_no": numbers}
+        )
 
 
 def _exit_table(sizes: np.ndarray, target: int) -> pd.DataFrame:
@@ -166,29 +196,15 @@ def pack_pages(
     )
     states = _starting_states(sized, target_bytes, doc)
     doc_type = pages.schema[doc].dataType.simpleString()
-
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("page_no")
-        ends = np.cumsum(pdf["n_bytes"].to_numpy(np.int64))
-        carried, before = int(pdf["_carried"].iloc[0]), int(pdf["_before"].iloc[0])
-        opened = np.zeros(len(pdf), dtype=np.int64)
-        opened[_walk(ends, -carried, target_bytes)] = 1
-        return pd.DataFrame(
-            {
-                doc: pdf[doc],
-                "page_no": pdf["page_no"],
-                "n_bytes": pdf["n_bytes"],
-                "chunk_no": before + 1 + np.cumsum(opened),
-            }
-        )
-
-    packed = (
+    in_order = (
         sized.join(states, [doc, "_segment"], "left")
         .fillna(0, ["_carried", "_before"])
-        .groupBy(doc, "_segment")
-        .applyInPandas(
-            assign, f"`{doc}` {doc_type}, page_no long, n_bytes long, chunk_no long"
-        )
+        .repartition(doc, "_segment")
+        .sortWithinPartitions(doc, "_segment", "page_no")
+    )
+    packed = in_order.mapInPandas(
+        lambda batches: _fold_batches(batches, doc, target_bytes),
+        f"`{doc}` {doc_type}, page_no long, n_bytes long, chunk_no long",
     )
     return Split(packed, rejected)
 
