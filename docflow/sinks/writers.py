@@ -25,7 +25,12 @@ from docflow.functions.layout import (
     STAGE_METADATA,
     chunk_key,
 )
-from docflow.operators.records import add_filing_columns, cast_stage_types, family_records
+from docflow.operators.records import (
+    add_filing_columns,
+    cast_stage_types,
+    evolve_schema,
+    family_records,
+)
 from docflow.schemas import ARTICLE_RECORD, FILING_RECORD, INDEX_COLUMN, METADATA_ROW
 from docflow.sources.readers import path_exists
 
@@ -70,8 +75,12 @@ def _write(
 def latest_per_key(
     rows: DataFrame, keys: tuple[str, ...], order: str = "ingestion_timestamp"
 ) -> DataFrame:
-    """The latest row per key; cut to one row per key before the shuffle."""
-    window = Window.partitionBy(*keys).orderBy(F.desc(order))
+    """The latest row per key; cut to one row per key before the shuffle.
+
+    Rows of one run share their time, so the source decides between them.
+    """
+    ties = [F.desc(c) for c in ("source_url", "source_gcs_uri") if c in rows.columns]
+    window = Window.partitionBy(*keys).orderBy(F.desc(order), *ties)
     return (
         rows.withColumn("_rank", F.row_number().over(window))
         .where(F.col("_rank") == 1)
@@ -167,7 +176,7 @@ def bulk_load(spark: SparkSession, paths: list[str], table_path: str) -> bool:
     """Load many staged paths at once; an empty list does nothing."""
     if not paths:
         return False
-    append_load(spark.read.option("mergeSchema", True).parquet(*paths), table_path)
+    append_load(evolve_schema([read_loaded(spark, path) for path in paths]), table_path)
     return True
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -110,7 +111,7 @@ def read_holdings(spark: SparkSession, paths: list[str]) -> DataFrame:
         record = F.from_json("value", "ticker string, name string")
         return lines.where(F.col("value").rlike(r"\S")).select(
             F.lit(file_no).alias("file_no"),
-            F.struct("line_pos.split_start", "line_pos.line").alias("line_no"),
+            F.col("line_pos").alias("line_no"),
             record["ticker"].alias("ticker"),
             record["name"].alias("name"),
         )
@@ -133,22 +134,24 @@ def _below(root: str) -> Column:
     return F.substr("path", F.locate(folder, "path") + len(folder))
 
 
-def latest_snapshot(spark: SparkSession, root: str, name: str = "companies.json") -> DataFrame:
+def latest_snapshot(
+    spark: SparkSession, root: str, name: str = "companies.json", multi_line: bool = True
+) -> DataFrame:
     """Rows of the newest ``date=.../companies.json`` below ``root``.
 
-    Only the greatest key, one short text, reaches the driver.
+    The snapshot may be one JSON array file or a folder of JSON lines files
+    (``multi_line=False``). Only the greatest key, a short text, reaches the driver.
     """
-    if not path_exists(spark, root):
-        raise FileNotFoundError(f"no {name} under {root}")
-    newest = (
-        list_objects(spark, root)
-        .where(F.col("key").endswith(name))
-        .agg(F.max("key").alias("key"))
-        .head()["key"]
-    )
+    newest = None
+    if path_exists(spark, root):
+        snapshot = f"(?s)^(.*{re.escape(name)})(?:/[^/]+)?$"
+        keys = list_objects(spark, root).select(
+            F.nullif(F.regexp_extract("key", snapshot, 1), F.lit("")).alias("key")
+        )
+        newest = keys.agg(F.max("key").alias("key")).head()["key"]
     if newest is None:
         raise FileNotFoundError(f"no {name} under {root}")
-    return spark.read.option("multiLine", True).json(f"{root.rstrip('/')}/{newest}")
+    return spark.read.option("multiLine", multi_line).json(f"{root.rstrip('/')}/{newest}")
 
 
 def read_raw_documents(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
