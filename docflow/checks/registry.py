@@ -664,13 +664,13 @@ def _(t):
  || json_extract_string(response, '$.metadata.sector') || '"}' as metadata
  from o_metadata where json_type(response) = 'OBJECT'""")
 def _(t):
-    parsed = t.view("fx_metadata").withColumn("response", F.try_parse_json("response"))
-    part = lambda n: F.to_json(F.variant_get("response", f"$.{n}", "variant"))
-    objects = parsed.where(F.schema_of_variant("response").startswith("OBJECT"))
-    return objects.select(
-        "row_key", fn.sorted_json(part("source_record")).alias("source_record"),
-        fn.sorted_json(part("metadata")).alias("metadata"),
-    )
+    objects = t.view("fx_metadata").where(F.col("response").startswith("{"))
+
+    def part(name: str):
+        text = F.coalesce(F.get_json_object("response", f"$.{name}"), F.lit("null"))
+        return fn.sorted_json(text).alias(name)
+
+    return objects.select("row_key", part("source_record"), part("metadata"))
 
 
 @query("json_list_or_empty", """select document_id, case when gemini_chunk_uris is null then null
@@ -840,7 +840,7 @@ def _metadata(t: Fixtures) -> metadata_plan.MetadataResult:
     ticker = F.upper(fn.strip("company_ticker"))
     responses = rows.select(
         ticker.alias("company_ticker"), F.lit(RUN_YEAR).alias("year"), "provider",
-        F.try_parse_json("response").alias("response"),
+        F.col("response").alias("body"), F.try_parse_json("response").alias("response"),
     )
     companies = rows.select("company_ticker", "company_name", "company_id", "base_url")
     return metadata_plan.ingest_company_metadata(companies, responses, RUN_YEAR)

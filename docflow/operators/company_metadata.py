@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docflow.config import METADATA_PROVIDERS
 from docflow.functions.identity import metadata_id
-from docflow.functions.items import field, field_text, field_type
+from docflow.functions.items import field_text, field_type
 from docflow.functions.jsons import sorted_json
 from docflow.functions.text import strip
 from docflow.operators.split import Split, split_by
@@ -62,7 +62,7 @@ def _object_or_empty(name: str) -> Column:
 
 def _free_form(name: str) -> Column:
     kind = field_type("response", name)
-    text = F.to_json(field("response", name))
+    text = F.get_json_object("body", f"$.{name}")
     return F.when(kind.startswith("OBJECT"), text).otherwise("{}")
 
 
@@ -70,8 +70,8 @@ def metadata_artifacts(responses: DataFrame) -> DataFrame:
     """Stored rows from valid responses.
 
     Input has the *requested* company (``company_ticker``, ``company_id``,
-    ``base_url``, ``year``, ``provider``) and the ``response``. The id is made
-    of the request, the descriptive fields come from the response.
+    ``base_url``, ``year``, ``provider``), the ``response`` and its text ``body``.
+    The id is made of the request, the descriptive fields come from the response.
     """
     answered = {
         name: strip(field_text("response", name)) for name in REQUIRED_KEYS

@@ -39,12 +39,12 @@ def requested(companies: DataFrame, year: int, provider: str) -> DataFrame:
 def answered(requests: DataFrame, responses: DataFrame) -> Split:
     """Requests with a response, split into usable and unusable ones.
 
-    ``responses`` is (company_ticker, year, provider, response), one row per
-    request at most; a request without one has no metadata.
+    ``responses`` is (company_ticker, year, provider, body, response), one row
+    per request at most; a request without one has no metadata.
     """
     ticker = F.upper(F.col("company_ticker"))
     landed = responses.select(
-        ticker.alias("company_ticker"), "year", "provider", "response"
+        ticker.alias("company_ticker"), "year", "provider", "body", "response"
     )
     joined = requests.join(landed, ["company_ticker", "year", "provider"])
     return valid_metadata_response(joined)

@@ -96,10 +96,15 @@ def read_filings(spark: SparkSession, path: str, whole_file: bool = False) -> Da
 def read_company_metadata(
     spark: SparkSession, path: str, whole_file: bool = True
 ) -> DataFrame:
-    """One JSON response per company, kept whole as VARIANT ``response``."""
+    """One JSON response per company: its text ``body`` and VARIANT ``response``.
+
+    The text is kept because the free-form parts are stored as they came; VARIANT
+    would turn ``1.0`` into ``1``.
+    """
     lines = text_lines(spark, path, "company_ticker string, year int, provider string", whole_file)
     return lines.where(F.col("value").rlike(r"\S")).select(
-        "company_ticker", "year", "provider", F.try_parse_json("value").alias("response")
+        "company_ticker", "year", "provider", F.col("value").alias("body"),
+        F.try_parse_json("value").alias("response"),
     )
 
 
