@@ -22,6 +22,7 @@ from docflow.checks.registry import (
     comparable,
     query,
 )
+from docflow.functions.items import field_text
 from docflow.operators import company_metadata as cm
 from docflow.operators import migration as mg
 from docflow.operators import packing, records as rc
@@ -51,7 +52,7 @@ def _land(t: Fixtures, view: str, label: str, ticker=None) -> str:
 
 
 def _item_columns(items: DataFrame, *names: str) -> DataFrame:
-    texts = [F.try_variant_get("item", f"$.{n}", "string").alias(n) for n in names]
+    texts = [field_text("item", n).alias(n) for n in names]
     return items.select("company_ticker", "year", *texts)
 
 

@@ -1,4 +1,4 @@
-"""Expressions over one discovery item held as a VARIANT column.
+"""Expressions over one discovery item, a STRUCT of VARIANT fields.
 
 VARIANT keeps what a typed reader would lose: whether a field is absent or an
 explicit null, and whether a value was a text or a number.
@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from docflow.functions.text import ColumnOrName, bind, col, strip
+from docflow.schemas import ITEM
 
 # Schemes whose last path segment may carry ``;parameters`` (fixed values of
 # the URL standard library; a URL without a scheme counts too).
@@ -20,8 +21,13 @@ URL_SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 URL_PATH = r"(?s)^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)"
 
 
+def item_fields(variant: Column) -> Column:
+    """The fields read from an item, taken in one pass; null if it is no object."""
+    return F.try_variant_get(variant, "$", f"struct<{ITEM}>")
+
+
 def field(item: ColumnOrName, name: str) -> Column:
-    return F.variant_get(col(item), f"$.{name}", "variant")
+    return col(item)[name]
 
 
 def field_type(item: ColumnOrName, name: str) -> Column:
@@ -30,25 +36,16 @@ def field_type(item: ColumnOrName, name: str) -> Column:
 
 
 def field_text(item: ColumnOrName, name: str) -> Column:
-    return F.try_variant_get(col(item), f"$.{name}", "string")
-
-
-def type_names(item: ColumnOrName, names: tuple[str, ...]) -> Column:
-    """STRUCT with the type name of each field."""
-    return F.struct(*[field_type(item, name).alias(name) for name in names])
+    return F.try_variant_get(field(item, name), "$", "string")
 
 
 def truthy_text(item: ColumnOrName, name: str) -> Column:
     """Text of a field, null where the value is empty, zero, false or missing."""
-
-    def non_empty(value: Column) -> Column:
-        text = F.try_variant_get(value, "$", "string")
-        zero = F.coalesce(text.try_cast("double") == 0, F.lit(False))
-        blank = zero | text.isin("false", "[]", "{}")
-        is_text = F.schema_of_variant(value) == "STRING"
-        return F.when(is_text, F.nullif(text, F.lit(""))).when(~blank, text)
-
-    return bind(field(item, name), non_empty)
+    text = field_text(item, name)
+    zero = F.coalesce(text.try_cast("double") == 0, F.lit(False))
+    blank = zero | text.isin("false", "[]", "{}")
+    is_text = field_type(item, name) == "STRING"
+    return F.when(is_text, F.nullif(text, F.lit(""))).when(~blank, text)
 
 
 def url_path(url: ColumnOrName) -> Column:

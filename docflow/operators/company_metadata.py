@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docflow.config import METADATA_PROVIDERS
 from docflow.functions.identity import metadata_id
-from docflow.functions.items import field_text, field_type
 from docflow.functions.jsons import sorted_json
 from docflow.functions.text import strip
 from docflow.operators.split import Split, split_by
@@ -22,6 +21,14 @@ REQUIRED_KEYS = (
 )
 
 
+def field_type(response: str, name: str) -> Column:
+    return F.schema_of_variant(F.variant_get(response, f"$.{name}", "variant"))
+
+
+def field_text(response: str, name: str) -> Column:
+    return F.try_variant_get(F.col(response), f"$.{name}", "string")
+
+
 def normalize_provider(provider: str) -> str:
     """The provider's canonical name; an unknown one is an error."""
     name = provider.strip().lower()

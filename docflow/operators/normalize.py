@@ -14,7 +14,6 @@ from docflow.functions.items import (
     field_text,
     field_type,
     truthy_text,
-    type_names,
 )
 from docflow.functions.text import bind, blank_to_null, cik10, default_company_id, strip
 from docflow.operators.split import Split, split_by
@@ -78,22 +77,20 @@ def company_years(companies: DataFrame, first: int, last: int) -> DataFrame:
     )
 
 
-_ANY_ITEM = ("title", "url", "date")
-_FILING_ITEM = (*_ANY_ITEM, "form", *FILING_FIELDS)
-
-
-def _reject_reason(types: Column, filing: bool, stated: Column) -> Column:
+def _reject_reason(filing: bool) -> Column:
     """Name of the first field whose JSON type makes the item unusable."""
 
     def must_be_text(name: str) -> Column:
-        return F.coalesce(types[name] != "STRING", F.lit(True))
+        return F.coalesce(field_type("item", name) != "STRING", F.lit(True))
 
     def may_be_null(name: str) -> Column:
-        return F.coalesce(~types[name].isin("STRING", "VOID"), F.lit(False))
+        kind = field_type("item", name)
+        return F.coalesce(~kind.isin("STRING", "VOID"), F.lit(False))
 
     faults = {name: must_be_text(name) for name in ("title", "url")}
     faults["date"] = may_be_null("date")
     if filing:
+        stated = truthy_text("item", "filing_type").isNotNull()
         faults["filing_type"] = F.when(stated, must_be_text("filing_type")).otherwise(
             may_be_null("form")
         )
@@ -103,11 +100,7 @@ def _reject_reason(types: Column, filing: bool, stated: Column) -> Column:
 
 def mark_invalid(items: DataFrame, filing: bool = False) -> DataFrame:
     """Add ``reject_reason``: the first field of the wrong type, null if fine."""
-    types = type_names("item", _FILING_ITEM if filing else _ANY_ITEM)
-    stated = truthy_text("item", "filing_type").isNotNull()
-    return items.withColumn(
-        "reject_reason", bind(types, lambda t: _reject_reason(t, filing, stated))
-    )
+    return items.withColumn("reject_reason", _reject_reason(filing))
 
 
 def split_invalid(items: DataFrame, filing: bool = False) -> Split:
@@ -149,7 +142,7 @@ def _to_documents(items: DataFrame, source_kind: str, extra: dict[str, Column])
 
 
 def articles_to_documents(items: DataFrame) -> DataFrame:
-    """Valid article items (VARIANT ``item`` + company context) as documents."""
+    """Valid article items (``item`` + company context) as documents."""
     return _to_documents(items, ARTICLES, {})
 
 

@@ -22,6 +22,13 @@ FILING_FIELDS = (
 FILING_COLUMNS = ("source_kind",) + FILING_FIELDS
 INDEX_COLUMN = "__index_level_0__"
 
+# Fields of a discovery item that are read; VARIANT tells a text from a number.
+ITEM_FIELDS = (
+    "title", "url", "date", "type", "article_type", "is_pdf", "filepath", "form",
+    *FILING_FIELDS,
+)
+ITEM = ", ".join(f"{name}: variant" for name in ITEM_FIELDS)
+
 COMPANY = T.StructType(_strings(*COMPANY_FIELDS))
 
 DOCUMENT = T.StructType(

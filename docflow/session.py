@@ -16,6 +16,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # The JVM never compiles a method above 8000 bytes; a wide stage then runs
+    # faster operator by operator than as one such method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

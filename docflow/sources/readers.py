@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from docflow.functions.items import item_fields
+
 # Company context comes from the landing folders:
 # .../company_ticker=<T>/year=<Y>/<response files>
 CONTEXT = "company_ticker string, year int"
@@ -52,6 +54,19 @@ def with_positions(lines: DataFrame) -> DataFrame:
     ).drop("file", "split_start")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan with fewer splits than cores over all of them, by key.
+
+    For one-split inputs (a compressed text, a file of one row group) ahead of
+    costly per-row work. A scan that already has enough splits is left alone, so
+    large inputs are never shuffled for this. Must be given a plain scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path or glob has anything behind it, on any Hadoop file system."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -61,14 +76,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def explode_items(lines: DataFrame) -> DataFrame:
-    """One row per discovery item: VARIANT ``item`` and its number in the text.
+    """One row per discovery item: its read fields ``item`` and its number.
 
     A text is a JSON array of items or one item. Unreadable text becomes one
-    null item, which validation rejects, so nothing disappears silently.
+    null item, which validation rejects, so nothing disappears silently. The
+    fields are taken inside the explode: later filters work on the result and
+    never parse again.
     """
-    items = F.coalesce(
+    parsed = F.coalesce(
         F.from_json("value", "array<variant>"), F.array(F.try_parse_json("value"))
     )
+    items = F.transform(parsed, item_fields)
     rest = [c for c in lines.columns if c != "value"]
     filled = lines.where(F.col("value").rlike(r"\S"))
     return filled.select(*rest, F.posexplode(items).alias("item_no", "item"))
@@ -89,7 +107,7 @@ def read_articles(spark: SparkSession, path: str, whole_file: bool = False) -> D
 
 
 def read_filings(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
-    """Landed filing discovery responses; the wider item is still one VARIANT."""
+    """Landed filing discovery responses; the same reader takes the wider item."""
     return parse_items(landed_text(spark, path, whole_file=whole_file))
 
 

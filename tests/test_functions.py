@@ -8,7 +8,7 @@ from urllib.parse import urlparse
 from pyspark.sql import functions as F
 
 from docflow import functions as fn
-from docflow.functions.items import url_path
+from docflow.functions.items import item_fields, url_path
 from docflow.functions.layout import suffix
 from docflow.functions.text import WHITESPACE
 
@@ -105,7 +105,7 @@ def test_url_path_follows_url_rules(spark):
 
 def item_values(spark, items, *columns):
     df = spark.createDataFrame([(json.dumps(i), "com_aa", 2026) for i in items], "j string, company_id string, year int")
-    return [tuple(r) for r in df.coalesce(1).withColumn("item", F.parse_json("j")).select(*columns).collect()]
+    return [tuple(r) for r in df.coalesce(1).withColumn("item", item_fields(F.parse_json("j"))).select(*columns).collect()]
 
 
 def test_document_type_and_path(spark):

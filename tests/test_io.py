@@ -43,7 +43,7 @@ def test_landed_responses_keep_order_context_and_bad_texts(spark, tmp_path):
     put(root / "company_ticker=Z" / "year=2023" / "a.json", "not json")
     put(root / "company_ticker=Y" / "year=2023" / "a.json", "[]")
     got = readers.read_articles(spark, str(root), whole_file=True).orderBy("pos").select(
-        "company_ticker", "year", F.try_variant_get("item", "$.title", "string"), "pos.item_no"
+        "company_ticker", "year", F.try_variant_get("item.title", "$", "string"), "pos.item_no"
     )
     rows = [tuple(r) for r in got.collect()]
     assert sorted(rows, key=str) == sorted([("01", 2024, "a", 0), ("01", 2024, "b", 1), ("B:", 2023, "c", 0), ("Z", 2023, None, 0)], key=str)

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from docflow.functions.items import item_fields
 from docflow.operators import normalize as nz
 
 CONTEXT = {"company_ticker": " aa ", "company_name": "Alcoa", "company_id": " com_aa ", "base_url": " https://a "}
@@ -11,7 +12,7 @@ CONTEXT = {"company_ticker": " aa ", "company_name": "Alcoa", "company_id": " co
 def items(spark, bodies):
     rows = [(i, json.dumps(b) if not isinstance(b, str) else b, 2024, *CONTEXT.values()) for i, b in enumerate(bodies)]
     schema = "pos long, j string, year int, company_ticker string, company_name string, company_id string, base_url string"
-    return spark.createDataFrame(rows, schema).withColumn("item", F.try_parse_json("j")).drop("j").coalesce(1)
+    return spark.createDataFrame(rows, schema).withColumn("item", item_fields(F.try_parse_json("j"))).drop("j").coalesce(1)
 
 
 def test_company_defaults(spark):
