@@ -11,7 +11,6 @@ import uuid
 from pyspark.sql import DataFrame, functions as F
 
 from docflow import functions as fn
-from docflow.checks import oracle as o
 from docflow.checks.fixtures import PAGE_TARGET, RUN_YEAR, SETTINGS, Fixtures
 from docflow.checks.registry import (
     FILING,

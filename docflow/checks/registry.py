@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from docflow import functions as fn
 from docflow.checks import oracle as o
 from docflow.checks.fixtures import PAGE_TARGET, RUN_YEAR, SETTINGS, Fixtures
-from docflow.functions.jsons import canonical_json
 from docflow.operators import (
     backfill as bf,
     company_metadata as cm,
@@ -25,7 +24,6 @@ from docflow.plans import backfill as backfill_plan
 from docflow.plans import company_metadata as metadata_plan
 from docflow.plans import ingest
 from docflow.plans import migrate as migrate_plan
-from docflow.session import work_dir
 
 Query = Callable[[Fixtures], DataFrame]
 

@@ -20,11 +20,6 @@ def json_list_or_empty(c: ColumnOrName) -> Column:
     return F.when(c.isNotNull(), parsed)
 
 
-def canonical_json(c: ColumnOrName) -> Column:
-    """Compact JSON with sorted keys, for comparing two texts by meaning."""
-    return F.to_json(F.try_parse_json(col(c)))
-
-
 @pandas_udf(T.StringType())
 def _sorted_dump(texts: pd.Series) -> pd.Series:
     def dump(text: str | None) -> str | None:
