@@ -32,10 +32,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for one run, on the storage every executor shares.
 
-    The cluster names it in ``spark.checkpoint.dir``; a machine-local folder is
-    used only where that is unset, as in tests.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a local
+    session (as in tests) uses a temporary folder; on a cluster executors would each
+    write to their own disk, so it is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="docflow-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
