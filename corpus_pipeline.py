@@ -1,6 +1,12 @@
 """Queries of the llm operators, and the corpus pipeline built from them."""
 
-from docflow.llm import sharding
+from docflow.llm import fingerprints, language, quality_classifier, quality_rules, sharding
 
-QUERIES = {"op7_rendezvous": sharding.op7_rendezvous}
+QUERIES = {
+    "op1_weighted_samples": fingerprints.op1_weighted_samples,
+    "op3_adaptive_rules": quality_rules.op3_adaptive_rules,
+    "op4_viterbi_spans": language.op4_viterbi_spans,
+    "op7_rendezvous": sharding.op7_rendezvous,
+    "op9_bradley_terry": quality_classifier.op9_bradley_terry,
+}
 SQL = {}

@@ -29,20 +29,25 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 
 def widened(
-    df: DataFrame, fields: list[tuple[str, str]], rows: Callable[[pa.RecordBatch], list], **more
+    df: DataFrame,
+    fields: list[tuple[str, str]],
+    rows: Callable[[pa.RecordBatch], list],
+    without: tuple[str, ...] = (),
 ) -> DataFrame:
-    """df with further columns, which `rows` gives by batch as Arrow arrays."""
-    extra = T.StructType()
-    for name, kind in fields:
-        extra = extra.add(name, kind)
-    schema = T.StructType(df.schema.fields + extra.fields)
+    """df with further columns, which `rows` gives by batch as Arrow arrays.
+
+    Columns named in `without` are read by `rows` and not returned.
+    """
+    kept = [f for f in df.schema.fields if f.name not in without]
+    extra = [T.StructField(name, T._parse_datatype_string(kind)) for name, kind in fields]
+    names = [f.name for f in [*kept, *extra]]
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            arrays = [*batch.columns, *rows(batch)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *extra.names])
+            arrays = [batch.column(f.name) for f in kept] + rows(batch)
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, T.StructType([*kept, *extra]))
 
 
 def ranked(df: DataFrame, group: list[str], order: list[str], spread: str, name: str, bits: int = 6) -> DataFrame:
