@@ -1,12 +1,26 @@
 """Queries of the llm operators, and the corpus pipeline built from them."""
 
-from docflow.llm import fingerprints, language, quality_classifier, quality_rules, sharding
+from docflow.llm import (
+    fingerprints,
+    language,
+    merge_dropout,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    substrings,
+    token_counts,
+)
 
 QUERIES = {
     "op1_weighted_samples": fingerprints.op1_weighted_samples,
+    "op2_bin_completion": packing.op2_bin_completion,
     "op3_adaptive_rules": quality_rules.op3_adaptive_rules,
     "op4_viterbi_spans": language.op4_viterbi_spans,
+    "op6_relative_lempel_ziv": substrings.op6_relative_lempel_ziv,
     "op7_rendezvous": sharding.op7_rendezvous,
+    "op8_merge_dropout": merge_dropout.op8_merge_dropout,
     "op9_bradley_terry": quality_classifier.op9_bradley_terry,
+    "op10_count_viterbi": token_counts.op10_count_viterbi,
 }
 SQL = {}

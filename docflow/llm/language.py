@@ -5,7 +5,7 @@ SLOTS slots) and the scripts its words are written in. To label a text, each wor
 narrows the candidates to the languages written in it, each candidate gets the word's log
 likelihood, and a Viterbi pass over the words finds the best sequence of languages, where
 every change costs SWITCH. Runs of one language are the spans; a text's language is that
-with the most letters... in its spans' words.
+of most of its words.
 
 The model has a fixed size for each language (SLOTS numbers), whatever the corpus.
 """

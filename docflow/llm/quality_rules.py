@@ -36,7 +36,7 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 # A rule: a value that is higher in worse texts, and the value that is always allowed.
 RULES = {
     "symbols": ("n_symbols / greatest(word_chars, 1)", 0.02),
-    "dup_lines": ("n_dup_lines / greatest(n_lines, 1)", 0.10),
+    "dup_lines": ("greatest(n_dup_lines - 1, 0) / greatest(n_lines, 1)", 0.10),
     "repeats": ("n_repeat_words / greatest(n_words, 1)", 0.15),
     "upper": ("n_upper / greatest(word_chars, 1)", 0.10),
     "word_length": ("word_chars / greatest(n_words, 1)", 12.0),
