@@ -1,7 +1,16 @@
-"""Queries of the llm operators, and the corpus pipeline built from them."""
+"""Queries of the llm operators, and the corpus pipeline built from them.
+
+The pipeline: documents that the quality ranker rejects go, then those without a clear
+language; of each group of near duplicates one stays; passages that an earlier document
+holds are cut out; what is left is packed into training sequences. Each stage reads what
+its predecessor wrote and, but for the last, returns the columns of documents.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
 
 from docflow.llm import (
     fingerprints,
+    jaccard_join,
     language,
     merge_dropout,
     packing,
@@ -11,16 +20,64 @@ from docflow.llm import (
     substrings,
     token_counts,
 )
+from docflow.llm.frames import documents, saved
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.5 or more by a ranker fitted on all labelled ones among them."""
+    return quality_classifier.accept(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents most of whose words are in one language."""
+    return language.accept(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that is linked by similarity."""
+    return jaccard_join.one_of_each(docs)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that earlier ones hold."""
+    return substrings.remove(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences."""
+    return packing.pack_documents(docs, packing.tokenizer_path())
+
+
+STAGES = [
+    ("quality", quality),
+    ("language", languages),
+    ("near_duplicates", near_duplicates),
+    ("passages", passages),
+    ("packing", packed),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; what a stage returns is written before the next reads it."""
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+ORACLE_SQL = None  # trained models and a tokenizer are beyond SQL; tests hold a plain version against run()
 
 QUERIES = {
     "op1_weighted_samples": fingerprints.op1_weighted_samples,
     "op2_bin_completion": packing.op2_bin_completion,
     "op3_adaptive_rules": quality_rules.op3_adaptive_rules,
     "op4_viterbi_spans": language.op4_viterbi_spans,
+    "op5_pivot_regions": jaccard_join.op5_pivot_regions,
     "op6_relative_lempel_ziv": substrings.op6_relative_lempel_ziv,
     "op7_rendezvous": sharding.op7_rendezvous,
     "op8_merge_dropout": merge_dropout.op8_merge_dropout,
     "op9_bradley_terry": quality_classifier.op9_bradley_terry,
     "op10_count_viterbi": token_counts.op10_count_viterbi,
+    "pipeline": run,
 }
-SQL = {}
+SQL: dict[str, str] = {}
