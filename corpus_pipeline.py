@@ -13,6 +13,7 @@ from docflow.llm import (
     jaccard_join,
     language,
     merge_dropout,
+    oracles,
     packing,
     quality_classifier,
     quality_rules,
@@ -80,4 +81,4 @@ QUERIES = {
     "op10_count_viterbi": token_counts.op10_count_viterbi,
     "pipeline": run,
 }
-SQL: dict[str, str] = {}
+SQL = oracles.SQL

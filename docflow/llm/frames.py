@@ -36,9 +36,11 @@ def widened(
 ) -> DataFrame:
     """df with further columns, which `rows` gives by batch as Arrow arrays.
 
-    Columns named in `without` are read by `rows` and not returned.
+    Columns named in `without` are read by `rows` and not returned; a column of df with
+    the name of a new one gives way to it.
     """
-    kept = [f for f in df.schema.fields if f.name not in without]
+    new = [name for name, _ in fields]
+    kept = [f for f in df.schema.fields if f.name not in without and f.name not in new]
     extra = [T.StructField(name, T._parse_datatype_string(kind)) for name, kind in fields]
     names = [f.name for f in [*kept, *extra]]
 

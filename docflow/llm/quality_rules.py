@@ -47,12 +47,12 @@ _LOG_GAMMA = math.log((1 + ACCURACY) / (1 - ACCURACY))
 
 def bucket(value: str) -> str:
     """SQL: the bucket of a value of 0 or more."""
-    return f"case when {value} < {SMALLEST} then 0 else least({BUCKETS}, 1 + cast(floor(ln({value} / {SMALLEST}) / {_LOG_GAMMA!r}) as int)) end"
+    return f"case when {value} < {SMALLEST:e} then 0 else least({BUCKETS}, 1 + cast(floor(ln({value} / {SMALLEST:e}) / {_LOG_GAMMA:.17e}) as int)) end"
 
 
 def bucket_value(name: str) -> str:
     """SQL: the value that stands for a bucket."""
-    return f"case when {name} = 0 then 0.0d else {SMALLEST}d * exp(({name} - 0.5d) * {_LOG_GAMMA!r}d) end"
+    return f"case when {name} = 0 then 0e0 else {SMALLEST:e} * exp(({name} - 5e-1) * {_LOG_GAMMA:.17e}) end"
 
 
 def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:

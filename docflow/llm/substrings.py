@@ -182,7 +182,8 @@ def factors(docs: DataFrame) -> DataFrame:
 def with_spans(docs: DataFrame) -> DataFrame:
     """docs with `spans`, the (first, windows) of their duplicate spans; null if there are none."""
     spans = factors(docs).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("first", "windows")).alias("spans"))
-    return docs.join(spans, docs["doc_id"] == spans["__id"], "left").drop("__id")
+    rows = docs.drop("spans")
+    return rows.join(spans, rows["doc_id"] == spans["__id"], "left").drop("__id")
 
 
 def _kept(batch: pa.RecordBatch) -> Iterator[tuple[w.Block, w.Words, np.ndarray]]:
