@@ -213,7 +213,7 @@ def _label(model: Model, memo: w.Memo, block: w.Block) -> tuple[np.ndarray, np.n
     new[1:] = (doc[1:] != doc[:-1]) | (label[1:] != label[:-1])
     at = np.flatnonzero(new)
     place = np.flatnonzero(lettered) - words.offs[doc]
-    last = np.append(at[1:], len(doc)) - 1
+    last = np.append(at[1:], len(doc))[: len(at)] - 1
     spans = (doc[at], place[at], place[last] + 1 - place[at], label[at])
     return np.where(total > 0, pick, -1), score, spans
 
