@@ -26,6 +26,8 @@ from docflow.operators import company_metadata as cm
 from docflow.operators import migration as mg
 from docflow.operators import packing, records as rc
 from docflow.operators.backfill import first_company_per_ticker, valid_holdings
+from docflow.operators.normalize import union_sources
+from docflow.plans import backfill as backfill_plan
 from docflow.plans import company_metadata as metadata_plan
 from docflow.plans import ingest, migrate
 from docflow.session import work_dir
@@ -33,8 +35,12 @@ from docflow.sinks import writers
 from docflow.sources import readers
 from docflow.streaming.ingest_stream import ingest_stream
 
-STAGED = f"""(select * exclude (rn) from (select *, row_number() over (partition by source_kind, date, document_id
- order by source_url desc, source_gcs_uri desc) as rn from o_records_c) where rn = 1)"""
+STAGED = f"""(select * exclude (rn) from (select *, row_number() over (partition by source_kind, document_id
+ order by source_url desc, source_gcs_uri desc, date desc) as rn from o_records_c) where rn = 1)"""
+_MOVES = """select case when c.source_gcs_uri = c.target_uri
+ then 'noop' when exists (select 1 from o_listing l where l.uri = c.source_gcs_uri) then 'move'
+ when exists (select 1 from o_listing l where l.uri = c.target_uri) then 'moved' else 'missing' end as move
+ from o_candidates c"""
 NO_FILING = ", ".join(f"null::varchar as {c}" for c in FILING.split(", "))
 
 
@@ -99,8 +105,8 @@ def _land_holdings(t: Fixtures) -> list[str]:
     return [f"{root}/0.ndjson", f"{root}/1.ndjson"]
 
 
-@query("read_holdings", """select ticker, arg_min(name, (file_no, line_no)) as name from fx_holdings
- where ticker is not null and ticker not in ('', '-') group by ticker""")
+@query("read_holdings", """select upper(trim(ticker)) as ticker, arg_min(name, (file_no, line_no)) as name from fx_holdings
+ where ticker is not null and ticker not in ('', '-') group by all""")
 def _(t):
     holdings = readers.read_holdings(t.spark, _land_holdings(t))
     return first_company_per_ticker(valid_holdings(holdings))
@@ -116,13 +122,17 @@ def _(t):
     return found.select("row_key", "company_ticker")
 
 
-@query("list_objects", "select distinct company_ticker, year from fx_article_items")
+@query("list_objects", """select 'label=' || label || '/source=' || source || '/one.txt' as key, n + 1 as size
+ from (select item_id % 7 as label, item_id as source, octet_length(encode(text)) as n from benchmark)""")
 def _(t):
-    keys = readers.list_objects(t.spark, _land(t, "fx_article_items", "listing"))
-    return keys.select(
-        F.regexp_extract("key", "company_ticker=([^/]+)", 1).alias("company_ticker"),
-        F.regexp_extract("key", "year=([^/]+)", 1).cast("int").alias("year"),
-    ).distinct()
+    root = work_dir(t.spark, "listing")
+    texts = t.table("benchmark").select(
+        F.col("text").alias("value"), (F.col("item_id") % 7).alias("label"), F.col("item_id").alias("source")
+    )
+    texts.write.partitionBy("label", "source").text(root)
+    # Spark names the files; all else of the key is known.
+    listed = readers.list_objects(t.spark, root, "*.txt")
+    return listed.select(F.regexp_replace("key", "[^/]+$", "one.txt").alias("key"), "size")
 
 
 @query("read_raw_documents", """select page_id, octet_length(encode(html)) + 1 as n_bytes,
@@ -184,7 +194,7 @@ def _(t):
     writers.append_load_log(rows, "edgar", f"{root}/log")
     line = F.from_json(
         "value",
-        "row_count long, rows array<struct<cik string, date string, document_id string>>,"
+        "part_no long, row_count long, rows array<struct<cik string, date string, document_id string>>,"
         " source_uri string, table_id string",
     )
     lines = t.spark.read.text(f"{root}/log").select(line.alias("l"))
@@ -206,12 +216,15 @@ def _(t):
  from o_candidates""")
 def _(t):
     table = f"filings_{uuid.uuid4().hex}"
+    place = work_dir(t.spark, table)
     rows = mg.with_target(mg.legacy_filing_candidates(t.legacy, "b"), "b", RUN_YEAR)
     shaped = mg.normalize_legacy_rows(mg.drop_index_column(rows), RUN_YEAR)
-    writers.create_filings_table(t.spark, shaped, table, work_dir(t.spark, table))
+    writers.create_filings_table(t.spark, shaped, table, place)
     writers.create_filings_table(t.spark, shaped.limit(0), table)  # no effect
     writers.append_to_table(t.spark, shaped, table)
-    return t.spark.table(table).select(
+    stored = t.spark.read.schema(t.spark.table(table).schema).parquet(place)
+    t.spark.sql(f"DROP TABLE {table}")  # its files stay
+    return stored.select(
         "document_id", F.col("date").cast("string").alias("date"), "filing_type", "cik"
     )
 
@@ -239,11 +252,56 @@ def _(t):
     return writers.read_loaded(t.spark, f"{root}/table").select("document_id", "title")
 
 
-@query("execute_migration", "select count(*) as row_count from o_candidates")
+# What is migrated, and where: filings ingested before, of the same days, have to stay.
+_BEFORE = f"select document_id, date from {STAGED} where source_kind = 'edgar'"
+
+
+@query("execute_migration", f"""select document_id, 'prod' as place, count(*) as n from (
+ select document_id from ({_BEFORE}) union select document_id from o_candidates) group by all
+ union all select document_id, 'table', 1 from (
+ select document_id from ({_BEFORE}) union select document_id from o_candidates)
+ union all select move, 'move', count(*) from ({_MOVES}) group by all
+ union all select row_date, 'date', count(*) from o_candidates group by all
+ union all select 'rows', 'count', (select count(*) from (
+  select document_id from ({_BEFORE}) union select document_id from o_candidates))""")
 def _(t):
-    return migrate.execute_migration(
-        t.spark, t.legacy, t.legacy_listing, work_dir(t.spark, "migration"), "b", "b",
-        allow_missing=True, current_year=RUN_YEAR,
+    root = work_dir(t.spark, "migration")
+    staged = writers.stage_documents(t.spark, _run(t).records, root)
+    ingest.load_and_promote(t.spark, staged, root, f"{root}/ids")
+    for _ in range(2):  # doing it again changes nothing
+        report = migrate.execute_migration(
+            t.spark, t.legacy, t.legacy_listing, root, "b", "b", allow_missing=True, current_year=RUN_YEAR
+        )
+
+    def ids(rows: DataFrame, place: str) -> DataFrame:
+        return rows.groupBy("document_id").agg(F.count("*").alias("n")).select(
+            "document_id", F.lit(place).alias("place"), "n"
+        )
+
+    def named(rows: DataFrame, key: str, n: str, place: str) -> DataFrame:
+        return rows.select(F.col(key).alias("document_id"), F.lit(place).alias("place"), F.col(n).alias("n"))
+
+    moves = report.moves.groupBy("move").agg(F.count("*").alias("n"))
+    counted = report.row_count.withColumn("rows", F.lit("rows"))
+    parts = [
+        ids(writers.read_prod(t.spark, root, "edgar"), "prod"),
+        ids(t.spark.read.parquet(writers.table_path(root, "edgar")), "table"),
+        named(moves, "move", "n", "move"),
+        named(report.by_date, "partition_date", "row_count", "date"),
+        named(counted, "rows", "row_count", "count"),
+    ]
+    return union_sources(parts)
+
+
+@query("execute_migration_skip_gcs", "select 0 as in_prod, 0 as in_table, count(*) as prod_uris from o_candidates")
+def _(t):
+    root = work_dir(t.spark, "migration")
+    report = migrate.execute_migration(
+        t.spark, t.legacy, t.legacy_listing, root, "b", "b", skip_gcs=True, current_year=RUN_YEAR
+    )
+    prod = writers.read_prod(t.spark, root, "edgar").count()
+    return report.prod_uris.agg(F.count("*").alias("prod_uris")).select(
+        F.lit(prod).alias("in_prod"), F.lit(report.row_count.head()["row_count"]).alias("in_table"), "prod_uris"
     )
 
 
@@ -300,25 +358,58 @@ def _(t):
     )
 
 
-@query("ingest_stream")
+@query("run_backfill", """select company_ticker, year, count(*) as total, (count(*) filter (skipped)
+ + count(*) filter (not skipped and done)) as successes from (
+ select g.company_ticker, g.year, g.skipped, coalesce(m.summary is not null, false) as done
+ from o_backfill_gated g left join o_made_b m on m.pos = g.pos) group by all""")
+def _(t):
+    return backfill_plan.run_backfill(
+        t.spark, t.view("fx_holdings"), t.items("fx_filing_items"), t.names, t.known,
+        t.contents, t.html_pages, SETTINGS, work_dir(t.spark, "backfill-job"),
+    )
+
+
+@query("ingest_chunks", f"""select r.document_id, uri, true as written from {STAGED} r,
+ unnest(string_split(r.gemini_chunk_uris, '|')) u(uri) where r.gemini_chunk_count > 0""")
+def _(t):
+    root = work_dir(t.spark, "chunks-job")
+    ingest.run_ingest(t.spark, t.ingest_inputs(), SETTINGS, root)
+    families = [t.spark.read.parquet(writers.table_path(root, f)) for f in ("articles", "edgar")]
+    uris = union_sources([f.select("document_id", F.explode("gemini_chunk_uris").alias("uri")) for f in families])
+    parts = t.spark.read.parquet(f"{root}/{SETTINGS.chunk_prefix}")
+    keys = parts.select(F.concat(F.lit("gs://b/"), "key").alias("uri"), F.lit(True).alias("written"))
+    return uris.join(keys, "uri", "left")
+
+
+@query("ingest_stream", """select source_kind, document_id, 1::bigint as n_rows from o_made_s
+ where summary is not null group by all""")
 def _(t):
     spark, root = t.spark, work_dir(t.spark, "stream")
-    items = t.view("fx_article_items").select(
-        F.col("item").alias("value"), F.lit("articles").alias("source_kind"),
-        "company_ticker", "year",
+    items = union_sources(
+        [
+            t.view(view).select(
+                F.col("item").alias("value"), F.lit(family).alias("source_kind"), "company_ticker", "year", "pos"
+            )
+            for view, family in (("fx_article_items", "articles"), ("fx_filing_items", "edgar"))
+        ]
     )
     folders = ("source_kind", "company_ticker", "year")
     inputs = t.ingest_inputs()
     requests = ingest.build_requests(t.view("fx_companies"), 2021, 2026)
 
     def side_inputs() -> dict[str, DataFrame]:
-        return {"names": inputs.names, "contents": inputs.contents, "pages": inputs.pages}
+        return {"names": inputs.names.limit(0), "contents": inputs.contents, "pages": inputs.pages}
 
-    # The same files land twice: the second pass finds every document loaded.
-    for _ in range(2):
-        items.write.mode("append").partitionBy(*folders).text(f"{root}/landing")
+    # A half lands, then all of it: the second pass finds what came of the half loaded.
+    for part in (items.where(F.col("pos") % 2 == 0), items):
+        # A folder's items lie in one file, in their order.
+        landed = part.repartition(*folders).sortWithinPartitions(*folders, "pos").drop("pos")
+        landed.write.mode("append").partitionBy(*folders).text(f"{root}/landing")
         ingest_stream(
             spark, f"{root}/landing", root, f"{root}/checkpoint", requests, side_inputs, SETTINGS
         ).awaitTermination()
-    loaded = spark.read.parquet(writers.table_path(root, "articles"))
-    return loaded.groupBy("document_id").agg(F.count("*").alias("n_rows"))
+    loaded = [
+        spark.read.parquet(writers.table_path(root, family)).select(F.lit(family).alias("source_kind"), "document_id")
+        for family in ("articles", "edgar")
+    ]
+    return union_sources(loaded).groupBy("source_kind", "document_id").agg(F.count("*").alias("n_rows"))

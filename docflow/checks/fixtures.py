@@ -17,7 +17,7 @@ from docflow.operators import gates, normalize
 from docflow.operators.packing import text_pages
 from docflow.plans.ingest import Inputs, build_requests
 from docflow.session import configure
-from docflow.sources.readers import explode_items, spread
+from docflow.sources.readers import explode_items
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -109,6 +109,7 @@ select 'com_t' || cast(o_custkey % 25 as varchar(9)) || '_' || cast(o_orderkey a
     "fx_holdings": """
 select cast(s_suppkey % 2 as int) as file_no, cast(s_suppkey as int) as line_no,
  case when s_suppkey % 9 = 0 then '-' when s_suppkey % 9 = 1 then '' when s_suppkey % 9 = 2 then null
+  when s_suppkey % 9 = 3 then ' t' || cast(s_nationkey as varchar(9)) || ' '
   else 'T' || cast(s_nationkey as varchar(9)) end as ticker, s_name as name from supplier""",
     "fx_metadata": """
 select s_suppkey as row_key, ' s' || cast(s_suppkey as varchar(20)) as company_ticker, s_name || ' ' as company_name,
@@ -132,7 +133,7 @@ select event_id, case event_id % 9 when 0 then '429 RESOURCE_EXHAUSTED'
  when 4 then 'schema mismatch 14290 items' when 5 then 'HTTP 503' when 6 then 'permission denied 403'
  when 7 then 'size 185245993, code 500.' else 'read timed out' end as message,
  case when event_id % 2 = 0 then 'application/pdf' else 'text/html' end as mime_type,
- case when event_id % 5 = 0 then 'chunk' else 'direct' end as stage from events where event_type = 'error'""",
+ case when event_id % 5 = 0 then 'chunk' else 'direct' end as stage from events""",
     "fx_outcomes": """
 select event_id as pos, 'T' || cast(user_id % 25 as varchar(9)) as company_ticker,
  cast(2021 + user_id % 6 as int) as year,
@@ -171,11 +172,6 @@ PAGE_TARGET = 2_000
 RUN_YEAR = 2026
 
 
-# Tables whose rows are costly to work on, and their key. Where one comes as a
-# single row group it is spread first.
-SPREAD = {"orders": "o_orderkey", "documents": "doc_id", "pages": "page_id"}
-
-
 def sql(name: str, engine: str) -> str:
     return SQL[name].replace("{bytes}", BYTES[engine])
 
@@ -188,8 +184,7 @@ class Fixtures:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        scan = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return spread(scan, SPREAD[name]) if name in SPREAD else scan
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def view(self, name: str) -> DataFrame:
         text = sql(name, "spark")

@@ -241,6 +241,9 @@ CTES: dict[str, str] = {
  row_number() over (partition by ingestion_key order by pos) as rn from o_fresh""",
     "o_gated": """select f.*, k.document_id is not null as skipped from o_first f left join o_known k
  on k.source_kind = f.source_kind and k.document_id = f.document_id where f.rn = 1""",
+    "o_gated_s": """select distinct * exclude (rn), false as skipped from (
+  select *, row_number() over (partition by ingestion_key order by pos) as rn from o_docs where pos % 2 = 0
+  union all select *, row_number() over (partition by ingestion_key order by pos) from o_docs) where rn = 1""",
     "o_pages": f"""select p.* from fx_html_pages p join fx_contents c on c.url = p.url
  where c.n_bytes > {SETTINGS.direct_max_bytes} or coalesce({error_flags('c.error')['size']}, false)""",
     **features_ctes("w", "fx_contents", "url", "text"),
@@ -252,7 +255,7 @@ CTES: dict[str, str] = {
   then 'not_fetched' when g.type = 'pdf' and c.n_bytes > {SETTINGS.direct_max_bytes} then 'split'
   when c.error is not null then {outcome_sql('c.error', 'g.mime_type', 'true')} else 'ok' end as extraction
  from {src} g left join fx_contents c on c.url = g.url where not g.skipped"""
-        for n, src in (("c", "o_gated"), ("b", "o_backfill_gated"))
+        for n, src in (("c", "o_gated"), ("b", "o_backfill_gated"), ("s", "o_gated_s"))
     },
     **{
         f"o_made_{n}": f"""select d.*, case d.extraction when 'ok' then w.summary when 'empty' then '{PLACEHOLDER}'
@@ -264,7 +267,7 @@ CTES: dict[str, str] = {
   || coalesce({suffix('d.fetched_uri')}, case when d.type = 'pdf' then 'pdf' else 'html' end)
   else d.fetched_uri end as source_gcs_uri
  from o_called_{n} d left join w_features w on w.k = d.url left join h_merged h on h.doc = d.url"""
-        for n in ("c", "b")
+        for n in ("c", "b", "s")
     },
     **{
         f"o_records_{n}": f"""select document_id, company_id, company_ticker, year, title, url as source_url,
@@ -283,10 +286,10 @@ CTES: dict[str, str] = {
     "o_counted": """select company_ticker, year, count(*) as discovered,
  count(*) filter (outcome <> 'stored') as new, count(*) filter (outcome = 'processed') as processed,
  count(*) filter (outcome = 'skipped') as skipped from o_outcome group by all""",
-    "o_backfill_companies": """select upper(trim(ticker)) as company_ticker, name as company_name,
- 'com_' || lower(trim(ticker)) as company_id, 'https://www.google.com/search?q=' || name as base_url
- from (select ticker, arg_min(name, (file_no, line_no)) as name from fx_holdings
-  where ticker is not null and ticker not in ('', '-') group by ticker)""",
+    "o_backfill_companies": """select ticker as company_ticker, name as company_name,
+ 'com_' || lower(ticker) as company_id, 'https://www.google.com/search?q=' || name as base_url
+ from (select upper(trim(ticker)) as ticker, arg_min(name, (file_no, line_no)) as name from fx_holdings
+  where ticker is not null and ticker not in ('', '-') group by all)""",
     "o_backfill_items": """select i.pos, i.year, c.company_ticker, c.company_name, c.company_id, c.base_url,
  i.item::json as item from fx_filing_items i join o_backfill_companies c on c.company_ticker = i.company_ticker
  where i.year between 2021 and 2026""",

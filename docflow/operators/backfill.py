@@ -15,14 +15,15 @@ def valid_holdings(holdings: DataFrame) -> DataFrame:
 def first_company_per_ticker(
     holdings: DataFrame, order: tuple[str, ...] = ("file_no", "line_no")
 ) -> DataFrame:
-    """First line of each ticker in file and line order; a missing name is empty.
+    """First line of each normalised ticker in file and line order; a missing name is empty.
 
     ``row_number() = 1`` is cut to one row per ticker and partition before the
     exchange, so a ticker held by every fund costs no more than any other.
     """
     window = Window.partitionBy("ticker").orderBy(*order)
     return (
-        holdings.withColumn("_rank", F.row_number().over(window))
+        holdings.withColumn("ticker", F.upper(strip("ticker")))
+        .withColumn("_rank", F.row_number().over(window))
         .where(F.col("_rank") == 1)
         .select("ticker", F.coalesce("name", F.lit("")).alias("name"))
     )
@@ -30,7 +31,7 @@ def first_company_per_ticker(
 
 def holdings_to_companies(firsts: DataFrame) -> DataFrame:
     """Normalised companies with a search page as base URL."""
-    ticker = F.upper(strip("ticker"))
+    ticker = F.col("ticker")
     return firsts.select(
         ticker.alias("company_ticker"),
         strip("name").alias("company_name"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docflow.config import DIRECT_PDF_MAX_BYTES
@@ -15,7 +16,8 @@ from docflow.operators.packing import chunk_texts, pack_pages
 from docflow.operators.split import Split
 from docflow.schemas import FEATURES
 
-Extractor = Callable[[str], tuple[str, list[str], list[str]]]
+# Takes a batch of texts, gives their summary, key_entities and topics, row by row.
+Extractor = Callable[[pd.Series], pd.DataFrame]
 
 # Chunks merged at once inside one document before the final merge.
 MERGE_FAN_IN = 1000
@@ -41,24 +43,35 @@ def extract_features(
 ) -> DataFrame:
     """Add ``features`` to every row.
 
-    The default is a column expression. A custom extractor runs over Arrow
-    batches; an empty answer (``None``) is an error and fails the job.
+    The default is a column expression. A custom extractor is called once per Arrow
+    batch, so it may send its texts in one request; a missing row or summary is an
+    error and fails the job.
     """
     if extractor is None:
         return texts.withColumn("features", standard_features(text))
     schema = T.StructType(texts.schema.fields + [T.StructField("features", FEATURES)])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for value in batch[text]:
-                answer = extractor(value)
-                if answer is None:
-                    raise ValueError("extractor returned an empty answer")
-                rows.append(dict(zip(FEATURES.names, answer, strict=True)))
-            yield batch.assign(features=rows)
-
-    return texts.mapInPandas(run, schema)
+            if batch.num_rows == 0:
+                continue
+            found = extractor(batch.column(text).to_pandas())
+            if found is None or len(found) != batch.num_rows or found["summary"].isna().any():
+                raise ValueError("extractor returned an empty answer")
+            lists = pa.list_(pa.string())
+            features = pa.StructArray.from_arrays(
+                [
+                    pa.array(found["summary"].tolist(), pa.string()),
+                    pa.array([list(x) for x in found["key_entities"]], lists),
+                    pa.array([list(x) for x in found["topics"]], lists),
+                ],
+                names=FEATURES.names,
+            )
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, features], names=[*batch.schema.names, "features"]
+            )
+
+    return texts.mapInArrow(run, schema)
 
 
 def apply_outcome(features: Column, outcome: Column) -> Column:
@@ -153,6 +166,12 @@ def chunks_to_documents(
     return with_chunk_metadata(docs.join(merged, doc), chunk_root, doc)
 
 
+def chunk_parts(pages: DataFrame, target_bytes: int, doc: str = "document_id") -> Split:
+    """(doc, chunk_no, chunk_text) of packed pages; ``rejected`` cannot be packed."""
+    packed = pack_pages(pages.select(doc, "page_no", "n_bytes"), target_bytes, doc)
+    return Split(chunk_texts(pages, packed.valid, doc), packed.rejected)
+
+
 def extract_chunked(
     pages: DataFrame,
     target_bytes: int,
@@ -164,7 +183,6 @@ def extract_chunked(
     ``pages`` is (doc, page_no, page_text, n_bytes). ``valid`` is (doc, features,
     chunk_count); ``rejected`` lists the documents that cannot be packed.
     """
-    packed = pack_pages(pages.select(doc, "page_no", "n_bytes"), target_bytes, doc)
-    texts = chunk_texts(pages, packed.valid, doc)
-    features = extract_features(texts, extractor, "chunk_text")
-    return Split(merge_chunk_features(features, doc), packed.rejected)
+    parts, rejected = chunk_parts(pages, target_bytes, doc)
+    features = extract_features(parts, extractor, "chunk_text")
+    return Split(merge_chunk_features(features, doc), rejected)

@@ -8,7 +8,7 @@ of the other side, however often that key is repeated there.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from docflow.config import ARTICLES, FILINGS
 from docflow.functions.identity import document_id, ingestion_key
@@ -99,27 +99,29 @@ def exists_probe(table: DataFrame, doc_id: str) -> bool:
 def one_per_ingestion_key(docs: DataFrame, pos: str = "pos") -> DataFrame:
     """The first document of each ingestion key and ``n_same_key``, how many had it.
 
-    A minimum by position is combined in every input partition before the
-    shuffle, so a hot key sends one row per partition.
+    The first is cut to one row per key in every input partition before the exchange;
+    the counts combine there too and join on the key alone, so full rows are never
+    sorted and a hot key sends one row per partition.
     """
     keyed = docs.withColumn("ingestion_key", ingestion_key())
+    rank = F.row_number().over(Window.partitionBy("ingestion_key").orderBy(pos, "url"))
+    firsts = keyed.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+    counts = keyed.groupBy("ingestion_key").agg(F.count("*").alias("n_same_key"))
     rest = [c for c in docs.columns if c != pos]
-    firsts = keyed.groupBy("ingestion_key").agg(
-        F.min(F.struct(pos, *rest)).alias("_first"), F.count("*").alias("n_same_key")
-    )
-    return firsts.select("ingestion_key", "n_same_key", "_first.*")
+    return firsts.join(counts, "ingestion_key").select("ingestion_key", "n_same_key", pos, *rest)
 
 
 def mark_duplicates(docs: DataFrame, pos: str = "pos") -> DataFrame:
     """All documents with ``duplicate``: true for all but the first of each key.
 
-    The winners come from a combined ``min`` per key; matching them back by the
-    unique position keeps the join even whatever the keys look like.
+    A position counts within its family only, so winners, a combined ``min`` per key,
+    are matched back by key and position; null-free keys keep the join even.
     """
     keyed = docs.withColumn("ingestion_key", ingestion_key())
-    winners = keyed.groupBy("ingestion_key").agg(F.min(pos).alias(pos)).select(pos)
-    first = keyed.join(winners, pos, "left_semi").withColumn("duplicate", F.lit(False))
-    later = keyed.join(winners, pos, "left_anti").withColumn("duplicate", F.lit(True))
+    on = ["ingestion_key", pos]
+    winners = keyed.groupBy("ingestion_key").agg(F.min(pos).alias(pos))
+    first = keyed.join(winners, on, "left_semi").withColumn("duplicate", F.lit(False))
+    later = keyed.join(winners, on, "left_anti").withColumn("duplicate", F.lit(True))
     return first.unionByName(later)
 
 

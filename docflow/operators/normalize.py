@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from docflow.config import ARTICLES, DEFAULT_SOURCES, FILINGS, METADATA
 from docflow.functions.items import (
@@ -57,17 +57,27 @@ def expand_sources(requests: DataFrame, source: str = "source") -> Split:
     )
 
 
-def attach_company(items: DataFrame, companies: DataFrame) -> DataFrame:
-    """Copy the company's context onto its items, by ticker.
+def one_company_per_ticker(companies: DataFrame) -> DataFrame:
+    """One row per ticker of normalised companies: the first by name, id and URL."""
+    order = [c for c in ("company_name", "company_id", "base_url") if c in companies.columns]
+    window = Window.partitionBy("company_ticker").orderBy(*order)
+    ranked = companies.withColumn("_rank", F.row_number().over(window))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")
 
-    ``companies`` holds one row per normalised ticker. No broadcast is forced:
+
+def attach_company(
+    items: DataFrame, companies: DataFrame, on: tuple[str, ...] = ("company_ticker",)
+) -> DataFrame:
+    """Copy the company's context onto its items, by normalised ticker (and year).
+
+    ``companies`` holds one row per normalised ticker (and year). No broadcast is forced:
     AQE broadcasts it where its measured size allows and otherwise splits
     skewed tickers on the item side.
     """
     ticker = F.upper(strip("company_ticker"))
-    context = companies.select("company_ticker", "company_name", "company_id", "base_url")
+    context = companies.select(*on, "company_name", "company_id", "base_url")
     slim = items.drop("company_name", "company_id", "base_url")
-    return slim.withColumn("company_ticker", ticker).join(context, "company_ticker")
+    return slim.withColumn("company_ticker", ticker).join(context, list(on))
 
 
 def company_years(companies: DataFrame, first: int, last: int) -> DataFrame:

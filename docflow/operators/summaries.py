@@ -85,7 +85,8 @@ def _first_error(source_kind: str) -> Column:
 
 def error_details(errors: DataFrame) -> DataFrame:
     """``articles: msg; edgar: msg`` per company and year, in source order."""
-    grouped = errors.where(F.col("error").isNotNull()).groupBy("company_ticker", "year").agg(
+    known = F.col("error").isNotNull() & F.col("source_kind").isin(*DEFAULT_SOURCES)
+    grouped = errors.where(known).groupBy("company_ticker", "year").agg(
         *[_first_error(kind).alias(kind) for kind in DEFAULT_SOURCES]
     )
     parts = [
@@ -127,10 +128,13 @@ def fail_if_all_sources_failed(sources: DataFrame) -> None:
         raise RuntimeError(failure["message"])
 
 
-def run_summary(requests: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """One row per request with its counts and message.
+def run_summary(
+    requests: DataFrame, outcomes: DataFrame, errors: DataFrame | None = None
+) -> DataFrame:
+    """One row per request with its counts, source errors and message.
 
-    ``requests`` is (company_ticker, year, source); ``outcomes`` is
+    ``errors`` is (company_ticker, year, source_kind, pos, error) of discovery; a
+    completed run lists them in ``source_errors``. ``requests`` is (company_ticker, year, source); ``outcomes`` is
     (company_ticker, year, outcome, n, promoted) with outcome stored, duplicate,
     skipped, processed or failed. Counts are combined before the shuffle, so a
     company with most of the documents costs no more than any other.
@@ -149,7 +153,12 @@ def run_summary(requests: DataFrame, outcomes: DataFrame) -> DataFrame:
     )
     found = F.coalesce(F.col("discovered"), F.lit(0))
     early = (found == 0) | (F.col("_new") == 0)
-    return requests.join(counted, ["company_ticker", "year"], "left").select(
+    failed = F.lit(None).cast("string")
+    rows = requests.join(counted, ["company_ticker", "year"], "left")
+    if errors is not None:
+        rows = rows.join(error_details(errors), ["company_ticker", "year"], "left")
+        failed = F.nullif(F.when(~early, F.col("error_details")), F.lit(""))
+    return rows.select(
         F.col("company_ticker").alias("company"),
         "year",
         "source",
@@ -159,6 +168,7 @@ def run_summary(requests: DataFrame, outcomes: DataFrame) -> DataFrame:
             F.when(~early, F.col(name)).alias(name)
             for name in ("processed", "skipped", "promoted")
         ],
+        failed.alias("source_errors"),
         F.when(found == 0, NO_DOCUMENTS)
         .when(F.col("_new") == 0, ALL_STORED)
         .otherwise(COMPLETED)

@@ -6,9 +6,10 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docflow.config import METADATA
+from docflow.config import METADATA, METADATA_TABLE
 from docflow.functions.identity import metadata_id
 from docflow.functions.layout import metadata_stage_key
+from docflow.functions.text import strip
 from docflow.operators.company_metadata import (
     metadata_artifacts,
     normalize_provider,
@@ -17,7 +18,9 @@ from docflow.operators.company_metadata import (
 )
 from docflow.operators.normalize import normalize_company
 from docflow.operators.split import Split
+from docflow.session import work_dir
 from docflow.sinks import writers
+from docflow.sources.readers import path_exists
 
 # --- fixed values: summary messages ---
 NOT_FOUND = "No company metadata found."
@@ -42,7 +45,7 @@ def answered(requests: DataFrame, responses: DataFrame) -> Split:
     ``responses`` is (company_ticker, year, provider, body, response), one row
     per request at most; a request without one has no metadata.
     """
-    ticker = F.upper(F.col("company_ticker"))
+    ticker = F.upper(strip("company_ticker"))
     landed = responses.select(
         ticker.alias("company_ticker"), "year", "provider", "body", "response"
     )
@@ -93,10 +96,26 @@ def run_company_metadata(
     spark: SparkSession, companies: DataFrame, responses: DataFrame, year: int,
     root: str, provider: str = "lseg", prod_bucket: str = "b",
 ) -> DataFrame:
-    """Stage, load, promote; returns the summary."""
+    """Stage, load, log, promote; returns the summary, kept below ``runs/``.
+
+    Rows an interrupted run has loaded already are not loaded twice. The summary is
+    made after promotion, from the rows that are in the table by then.
+    """
     made = ingest_company_metadata(companies, responses, year, provider, prod_bucket)
     stage = writers.stage_company_metadata(spark, made.rows, root)
     rows = writers.read_company_metadata_rows(spark, stage)
-    writers.append_load(rows, writers.table_path(root, METADATA))
+    table = writers.table_path(root, METADATA)
+    new = rows
+    if path_exists(spark, table):
+        known = spark.read.schema("metadata_id string").parquet(table)
+        new = rows.join(known, "metadata_id", "left_anti").select(*rows.columns)
+    writers.append_load(new, table)
+    writers.append_load_log(rows, METADATA_TABLE, f"{root}/load_log")
     writers.promote_metadata(spark, root)
-    return made.summary
+    requests = requested(companies, year, provider)
+    loaded = spark.read.schema("metadata_id string, company_ticker string, year long, provider string").parquet(table)
+    keyed = loaded.withColumn("_key", metadata_stage_key()).dropDuplicates(["metadata_id"])
+    summary = metadata_summary(requests, keyed, prod_bucket)
+    path = work_dir(spark, "metadata").rsplit("/", 1)[-1]
+    summary.write.parquet(f"{root}/runs/{path}/summary")
+    return spark.read.schema(summary.schema).parquet(f"{root}/runs/{path}/summary")

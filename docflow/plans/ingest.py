@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docflow.config import ARTICLES, DEFAULT_SOURCES, FILINGS, Settings
-from docflow.functions.errors import error_outcome, is_file_size_error
+from docflow.config import ARTICLES, DEFAULT_SOURCES, FILINGS, METADATA, Settings
+from docflow.functions.errors import error_outcome
 from docflow.functions.identity import document_id
 from docflow.functions.layout import mime_type, stage_key
 from docflow.operators.extract import (
     Extractor,
     apply_outcome,
+    chunk_parts,
     chunk_uris,
-    extract_chunked,
     extract_features,
+    merge_chunk_features,
     route_by_size,
 )
 from docflow.operators.gates import (
@@ -26,18 +28,22 @@ from docflow.operators.gates import (
 )
 from docflow.operators.normalize import (
     articles_to_documents,
+    attach_company,
     company_years,
     expand_sources,
     filings_to_documents,
     normalize_company,
+    one_company_per_ticker,
+    requested_sources,
     split_invalid,
     union_sources,
 )
 from docflow.operators.records import build_records, plan_relocation
-from docflow.operators.summaries import run_summary
+from docflow.operators.split import Split
+from docflow.operators.summaries import fail_if_all_sources_failed, run_summary
+from docflow.plans.company_metadata import run_company_metadata
 from docflow.session import work_dir
 from docflow.sinks import writers
-from docflow.sources.readers import path_exists
 
 
 @dataclass(frozen=True)
@@ -48,10 +54,12 @@ class Inputs:
     * ``articles``, ``filings``: items (``company_ticker, year, pos, item``);
     * ``names``: (prefix, filename) of the stored raw files;
     * ``known``: (source_kind, document_id) already loaded;
-    * ``contents``: (url, source_gcs_uri, n_bytes, text, error), one row per URL
-      fetched for this run;
+    * ``contents``: (url, source_gcs_uri, n_bytes, text, error), one row per URL;
+      more URLs than the run needs do no harm, only gated documents are extracted;
     * ``pages``: (url, page_no, page_text, n_bytes) of files too large to be
-      extracted whole.
+      extracted whole;
+    * ``errors``: (company_ticker, year, source_kind, pos, error) of discovery calls
+      that failed, if any did.
     """
 
     requests: DataFrame
@@ -61,41 +69,61 @@ class Inputs:
     known: DataFrame
     contents: DataFrame
     pages: DataFrame
+    errors: DataFrame | None = None
 
 
 @dataclass(frozen=True)
 class RunResult:
+    """``rejected``: items that cannot be used, with the field at fault."""
+
     records: DataFrame
     outcomes: DataFrame
     summary: DataFrame
+    rejected: DataFrame
 
 
 def build_requests(
     companies: DataFrame, first_year: int, last_year: int, source: str | None = None
 ) -> DataFrame:
-    """Normalised companies for every year and requested source family."""
-    asked = normalize_company(companies).withColumn("source", F.lit(source).cast("string"))
+    """Normalised companies for every year and requested source family.
+
+    An unknown source is an error. Companies that share a normalised ticker count once.
+    """
+    requested_sources(source)
+    asked = one_company_per_ticker(normalize_company(companies))
+    asked = asked.withColumn("source", F.lit(source).cast("string"))
     return company_years(expand_sources(asked).valid, first_year, last_year)
 
 
-def discover(requests: DataFrame, articles: DataFrame, filings: DataFrame) -> DataFrame:
-    """Normalised documents of both families for the requested company-years."""
+def requested_items(requests: DataFrame, items: DataFrame, family: str) -> Split:
+    """A family's landed items of the requested company-years, usable and rejected ones.
 
-    def valid_items(items: DataFrame, family: str) -> DataFrame:
-        context = requests.where(F.col("source_kind") == family).select(
-            "company_ticker", "year", "company_name", "company_id", "base_url"
-        )
-        asked = items.select("company_ticker", "year", "pos", "item").join(
-            context, ["company_ticker", "year"]
-        )
-        return split_invalid(asked, filing=family == FILINGS).valid
+    Tickers are compared in their normalised form, however the folder spells them.
+    """
+    context = requests.where(F.col("source_kind") == family)
+    slim = items.select("company_ticker", "year", "pos", "item")
+    asked = attach_company(slim, context, ("company_ticker", "year"))
+    return split_invalid(asked, filing=family == FILINGS)
 
-    return union_sources(
-        [
-            articles_to_documents(valid_items(articles, ARTICLES)),
-            filings_to_documents(valid_items(filings, FILINGS)),
-        ]
+
+def discover(requests: DataFrame, articles: DataFrame, filings: DataFrame) -> Split:
+    """Normalised documents of both families for the requested company-years.
+
+    ``rejected`` is (source_kind, company_ticker, year, pos, reject_reason).
+    """
+    found = {
+        ARTICLES: requested_items(requests, articles, ARTICLES),
+        FILINGS: requested_items(requests, filings, FILINGS),
+    }
+    docs = union_sources(
+        [articles_to_documents(found[ARTICLES].valid), filings_to_documents(found[FILINGS].valid)]
     )
+    columns = ("company_ticker", "year", "pos", "reject_reason")
+    rejected = [
+        split.rejected.select(F.lit(family).alias("source_kind"), *columns)
+        for family, split in found.items()
+    ]
+    return Split(docs, union_sources(rejected))
 
 
 def gate_documents(docs: DataFrame, names: DataFrame, known: DataFrame) -> DataFrame:
@@ -105,40 +133,15 @@ def gate_documents(docs: DataFrame, names: DataFrame, known: DataFrame) -> DataF
     return mark_known(firsts, known)
 
 
-def extract_contents(
-    contents: DataFrame, pages: DataFrame, settings: Settings, extractor: Extractor | None = None
-) -> DataFrame:
-    """Features per URL, for whole texts and for chunked files.
+def route_documents(docs: DataFrame, contents: DataFrame, settings: Settings) -> DataFrame:
+    """Documents with source URI and ``extraction``: how their features come about.
 
-    Whole-text extraction is a projection right on the scan of ``contents``: the
-    texts never cross a shuffle, only their features do. Page texts move only
-    for URLs above the size limit or refused for their size.
+    ``not_fetched``, ``split`` (a PDF too large, or refused for its size), ``ok`` or an
+    error's outcome. Texts are not read here.
     """
-    whole = extract_features(contents.where(F.col("text").isNotNull()), extractor)
-    textless = contents.where(F.col("text").isNull()).withColumn(
-        "features", F.lit(None).cast(whole.schema["features"].dataType)
-    )
-    direct = whole.unionByName(textless).drop("text")
-    too_large = contents.where(
-        (F.col("n_bytes") > settings.direct_max_bytes) | is_file_size_error("error")
-    ).select("url")
-    parts = pages.join(too_large, "url", "left_semi")
-    chunked = extract_chunked(parts, settings.chunk_target_bytes, extractor, "url").valid
-    merged = chunked.withColumnRenamed("features", "chunk_features")
-    return direct.join(merged, "url", "left")
-
-
-def extract_documents(
-    docs: DataFrame,
-    contents: DataFrame,
-    pages: DataFrame,
-    settings: Settings,
-    extractor: Extractor | None = None,
-) -> DataFrame:
-    """Documents with source URI, ``extraction`` outcome, features and chunk list."""
-    made = extract_contents(contents, pages, settings, extractor)
+    facts = contents.select("url", "source_gcs_uri", "n_bytes", "error")
     given = F.when(F.col("downloaded") & (F.col("gcs_uri") != ""), F.col("gcs_uri"))
-    fetched = docs.join(made, "url", "left").withColumn(
+    fetched = docs.join(facts, "url", "left").withColumn(
         "source_gcs_uri", F.coalesce(given, F.nullif("source_gcs_uri", F.lit("")))
     )
     routed = route_by_size(fetched, settings.direct_max_bytes)
@@ -149,20 +152,52 @@ def extract_documents(
         .when(F.col("error").isNotNull(), failure)
         .otherwise("ok")
     )
+    relocated = plan_relocation(
+        routed.withColumn("extraction", called), settings.source_bucket
+    )
+    return relocated.withColumn("source_gcs_uri", F.col("target_gcs_uri")).drop(
+        "target_gcs_uri", "error", "n_bytes", "route"
+    )
+
+
+def document_chunks(routed: DataFrame, pages: DataFrame, settings: Settings) -> DataFrame:
+    """(document_id, chunk_no, chunk_text) of the documents on the chunk route.
+
+    Only their pages are read past the scan. Documents that cannot be packed have none.
+    """
+    split = routed.where(F.col("extraction") == "split").select("document_id", "url").distinct()
+    own = pages.join(split, "url").drop("url")
+    return chunk_parts(own, settings.chunk_target_bytes).valid
+
+
+def extract_documents(
+    routed: DataFrame,
+    contents: DataFrame,
+    chunks: DataFrame,
+    settings: Settings,
+    extractor: Extractor | None = None,
+) -> DataFrame:
+    """Routed documents with their features and chunk list.
+
+    The extractor sees each text that a direct document needs once, and each chunk once;
+    texts nobody asked for are dropped before it.
+    """
+    direct = routed.where(F.col("extraction") == "ok").select("url").distinct()
+    texts = contents.select("url", "text").where(F.col("text").isNotNull())
+    whole = extract_features(texts.join(direct, "url", "left_semi"), extractor).drop("text")
+    parts = extract_features(chunks, extractor, "chunk_text").drop("chunk_text")
+    merged = merge_chunk_features(parts).withColumnRenamed("features", "chunk_features")
+    made = routed.join(whole, "url", "left").join(merged, "document_id", "left")
     split = F.col("extraction") == "split"
     features = F.when(split, F.col("chunk_features")).otherwise(
         apply_outcome(F.col("features"), F.col("extraction"))
     )
-    relocated = plan_relocation(
-        routed.withColumn("extraction", called), settings.source_bucket
-    )
-    return relocated.withColumns(
+    return made.withColumns(
         {
             "features": features,
             "gemini_chunk_uris": F.when(split, chunk_uris(settings.chunk_root)),
-            "source_gcs_uri": F.col("target_gcs_uri"),
         }
-    ).drop("chunk_features", "target_gcs_uri", "chunk_count", "error", "n_bytes", "route")
+    ).drop("chunk_features", "chunk_count")
 
 
 def ingest_documents(
@@ -173,18 +208,26 @@ def ingest_documents(
     settings: Settings,
     run_ts: Column | None = None,
     extractor: Extractor | None = None,
+    routed: DataFrame | None = None,
+    chunks: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(records, results) of documents: gate 2, source URI, extraction, stage rows.
 
-    ``results`` has one row per document with success, skipped and stage key.
+    ``results`` has one row per document with success, skipped and stage key. ``routed``
+    and ``chunks`` are :func:`route_documents` and :func:`document_chunks` of the
+    documents not skipped, where a job has them written already.
     """
     if "document_id" not in docs.columns:
         docs = docs.withColumn("document_id", document_id())
     if "skipped" not in docs.columns:
         docs = mark_known(docs, known)
-    made = extract_documents(
-        docs.where(~F.col("skipped")), contents, pages, settings, extractor
-    ).withColumn("success", F.col("features").isNotNull())
+    if routed is None:
+        routed = route_documents(docs.where(~F.col("skipped")), contents, settings)
+    if chunks is None:
+        chunks = document_chunks(routed, pages, settings)
+    made = extract_documents(routed, contents, chunks, settings, extractor).withColumn(
+        "success", F.col("features").isNotNull()
+    )
     records = build_records(made.where("success"), run_ts)
     stage_uri = F.concat(F.lit(f"gs://{settings.prod_bucket}/"), stage_key())
     done = made.withColumn("stage_uri", F.when(F.col("success"), stage_uri))
@@ -215,85 +258,163 @@ def document_outcomes(results: DataFrame) -> DataFrame:
     )
 
 
+def stored_outcomes(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """Outcome rows of the documents gate 1 found."""
+    return (
+        with_source_key(docs)
+        .join(names, ["prefix", "filename"], "left_semi")
+        .select("company_ticker", "year", "source_kind", F.lit("stored").alias("outcome"))
+        .withColumns({"n": F.lit(1).cast("long"), "promoted": F.lit(False)})
+    )
+
+
 def ingest_companies(
     inputs: Inputs,
     settings: Settings,
     run_ts: Column | None = None,
     extractor: Extractor | None = None,
 ) -> RunResult:
-    """Discovery to records and per-company summaries, without writing anything."""
-    docs = discover(inputs.requests, inputs.articles, inputs.filings)
-    gated = gate_documents(docs, inputs.names, inputs.known)
+    """Discovery to records and per-company summaries, without any sink.
+
+    Discovered, gated and routed documents are written once to the work folder, since
+    records, outcomes and summary all start from them.
+    """
+    spark = inputs.requests.sparkSession
+    work = work_dir(spark, "ingest")
+    docs, rejected = discover(inputs.requests, inputs.articles, inputs.filings)
+    docs = kept(spark, docs, f"{work}/discovered")
+    gated = kept(spark, gate_documents(docs, inputs.names, inputs.known), f"{work}/gated")
+    routed = route_documents(gated.where(~F.col("skipped")), inputs.contents, settings)
+    routed = kept(spark, routed, f"{work}/routed")
     records, results = ingest_documents(
-        gated, inputs.known, inputs.contents, inputs.pages, settings, run_ts, extractor
-    )
-    stored = (
-        with_source_key(docs)
-        .join(inputs.names, ["prefix", "filename"], "left_semi")
-        .select("company_ticker", "year", "source_kind", F.lit("stored").alias("outcome"))
-        .withColumns({"n": F.lit(1).cast("long"), "promoted": F.lit(False)})
+        gated, inputs.known, inputs.contents, inputs.pages, settings, run_ts, extractor, routed
     )
-    outcomes = stored.unionByName(document_outcomes(results))
-    summary = run_summary(request_keys(inputs.requests), outcomes)
-    return RunResult(records, outcomes, summary)
+    outcomes = stored_outcomes(docs, inputs.names).unionByName(document_outcomes(results))
+    summary = run_summary(request_keys(inputs.requests), outcomes, inputs.errors)
+    return RunResult(records, outcomes, summary, rejected)
 
 
 def request_keys(requests: DataFrame) -> DataFrame:
     return requests.select("company_ticker", "year", "source").distinct()
 
 
-def run_ingest(
+def kept(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """Rows written once and read back."""
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def check_discovery(requests: DataFrame, docs: DataFrame, errors: DataFrame) -> None:
+    """Raise if a requested company-year has errors and no document at all."""
+    asked = errors.select("company_ticker", "year", "source_kind", "pos", "error")
+    asked = asked.join(requests.select("company_ticker", "year").distinct(), ["company_ticker", "year"], "left_semi")
+    found = docs.groupBy("company_ticker", "year").agg(F.count("*").cast("int").alias("n_docs"))
+    none = F.lit(None)
+    fail_if_all_sources_failed(
+        asked.withColumn("n_docs", F.lit(0)).unionByName(
+            found.select(
+                "company_ticker", "year", none.cast("string").alias("source_kind"),
+                none.cast(asked.schema["pos"].dataType).alias("pos"), none.cast("string").alias("error"), "n_docs",
+            )
+        )
+    )
+
+
+def write_gated(
     spark: SparkSession,
-    inputs: Inputs,
+    gated: DataFrame,
+    contents: DataFrame,
+    pages: DataFrame,
+    known: DataFrame,
     settings: Settings,
     root: str,
+    work: str,
     extractor: Extractor | None = None,
 ) -> DataFrame:
-    """The whole job with its sinks; returns the run summary.
+    """Extract, stage, load, log and promote gated documents; (source_kind, document_id) done.
 
-    The gated documents are written once to the shared work folder, so no later
-    step repeats discovery, and a lost executor only repeats its own tasks.
-    Order: stage, load, log, promote. A load that fails leaves its rows in stage.
+    Chunk parts are written below the chunk prefix before their features are made of
+    them; records are written once, so each text and chunk is extracted once.
     """
-    work = work_dir(spark, "ingest")
-    docs = discover(inputs.requests, inputs.articles, inputs.filings)
-    docs.write.parquet(f"{work}/discovered")
-    docs = spark.read.parquet(f"{work}/discovered")
-    gate_documents(docs, inputs.names, inputs.known).write.parquet(f"{work}/gated")
-    gated = spark.read.parquet(f"{work}/gated")
-
+    routed = kept(spark, route_documents(gated.where(~F.col("skipped")), contents, settings), f"{work}/routed")
+    parts = writers.append_chunks(spark, document_chunks(routed, pages, settings), root, settings.chunk_prefix, f"{work}/chunks")
     records, _ = ingest_documents(
-        gated, inputs.known, inputs.contents, inputs.pages, settings, extractor=extractor
+        gated, known, contents, pages, settings, extractor=extractor, routed=routed, chunks=parts
     )
+    records = kept(spark, records, f"{work}/records")
     staged = writers.stage_documents(spark, records, root)
-    done = load_and_promote(spark, staged, root, f"{work}/loaded")
+    return load_and_promote(spark, staged, root, f"{work}/loaded")
+
 
-    new = gated.where(~F.col("skipped"))
-    on = ["source_kind", "document_id"]
-    results = (
+def with_success(gated: DataFrame, done: DataFrame) -> DataFrame:
+    """Gated documents with ``success``: loaded by this run or skipped."""
+    new, on = gated.where(~F.col("skipped")), ["source_kind", "document_id"]
+    return (
         new.join(done, on, "left_semi").withColumn("success", F.lit(True))
         .unionByName(new.join(done, on, "left_anti").withColumn("success", F.lit(False)))
         .unionByName(gated.where("skipped").withColumn("success", F.lit(True)))
     )
-    stored = (
-        with_source_key(docs)
-        .join(inputs.names, ["prefix", "filename"], "left_semi")
-        .select("company_ticker", "year", "source_kind", F.lit("stored").alias("outcome"))
-        .withColumns({"n": F.lit(1).cast("long"), "promoted": F.lit(False)})
+
+
+def run_ingest(
+    spark: SparkSession,
+    inputs: Inputs,
+    settings: Settings,
+    root: str,
+    extractor: Extractor | None = None,
+) -> DataFrame:
+    """The whole job with its sinks; returns the run summary.
+
+    The gated documents are written once to the shared work folder, so no later
+    step repeats discovery, and a lost executor only repeats its own tasks.
+    Order: chunk parts, stage, load, log, promote. A load that fails leaves its rows in
+    stage. Rejected items and the summary are kept below ``runs/``; the work folder is
+    removed at the end. A company-year whose discovery failed without any document
+    stops the job before it writes.
+    """
+    work = work_dir(spark, "ingest")
+    docs, rejected = discover(inputs.requests, inputs.articles, inputs.filings)
+    docs = kept(spark, docs, f"{work}/discovered")
+    if inputs.errors is not None:
+        check_discovery(inputs.requests, docs, inputs.errors)
+    gated = kept(spark, gate_documents(docs, inputs.names, inputs.known), f"{work}/gated")
+    done = write_gated(
+        spark, gated, inputs.contents, inputs.pages, inputs.known, settings, root, work, extractor
     )
-    summary = run_summary(
-        request_keys(inputs.requests), stored.unionByName(document_outcomes(results))
+    outcomes = stored_outcomes(docs, inputs.names).unionByName(
+        document_outcomes(with_success(gated, done))
     )
-    summary.write.parquet(f"{work}/summary")
-    return spark.read.parquet(f"{work}/summary")
+    summary = run_summary(request_keys(inputs.requests), outcomes, inputs.errors)
+    run = f"{root}/runs/{work.rsplit('/', 1)[-1]}"
+    kept(spark, rejected, f"{run}/rejected")
+    summary = kept(spark, summary, f"{run}/summary")
+    writers.delete_path(spark, work)
+    return summary
 
 
-def loaded_ids(spark: SparkSession, root: str, family: str) -> DataFrame:
-    """Document ids of a family's table; empty where the table does not exist yet."""
-    path = writers.table_path(root, family)
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], "document_id string")
-    return spark.read.schema("document_id string").parquet(path)
+def run_companies(
+    spark: SparkSession,
+    companies: DataFrame,
+    first_year: int,
+    last_year: int,
+    source: str | None,
+    inputs: Callable[[DataFrame], Inputs],
+    responses: DataFrame,
+    settings: Settings,
+    root: str,
+    extractor: Extractor | None = None,
+) -> DataFrame:
+    """Company ingestion by source: ``metadata`` leads to the metadata job, everything
+    else to documents. ``inputs`` gives the inputs for the requests built here. Returns
+    the summary of the job that ran."""
+    if requested_sources(source) == (METADATA,):
+        years = [
+            run_company_metadata(spark, companies, responses, year, root, prod_bucket=settings.prod_bucket)
+            for year in range(first_year, last_year + 1)
+        ]
+        return union_sources(years)
+    requests = build_requests(companies, first_year, last_year, source)
+    return run_ingest(spark, inputs(requests), settings, root, extractor)
 
 
 def load_and_promote(
@@ -306,7 +427,7 @@ def load_and_promote(
     """
     for family in DEFAULT_SOURCES:
         rows = writers.read_staged(spark, staged[family], family)
-        new = rows.join(loaded_ids(spark, root, family), "document_id", "left_anti")
+        new = rows.join(writers.loaded_ids(spark, root, family), "document_id", "left_anti")
         table = writers.table_path(root, family)
         writers.append_load(new, table)
         writers.append_load_log(rows, writers.TABLES[family], f"{root}/load_log")

@@ -85,6 +85,21 @@ def plan_migration(
     )
 
 
+class MigrationReport(NamedTuple):
+    """What an executed migration did.
+
+    ``row_count`` of the table (of prod where the load is skipped), every candidate's
+    ``moves`` decision (the ``move`` rows are the byte moves for the storage's transfer
+    job), rows ``by_date``, moved and missing ``counts``, and the planned ``prod_uris``.
+    """
+
+    row_count: DataFrame
+    moves: DataFrame
+    by_date: DataFrame
+    counts: DataFrame
+    prod_uris: DataFrame
+
+
 def execute_migration(
     spark: SparkSession,
     table: DataFrame,
@@ -94,26 +109,42 @@ def execute_migration(
     prod_bucket: str,
     *,
     skip_load: bool = False,
+    skip_gcs: bool = False,
     **options,
-) -> DataFrame:
-    """Rewrite prod, load the filings table and return its row count.
+) -> MigrationReport:
+    """Create the filings table, rewrite prod, load what the table lacks, report.
 
-    A source that is missing without leave stops the job before any write, as
-    does an unreadable URI. The byte moves themselves are the ``move`` rows of
-    the plan, for the storage's own transfer job.
+    A source that is missing without leave stops the job before any write, as does an
+    unreadable URI. ``skip_gcs`` moves and writes nothing: prod is taken as it is and the
+    candidates it holds are loaded. Migrated rows are written once and replace only their
+    own older prod rows; rows the table has already are not loaded again, so the job can
+    be repeated and done in parts.
     """
     plan = plan_migration(table, objects, source_bucket, prod_bucket, **options)
     work = work_dir(spark, "migrate")
     plan.moves.write.parquet(f"{work}/moves")
-    moves = spark.read.parquet(f"{work}/moves")
-    broken = moves.where(F.col("move") == "error").select("source_gcs_uri").head()
-    if broken is not None:
-        raise FileNotFoundError(f"source object not found: {broken['source_gcs_uri']!r}")
-    flags = ("move", "source_exists", "target_exists")
-    rows = normalize_legacy_rows(moves.drop(*flags), options.get("current_year"))
-    prod = writers.rewrite_prod(spark, rows, root)
+    moves = spark.read.schema(plan.moves.schema).parquet(f"{work}/moves")
+    current_year = options.get("current_year")
     target = writers.table_path(root, FILINGS)
+    if skip_gcs:
+        rows = moves.select("document_id")
+    else:
+        broken = moves.where(F.col("move") == "error").select("source_gcs_uri").head()
+        if broken is not None:
+            raise FileNotFoundError(f"source object not found: {broken['source_gcs_uri']!r}")
+        flags = ("move", "source_exists", "target_exists")
+        rows = normalize_legacy_rows(moves.drop(*flags), current_year)
+        writers.rewrite_prod(spark, rows, root)
+    prod = writers.read_prod(spark, root, FILINGS)
     if not skip_load:
-        writers.bulk_load(spark, [prod], target)
-    loaded = spark.read.parquet(prod if skip_load else target)
-    return table_row_count(loaded)
+        loaded = prod.join(rows.select("document_id"), "document_id", "left_semi")
+        known = writers.loaded_ids(spark, root, FILINGS)
+        writers.append_load(loaded.join(known, "document_id", "left_anti"), target)
+    counted = prod if skip_load else writers.loaded_ids(spark, root, FILINGS)
+    return MigrationReport(
+        table_row_count(counted),
+        moves,
+        planned_by_date(moves, current_year),
+        move_counts(moves.where(F.lit(not skip_gcs))),
+        plan.prod_uris,
+    )

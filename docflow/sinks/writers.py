@@ -32,6 +32,7 @@ from docflow.operators.records import (
     family_records,
 )
 from docflow.schemas import ARTICLE_RECORD, FILING_RECORD, INDEX_COLUMN, METADATA_ROW
+from docflow.session import work_dir
 from docflow.sources.readers import path_exists
 
 CLUSTERING = ("company_ticker", "document_type")  # fixed value
@@ -77,10 +78,10 @@ def latest_per_key(
 ) -> DataFrame:
     """The latest row per key; cut to one row per key before the shuffle.
 
-    Rows of one run share their time, so the source decides between them.
+    Rows of one run share their time, so the source, then the date decides.
     """
-    ties = [F.desc(c) for c in ("source_url", "source_gcs_uri") if c in rows.columns]
-    window = Window.partitionBy(*keys).orderBy(F.desc(order), *ties)
+    by = [c for c in (order, "source_url", "source_gcs_uri", "date") if c in rows.columns]
+    window = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in by])
     return (
         rows.withColumn("_rank", F.row_number().over(window))
         .where(F.col("_rank") == 1)
@@ -92,18 +93,40 @@ def upsert(
     spark: SparkSession, new: DataFrame, path: str, key: str,
     folders: tuple[str, ...] = DATE,
 ) -> None:
-    """Write rows so that a repeated key replaces the older row in its folder.
+    """Write rows so that a key has one row, the new one, in whatever folder it was.
 
-    Only the folders present in ``new`` are read and rewritten.
+    New rows are appended; only folders that hold an older row of one of the keys are
+    rewritten, so a large folder is left alone until one of its rows changes. Both
+    parts are written to the work folder first: rows are computed once, and a commit
+    that is lost half-way leaves them there. Doing it again gives the same rows.
     """
-    keys = (*folders, key)
-    new = latest_per_key(new, keys)
-    if path_exists(spark, f"{path}/{folders[0]}=*"):
+    work = work_dir(spark, "upsert")
+    latest_per_key(new, (key,)).write.parquet(f"{work}/new")
+    new = spark.read.schema(new.schema).parquet(f"{work}/new")
+    names = list(folders)
+    if not path_exists(spark, f"{path}/{folders[0]}=*"):
+        _write(new, path, "append", folders)
+    else:
         old = _read_folders(spark, path, new, folders)
-        touched = old.join(new.select(*folders).distinct(), list(folders), "left_semi")
-        kept = touched.join(new.select(*keys), list(keys), "left_anti")
-        new = new.unionByName(kept, allowMissingColumns=True)
-    _write(new, path, "overwrite", folders, replace_folders=True)
+        stale = old.join(new.select(key), key, "left_semi").select(*names).distinct()
+        stale.write.parquet(f"{work}/stale")
+        stale = spark.read.schema(stale.schema).parquet(f"{work}/stale")
+        kept = old.join(stale, names, "left_semi").join(new.select(key), key, "left_anti")
+        rewritten = new.join(stale, names, "left_semi").unionByName(kept, allowMissingColumns=True)
+        rewritten.write.parquet(f"{work}/rewritten")
+        rewritten = spark.read.schema(rewritten.schema).parquet(f"{work}/rewritten")
+        _write(rewritten, path, "overwrite", folders, replace_folders=True)
+        _write(new.join(stale, names, "left_anti"), path, "append", folders)
+        emptied = stale.join(rewritten.select(*names).distinct(), names, "left_anti")
+        for row in emptied.collect():  # folder names
+            delete_path(spark, f"{path}/" + "/".join(f"{n}={_folder_value(row[n])}" for n in names))
+    delete_path(spark, work)
+
+
+def _folder_value(value: object) -> str:
+    """A partition value as Spark names its folder."""
+    unsafe = set('"#%\'*/:=?\\{}[]^') | {chr(i) for i in range(1, 32)} | {chr(127)}
+    return "".join(f"%{ord(c):02X}" if c in unsafe else c for c in str(value))
 
 
 def _read_folders(
@@ -169,7 +192,8 @@ def append_to_table(spark: SparkSession, df: DataFrame, table: str) -> None:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
         existing = spark.table(table)
     aligned = existing.limit(0).unionByName(df, allowMissingColumns=True)
-    aligned.hint("rebalance").write.mode("append").insertInto(table)
+    keys = [c for c in (*DATE, *CLUSTERING) if c in aligned.columns]
+    aligned.hint("rebalance", *keys[:1]).sortWithinPartitions(*keys).write.mode("append").insertInto(table)
 
 
 def bulk_load(spark: SparkSession, paths: list[str], table_path: str) -> bool:
@@ -186,7 +210,8 @@ def create_filings_table(
     """Create the filings table if absent; an existing one is left as it is.
 
     Columns are the source's without the index column, plus the filing columns
-    it lacks; partitioned by ``date``. Clustering is kept by sorting on write.
+    it lacks; partitioned by ``date``. :func:`append_to_table` keeps it clustered by
+    sorting what it writes.
     """
     shape = add_filing_columns(source.drop(INDEX_COLUMN)).schema
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shape)
@@ -198,22 +223,48 @@ def create_filings_table(
 
 
 def rewrite_prod(spark: SparkSession, rows: DataFrame, root: str) -> str:
-    """Migrated rows with forced types below ``prod/edgar/v1/date=``."""
+    """Migrated rows with forced types below ``prod/edgar/v1/date=``.
+
+    A migrated document replaces its own older row; all other rows stay.
+    """
     path = _join(root, PROD_FOLDERS[FILINGS])
     typed = cast_stage_types(add_filing_columns(rows), FILING_RECORD)
-    _write(typed, path, "overwrite", replace_folders=True)
+    upsert(spark, typed, path, "document_id")
     return path
 
 
 def write_chunks(chunks: DataFrame, root: str, prefix: str, doc: str = "document_id") -> str:
-    """Chunk parts keyed by their object key."""
+    """Chunk parts keyed by their object key; what was there before is replaced."""
     path = _join(root, prefix.strip("/"))
-    keyed = chunks.select(
+    _keyed_chunks(chunks, prefix, doc).hint("rebalance").write.mode("overwrite").parquet(path)
+    return path
+
+
+def _keyed_chunks(chunks: DataFrame, prefix: str, doc: str) -> DataFrame:
+    return chunks.select(
         doc, "chunk_no", chunk_key(prefix, doc).alias("key"),
         F.col("chunk_text").alias("content"),
     )
-    keyed.hint("rebalance").write.mode("overwrite").parquet(path)
-    return path
+
+
+def append_chunks(
+    spark: SparkSession, chunks: DataFrame, root: str, prefix: str, work: str
+) -> DataFrame:
+    """Add a run's chunk parts to those of earlier runs; returns them as written.
+
+    Parts are computed once, into the work folder. A part that is there already (a run
+    that is done again) is not added twice.
+    """
+    path = _join(root, prefix.strip("/"))
+    keyed = _keyed_chunks(chunks, prefix, "document_id")
+    keyed.write.parquet(work)
+    new = spark.read.schema(keyed.schema).parquet(work)
+    fresh = new
+    if path_exists(spark, path):
+        stored = spark.read.schema("key string").parquet(path)
+        fresh = new.join(stored, "key", "left_anti").select(*new.columns)
+    fresh.hint("rebalance").write.mode("append").parquet(path)
+    return new.select("document_id", "chunk_no", F.col("content").alias("chunk_text"))
 
 
 def _log_value(field: T.StructField) -> Column:
@@ -231,28 +282,46 @@ def read_staged(spark: SparkSession, path: str, family: str) -> DataFrame:
     return spark.read.schema(RECORDS[family]).parquet(path)
 
 
-def load_log_lines(rows: DataFrame, table_id: str) -> DataFrame:
+def loaded_ids(spark: SparkSession, root: str, family: str) -> DataFrame:
+    """Document ids of a family's table; empty where the table does not exist yet."""
+    path = table_path(root, family)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "document_id string")
+    return spark.read.schema("document_id string").parquet(path)
+
+
+def read_prod(spark: SparkSession, root: str, family: str) -> DataFrame:
+    """A family's prod records with every stored column; no rows where there are none."""
+    path = _join(root, PROD_FOLDERS[family])
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], RECORDS[family])
+    return _read_folders(spark, path, spark.createDataFrame([], RECORDS[family]), DATE)
+
+
+def load_log_lines(
+    rows: DataFrame, table_id: str, rows_per_line: int = LOG_ROWS_PER_LINE
+) -> DataFrame:
     """JSON log lines of a load: table, file, row count and the rows.
 
-    A load is one Parquet file. Its rows are logged in runs of
-    ``LOG_ROWS_PER_LINE`` by their stored row number, so a line is bounded
-    however large the file; ``row_count`` is always the whole file's. ``rows``
-    must be a direct Parquet read.
+    A load is one Parquet file. Its rows are logged in lines of at most
+    ``rows_per_line``, by their stored row number, so a line is bounded however large
+    the file. ``row_count`` counts the line's own rows, so counts add up to the load;
+    ``part_no`` numbers a file's lines from 0. ``rows`` must be a direct Parquet read.
     """
     values = [_log_value(f) for f in sorted(rows.schema.fields, key=lambda f: f.name)]
     located = rows.select(
         F.col("_metadata.file_path").alias("source_uri"),
         F.col("_metadata.row_index").alias("_row"),
         F.struct(*values).alias("_value"),
-    ).withColumn("_part", F.floor(F.col("_row") / LOG_ROWS_PER_LINE))
-    lines = located.groupBy("source_uri", "_part").agg(
-        F.count("*").alias("_n"),
+    ).withColumn("part_no", F.floor(F.col("_row") / rows_per_line))
+    lines = located.groupBy("source_uri", "part_no").agg(
+        F.count("*").alias("row_count"),
         F.sort_array(F.collect_list(F.struct("_row", "_value"))).alias("_rows"),
     )
-    total = F.sum("_n").over(Window.partitionBy("source_uri"))
-    return lines.withColumn("row_count", total).select(
+    return lines.select(
         F.to_json(
             F.struct(
+                "part_no",
                 "row_count",
                 F.transform("_rows", lambda r: r["_value"]).alias("rows"),
                 "source_uri",
@@ -263,8 +332,10 @@ def load_log_lines(rows: DataFrame, table_id: str) -> DataFrame:
     )
 
 
-def append_load_log(rows: DataFrame, table_id: str, log_path: str) -> None:
-    load_log_lines(rows, table_id).write.mode("append").text(log_path)
+def append_load_log(
+    rows: DataFrame, table_id: str, log_path: str, rows_per_line: int = LOG_ROWS_PER_LINE
+) -> None:
+    load_log_lines(rows, table_id, rows_per_line).write.mode("append").text(log_path)
 
 
 def promote(spark: SparkSession, root: str, family: str) -> str:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,7 +15,7 @@ CONTEXT = "company_ticker string, year int"
 
 
 def landed_text(
-    spark: SparkSession, path: str, context: str = CONTEXT, whole_file: bool = False
+    spark: SparkSession, path: str | list[str], context: str = CONTEXT, whole_file: bool = False
 ) -> DataFrame:
     """Raw texts with their folder context and exact position.
 
@@ -28,14 +28,15 @@ def landed_text(
 
 
 def text_lines(
-    spark: SparkSession, path: str, context: str = CONTEXT, whole_file: bool = False
+    spark: SparkSession, path: str | list[str], context: str = CONTEXT, whole_file: bool = False
 ) -> DataFrame:
     schema = "value string" + (f", {context}" if context else "")
     reader = spark.read.schema(schema).option("wholetext", whole_file)
     # A folder nobody has landed in yet (no response) is an empty input.
-    if not path_exists(spark, path):
+    found = [p for p in ([path] if isinstance(path, str) else path) if path_exists(spark, p)]
+    if not found:
         return spark.createDataFrame([], schema + ", file string, split_start long")
-    return with_file(reader.format("text").load(path))
+    return with_file(reader.format("text").load(found))
 
 
 def with_file(lines: DataFrame) -> DataFrame:
@@ -54,19 +55,6 @@ def with_positions(lines: DataFrame) -> DataFrame:
     ).drop("file", "split_start")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan with fewer splits than cores over all of them, by key.
-
-    For one-split inputs (a compressed text, a file of one row group) ahead of
-    costly per-row work. A scan that already has enough splits is left alone, so
-    large inputs are never shuffled for this. Must be given a plain scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path or glob has anything behind it, on any Hadoop file system."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -101,12 +89,16 @@ def parse_items(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_articles(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
-    """Landed article discovery responses as items with company context."""
+def read_articles(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
+    """Landed article discovery responses as items with company context.
+
+    A response is a file of its own unless ``whole_file`` is off: then every line is a
+    response or an item, and files of any size are read in parallel.
+    """
     return parse_items(landed_text(spark, path, whole_file=whole_file))
 
 
-def read_filings(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
+def read_filings(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
     """Landed filing discovery responses; the same reader takes the wider item."""
     return parse_items(landed_text(spark, path, whole_file=whole_file))
 
@@ -127,19 +119,23 @@ def read_company_metadata(
 
 
 def read_holdings(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Holdings lines (file_no, line_no, ticker, name) of an ordered list of files."""
-
-    def one(file_no: int, path: str) -> DataFrame:
-        lines = landed_text(spark, path, context="")
-        record = F.from_json("value", "ticker string, name string")
-        return lines.where(F.col("value").rlike(r"\S")).select(
-            F.lit(file_no).alias("file_no"),
-            F.col("line_pos").alias("line_no"),
-            record["ticker"].alias("ticker"),
-            record["name"].alias("name"),
-        )
+    """Holdings lines (file_no, line_no, ticker, name) of an ordered list of files.
 
-    return reduce(DataFrame.unionByName, [one(i, p) for i, p in enumerate(paths)])
+    All files are one read. A file's number is the place of its path in the list, found
+    in the name of the file a line comes from.
+    """
+    lines = landed_text(spark, paths, context="")
+    record = F.from_json("value", "ticker string, name string")
+    names = [F.lit(quote("/" + p.split("://", 1)[-1].strip("/"), safe="/:=+,@!$&'()*;~")) for p in paths]
+    place = F.array_position(
+        F.transform(F.array(*names), lambda name: F.col("line_pos.file").contains(name)), F.lit(True)
+    )
+    return lines.where(F.col("value").rlike(r"\S")).select(
+        (place - 1).cast("int").alias("file_no"),
+        F.col("line_pos").alias("line_no"),
+        record["ticker"].alias("ticker"),
+        record["name"].alias("name"),
+    )
 
 
 def list_objects(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,10 +68,15 @@ def test_route_limit_is_exclusive(spark):
 
 def test_custom_extractor_and_empty_answer(spark):
     df = spark.createDataFrame([(1, "ab"), (2, "c")], "i int, text string")
-    made = extract.extract_features(df, lambda text: (text.upper(), [text], []))
-    assert {r["i"]: r["features"]["summary"] for r in made.collect()} == {1: "AB", 2: "C"}
-    with pytest.raises(Exception, match="empty answer"):
-        extract.extract_features(df, lambda text: None).collect()
+
+    def upper(texts):
+        return pd.DataFrame({"summary": texts.str.upper(), "key_entities": [[t] for t in texts], "topics": [[]] * len(texts)})
+
+    made = extract.extract_features(df, upper)
+    assert {r["i"]: tuple(r["features"]) for r in made.collect()} == {1: ("AB", ["ab"], []), 2: ("C", ["c"], [])}
+    for none in (lambda texts: None, lambda texts: upper(texts).assign(summary=None)):
+        with pytest.raises(Exception, match="empty answer"):
+            extract.extract_features(df, none).collect()
 
 
 def test_placeholder_only_for_rejected_direct_calls(spark):

@@ -1,6 +1,8 @@
 import datetime as dt
 import json
+from dataclasses import replace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,7 +95,18 @@ def test_stage_replaces_and_promote_moves(spark, tmp_path):
     writers.stage_documents(spark, records(spark, ("c", "2026-01-02", "c", late), ("a", "2026-01-03", "a3", late)), root)
     writers.promote(spark, root, "articles")
     rows = spark.read.parquet(prod)
-    assert sorted((r["document_id"], r["title"]) for r in rows.collect()) == [("a", "a3"), ("a", "new"), ("b", "b2"), ("c", "c")]
+    # The article with a new date leaves its old one.
+    assert sorted((r["document_id"], r["title"], str(r["date"])) for r in rows.collect()) == [
+        ("a", "a3", "2026-01-03"), ("b", "b2", "2026-01-02"), ("c", "c", "2026-01-02")
+    ]
+    assert not readers.path_exists(spark, f"{prod}/date=2026-01-01")
+    twice = records(spark, ("d", "2026-01-05", "one", TS), ("d", "2026-01-06", "two", TS), ("e", "2026-01-02", "e", TS))
+    before = {f.name for f in (tmp_path / "prod" / "knowledge" / "documents" / "date=2026-01-02").iterdir()}
+    writers.stage_documents(spark, twice, root)
+    writers.promote(spark, root, "articles")
+    assert titles(spark.read.parquet(prod)) == {"a": "a3", "b": "b2", "c": "c", "d": "two", "e": "e"}
+    # New documents are added to a folder without rewriting it.
+    assert before < {f.name for f in (tmp_path / "prod" / "knowledge" / "documents" / "date=2026-01-02").iterdir()}
     assert prod.endswith("prod/knowledge/documents")
     with pytest.raises(ValueError):
         writers.promote(spark, root, "other")
@@ -108,14 +121,13 @@ def test_append_adds_columns(spark, tmp_path):
     assert not writers.bulk_load(spark, [], path)
 
 
-def test_load_log_lines_are_bounded_and_count_the_file(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(writers, "LOG_ROWS_PER_LINE", 4)
+def test_load_log_lines_are_bounded_and_add_up(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.range(10).coalesce(1).select("id", F.lit(TS).alias("at"), F.lit(dt.date(2024, 12, 31)).alias("d"), F.lit(None).cast("string").alias("n")).write.parquet(path)
-    writers.append_load_log(spark.read.parquet(path), "documents", str(tmp_path / "log"))
+    writers.append_load_log(spark.read.parquet(path), "documents", str(tmp_path / "log"), rows_per_line=4)
     lines = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "log")).collect()]
-    assert {line["row_count"] for line in lines} == {10} and {line["table_id"] for line in lines} == {"documents"}
-    assert sorted(len(line["rows"]) for line in lines) == [2, 4, 4]
+    assert sorted((line["part_no"], line["row_count"], len(line["rows"])) for line in lines) == [(0, 4, 4), (1, 4, 4), (2, 2, 2)]
+    assert {line["table_id"] for line in lines} == {"documents"}
     assert sorted(row["id"] for line in lines for row in line["rows"]) == list(range(10))
     assert list(lines[0]) == sorted(lines[0]) and list(lines[0]["rows"][0]) == ["at", "d", "id", "n"]
     assert lines[0]["rows"][0]["at"] == "2026-01-01T00:00:00.000Z" and lines[0]["rows"][0]["n"] is None
@@ -154,7 +166,7 @@ def job_inputs(spark, root):
     companies = spark.createDataFrame([("aa", "Alcoa", None, "b"), ("bb", "B", None, "b")], "company_ticker string, company_name string, company_id string, base_url string")
     art = [{"title": f"t{i}", "url": f"u{i}", "filepath": f"d/f{i}.html"} for i in range(4)]
     art += [{"title": "dup", "url": "u9", "filepath": "e/f0.html"}, {"title": 3, "url": "x"}, {"title": "big", "url": "big.pdf", "filepath": "d/big.pdf"}]
-    put(root / "articles" / "company_ticker=AA" / "year=2024" / "r.json", json.dumps(art))
+    put(root / "articles" / "company_ticker=aa " / "year=2024" / "r.json", json.dumps(art))
     put(root / "filings" / "company_ticker=BB" / "year=2024" / "r.json", json.dumps([{"title": "10-K", "url": "s.htm", "date": "2024-03-01", "accession_number": "0-1", "form": "10-k"}]))
     contents = [(f"u{i}", f"gs://raw/{i}", 9, f"Text{i} words words", None) for i in range(3)]
     contents += [("s.htm", "gs://raw/s.HTM", 9, "Annual report", None), ("u3", "gs://raw/3", 9, None, "http 503"), ("big.pdf", "gs://raw/big", 99, None, None)]
@@ -178,12 +190,16 @@ def test_whole_ingest_job(spark, tmp_path):
     # f1 is stored, f0 comes twice, u3 fails; u0, u2 and the oversized PDF go through.
     assert (a["discovered"], a["processed"], a["skipped"], a["promoted"]) == (6, 3, 0, 3)
     assert (b["discovered"], b["processed"]) == (1, 1)
-    lazy = {r["company"]: r.asDict() for r in ingest.ingest_companies(inputs, SETTINGS).summary.collect()}
-    assert lazy == summary
+    made = ingest.ingest_companies(inputs, SETTINGS)
+    assert {r["company"]: r.asDict() for r in made.summary.collect()} == summary
+    assert [(r["source_kind"], r["reject_reason"]) for r in made.rejected.collect()] == [("articles", "title")]
     loaded = spark.read.parquet(writers.table_path(root, "articles"))
     big = loaded.where("title = 'big'").head()
     # Three 16-byte pages against a 30-byte target.
     assert big["gemini_chunk_count"] == 3 and big["gemini_chunk_uris"][0].startswith("gs://b/stage/knowledge/gemini_chunks/")
+    parts = {r["key"]: r["content"] for r in spark.read.parquet(f"{root}/{SETTINGS.chunk_prefix}").collect()}
+    assert set(big["gemini_chunk_uris"]) == {f"gs://b/{key}" for key in parts} and set(parts.values()) == {"Page words again"}
+    assert spark.read.parquet(f"{root}/runs/*/rejected").count() == 1
     filing = spark.read.parquet(writers.table_path(root, "edgar")).head()
     assert filing["source_gcs_uri"].startswith("gs://b/source/edgar/BB/2024-03-01/com_bb_2024_") and filing["source_gcs_uri"].endswith(".htm")
     assert filing["filing_type"] == "10-K" and str(filing["date"]) == "2024-03-01"
@@ -191,6 +207,34 @@ def test_whole_ingest_job(spark, tmp_path):
     assert spark.read.parquet(f"{root}/prod/edgar/v1").count() == 1
 
 
+def test_extraction_comes_after_the_gates_and_once(spark, tmp_path):
+    inputs = job_inputs(spark, tmp_path / "land")
+    calls = spark.sparkContext.accumulator(0)
+
+    def extractor(texts):
+        calls.add(len(texts))
+        return pd.DataFrame({"summary": texts, "key_entities": [[]] * len(texts), "topics": [[]] * len(texts)})
+
+    ingest.run_ingest(spark, inputs, SETTINGS, str(tmp_path / "job"), extractor)
+    # u0, u2 and the filing once each, the three chunks of the large file; f1 is stored, u3 failed.
+    assert calls.value == 6
+
+
+def test_sources_and_discovery_errors(spark, tmp_path):
+    inputs = job_inputs(spark, tmp_path / "land")
+    companies = spark.createDataFrame([("aa", "A", None, "b"), ("AA ", "B", None, "b")], "company_ticker string, company_name string, company_id string, base_url string")
+    with pytest.raises(ValueError, match="newsletter"):
+        ingest.build_requests(companies, 2024, 2024, "newsletter")
+    assert ingest.build_requests(companies, 2024, 2024, "Articles").count() == 1
+    errors = "company_ticker string, year int, source_kind string, pos long, error string"
+    part = spark.createDataFrame([("AA", 2024, "edgar", 1, "boom"), ("ZZ", 2024, "edgar", 1, "not asked")], errors)
+    summary = ingest.run_ingest(spark, replace(inputs, errors=part), SETTINGS, str(tmp_path / "job"))
+    assert {r["company"]: r["source_errors"] for r in summary.collect()} == {"AA": "edgar: boom", "BB": None}
+    none = replace(inputs, errors=part, articles=inputs.articles.limit(0), filings=inputs.filings.limit(0))
+    with pytest.raises(RuntimeError, match="failed for AA: edgar: boom"):
+        ingest.run_ingest(spark, none, SETTINGS, str(tmp_path / "other"))
+
+
 def test_an_interrupted_load_is_not_loaded_twice(spark, tmp_path):
     root = str(tmp_path)
     rows = records(spark, ("a", "2026-01-01", "t", TS))

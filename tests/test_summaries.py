@@ -45,10 +45,10 @@ def test_outcomes_routing_and_uris(spark):
 
 
 def test_first_company_per_ticker_in_file_and_line_order(spark):
-    rows = [(1, 1, "X", "late"), (0, 2, "X", "second"), (0, 1, "X", "first"), (0, 3, "-", "cash"), (0, 4, "", "n"), (0, 5, None, "n"), (1, 9, "y", None)]
+    rows = [(1, 1, "X", "late"), (0, 2, "X", "second"), (0, 1, "X", "first"), (0, 3, "-", "cash"), (0, 4, "", "n"), (0, 5, None, "n"), (1, 9, "y", None), (1, 10, " Y ", "later")]
     df = spark.createDataFrame(rows, "file_no int, line_no int, ticker string, name string")
     firsts = bf.first_company_per_ticker(bf.valid_holdings(df))
-    assert {r["ticker"]: r["name"] for r in firsts.collect()} == {"X": "first", "y": ""}
+    assert {r["ticker"]: r["name"] for r in firsts.collect()} == {"X": "first", "Y": ""}
     companies = {r["company_ticker"]: r for r in bf.holdings_to_companies(firsts).collect()}
     assert companies["Y"]["company_id"] == "com_y" and companies["X"]["base_url"].endswith("search?q=first")
     assert "WindowGroupLimit" in firsts._jdf.queryExecution().executedPlan().toString()
