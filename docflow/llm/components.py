@@ -25,6 +25,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return leaves.union(low.select("u", F.col("low").alias("v")))
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every vertex is either a root or has one edge, which leads to a root."""
+    ends = edges.select(F.col("u").alias("id"), "v").union(edges.select("v", F.lit(None).cast("long")))
+    seen = ends.groupBy("id").agg(F.count("v").alias("up"), F.count_if(F.col("v").isNull()).alias("down"))
+    return seen.filter("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every vertex on an edge (u, v); the component is its least vertex.
 
@@ -34,12 +41,9 @@ def components(edges: DataFrame) -> DataFrame:
     joined as a skewed key. Null ends, loops and repeated edges are ignored.
     """
     now = saved(edges.select("u", "v").filter("u <> v").distinct(), "edges")
-    mark = None
     while True:
-        seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark or seen[0] == 0:
-            break
-        mark = tuple(seen)
         now = saved(_small_star(_large_star(now).filter("u <> v")).filter("u <> v").distinct(), "edges")
+        if _all_stars(now):
+            break
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component"))
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots).distinct()

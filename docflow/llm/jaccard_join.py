@@ -9,17 +9,25 @@ pivots alone would overlap fully. The first pivots are therefore single shingles
 order of all shingles, frequent ones last. A document's nearest cells are those of its
 first shingles in this order; two documents that link differ in at most a quarter of
 either, so a document that is copied to its first |x| - ceil(3|x|/4) + 1 cells shares one
-with each that it links to. Cells with the same documents are one region.
-
-Further levels. In a region one document is pivot, and its distance to the region's other
-documents is computed; those within 1/4 link to it. Components of the links are the
-region's new cells. A region within one component is done: more links could not change the
-result. In any other, further pivots (from its smaller cells, twice as many in each round)
-are joined with the documents of other cells. Boundary documents are those within the
-triangle inequality's window, whose distances to the region's first pivot differ by 1/4 at
-most; no other can link. A pivot has then met all it can link to in the region and leaves
-it. The rounds end when all regions are done, so the components are exact; no region is
-joined all against all unless no two of its documents link.
+with each that it links to. Cells with the same documents are one region, named by the
+first of them.
+
+Further levels. In a region one document is pivot and meets the others. Components of the
+links found are the region's new cells. A region within one component is done: more links
+could not change the result. In a region of at most LEAF documents all documents of
+different cells then meet, and it is done too. In any larger one, further pivots (from its
+smaller cells, eight times as many in each round) meet the documents of other cells. A
+pivot has then met all it can link to in the region and leaves it. The rounds end when all
+regions are done, so the components are exact.
+
+Who meets. Documents too unlike in size, or whose shingles after the region's are too few
+to link (the first shingle two documents share names a region they meet in), do not. Of
+each set the shingles are counted in 256 hash buckets; the distance of these counts (the
+sum of absolute differences) is a pseudometric that is never above the symmetric
+difference, and a link allows (|x| + |y|) / 7. Boundary documents are those within the
+triangle inequality's window: their count distances to the region's first pivot differ by
+no more than that. Pairs within it are compared by counts, and only those that are close
+there by their texts.
 
 Equal sets are one document throughout. Sets are compared by 64-bit hashes of shingles.
 """
@@ -36,8 +44,10 @@ from docflow.llm.frames import Batches, documents, saved
 
 SHINGLE = 5
 NEAR, OF = 3, 4  # link when intersection / union >= 3/4
-FREQUENT = 1 << 16  # shingles known as frequent; only the order depends on it
-_SET = "kind int, doc_id long, n_shingles long, set_a long, set_b long"
+FREQUENT = 1 << 18  # shingles known as frequent; only the order depends on it
+BUCKETS = 256
+LEAF = 64
+_SET = "kind int, doc_id long, n_shingles long, set_a long, set_b long, counts binary"
 
 
 def shingle_sets(block: w.Block) -> list[np.ndarray]:
@@ -61,31 +71,41 @@ def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(sets) if sets else np.zeros(0, np.uint64)), size
 
 
+def bucket_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """By (set, bucket): how many shingles of the set are in the bucket, 255 at most."""
+    flat, size = _flat(sets)
+    at = np.repeat(np.arange(len(sets)), size) * BUCKETS + (flat >> np.uint64(56)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=len(sets) * BUCKETS), 255).astype(np.uint8).reshape(-1, BUCKETS)
+
+
 def _first_pass(batches: Batches) -> Batches:
-    """Of each document id, size and two checksums of its set (kind 0); of shingles frequent
-    in a batch the hash and count (kind 1: n_shingles, set_a)."""
+    """Of each document id, size, two checksums and bucket counts of its set (kind 0); of
+    shingles frequent in a batch the count and the hash (kind 1: n_shingles, set_a)."""
+    names = ["kind", "doc_id", "n_shingles", "set_a", "set_b", "counts"]
     for batch in batches:
-        flat, size = _flat(sets_of(batch.column("text")))
+        sets = sets_of(batch.column("text"))
+        flat, size = _flat(sets)
         offs = np.concatenate([[0], np.cumsum(size)])
         mixed = w.mix(flat ^ np.uint64(0x9E3779B97F4A7C15))
         sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)]) for x in (flat, mixed)]
         a, b = (s[offs[1:]] - s[offs[:-1]] for s in sums)
         n = len(size)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.zeros(n, np.int32)), batch.column("doc_id"), pa.array(size), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))],
-            names=["kind", "doc_id", "n_shingles", "set_a", "set_b"],
-        )
+        counts = pa.array([row.tobytes() for row in bucket_counts(sets)], pa.binary())
+        columns = [pa.array(np.zeros(n, np.int32)), batch.column("doc_id"), pa.array(size), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), counts]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
         value, count = np.unique(flat, return_counts=True)
-        some = count >= max(4, n // 500)
+        some = count >= max(4, n // 2000)
         k = int(some.sum())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.array(count[some].astype(np.int64)), pa.array(value[some].view(np.int64)), pa.nulls(k, pa.int64())],
-            names=["kind", "doc_id", "n_shingles", "set_a", "set_b"],
-        )
+        columns = [pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.array(count[some].astype(np.int64)), pa.array(value[some].view(np.int64)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
 
+def _cells(docs: DataFrame, frequent: np.ndarray, level: np.ndarray) -> DataFrame:
+    """(cell, doc_id, place): the documents' first shingles in the order of all, and their places.
 
-def _cells(docs: DataFrame, frequent: np.ndarray, weight: np.ndarray) -> DataFrame:
-    """(cell, doc_id): the documents' first shingles. Of equal sets in a batch the least id is taken."""
+    A cell is a number: the shingle's level of frequency, then its hash, so cells compare
+    as shingles do. Of equal sets in a batch the least id is taken.
+    """
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -98,49 +118,58 @@ def _cells(docs: DataFrame, frequent: np.ndarray, weight: np.ndarray) -> DataFra
                     least[key] = i
             mine = sorted(least.values())
             flat, size = _flat([sets[i] for i in mine])
-            at = np.minimum(np.searchsorted(frequent, flat), max(len(frequent) - 1, 0))
-            heavy = np.where(frequent[at] == flat, weight[at], 0) if len(frequent) else np.zeros(len(flat), np.int64)
+            cell = (flat >> np.uint64(7)).astype(np.int64)
+            if len(frequent):
+                at = np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)
+                cell |= np.where(frequent[at] == flat, level[at], 0) << 57
             owner = np.repeat(np.arange(len(mine)), size)
-            order = np.lexsort((heavy, owner))  # stable: by hash within equal weights
-            begin = np.cumsum(size) - size
+            order = np.lexsort((cell, owner))
             take = size - (NEAR * size + OF - 1) // OF + 1
-            picked = order[w.ragged(begin, take)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[picked].view(np.int64)), pa.array(ids[mine][owner[picked]], pa.int64())], names=["cell", "doc_id"]
-            )
+            picked = order[w.ragged(np.cumsum(size) - size, take)]
+            place = w.ragged(np.zeros(len(mine), np.int64), take)
+            columns = [pa.array(cell[picked]), pa.array(ids[mine][owner[picked]], pa.int64()), pa.array(place, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["cell", "doc_id", "place"])
 
-    return docs.mapInArrow(run, "cell long, doc_id long")
+    return docs.mapInArrow(run, "cell long, doc_id long, place int")
 
 
-def _overlaps(batches: Batches) -> Batches:
-    """(pivot, other, text_p, text_o) -> (pivot, other, common, total): sizes of intersection and union."""
+def _count_distances(batches: Batches) -> Batches:
+    """(..., counts_p, counts_o) -> (..., apart): the distance of the bucket counts."""
     for batch in batches:
-        pivot = np.array(batch.column("pivot"))
-        _, one, which = np.unique(pivot, return_index=True, return_inverse=True)
-        left = sets_of(batch.column("text_p").take(pa.array(one)))
-        right = sets_of(batch.column("text_o"))
-        common = np.array([len(np.intersect1d(left[k], s, assume_unique=True)) for k, s in zip(which.tolist(), right, strict=True)], np.int64)
-        total = np.array([len(left[k]) + len(s) for k, s in zip(which.tolist(), right, strict=True)], np.int64) - common
-        yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("other"), pa.array(common), pa.array(total)], names=["pivot", "other", "common", "total"])
+        left, right = (
+            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for c in ("counts_p", "counts_o")
+        )
+        apart = np.abs(left - right).sum(axis=1, dtype=np.int64)
+        names = [n for n in batch.schema.names if n not in ("counts_p", "counts_o")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(apart)], names=[*names, "apart"])
 
 
-def _measured(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """pairs (pivot, other) with common and total."""
-    other = pairs.join(texts.select(F.col("doc_id").alias("other"), F.col("text").alias("text_o")), "other")
-    both = other.join(texts.select(F.col("doc_id").alias("pivot"), F.col("text").alias("text_p")), "pivot")
-    return both.select("pivot", "other", "text_p", "text_o").mapInArrow(_overlaps, "pivot long, other long, common long, total long")
+def _links(batches: Batches) -> Batches:
+    """(pivot, other, text_p, text_o) -> (u, v) of those that link. A pivot's set is made once a batch."""
+    for batch in batches:
+        _, one, which = np.unique(np.array(batch.column("pivot")), return_index=True, return_inverse=True)
+        left = sets_of(batch.column("text_p").take(pa.array(one)))
+        right = sets_of(batch.column("text_o"))
+        near = []
+        for k, s in zip(which.tolist(), right, strict=True):
+            common = len(np.intersect1d(left[k], s, assume_unique=True))
+            near.append(OF * common >= NEAR * (len(left[k]) + len(s) - common))
+        kept = batch.select(["pivot", "other"]).filter(pa.array(near, pa.bool_()))
+        yield pa.RecordBatch.from_arrays(kept.columns, names=["u", "v"])
 
 
 def _regions(cells: DataFrame, classes: DataFrame) -> DataFrame:
-    """(region, id, n): the different sets of each region of two or more; n is the set's size."""
-    dealt = cells.repartition("cell")
+    """(region, id, n, place): the different sets of each region of two or more; n is the set's size."""
+    # Filters and columns that either reader would ask for stand before the exchange, so it is shared.
+    dealt = cells.filter("cell is not null and doc_id is not null").repartition("cell")
     mark = F.xxhash64("doc_id")
     shared = dealt.groupBy("cell").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("size"), F.bit_xor(mark).alias("mark")
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("place").alias("size"), F.bit_xor(mark).alias("mark")
     )
     one = shared.filter("low < high").groupBy("low", "high", "size", "mark").agg(F.min("cell").alias("cell"))
     inside = dealt.join(one.select("cell"), "cell", "left_semi")
-    return inside.join(classes, "doc_id").select(F.col("cell").alias("region"), F.col("set_id").alias("id"), F.col("n_shingles").alias("n")).distinct()
+    columns = [F.col("cell").alias("region"), F.col("set_id").alias("id"), F.col("n_shingles").alias("n"), "place"]
+    return inside.join(classes, "doc_id").select(*columns).distinct()
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -149,56 +178,104 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = rows.filter(F.col("doc_id").isNotNull())
     first = saved(rows.mapInArrow(_first_pass, _SET), "sets")
-    whole = first.filter("kind = 0")
+    whole = first.filter("kind = 0").drop("counts")
     grouped = whole.filter("n_shingles > 0 and doc_id is not null")
     names = grouped.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("set_id"))
-    sets = whole.join(names, ["n_shingles", "set_a", "set_b"], "left").select("doc_id", "n_shingles", "set_id")
+    own = F.when(F.col("doc_id").isNotNull(), F.col("set_id")).alias("set_id")
+    sets = whole.join(names, ["n_shingles", "set_a", "set_b"], "left").select("doc_id", "n_shingles", own)
     sets = saved(sets, "classes")
     often = first.filter("kind = 1").groupBy("set_a").agg(F.sum("n_shingles").alias("n"))
     table = often.orderBy(F.desc("n"), "set_a").limit(FREQUENT).toArrow()
     value, count = np.array(table.column("set_a")).view(np.uint64), np.array(table.column("n"))
+    level = np.minimum(np.floor(np.log2(np.maximum(count, 1))).astype(np.int64) + 1, 63)
     order = np.argsort(value)
     classes = sets.filter("set_id is not null")
-    regions = saved(_regions(_cells(known, value[order], count[order]), classes), "regions")
-
-    involved = regions.select(F.col("id").alias("doc_id")).distinct()
+    regions = saved(_regions(_cells(known, value[order], level[order]), classes), "regions")
+    counts = first.filter("kind = 0 and doc_id is not null").select("doc_id", "counts")
+    involved = regions.select(F.col("id").alias("doc_id")).distinct().hint("merge")
     texts = saved(known.join(involved, "doc_id", "left_semi"), "texts")
-    return sets, _joined(regions, texts)
+    return sets, _joined(regions, counts, texts)
+
+
+def _met(pairs: DataFrame, counts: DataFrame) -> DataFrame:
+    """(region, pivot, other, apart, near): pairs with the distance of their bucket counts."""
+    left = counts.select(F.col("doc_id").alias("pivot"), F.col("counts").alias("counts_p"))
+    right = counts.select(F.col("doc_id").alias("other"), F.col("counts").alias("counts_o"))
+    rows = pairs.join(left, "pivot").join(right, "other").select("region", "pivot", "other", "n_both", "counts_p", "counts_o")
+    found = rows.mapInArrow(_count_distances, "region long, pivot long, other long, n_both long, apart long")
+    return found.withColumn("near", 7 * F.col("apart") <= F.col("n_both"))
+
 
+def _compared(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(u, v) of the pairs (pivot, other) whose texts link.
 
-def _joined(regions: DataFrame, texts: DataFrame) -> DataFrame:
+    A pivot's text goes to its pairs, and these to the other documents, so that a pivot
+    of many is compared by many tasks.
+    """
+    left = docs.select(F.col("doc_id").alias("pivot"), F.col("text").alias("text_p"))
+    right = docs.select(F.col("doc_id").alias("other"), F.col("text").alias("text_o"))
+    rows = pairs.join(left, "pivot").join(right, "other").select("pivot", "other", "text_p", "text_o")
+    return rows.mapInArrow(_links, "u long, v long")
+
+
+def _meetings(active: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(region, pivot, other, n_both): pivots with the documents of other cells that they can
+    link to; in small regions all documents are pivots."""
+    columns = [F.col(c).alias(f"p_{c}") for c in ("id", "n", "place", "gap", "component")]
+    small = active.filter("small")
+    alone = small.select("region", *columns)
+    n_both = F.col("n") + F.col("p_n")
+    like = (
+        (F.col("component") != F.col("p_component"))
+        & (OF * F.least("n", "p_n") >= NEAR * F.greatest("n", "p_n"))
+        & (7 * F.least(F.col("n") - F.col("place"), F.col("p_n") - F.col("p_place")) >= 3 * n_both)
+        & F.coalesce(7 * F.abs(F.col("gap") - F.col("p_gap")) <= n_both, F.lit(True))
+    )
+    within = small.join(alone, "region").filter(like & (F.col("p_id") < F.col("id")))
+    around = active.filter("not small").join(chosen, "region").filter(like)
+    found = [x.select("region", F.col("p_id").alias("pivot"), F.col("id").alias("other"), n_both.alias("n_both")) for x in (around, within)]
+    return found[0].union(found[1])
+
+
+def _joined(regions: DataFrame, counts: DataFrame, texts: DataFrame) -> DataFrame:
     """Components of all links within regions, by rounds of pivots."""
-    spark = regions.sparkSession
-    found: DataFrame | None = None  # links so far
-    members = regions.withColumn("gap", F.lit(None).cast("double"))  # distance to the region's first pivot
-    comps = spark.createDataFrame([], "id long, component long")
+    comps = None
+    members = regions.withColumn("gap", F.lit(None).cast("long"))  # count distance to the region's first pivot
     pivots = 1
     while True:
-        now = members.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        cells = now.groupBy("region", "component").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("pivot"))
-        whole = cells.groupBy("region").agg(F.count(F.lit(1)).alias("cells"))
-        active = cells.join(whole.filter("cells > 1"), "region")
+        known = members.withColumn("component", F.col("id"))
+        if comps is not None:
+            named = comps.withColumnRenamed("component", "__c")
+            known = members.join(named, "id", "left").withColumn("component", F.coalesce("__c", "id")).drop("__c")
+        cells = known.groupBy("region", "component").agg(F.count(F.lit(1)).alias("size"))
+        whole = cells.groupBy("region").agg(F.count(F.lit(1)).alias("cells"), F.sum("size").alias("all")).filter("cells > 1")
+        small = F.lit(False) if comps is None else F.col("all") <= LEAF
+        active = saved(known.join(whole.withColumn("small", small).drop("all"), "region"), "active")
+        if comps is not None:
+            if active.isEmpty():
+                return comps
+            ids = active.select(F.col("id").alias("doc_id")).distinct()
+            texts = saved(texts.join(ids, "doc_id", "left_semi"), "texts")
         # The smallest cells give pivots; the last, largest cell never needs to while others are left.
-        rank = F.expr("row_number() over (partition by region order by size, pivot)")
-        chosen = active.withColumn("rank", rank).filter((F.col("rank") <= pivots) & (F.col("rank") < F.col("cells")))
-        chosen = chosen.select("region", "pivot", F.col("component").alias("pivot_cell"))
-        mine = members.select("region", F.col("id").alias("pivot"), F.col("n").alias("pivot_n"), F.col("gap").alias("pivot_gap"))
-        chosen = saved(chosen.join(mine, ["region", "pivot"]), "pivots")
-        if chosen.isEmpty():
-            return comps
-        close = (F.col("gap").isNull() | F.col("pivot_gap").isNull()) | (F.abs(F.col("gap") - F.col("pivot_gap")) <= 0.25 + 1e-9)
-        sizes = (OF * F.least("n", "pivot_n") >= NEAR * F.greatest("n", "pivot_n")) & (F.col("component") != F.col("pivot_cell"))
-        pairs = now.join(chosen, "region").filter(sizes & close).select("pivot", F.col("id").alias("other")).distinct()
-        measured = saved(_measured(pairs, texts), "overlaps")
-        new = measured.filter(OF * F.col("common") >= NEAR * F.col("total")).select(F.col("pivot").alias("u"), F.col("other").alias("v"))
-        found = new if found is None else comps.select(F.col("id").alias("u"), F.col("component").alias("v")).union(new)
-        comps = saved(components(found), "components")
-        gone = members.join(chosen.select("region", F.col("pivot").alias("id")), ["region", "id"], "left_anti")
+        large = active.filter("not small").groupBy("region", "cells", "component").agg(
+            F.count(F.lit(1)).alias("size"), F.min_by(F.struct("id", "n", "place", "gap"), F.struct(F.xxhash64("id"), "id")).alias("p")
+        )
+        rank = F.expr("row_number() over (partition by region order by size, p.id)")
+        chosen = large.withColumn("rank", rank).filter(F.col("rank") <= pivots).filter(F.col("rank") < F.col("cells"))
+        fields = [F.col(f"p.{c}").alias(f"p_{c}") for c in ("id", "n", "place", "gap")]
+        chosen = saved(chosen.select("region", F.col("component").alias("p_component"), *fields), "pivots")
+        met = saved(_met(_meetings(active, chosen), counts), "met")
+        new = _compared(met.filter("near").select("pivot", "other").distinct(), texts if comps is not None else texts.hint("merge"))
+        if comps is not None:
+            new = new.union(comps.select(F.col("id").alias("u"), F.col("component").alias("v")))
+        comps = saved(components(new), "components")
+        left = active.filter("not small").join(chosen.select("region", F.col("p_id").alias("id")), ["region", "id"], "left_anti")
+        left = left.select("region", "id", "n", "place", "gap")
         if pivots == 1:
-            gaps = measured.select("pivot", F.col("other").alias("id"), (1 - F.col("common") / F.col("total")).alias("__gap"))
-            gone = gone.join(chosen.select("region", "pivot"), "region").join(gaps, ["pivot", "id"], "left").select("region", "id", "n", F.col("__gap").alias("gap"))
-        members = saved(gone, "members")
-        pivots *= 2
+            gaps = met.select("region", F.col("other").alias("id"), F.col("apart").alias("__gap"))
+            left = left.drop("gap").join(gaps, ["region", "id"], "left").withColumnRenamed("__gap", "gap")
+        members = saved(left, "members")
+        pivots *= 8
 
 
 def joined(docs: DataFrame) -> DataFrame:
