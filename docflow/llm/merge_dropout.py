@@ -17,6 +17,8 @@ import hashlib
 import heapq
 import zlib
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -31,62 +33,26 @@ MODEL = "piece_bpe_32k.model"
 DRAWS = 4
 RATE = 0.1
 SEED = 20
-SHORT = 48  # characters of a unit up to which a list serves as agenda
-_MASK = (1 << 64) - 1
-_NEVER = float("inf")
+SHORT = 48  # characters of a unit up to which units are merged together
+DECODED = 200_000  # ids decoded at a time
+TOGETHER = 2048  # units merged together, which bounds the memory
 
 
-def _skips(key: int, rate: float) -> Callable[[int, int, int], bool]:
-    """Whether the merge of the parts at `place` with these sizes is dropped, under a key."""
-    limit = int(rate * 2.0**64)
+def _mixed(x: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The hash that decides on the merge at `place` of parts with these sizes, under keys x."""
+    n = [np.asarray(v).astype(np.uint64) for v in (place, left, right)]
+    return w.mix(x + n[0] * np.uint64(0x9E3779B97F4A7C15) + n[1] * np.uint64(0xC2B2AE3D27D4EB4F) + n[2] * np.uint64(0x165667B19E3779F9))
 
-    def skip(place: int, left: int, right: int) -> bool:
-        x = (key + place * 0x9E3779B97F4A7C15 + left * 0xC2B2AE3D27D4EB4F + right * 0x165667B19E3779F9) & _MASK
-        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _MASK
-        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _MASK
-        return (x ^ (x >> 31)) < limit
 
-    return skip
+def skips(key: int, rate: float) -> Callable[[int, int, int], bool]:
+    """Whether the merge of the parts at `place` with these sizes is dropped, under a key."""
+    keys, limit = np.array([key], np.uint64), np.uint64(int(rate * 2.0**64))
+    return lambda place, left, right: bool(_mixed(keys, np.array([place]), np.array([left]), np.array([right]))[0] < limit)
 
 
 def merge(unit: str, words: Vocabulary, skip: Callable[[int, int, int], bool] | None = None) -> list[int]:
-    """Ids of one unit whose spaces are written as SIGN."""
-    parts = _merge_short(unit, words.pieces, skip) if len(unit) <= SHORT else _merge_long(unit, words.pieces, skip)
-    out: list[int] = []
-    for part in parts:
-        found = words.pieces.get(part)
-        out.extend([found[0]] if found is not None else [words.byte_ids[x] for x in part.encode()])
-    return out
-
-
-def _merge_short(unit: str, pieces: dict, skip) -> list[str]:
-    """The agenda as a list of scores beside the parts: the least cost, the leftmost of equals, is next."""
-    parts, places = list(unit), list(range(len(unit)))
-
-    def cost(i: int) -> float:
-        found = pieces.get(parts[i] + parts[i + 1])
-        if found is None or (skip is not None and skip(places[i], len(parts[i]), len(parts[i + 1]))):
-            return _NEVER
-        return -found[1]
-
-    agenda = [cost(i) for i in range(len(parts) - 1)]
-    while agenda:
-        least = min(agenda)
-        if least == _NEVER:
-            break
-        i = agenda.index(least)
-        parts[i] += parts.pop(i + 1)
-        del places[i + 1], agenda[i]
-        if i > 0:
-            agenda[i - 1] = cost(i - 1)
-        if i < len(agenda):
-            agenda[i] = cost(i)
-    return parts
-
-
-def _merge_long(unit: str, pieces: dict, skip) -> list[str]:
-    """The agenda as a heap, for units of any length."""
-    n = len(unit)
+    """Ids of one unit of any length whose spaces are written as SIGN: the agenda is a heap."""
+    pieces, n = words.pieces, len(unit)
     size, before, after = [1] * n, list(range(-1, n - 1)), list(range(1, n + 1))
     agenda: list[tuple[float, int, int, int]] = []
 
@@ -111,26 +77,144 @@ def _merge_long(unit: str, pieces: dict, skip) -> list[str]:
         if before[a] >= 0:
             propose(before[a])
         propose(a)
-    out, a = [], 0
+    out: list[int] = []
+    a = 0
     while a < n:
-        out.append(unit[a : a + size[a]])
+        part = unit[a : a + size[a]]
+        found = pieces.get(part)
+        out.extend([found[0]] if found is not None else [words.byte_ids[x] for x in part.encode()])
         a = after[a]
     return out
 
 
-def encode_unit(raw: bytes, words: Vocabulary, rate: float, key: int) -> list[int]:
-    """Ids of a unit's bytes. A U+2581 of the text is a part of its own that merges with nothing."""
-    skip = _skips(key, rate) if rate > 0 else None
-    text = raw.decode("utf-8", "replace")
-    if SIGN not in text:
-        return merge(text.replace(" ", SIGN), words, skip)
-    out: list[int] = []
-    for i, part in enumerate(text.split(SIGN)):
-        if i:
-            out.extend(words.byte_ids[x] for x in SIGN.encode())
-        if part:
-            out.extend(merge(part.replace(" ", SIGN), words, skip))
-    return out
+@dataclass(frozen=True)
+class Pairs:
+    """Parts as numbers: pieces by id, then characters that only occur within pieces, then
+    `other` for any other character. Pairs of parts that make a piece: key, piece, cost."""
+
+    width: int
+    other: int
+    character: np.ndarray
+    key: np.ndarray
+    piece: np.ndarray
+    cost: np.ndarray
+
+
+@cache
+def pairs_of(path: str) -> Pairs:
+    words = vocabulary(path)
+    number = {piece: i for piece, (i, _) in words.pieces.items()}
+    width = len(words.texts)
+    for c in sorted({c for piece in words.pieces for c in piece}):
+        if c not in number:
+            number[c] = width
+            width += 1
+    other, width = width, width + 1
+    character = np.full(0x110000, other, np.int64)
+    for part, i in number.items():
+        if len(part) == 1:
+            character[ord(part)] = i
+    rows = []
+    for piece, (i, score) in words.pieces.items():
+        for cut in range(1, len(piece)):
+            left, right = number.get(piece[:cut]), number.get(piece[cut:])
+            if left is not None and right is not None:
+                rows.append((left * width + right, i, -score))
+    rows.sort()
+    key, piece, cost = zip(*rows, strict=True)
+    return Pairs(width, other, character, np.array(key, np.int64), np.array(piece, np.int64), np.array(cost))
+
+
+def merge_together(codes: np.ndarray, sizes: np.ndarray, pairs: Pairs, keys: np.ndarray, rate: float) -> tuple[np.ndarray, ...]:
+    """Merge units of at most SHORT characters, a row each, one merge of each row at a time.
+
+    codes: code points by (unit, place), any value past a unit's size. Returns the parts
+    by (unit, place), how many each unit has, and the characters in each part.
+    """
+    n, width = codes.shape
+    places = np.arange(width)
+    part = np.where(places < sizes[:, None], pairs.character[codes], pairs.other)
+    chars = np.ones((n, width), np.int64)
+    start = np.broadcast_to(places, (n, width)).copy()
+    count = sizes.copy()
+    limit = np.uint64(int(rate * 2.0**64))
+
+    def evaluate(row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cost, piece) of the pairs that begin at these places; no cost: not a candidate."""
+        key = part[row, at] * pairs.width + part[row, at + 1]
+        found = np.minimum(np.searchsorted(pairs.key, key), len(pairs.key) - 1)
+        good = (pairs.key[found] == key) & (at + 1 < count[row])
+        if rate > 0:
+            some = np.flatnonzero(good)
+            r, a = row[some], at[some]
+            good[some] = _mixed(keys[r], start[r, a], chars[r, a], chars[r, a + 1]) >= limit
+        return np.where(good, pairs.cost[found], np.inf), pairs.piece[found]
+
+    row, at = np.divmod(np.arange(n * (width - 1)), width - 1)
+    cost, made = (x.reshape(n, width - 1) for x in evaluate(row, at))
+    alive = np.arange(n)
+    while len(alive):
+        at = cost[alive].argmin(axis=1)  # of equal costs the leftmost
+        going = cost[alive, at] < np.inf
+        alive, at = alive[going], at[going]
+        if not len(alive):
+            break
+        part[alive, at] = made[alive, at]
+        chars[alive, at] += chars[alive, at + 1]
+        later = np.minimum(places + (places > at[:, None]), width - 1)
+        for x in (part, chars, start):
+            x[alive] = np.take_along_axis(x[alive], later, axis=1)
+        later = np.minimum(places[:-1] + (places[:-1] > at[:, None]), width - 2)
+        for x in (cost, made):
+            x[alive] = np.take_along_axis(x[alive], later, axis=1)
+        count[alive] -= 1
+        cost[alive, width - 2] = np.inf
+        inner = at <= width - 2
+        for row, place in ((alive[at > 0], at[at > 0] - 1), (alive[inner], at[inner])):
+            cost[row, place], made[row, place] = evaluate(row, place)
+    return part, count, chars
+
+
+def encode_units(found: list[bytes], path: str, rate: float, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all units in a row, how many each has). A U+2581 of the text is a part of its own
+    that merges with nothing."""
+    words, pairs = vocabulary(path), pairs_of(path)
+    texts = [raw.decode("utf-8", "replace") for raw in found]
+    out: list[list[int] | None] = [None] * len(texts)
+    size = np.array([len(t) for t in texts], np.int64)
+    for i, t in enumerate(texts):
+        if len(t) > SHORT or SIGN in t:
+            skip = skips(int(keys[i]), rate) if rate > 0 else None
+            ids: list[int] = []
+            for k, part in enumerate(t.split(SIGN)):
+                ids += [words.byte_ids[x] for x in SIGN.encode()] if k else []
+                ids += merge(part.replace(" ", SIGN), words, skip) if part else []
+            out[i] = ids
+    waiting = np.array([ids is None for ids in out], bool)
+    groups, low = [], 1
+    for high in (8, 12, 16, 24, SHORT):
+        rows = np.flatnonzero(waiting & (size >= low) & (size <= high))
+        groups += [(high, rows[k : k + TOGETHER]) for k in range(0, len(rows), TOGETHER)]
+        low = high + 1
+    known = len(words.texts)
+    for high, rows in groups:
+        joined = "".join(texts[i].replace(" ", SIGN) for i in rows.tolist())
+        flat = np.frombuffer(joined.encode("utf-32-le"), "<u4").astype(np.int64)
+        codes = np.zeros((len(rows), high), np.int64)
+        places = np.arange(high)
+        codes[places < size[rows][:, None]] = flat
+        part, count, chars = merge_together(codes, size[rows], pairs, keys[rows], rate)
+        plain = part[places < count[:, None]].tolist()
+        at = 0
+        for k, (i, n) in enumerate(zip(rows.tolist(), count.tolist(), strict=True)):
+            ids, at = plain[at : at + n], at + n
+            if max(ids) >= known:  # characters that are no piece, a part each
+                own, ends = texts[i].replace(" ", SIGN), np.cumsum(chars[k, :n]).tolist()
+                cuts = zip(ids, [0, *ends[:-1]], ends, strict=True)
+                ids = [y for x, a, b in cuts for y in ([x] if x < known else [words.byte_ids[z] for z in own[a:b].encode()])]
+            out[i] = ids
+    lens = np.array([len(x) for x in out], np.int64)
+    return np.fromiter((i for x in out for i in x), np.int32, int(lens.sum())), lens
 
 
 def encode(
@@ -148,14 +232,11 @@ def encode(
     memo: list[w.Memo] = []
 
     def make(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        words = vocabulary(path)
         buf = np.frombuffer(b"".join(found), np.uint8)
         ends = np.cumsum([len(x) for x in found], dtype=np.int64)
         starts = np.append(np.zeros(1, np.int64), ends[:-1])[: len(found)]
-        keys = w.mix(w.hash_segments(buf, starts, ends) ^ np.uint64(seed % (1 << 64))).tolist()
-        ids = [encode_unit(b" " + x[1:], words, rate, k) for x, k in zip(found, keys, strict=True)]
-        flat = np.fromiter((i for x in ids for i in x), np.int32)
-        return flat, np.array([len(x) for x in ids], np.int64)
+        keys = w.mix(w.hash_segments(buf, starts, ends) ^ np.uint64(seed % (1 << 64)))
+        return encode_units([b" " + x[1:] for x in found], path, rate, keys)
 
     def rows(batch: pa.RecordBatch) -> list:
         if not memo:
@@ -175,17 +256,22 @@ def encode(
 
 
 def decode_ids(ids: np.ndarray, lens: np.ndarray, words: Vocabulary) -> list[bytes]:
-    """The texts that ids, `lens` of them for each text, stand for."""
+    """The texts that ids, `lens` of them for each text, stand for; some texts at a time."""
     sizes = np.array([len(x) for x in words.texts], np.int64)
-    starts = np.cumsum(sizes) - sizes
+    begin = np.cumsum(sizes) - sizes
     table = np.frombuffer(b"".join(words.texts), np.uint8)
-    each = sizes[ids]
-    raw = table[w.ragged(starts[ids], each)].tobytes()
-    ends = np.cumsum(w.per_text(each, np.concatenate([[0], np.cumsum(lens)]))).tolist()
-    out, at = [], 0
-    for end in ends:
-        out.append(raw[at + 1 : end] if end > at else b"")  # without the space in front
-        at = end
+    offs = np.concatenate([[0], np.cumsum(lens)]).astype(np.int64)
+    out: list[bytes] = []
+    first = 0
+    while first < len(lens):
+        last = max(first + 1, int(np.searchsorted(offs, offs[first] + DECODED, side="right")) - 1)
+        part = ids[offs[first] : offs[last]]
+        each = sizes[part]
+        raw = table[w.ragged(begin[part], each)].tobytes()
+        ends = np.cumsum(w.per_text(each, offs[first : last + 1] - offs[first])).tolist()
+        # without the space in front
+        out += [raw[a + 1 : b] if b > a else b"" for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        first = last
     return out
 
 
@@ -212,7 +298,7 @@ def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
         flat = np.array(lists.flatten()).astype("<u4")
         raw, ends = flat.tobytes(), (4 * np.cumsum(lens)).tolist()
         crcs = [zlib.crc32(raw[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-        shas = [hashlib.sha256(t).hexdigest() for t in decode_ids(flat.astype(np.int64), lens, vocabulary(path))]
+        shas = [hashlib.sha256(t).hexdigest() for t in decode_ids(flat, lens, vocabulary(path))]
         return [pa.array(lens, pa.int64()), pa.array(crcs, pa.int64()), pa.array(shas, pa.string())]
 
     fields = [("n_tokens", "long"), ("ids_crc32", "long"), ("decoded_sha256", "string")]
