@@ -10,8 +10,10 @@ sketch has at most BUCKETS buckets, whatever the group's size; its quantiles are
 
 A threshold is an upper fence: the upper quartile plus `FENCE` times the distance between
 median and upper quartile, at least the rule's allowance. Clean groups thus lose nothing
-by quota. A group whose own quartiles are spoiled is held by the ceiling: the same fence
-over all documents, times `LEEWAY`.
+by quota. A group whose own quartiles are spoiled is held by the ceiling: `LEEWAY` times
+the median of the groups' fences. In this median a group weighs as many documents as it
+has, but never more than all others together, so no group of any size sets the ceiling
+above what the others' fences reach.
 """
 
 from __future__ import annotations
@@ -74,7 +76,7 @@ def sketches(counted: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, rule, fence) from the quartiles of each sketch."""
+    """(keys, rule, fence, n) from the quartiles of each sketch; n is its documents."""
     over = ", ".join(f"`{k}`" for k in [*keys, "rule"])
     run = sketch.select(
         "*",
@@ -82,18 +84,32 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
         F.expr(f"sum(n) over (partition by {over})").alias("__all"),
     )
     at = {q: F.min(F.when(F.col("__upto") >= F.col("__all") * q, F.col("bucket"))) for q in (0.5, 0.75)}
-    out = run.groupBy(*keys, "rule").agg(at[0.5].alias("__mid"), at[0.75].alias("__high"))
+    out = run.groupBy(*keys, "rule").agg(at[0.5].alias("__mid"), at[0.75].alias("__high"), F.max("__all").alias("n"))
     mid, high = F.expr(bucket_value("__mid")), F.expr(bucket_value("__high"))
-    return out.select(*keys, "rule", (high + FENCE * (high - mid)).alias("fence"))
+    return out.select(*keys, "rule", (high + FENCE * (high - mid)).alias("fence"), "n")
+
+
+def ceilings(own: DataFrame, sketch: DataFrame) -> DataFrame:
+    """(rule, __ceiling): the lower median of the groups' fences, each group weighing its
+    documents, at most as many as all others have."""
+    total = sketch.groupBy("rule").agg(F.sum("n").alias("__total"))
+    weight = F.least(F.col("n"), F.col("__total") - F.col("n"))
+    some = own.join(total, "rule").groupBy("rule", "fence").agg(F.sum(weight).alias("weight"))
+    run = some.select(
+        "rule",
+        "fence",
+        F.expr("sum(weight) over (partition by rule order by fence)").alias("__upto"),
+        F.expr("sum(weight) over (partition by rule)").alias("__all"),
+    )
+    return run.filter("2 * __upto >= __all").groupBy("rule").agg(F.min("fence").alias("__ceiling"))
 
 
 def thresholds(counted: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, one column per rule): the thresholds of each group."""
     fine = sketches(counted, keys)
-    whole = fine.groupBy("rule", "bucket").agg(F.sum("n").alias("n"))
-    ceiling = fences(whole, []).withColumnRenamed("fence", "__ceiling")
+    own = fences(fine, keys)
     least = F.create_map(*[F.lit(x) for name, (_, low) in RULES.items() for x in (name, low)])
-    both = fences(fine, keys).join(ceiling, "rule")
+    both = own.join(ceilings(own, fine), "rule")
     low = least[F.col("rule")]
     limit = F.greatest(low, F.least(F.col("fence"), LEEWAY * F.greatest(low, F.col("__ceiling"))))
     picked = [F.max(F.when(F.col("rule") == name, limit)).alias(f"max_{name}") for name in RULES]

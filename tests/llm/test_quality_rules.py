@@ -25,6 +25,23 @@ def test_thresholds_follow_the_group(spark):
     assert all(got[i] for i in range(40))
 
 
+def test_a_junk_source_of_a_third_of_all_rows_is_held(spark):
+    clean = " ".join(f"w{i}" for i in range(80))
+    junk = lambda k: " ".join(f"w{i}|" + "|" * (i < k % 37) for i in range(70))  # a share of 0.26 to 0.35
+    for hot in (60, 13):  # a third of all rows, and a tenth
+        rows = [(i, clean + f" n{i}", "en", f"s{i % 10}", 1) for i in range(120)]
+        rows += [(1000 + i, junk(i), "en", "hot", 1) for i in range(hot)]
+        judged = q.judge(q.text_counts(plain.frame(spark, rows)), ["lang", "source"]).collect()
+        assert not any(r["base_failed"] for r in judged)
+        assert {r["doc_id"] for r in judged if r["kept"]} == set(range(120))
+    # in two languages, and as more than half of all rows
+    for langs, n in ((["en", "fr"], 60), (["en"], 300)):
+        rows = [(i, clean + f" n{i}", "en", f"s{i % 10}", 1) for i in range(120)]
+        rows += [(1000 + i, junk(i), langs[i % len(langs)], "hot", 1) for i in range(n)]
+        judged = q.judge(q.text_counts(plain.frame(spark, rows)), ["lang", "source"]).collect()
+        assert {r["doc_id"] for r in judged if r["kept"]} == set(range(120))
+
+
 def test_sketches_merge_and_are_accurate(spark):
     rows = [(i, " ".join(["abc" * (1 + i % 5)] * 60), "en", f"s{i % 3}", 1) for i in range(60)]
     counted = q.text_counts(plain.frame(spark, rows)).cache()
