@@ -2,10 +2,15 @@
 
 Encoding keeps an agenda of candidate merges (neighbouring parts whose joint text is a
 piece), the best score first, the leftmost of equal ones. A candidate taken from the agenda
-is skipped when a hash of (seed, draw, unit, place, sizes) falls below the dropout rate; so
-a text is segmented in another way for another seed or draw, always with pieces of the
-vocabulary, and the same way on every run, machine and retry. Rate 0 gives the tokenizer's
-own ids. A document's draw is one of DRAWS, by hash of seed and document id.
+is skipped when a hash of (seed, document id, unit, its place in the document, place in
+the unit, sizes) falls below the dropout rate; so every occurrence of a word is segmented on
+its own, always with pieces of the vocabulary, and the same way on every run, machine and
+retry. Rate 0 gives the tokenizer's own ids.
+
+Workers remember only what no hash decides: the merges of a unit when none, or a given one
+or two, of them are banned. An occurrence whose hashes skip none of these merges has that
+result; one that skips some is looked up with the first of them banned too, and after
+LEVELS bans it is merged by itself.
 
 Decoding joins the pieces' bytes. A U+2581 in a text itself is written as bytes, so that
 every text comes back as it was.
@@ -30,12 +35,17 @@ from docflow.llm.frames import documents, widened
 from docflow.llm.pieces import SIGN, Vocabulary, units, vocabulary
 
 MODEL = "piece_bpe_32k.model"
-DRAWS = 4
+DRAWS = 1 << 64  # keys that the occurrences of a unit can have under one seed: all there are
 RATE = 0.1
 SEED = 20
 SHORT = 48  # characters of a unit up to which units are merged together
 DECODED = 200_000  # ids decoded at a time
 TOGETHER = 2048  # units merged together, which bounds the memory
+AT_ONCE = 1 << 17  # units looked up at a time
+LEVELS = 2  # banned merges up to which results are remembered
+REMEMBERED = 300_000  # results remembered by number of banned merges
+MERGE = 1 << 60  # marks a merge among ids: place, left size << 16, right size << 32
+ALONE = 1 << 59  # in place of ids and merges: a unit that is always merged by itself
 
 
 def _mixed(x: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -45,9 +55,30 @@ def _mixed(x: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray
 
 
 def skips(key: int, rate: float) -> Callable[[int, int, int], bool]:
-    """Whether the merge of the parts at `place` with these sizes is dropped, under a key."""
-    keys, limit = np.array([key], np.uint64), np.uint64(int(rate * 2.0**64))
-    return lambda place, left, right: bool(_mixed(keys, np.array([place]), np.array([left]), np.array([right]))[0] < limit)
+    """Whether the merge of the parts at `place` with these sizes is dropped, under a key; as _mixed."""
+    limit, bits = int(rate * 2.0**64), (1 << 64) - 1
+
+    def skip(place: int, left: int, right: int) -> bool:
+        x = (key + place * 0x9E3779B97F4A7C15 + left * 0xC2B2AE3D27D4EB4F + right * 0x165667B19E3779F9) & bits
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & bits
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & bits
+        return (x ^ (x >> 31)) < limit
+
+    return skip
+
+
+Drop = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+
+
+def hashed(keys: np.ndarray, rate: float) -> Drop:
+    """(row, place, left, right) -> which merges are dropped under the rows' keys."""
+    limit = np.uint64(int(rate * 2.0**64))
+    return lambda row, place, left, right: _mixed(keys[row], place, left, right) < limit
+
+
+def banned(bans: np.ndarray) -> Drop:
+    """(row, place, left, right) -> which merges are among the row's bans."""
+    return lambda row, place, left, right: (bans[row] == (MERGE | place | left << 16 | right << 32)[:, None]).any(axis=1)
 
 
 def merge(unit: str, words: Vocabulary, skip: Callable[[int, int, int], bool] | None = None) -> list[int]:
@@ -125,11 +156,14 @@ def pairs_of(path: str) -> Pairs:
     return Pairs(width, other, character, np.array(key, np.int64), np.array(piece, np.int64), np.array(cost))
 
 
-def merge_together(codes: np.ndarray, sizes: np.ndarray, pairs: Pairs, keys: np.ndarray, rate: float) -> tuple[np.ndarray, ...]:
+def merge_together(
+    codes: np.ndarray, sizes: np.ndarray, pairs: Pairs, drop: Drop | None = None, log: list | None = None
+) -> tuple[np.ndarray, ...]:
     """Merge units of at most SHORT characters, a row each, one merge of each row at a time.
 
-    codes: code points by (unit, place), any value past a unit's size. Returns the parts
-    by (unit, place), how many each unit has, and the characters in each part.
+    codes: code points by (unit, place), any value past a unit's size. log: gets the merges
+    made as (rows, merges). Returns the parts by (unit, place), how many each unit has, and
+    the characters in each part.
     """
     n, width = codes.shape
     places = np.arange(width)
@@ -137,17 +171,16 @@ def merge_together(codes: np.ndarray, sizes: np.ndarray, pairs: Pairs, keys: np.
     chars = np.ones((n, width), np.int64)
     start = np.broadcast_to(places, (n, width)).copy()
     count = sizes.copy()
-    limit = np.uint64(int(rate * 2.0**64))
 
     def evaluate(row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(cost, piece) of the pairs that begin at these places; no cost: not a candidate."""
         key = part[row, at] * pairs.width + part[row, at + 1]
         found = np.minimum(np.searchsorted(pairs.key, key), len(pairs.key) - 1)
         good = (pairs.key[found] == key) & (at + 1 < count[row])
-        if rate > 0:
+        if drop is not None:
             some = np.flatnonzero(good)
             r, a = row[some], at[some]
-            good[some] = _mixed(keys[r], start[r, a], chars[r, a], chars[r, a + 1]) >= limit
+            good[some] = ~drop(r, start[r, a], chars[r, a], chars[r, a + 1])
         return np.where(good, pairs.cost[found], np.inf), pairs.piece[found]
 
     row, at = np.divmod(np.arange(n * (width - 1)), width - 1)
@@ -159,6 +192,8 @@ def merge_together(codes: np.ndarray, sizes: np.ndarray, pairs: Pairs, keys: np.
         alive, at = alive[going], at[going]
         if not len(alive):
             break
+        if log is not None:
+            log.append((alive, MERGE | start[alive, at] | chars[alive, at] << 16 | chars[alive, at + 1] << 32))
         part[alive, at] = made[alive, at]
         chars[alive, at] += chars[alive, at + 1]
         later = np.minimum(places + (places > at[:, None]), width - 1)
@@ -175,9 +210,15 @@ def merge_together(codes: np.ndarray, sizes: np.ndarray, pairs: Pairs, keys: np.
     return part, count, chars
 
 
-def encode_units(found: list[bytes], path: str, rate: float, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def encode_units(
+    found: list[bytes], path: str, rate: float, keys: np.ndarray, bans: np.ndarray | None = None, log: list | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all units in a row, how many each has). A U+2581 of the text is a part of its own
-    that merges with nothing."""
+    that merges with nothing.
+
+    bans: merges by (unit, any) that are not made; log: gets the merges made, as (units,
+    merges); both for units that are not ALONE.
+    """
     words, pairs = vocabulary(path), pairs_of(path)
     texts = [raw.decode("utf-8", "replace") for raw in found]
     out: list[list[int] | None] = [None] * len(texts)
@@ -203,7 +244,11 @@ def encode_units(found: list[bytes], path: str, rate: float, keys: np.ndarray) -
         codes = np.zeros((len(rows), high), np.int64)
         places = np.arange(high)
         codes[places < size[rows][:, None]] = flat
-        part, count, chars = merge_together(codes, size[rows], pairs, keys[rows], rate)
+        drop = banned(bans[rows]) if bans is not None else hashed(keys[rows], rate) if rate > 0 else None
+        made: list | None = [] if log is not None else None
+        part, count, chars = merge_together(codes, size[rows], pairs, drop, made)
+        if log is not None:
+            log += [(rows[r], merges) for r, merges in made]
         plain = part[places < count[:, None]].tolist()
         at = 0
         for k, (i, n) in enumerate(zip(rows.tolist(), count.tolist(), strict=True)):
@@ -217,35 +262,111 @@ def encode_units(found: list[bytes], path: str, rate: float, keys: np.ndarray) -
     return np.fromiter((i for x in out for i in x), np.int32, int(lens.sum())), lens
 
 
+def remembered(found: list[bytes], path: str, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """What a memo holds of units that end in `level` banned merges of 8 bytes: (the ids and then
+    the merges made, in order, of all units in a row, how many each has)."""
+    n = len(found)
+    bans = np.frombuffer(b"".join(x[len(x) - 8 * level :] for x in found), "<i8").reshape(n, level)
+    plain = [x[: len(x) - 8 * level] for x in found]
+    texts = [x.decode("utf-8", "replace") for x in plain]
+    alone = np.array([len(t) > SHORT or SIGN in t for t in texts], bool)
+    some = np.flatnonzero(~alone)
+    log: list[tuple[np.ndarray, np.ndarray]] = []
+    ids, lens = encode_units([plain[i] for i in some.tolist()], path, 0.0, np.zeros(0, np.uint64), bans[some] if level else None, log)
+    owner = np.concatenate([np.flatnonzero(alone), np.repeat(some, lens), *(some[r] for r, _ in log)])
+    values = np.concatenate([np.full(int(alone.sum()), ALONE, np.int64), ids.astype(np.int64), *(x for _, x in log)])
+    return values[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=n)
+
+
+def with_bans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, bans: np.ndarray) -> tuple[np.ndarray, w.Words]:
+    """The segments, each followed by its banned merges, as words."""
+    size, more = ends - starts, 8 * bans.shape[1]
+    total = size + more
+    at = np.cumsum(total) - total
+    out = np.empty(int(total.sum()), np.uint8)
+    out[w.ragged(at, size)] = buf[w.ragged(starts, size)]
+    out[(at + size)[:, None] + np.arange(more)] = np.ascontiguousarray(bans, "<i8").view(np.uint8).reshape(len(at), more)
+    none = np.zeros(0, np.int64)
+    return out, w.Words(at, at + total, none, none, w.hash_segments(out, at, at + total))
+
+
+class Occurrences:
+    """Ids of units that each have a key of their own. Memos save time and decide nothing."""
+
+    def __init__(self, path: str, rate: float):
+        self.path, self.rate = path, rate
+        makes = [lambda found, k=k: remembered(found, path, k) for k in range(LEVELS + 1)]
+        self.memos = [w.Memo(make, REMEMBERED) for make in makes]
+
+    def __call__(self, buf: np.ndarray, found: w.Words, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units in a row, how many each has)."""
+        parts = []
+        for k in range(0, len(keys), AT_ONCE):
+            a, b = found.starts[k : k + AT_ONCE], found.ends[k : k + AT_ONCE]
+            parts.append(self._some(buf, w.Words(a, b, found.counts, found.offs, found.hashes[k : k + AT_ONCE]), keys[k : k + AT_ONCE]))
+        ids, lens = zip(*parts, strict=True) if parts else ([np.zeros(0, np.int32)], [np.zeros(0, np.int64)])
+        return np.concatenate(ids), np.concatenate(lens)
+
+    def _some(self, buf: np.ndarray, found: w.Words, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        drop = hashed(keys, self.rate)
+        which, alone, bans = np.arange(len(keys)), [], np.zeros((len(keys), 0), np.int64)
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # units, ids, how many each has
+        raw, at = buf, found
+        for level, memo in enumerate(self.memos):
+            if level:
+                raw, at = with_bans(buf, found.starts[which], found.ends[which], bans)
+            values, lens = memo(raw, at)
+            owner = np.repeat(np.arange(len(which)), lens)
+            again = np.zeros(len(which), bool)
+            again[owner[values == ALONE]] = True
+            alone.append(which[again])
+            merges = np.flatnonzero(values >= MERGE)
+            x, row = values[merges], which[owner[merges]]
+            out = merges[drop(row, x & 0xFFFF, x >> 16 & 0xFFFF, x >> 32 & 0xFFFF)]
+            other, first = np.unique(owner[out], return_index=True)
+            again[other] = True
+            mine = (values < ALONE) & ~again[owner]
+            done.append((which[~again], values[mine].astype(np.int32), np.bincount(owner[mine], minlength=len(which))[~again]))
+            bans = np.concatenate([bans[other], values[out[first]][:, None]], axis=1)
+            which = which[other]
+            if not len(which):
+                break
+        rest = np.concatenate([*alone, which])
+        texts = w.strings(buf, found.starts[rest], found.ends[rest])
+        done.append((rest, *encode_units(texts, self.path, self.rate, keys[rest])))
+        unit, ids, lens = (np.concatenate(x) for x in zip(*done, strict=True))
+        order, starts = np.argsort(unit), np.cumsum(lens) - lens
+        return ids[w.ragged(starts[order], lens[order])], lens[order]
+
+
 def encode(
     docs: DataFrame, path: str, rate: float = RATE, seed: int = SEED, draws: int = DRAWS, key: str = "doc_id",
     text: str = "text", column: str = "ids", without: tuple[str, ...] = (),
 ) -> DataFrame:
     """docs with the ids of each text; null and empty texts have none.
 
-    draws: 1 to 100 segmentations that units can have under one seed. Repeated rows are
-    encoded alike; a null key counts as a key. Rows pass in place.
+    draws: how many keys the occurrences of a unit can have under one seed; by default each
+    has its own. Repeated rows are encoded alike; a null key counts as a key. Rows pass in
+    place.
     """
-    if not 0 <= rate < 1 or not 1 <= draws <= 100:
-        raise ValueError("rate is 0 or more and below 1, draws 1 to 100")
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(draws)).cast("int")
-    memo: list[w.Memo] = []
-
-    def make(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        buf = np.frombuffer(b"".join(found), np.uint8)
-        ends = np.cumsum([len(x) for x in found], dtype=np.int64)
-        starts = np.append(np.zeros(1, np.int64), ends[:-1])[: len(found)]
-        keys = w.mix(w.hash_segments(buf, starts, ends) ^ np.uint64(seed % (1 << 64)))
-        return encode_units([b" " + x[1:] for x in found], path, rate, keys)
+    if not 0 <= rate < 1 or not 1 <= draws <= DRAWS:
+        raise ValueError("rate is 0 or more and below 1, draws 1 or more")
+    draw = F.xxhash64(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    makers: list[Occurrences] = []
 
     def rows(batch: pa.RecordBatch) -> list:
-        if not memo:
-            memo.append(w.Memo(make))
-        tags = np.array(batch.column("__draw"))
+        if not makers:
+            makers.append(Occurrences(path, rate))
+        own = np.array(batch.column("__draw")).view(np.uint64)
         flat, lens = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
         for block in w.blocks(batch.column(text)):
-            buf, found = units(block, tags[block.first : block.last])
-            ids, each = memo[0](buf, found)
+            buf, found = units(block)
+            place = (np.arange(len(found.starts)) - np.repeat(found.offs[:-1], found.counts)).astype(np.uint64)
+            keys = w.mix(np.repeat(own[block.first : block.last], found.counts) + place * np.uint64(0x9E3779B97F4A7C15))
+            if draws < DRAWS:
+                keys %= np.uint64(draws)
+            keys = w.mix(keys + found.hashes ^ np.uint64(seed % (1 << 64)))
+            ids, each = makers[0](buf, found, keys)
             flat.append(ids)
             lens.append(w.per_text(each, found.offs))
         offsets = np.cumsum(np.concatenate(lens))

@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer, models
 
-from docflow.llm import merge_dropout as m, pieces, token_counts as t
+from docflow.llm import merge_dropout as m, pieces, token_counts as t, words as w
 from tests.llm import plain
 
 PATH = public_tokenizers.path(m.MODEL)
@@ -52,6 +52,43 @@ def test_dropout_varies_and_decodes_whole(spark):
     assert 2 <= len(draws) <= m.DRAWS
 
 
+def test_every_occurrence_has_its_own_draw(spark):
+    rows = [(i, " ".join(["international transportation"] * 50)) for i in range(40)]
+    coded = m.encode(spark.createDataFrame(rows, "doc_id long, text string"), PATH, rate=0.3)
+    texts = pieces.vocabulary(PATH).texts
+    seen, within = set(), []
+    for r in coded.collect():
+        mine, unit = [], []
+        for piece in r["ids"]:
+            unit.append(piece)
+            if b"".join(texts[i] for i in unit) in (b" international", b" transportation"):
+                mine.append(tuple(unit))
+                unit = []
+        assert len(mine) == 100 and not unit
+        within.append(len(set(mine)))
+        seen |= set(mine)
+    assert min(within) > 4 and len(seen) > 100  # 4 of each word was once the most of all
+
+
+def test_remembered_results_equal_units_merged_alone():
+    rng = random.Random(5)
+    some = ["".join(rng.choice("etaoinshr日é😀T.,") for _ in range(rng.randint(0, 60))) for _ in range(40)]
+    some += [" international", " the", " x▁y", " transportation"]
+    units = [(" " + rng.choice(some).lstrip()).encode() for _ in range(3000)]
+    keys = np.array([rng.getrandbits(64) for _ in units], np.uint64)
+    buf = np.frombuffer(b"".join(units), np.uint8)
+    ends = np.cumsum([len(u) for u in units])
+    starts = ends - [len(u) for u in units]
+    none = np.zeros(0, np.int64)
+    words = w.Words(starts, ends, none, none, w.hash_segments(buf, starts, ends))
+    for rate in (0.0, 0.1, 0.4):
+        make = m.Occurrences(PATH, rate)
+        for _ in range(2):  # from empty memos, and from full ones
+            got = make(buf, words, keys)
+            want = m.encode_units(units, PATH, rate, keys)
+            assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+
+
 def test_units_merged_together_equal_those_merged_alone():
     words, rng = pieces.vocabulary(PATH), random.Random(4)
     units = [" " * rng.randint(1, 3) + "".join(rng.choice("etaoinshr日é😀T.,") for _ in range(rng.randint(0, 70))) for _ in range(1500)]
