@@ -162,11 +162,11 @@ def _regions(cells: DataFrame, classes: DataFrame) -> DataFrame:
     """(region, id, n, place): the different sets of each region of two or more; n is the set's size."""
     # Filters and columns that either reader would ask for stand before the exchange, so it is shared.
     dealt = cells.filter("cell is not null and doc_id is not null").repartition("cell")
+    # Rows of a document may be repeated: in a sum, unlike an xor, they do not cancel. Halves do not overflow.
     mark = F.xxhash64("doc_id")
-    shared = dealt.groupBy("cell").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("place").alias("size"), F.bit_xor(mark).alias("mark")
-    )
-    one = shared.filter("low < high").groupBy("low", "high", "size", "mark").agg(F.min("cell").alias("cell"))
+    halves = [F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("mark_a"), F.sum(F.shiftrightunsigned(mark, 32)).alias("mark_b")]
+    shared = dealt.groupBy("cell").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("place").alias("size"), *halves)
+    one = shared.filter("low < high").groupBy("low", "high", "size", "mark_a", "mark_b").agg(F.min("cell").alias("cell"))
     inside = dealt.join(one.select("cell"), "cell", "left_semi")
     columns = [F.col("cell").alias("region"), F.col("set_id").alias("id"), F.col("n_shingles").alias("n"), "place"]
     return inside.join(classes, "doc_id").select(*columns).distinct()

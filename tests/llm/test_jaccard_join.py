@@ -42,6 +42,32 @@ def test_links_equal_all_pairs(spark):
     compare(spark, [(100 - 3 * k, t) for k, t in enumerate(texts)])
 
 
+def test_rows_repeated_in_other_batches(spark):
+    rows = []
+    for g in range(40):  # 5 and 7 link with 1 only, each by one cell, which 9 is in as well
+        w = [f"g{g}w{k}" for k in range(9)]
+        rows += [(10 * g + i, " ".join(t)) for i, t in ((1, w[:8]), (5, w[1:8]), (7, w[:7]), (9, w))]
+    want = {(i, *x) for i, x in plain.components(rows).items()}
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(size)
+    spark.conf.set(size, len(rows))
+    try:
+        for more in (rows, [r for r in rows if r[0] % 10 in (5, 7)]):
+            docs = spark.createDataFrame(spark.sparkContext.parallelize(rows + more, 1), "doc_id long, text string")
+            got = j.joined(docs).collect()
+            assert len(got) == len(rows) + len(more)
+            assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got} == want
+    finally:
+        spark.conf.set(size, was)
+
+
+def test_cells_of_other_documents_are_not_merged(spark):
+    cells = [(cell, i, 0) for cell, ids in ((1, (1, 5, 5, 9)), (2, (1, 7, 7, 9)), (3, (1, 5, 5, 9))) for i in ids]
+    sets = spark.createDataFrame([(i, 8, i) for i in (1, 5, 7, 9)], "doc_id long, n_shingles long, set_id long")
+    got = j._regions(spark.createDataFrame(cells, "cell long, doc_id long, place int"), sets).collect()
+    assert sorted((r["region"], r["id"]) for r in got) == [(1, 1), (1, 5), (1, 9), (2, 1), (2, 7), (2, 9)]
+
+
 def test_awkward_rows(spark):
     rows = [(i, t) for i, t, *_ in plain.awkward()]
     compare(spark, rows)
