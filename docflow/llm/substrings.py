@@ -1,12 +1,12 @@
 """Operator 6: duplicate passages by relative Lempel-Ziv parsing.
 
-A document is factored against the documents with smaller ids: a factor is a run of words
-that stands in an earlier document in the same order, as long as it can be made; factors
-of at least WINDOW words are duplicate spans. A factor of that length holds whole windows
-of WINDOW words, so the reference index holds windows, each with the first document that
-has it and the place there. A document's windows are looked up; neighbouring windows whose
-references lie side by side in one document grow into one factor, and windows across the
-border of two factors have been looked up like all others, so none is missed.
+A document is factored against the documents with smaller ids: words that stand in an
+earlier document in the same order, WINDOW or more of them, are duplicate spans. Such a run
+holds whole windows of WINDOW words, so the reference index holds windows. A document's
+windows are looked up, each alone, in place of the greedy parse; neighbouring windows whose
+references lie side by side in one document are put together as one factor. A factor is
+thus not the longest that could be made: another earlier document may hold a longer run.
+Spans, which only ask whether a window stands in an earlier document, do not depend on that.
 
 The index lies in blocks, one to a partition, and is never gathered. A window travels to
 the block of its anchor: of its 5-word runs the one with the least hash. Neighbouring
@@ -169,8 +169,10 @@ def _as_factors(doc, first, windows, ref_doc, ref_first) -> pa.RecordBatch:
 def factors(docs: DataFrame) -> DataFrame:
     """(doc_id, first, windows, ref_doc, ref_first): parts of duplicate spans.
 
-    `windows` windows of `docs` from word `first` on stand at word `ref_first` of the first
-    document that holds them. A null doc_id has no order: such rows neither lose words nor
+    `windows` windows of `docs` from word `first` on stand at word `ref_first` of an earlier
+    document: the first of the Arrow batch that holds them, or else the first of all. So
+    references, and where factors are cut, depend on the batches; the words that factors
+    cover do not. A null doc_id has no order: such rows neither lose words nor
     are referred to. Rows of one doc_id count as one document.
     """
     rows = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
