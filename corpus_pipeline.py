@@ -8,20 +8,9 @@ its predecessor wrote and, but for the last, returns the columns of documents.
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import (
-    fingerprints,
-    jaccard_join,
-    language,
-    merge_dropout,
-    oracles,
-    packing,
-    quality_classifier,
-    quality_rules,
-    sharding,
-    substrings,
-    token_counts,
-)
+from docflow.llm import jaccard_join, language, oracles, packing, quality_classifier, substrings
 from docflow.llm.frames import documents, saved
+from docflow.llm.queries import QUERIES as OPERATORS
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,17 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = None  # trained models and a tokenizer are beyond SQL; tests hold a plain version against run()
 
-QUERIES = {
-    "op1_weighted_samples": fingerprints.op1_weighted_samples,
-    "op2_bin_completion": packing.op2_bin_completion,
-    "op3_adaptive_rules": quality_rules.op3_adaptive_rules,
-    "op4_viterbi_spans": language.op4_viterbi_spans,
-    "op5_pivot_regions": jaccard_join.op5_pivot_regions,
-    "op6_relative_lempel_ziv": substrings.op6_relative_lempel_ziv,
-    "op7_rendezvous": sharding.op7_rendezvous,
-    "op8_merge_dropout": merge_dropout.op8_merge_dropout,
-    "op9_bradley_terry": quality_classifier.op9_bradley_terry,
-    "op10_count_viterbi": token_counts.op10_count_viterbi,
-    "pipeline": run,
-}
+QUERIES = OPERATORS | {"pipeline": run}
 SQL = oracles.SQL
