@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from docflow.llm.frames import saved
+from docflow.llm.frames import forget, saved
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -38,12 +38,16 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large and small stars: every vertex links to its least neighbour until
     only stars are left, a number of rounds that grows with the logarithm of the longest
     path. Each round is written once; a hub's edges are reduced before the shuffle and
-    joined as a skewed key. Null ends, loops and repeated edges are ignored.
+    joined as a skewed key. Null ends, loops and repeated edges are ignored. The result is
+    a saved table.
     """
     now = saved(edges.select("u", "v").filter("u <> v").distinct(), "edges")
     while True:
-        now = saved(_small_star(_large_star(now).filter("u <> v")).filter("u <> v").distinct(), "edges")
+        was, now = now, saved(_small_star(_large_star(now).filter("u <> v")).filter("u <> v").distinct(), "edges")
+        forget(was)
         if _all_stars(now):
             break
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component"))
-    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots).distinct()
+    out = saved(now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots).distinct(), "components")
+    forget(now)
+    return out

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from docflow.session import work_dir
+from docflow.sinks.writers import delete_path
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -17,15 +19,56 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """The rows written once to the shared folder and read back.
 
     It cuts the lineage: a lost executor costs only the tasks at hand, and several
-    readers do not compute the rows again.
+    readers do not compute the rows again. The shuffles that led to the rows are let go
+    when they are written.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, label)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Delete the folders of tables that `saved` returned; what was written from them stays.
+
+    For tables whose last reader has been written. Others, and None, are left alone.
+    """
+    for table in tables:
+        path = _PATHS.pop(table, None) if table is not None else None
+        if path is not None:
+            delete_path(table.sparkSession, path)
+
+
+def named(rows: DataFrame, names: DataFrame, keys: list[str], copies: str, share: int = 1_000) -> DataFrame:
+    """rows left-joined with names, which has a row for each of the keys' values and, in
+    `copies`, how many of the rows have them. Rows with a null key get nulls.
+
+    Keys that hold more than 1/share of the rows are at most `share` values, so those go
+    to the rows, and a hot key is not dealt to one task; all others are shuffled.
     """
-    path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    total = names.agg(F.sum(copies)).first()[0] or 0
+    hot = F.col(copies) > total // share
+    often = F.broadcast(names.filter(hot).drop(copies))
+    rare = names.filter(~hot).drop(copies)
+    return rows.join(often, keys).unionByName(rows.join(often.select(*keys), keys, "left_anti").join(rare, keys, "left"))
 
 
 def widened(

@@ -24,23 +24,24 @@ select w.doc_id, len(ws) as n_words, len(ws) - coalesce(kept.n, 0) as n_removed,
 from w left join kept using (doc_id)
 """
 
-JACCARD = f"""
+def _jaccard(size: int, percent: int, more: str = "") -> str:
+    return f"""
 with recursive w as (select doc_id, {WORDS.format(text=LOWER)} as ws from documents),
 sh as (
-  select distinct doc_id, array_to_string(ws[i : i + 4], ' ') as s from w, unnest(range(1, len(ws) - 3)) t(i)
+  select distinct doc_id, array_to_string(ws[i : i + {size - 1}], ' ') as s from w, unnest(range(1, len(ws) - {size - 2})) t(i)
   union all
-  select doc_id, array_to_string(ws, ' ') from w where len(ws) between 1 and 4
+  select doc_id, array_to_string(ws, ' ') from w where len(ws) between 1 and {size - 1}
 ),
 size as (select doc_id, count(*) as n from sh group by doc_id),
 pair as (
   select a.doc_id as x, b.doc_id as y, count(*) as c from sh a join sh b on a.s = b.s and a.doc_id <> b.doc_id group by all
 ),
 link as (
-  select x, y from pair join size a on a.doc_id = x join size b on b.doc_id = y where 100 * c >= 75 * (a.n + b.n - c)
+  select x, y from pair join size a on a.doc_id = x join size b on b.doc_id = y where 100 * c >= {percent} * (a.n + b.n - c)
 ),
 reach as (select x, y from link union select r.x, l.y from reach r join link l on r.y = l.x),
 low as (select x, min(y) as y from reach group by x)
-select w.doc_id, coalesce(n, 0) as n_shingles, least(w.doc_id, coalesce(low.y, w.doc_id)) as component_id
+select w.doc_id, coalesce(n, 0) as n_shingles, least(w.doc_id, coalesce(low.y, w.doc_id)) as component_id{more}
 from w left join size using (doc_id) left join low on low.x = w.doc_id
 """
 
@@ -102,6 +103,7 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 SQL = {
     "op3_adaptive_rules": _rules(),
-    "op5_pivot_regions": JACCARD,
+    "op5_pivot_regions": _jaccard(5, 75),
     "op6_relative_lempel_ziv": SUBSTRINGS,
+    "op12_one_permutation_minhash": _jaccard(4, 80, ", w.doc_id = component_id as kept"),
 }

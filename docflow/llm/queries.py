@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from docflow.llm import (
+    alignment,
     fingerprints,
     importance,
     jaccard_join,
     language,
     merge_dropout,
+    minhash,
     packing,
     quality_classifier,
     quality_rules,
@@ -28,4 +30,6 @@ QUERIES = {
     "op9_bradley_terry": quality_classifier.op9_bradley_terry,
     "op10_count_viterbi": token_counts.op10_count_viterbi,
     "op11_aho_corasick_resampling": importance.op11_aho_corasick_resampling,
+    "op12_one_permutation_minhash": minhash.op12_one_permutation_minhash,
+    "op13_inverted_bitmaps": alignment.op13_inverted_bitmaps,
 }
