@@ -131,7 +131,7 @@ select event_id, case event_id % 9 when 0 then '429 RESOURCE_EXHAUSTED'
  when 1 then '400 INVALID_ARGUMENT file exceeds max allowed file size of 52428800 for `application/pdf` files'
  when 2 then '400 INVALID_ARGUMENT unsupported content' when 3 then 'Deadline_Exceeded'
  when 4 then 'schema mismatch 14290 items' when 5 then 'HTTP 503' when 6 then 'permission denied 403'
- when 7 then 'size 185245993, code 500.' else 'read timed out' end as message,
+ when 7 then 'size 61000017, code 500.' else 'read timed out' end as message,
  case when event_id % 2 = 0 then 'application/pdf' else 'text/html' end as mime_type,
  case when event_id % 5 = 0 then 'chunk' else 'direct' end as stage from events""",
     "fx_outcomes": """

@@ -9,9 +9,9 @@ from docflow.plans import company_metadata as plan
 
 COMPANY = "company_ticker string, company_name string, company_id string, base_url string"
 GOOD = {
-    "provider": "lseg", "company_ticker": " aa", "company_name": "Alcoa ", "company_id": "com_x", "base_url": "https://r",
-    "matched_on": "company_ticker+base_url", "source_snapshot_uri": "gs://b/s", "source_snapshot_date": "2026-05-01",
-    "metadata": {"sector": "Matériaux", "a": 1.0, "n": {"z": [1, 2.50], "b": None, "t": True}}, "source_record": None,
+    "provider": "lseg", "company_ticker": " qvt", "company_name": "Quillvane Tidal Power ", "company_id": "qv-17", "base_url": "https://quillvane.test",
+    "matched_on": "company_ticker+base_url", "source_snapshot_uri": "gs://snapshots/q", "source_snapshot_date": "2023-11-30",
+    "metadata": {"turbines": 12, "height_m": 1.0, "sites": {"west": [1, 2.50], "east": None, "open": True}, "näme": "Ørsund"}, "source_record": None,
 }
 
 
@@ -22,20 +22,20 @@ def responses(spark, **bodies):
 
 
 def companies(spark, *tickers):
-    return spark.createDataFrame([(t, "Alcoa", None, "https://example.com") for t in tickers], COMPANY)
+    return spark.createDataFrame([(t, "Quillvane", None, "https://asked.test") for t in tickers], COMPANY)
 
 
 def test_rows_and_summary(spark):
-    made = plan.ingest_company_metadata(companies(spark, "aa", "bb"), responses(spark, AA=GOOD), 2026, " LSEG ")
+    made = plan.ingest_company_metadata(companies(spark, "qvt", "bb"), responses(spark, QVT=GOOD), 2026, " LSEG ")
     row = made.rows.head().asDict()
-    key = hashlib.md5(b"com_aa|AA|https://example.com|2026|lseg").hexdigest()[:16]
+    key = hashlib.md5(b"com_qvt|QVT|https://asked.test|2026|lseg").hexdigest()[:16]
     # The id comes from the request, the fields from the response.
-    assert row["metadata_id"] == f"com_aa_2026_lseg_{key}"
-    assert (row["company_ticker"], row["company_name"], row["company_id"], row["base_url"]) == ("AA", "Alcoa", "com_x", "https://r")
+    assert row["metadata_id"] == f"com_qvt_2026_lseg_{key}"
+    assert (row["company_ticker"], row["company_name"], row["company_id"], row["base_url"]) == ("QVT", "Quillvane Tidal Power", "qv-17", "https://quillvane.test")
     assert row["metadata_json"] == json.dumps(GOOD["metadata"], sort_keys=True) and row["source_record_json"] == "{}"
     assert row["ingestion_timestamp"].endswith("+00:00") and made.rows.count() == 1
     summary = {r["company"]: r.asDict() for r in made.summary.collect()}
-    assert summary["AA"]["promoted"] == 1 and summary["AA"]["prod_gcs_uri"].startswith("gs://b/prod/knowledge/company_metadata/provider=lseg/ticker=AA/year=2026/")
+    assert summary["QVT"]["promoted"] == 1 and summary["QVT"]["prod_gcs_uri"].startswith("gs://b/prod/knowledge/company_metadata/provider=lseg/ticker=QVT/year=2026/")
     assert summary["BB"]["message"] == "No company metadata found." and summary["BB"]["provider"] is None
 
 

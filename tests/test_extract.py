@@ -21,7 +21,7 @@ def model(text):
 
 def test_default_extractor_reads_the_whole_text(spark):
     rng = random.Random(3)
-    words = ["Alcoa", "results", "quarter", "net", "Income", "growth", "and", "Board", "dividend"]
+    words = ["Bramley", "results", "quarter", "net", "Income", "growth", "and", "Board", "dividend"]
     texts = ["", "\n\n", "one line only", "x" * 50_000 + "\nLast line growth growth"]
     for _ in range(40):
         lines = [" ".join(rng.choices(words, k=rng.randint(0, 12))) for _ in range(rng.randint(1, 8))]
@@ -40,14 +40,14 @@ def feature_rows(spark, rows):
 
 def test_merge_keeps_first_occurrence_in_chunk_order(spark, monkeypatch):
     monkeypatch.setattr(extract, "MERGE_FAN_IN", 2)
-    rows = [("a", n, (f"s{n}", ["Alcoa", f"E{n % 3}"], [f"t{9 - n}"])) for n in range(1, 8)]
+    rows = [("a", n, (f"s{n}", ["Bramley", f"E{n % 3}"], [f"t{9 - n}"])) for n in range(1, 8)]
     rows += [("b", 1, ("only", ["Z", "A"], ["q"]))]
     random.Random(0).shuffle(rows)
     got = {r["doc"]: r for r in extract.merge_chunk_features(feature_rows(spark, rows), "doc").collect()}
     assert tuple(got["b"]["features"]) == ("only", ["Z", "A"], ["q"])
     merged = got["a"]["features"]
     assert merged["summary"] == "s1 s2 s3 s4 s5 s6 s7"
-    assert merged["key_entities"] == ["Alcoa", "E1", "E2", "E0"]
+    assert merged["key_entities"] == ["Bramley", "E1", "E2", "E0"]
     assert merged["topics"] == ["t8", "t7", "t6", "t5", "t4", "t3", "t2"]
     assert (got["a"]["chunk_count"], got["b"]["chunk_count"]) == (7, 1)
 

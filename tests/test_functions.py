@@ -97,7 +97,7 @@ def test_basename_and_suffix_follow_path_rules(spark):
 
 def test_url_path_follows_url_rules(spark):
     urls = [
-        "https://e.com/a/release.pdf?download=1", "https://e.com/a;b/c.pdf;v=1", "e.com/a.pdf#x",
+        "https://e.com/a/minutes.pdf?page=4", "https://e.com/a;b/c.pdf;v=1", "e.com/a.pdf#x",
         "//h/p.pdf", "mailto:a;b", "https://e.com", "x", "", "a b/{c}.PDF", "ftp://h/a;t=i",
     ]
     assert one(spark, urls, url_path("x")) == [urlparse(u).path for u in urls]
@@ -111,7 +111,7 @@ def item_values(spark, items, *columns):
 def test_document_type_and_path(spark):
     items = [
         {"url": "https://example.com/x", "is_pdf": True},
-        {"url": "https://example.com/release.pdf?download=1"},
+        {"url": "https://e.com/a/minutes.pdf?page=4"},
         {"url": "https://example.com/releases/q1-results"},
         {"url": "u", "type": "PDF"},
         {"url": "u.pdf", "type": "html"},
@@ -149,7 +149,7 @@ def test_chunk_key_has_at_least_five_digits(spark):
 
 
 def test_error_outcomes(spark):
-    size = "400 INVALID_ARGUMENT file is 185245993 bytes, exceeds max allowed file size for application/pdf"
+    size = "400 INVALID_ARGUMENT file is 61000017 bytes, exceeds max allowed file size for application/pdf"
     rows = [
         (size, "application/pdf", "direct", "split"), (size, "application/pdf", "chunk", "fail"),
         (size, "text/html", "direct", "empty"), ("429 busy", "application/pdf", "direct", "retry"),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from docflow.operators import gates
 
 BASE = dict(
-    title="t", company_name="Alcoa", company_id="com_aa", company_ticker="AA", base_url="b", year=2026, date=None,
+    title="t", company_name="Bramley", company_id="com_aa", company_ticker="AA", base_url="b", year=2026, date=None,
     url="u", type="html", filepath="data/x.html", downloaded=False, gcs_uri=None, source_kind="articles",
     filing_type=None, filing_date=None, report_date=None, accession_number=None, primary_document=None, cik=None,
 )

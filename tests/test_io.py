@@ -163,7 +163,7 @@ SETTINGS = Settings(source_bucket="b", prod_bucket="b", direct_max_bytes=50, chu
 
 
 def job_inputs(spark, root):
-    companies = spark.createDataFrame([("aa", "Alcoa", None, "b"), ("bb", "B", None, "b")], "company_ticker string, company_name string, company_id string, base_url string")
+    companies = spark.createDataFrame([("aa", "Bramley", None, "b"), ("bb", "B", None, "b")], "company_ticker string, company_name string, company_id string, base_url string")
     art = [{"title": f"t{i}", "url": f"u{i}", "filepath": f"d/f{i}.html"} for i in range(4)]
     art += [{"title": "dup", "url": "u9", "filepath": "e/f0.html"}, {"title": 3, "url": "x"}, {"title": "big", "url": "big.pdf", "filepath": "d/big.pdf"}]
     put(root / "articles" / "company_ticker=aa " / "year=2024" / "r.json", json.dumps(art))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from docflow.functions.items import item_fields
 from docflow.operators import normalize as nz
 
-CONTEXT = {"company_ticker": " aa ", "company_name": "Alcoa", "company_id": " com_aa ", "base_url": " https://a "}
+CONTEXT = {"company_ticker": " aa ", "company_name": "Bramley", "company_id": " com_aa ", "base_url": " https://a "}
 
 
 def items(spark, bodies):
@@ -16,10 +16,10 @@ def items(spark, bodies):
 
 
 def test_company_defaults(spark):
-    rows = [(" aa ", " Alcoa\t", None, " u "), ("bb", "B", "  ", "u"), ("cc", "C", " id ", "u")]
+    rows = [(" aa ", " Bramley\t", None, " u "), ("bb", "B", "  ", "u"), ("cc", "C", " id ", "u")]
     df = spark.createDataFrame(rows, "company_ticker string, company_name string, company_id string, base_url string")
     got = [tuple(r) for r in nz.normalize_company(df).coalesce(1).collect()]
-    assert got == [("AA", "Alcoa", "com_aa", "u"), ("BB", "B", "com_bb", "u"), ("CC", "C", "id", "u")]
+    assert got == [("AA", "Bramley", "com_aa", "u"), ("BB", "B", "com_bb", "u"), ("CC", "C", "id", "u")]
 
 
 @pytest.mark.parametrize("source, want", [(None, ("articles", "edgar")), (" Metadata ", ("metadata",)), ("EDGAR", ("edgar",))])
