@@ -6,8 +6,6 @@ them back through the operator under test and returns what it read.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, functions as F
 
 from docflow import functions as fn
@@ -50,8 +48,8 @@ def _land(t: Fixtures, view: str, label: str, ticker=None) -> str:
     rows = t.view(view)
     if ticker is not None:
         rows = rows.withColumn("company_ticker", ticker)
-    rows.select(F.col("item").alias("value"), "company_ticker", "year").hint(
-        "rebalance", "company_ticker", "year"
+    rows.select(F.col("item").alias("value"), "company_ticker", "year").repartition(
+        "company_ticker"
     ).write.partitionBy("company_ticker", "year").text(path)
     return path
 
@@ -182,11 +180,12 @@ def _(t):
     root, paths = _staged(t)
     # The second load brings new columns.
     for family in ("articles", "edgar"):
-        writers.append_load(writers.read_staged(t.spark, paths[family], family), f"{root}/table")
+        writers.append_load(t.spark, writers.read_staged(t.spark, paths[family], family), f"{root}/table")
     return comparable(writers.read_loaded(t.spark, f"{root}/table"), f"{RECORD}, {FILING}")
 
 
-@query("append_load_log", f"""select 'edgar' as table_id, document_id, cik, date || 'T00:00:00.000' as date
+@query("append_load_log", f"""select 'edgar' as table_id, document_id, cik, date || 'T00:00:00.000' as date,
+ 1::bigint as row_count, 'gs://b/stage/edgar/v1/date=' || date || '/' || document_id || '.parquet' as source_uri
  from {STAGED} where source_kind = 'edgar'""")
 def _(t):
     root, paths = _staged(t)
@@ -194,12 +193,12 @@ def _(t):
     writers.append_load_log(rows, "edgar", f"{root}/log")
     line = F.from_json(
         "value",
-        "part_no long, row_count long, rows array<struct<cik string, date string, document_id string>>,"
+        "row_count long, rows array<struct<cik string, date string, document_id string>>,"
         " source_uri string, table_id string",
     )
     lines = t.spark.read.text(f"{root}/log").select(line.alias("l"))
-    return lines.select("l.table_id", F.inline("l.rows")).select(
-        "table_id", "document_id", "cik", "date"
+    return lines.select("l.table_id", "l.row_count", "l.source_uri", F.inline("l.rows")).select(
+        "table_id", "document_id", "cik", "date", "row_count", "source_uri"
     )
 
 
@@ -209,22 +208,19 @@ def _(t):
     prod = writers.promote(t.spark, root, "articles")
     if readers.path_exists(t.spark, paths["articles"]):
         raise RuntimeError("stage was not removed")
-    return comparable(t.spark.read.parquet(prod))
+    return comparable(readers.read_stage(t.spark, prod))
 
 
 @query("create_filings_table", """select document_id, row_date as date, null::varchar as filing_type, null::varchar as cik
  from o_candidates""")
 def _(t):
-    table = f"filings_{uuid.uuid4().hex}"
-    place = work_dir(t.spark, table)
+    table = work_dir(t.spark, "filings")
     rows = mg.with_target(mg.legacy_filing_candidates(t.legacy, "b"), "b", RUN_YEAR)
     shaped = mg.normalize_legacy_rows(mg.drop_index_column(rows), RUN_YEAR)
-    writers.create_filings_table(t.spark, shaped, table, place)
-    writers.create_filings_table(t.spark, shaped.limit(0), table)  # no effect
-    writers.append_to_table(t.spark, shaped, table)
-    stored = t.spark.read.schema(t.spark.table(table).schema).parquet(place)
-    t.spark.sql(f"DROP TABLE {table}")  # its files stay
-    return stored.select(
+    writers.create_filings_table(t.spark, shaped, table)
+    writers.create_filings_table(t.spark, shaped.select("document_id"), table)  # no effect
+    writers.append_load(t.spark, rc.cast_stage_types(shaped), table)
+    return writers.read_loaded(t.spark, table).select(
         "document_id", F.col("date").cast("string").alias("date"), "filing_type", "cik"
     )
 
@@ -239,7 +235,7 @@ def _(t):
         t.legacy, t.legacy_listing, "b", "b", allow_missing=True, current_year=RUN_YEAR
     )
     prod = writers.rewrite_prod(t.spark, plan.rows, work_dir(t.spark, "prod"))
-    return t.spark.read.parquet(prod).select(
+    return readers.read_stage(t.spark, prod).select(
         "document_id", "source_gcs_uri", "source_kind", F.col("date").cast("string").alias("date")
     )
 
@@ -285,7 +281,7 @@ def _(t):
     counted = report.row_count.withColumn("rows", F.lit("rows"))
     parts = [
         ids(writers.read_prod(t.spark, root, "edgar"), "prod"),
-        ids(t.spark.read.parquet(writers.table_path(root, "edgar")), "table"),
+        ids(writers.read_loaded(t.spark, writers.table_path(root, "edgar")), "table"),
         named(moves, "move", "n", "move"),
         named(report.by_date, "partition_date", "row_count", "date"),
         named(counted, "rows", "row_count", "count"),
@@ -374,9 +370,9 @@ def _(t):
 def _(t):
     root = work_dir(t.spark, "chunks-job")
     ingest.run_ingest(t.spark, t.ingest_inputs(), SETTINGS, root)
-    families = [t.spark.read.parquet(writers.table_path(root, f)) for f in ("articles", "edgar")]
+    families = [writers.read_loaded(t.spark, writers.table_path(root, f)) for f in ("articles", "edgar")]
     uris = union_sources([f.select("document_id", F.explode("gemini_chunk_uris").alias("uri")) for f in families])
-    parts = t.spark.read.parquet(f"{root}/{SETTINGS.chunk_prefix}")
+    parts = writers.read_chunks(t.spark, root, SETTINGS.chunk_prefix)
     keys = parts.select(F.concat(F.lit("gs://b/"), "key").alias("uri"), F.lit(True).alias("written"))
     return uris.join(keys, "uri", "left")
 
@@ -393,14 +389,14 @@ def _(t):
             for view, family in (("fx_article_items", "articles"), ("fx_filing_items", "edgar"))
         ]
     )
-    folders = ("source_kind", "company_ticker", "year")
     inputs = t.ingest_inputs()
     requests = ingest.build_requests(t.view("fx_companies"), 2021, 2026)
 
     def side_inputs() -> dict[str, DataFrame]:
-        return {"names": inputs.names.limit(0), "contents": inputs.contents, "pages": inputs.pages}
+        return {"names": inputs.names, "contents": inputs.contents, "pages": inputs.pages}
 
-    # A half lands, then all of it: the second pass finds what came of the half loaded.
+    # A half lands, then all of it: the second pass finds keys and documents of the first.
+    folders = ("source_kind", "company_ticker", "year")
     for part in (items.where(F.col("pos") % 2 == 0), items):
         # A folder's items lie in one file, in their order.
         landed = part.repartition(*folders).sortWithinPartitions(*folders, "pos").drop("pos")
@@ -409,7 +405,7 @@ def _(t):
             spark, f"{root}/landing", root, f"{root}/checkpoint", requests, side_inputs, SETTINGS
         ).awaitTermination()
     loaded = [
-        spark.read.parquet(writers.table_path(root, family)).select(F.lit(family).alias("source_kind"), "document_id")
+        writers.read_loaded(spark, writers.table_path(root, family)).select(F.lit(family).alias("source_kind"), "document_id")
         for family in ("articles", "edgar")
     ]
     return union_sources(loaded).groupBy("source_kind", "document_id").agg(F.count("*").alias("n_rows"))

@@ -7,6 +7,7 @@ the check, from independent SQL in :mod:`docflow.checks.oracle`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,7 +17,7 @@ from docflow.functions.identity import document_id
 from docflow.operators import gates, normalize
 from docflow.operators.packing import text_pages
 from docflow.plans.ingest import Inputs, build_requests
-from docflow.session import configure
+from docflow.session import configure, work_dir
 from docflow.sources.readers import explode_items
 
 TABLES = (
@@ -172,6 +173,10 @@ PAGE_TARGET = 2_000
 RUN_YEAR = 2026
 
 
+SPREAD = {"orders": "o_orderkey", "pages": "page_id"}
+_LANDED: dict[tuple[str, str], str] = {}
+
+
 def sql(name: str, engine: str) -> str:
     return SQL[name].replace("{bytes}", BYTES[engine])
 
@@ -190,7 +195,10 @@ class Fixtures:
         text = sql(name, "spark")
         for table in TABLES:
             if table in text:
-                self.table(table).createOrReplaceTempView(table)
+                rows = self.table(table)
+                # A table may be one row group, so one task: items are dealt out by their key.
+                rows = rows.repartition(SPREAD[table]) if table in SPREAD else rows
+                rows.createOrReplaceTempView(table)
         return self.spark.sql(text)
 
     def items(self, name: str) -> DataFrame:
@@ -222,9 +230,19 @@ class Fixtures:
             normalize.split_invalid(self.filing_items, filing=True).valid
         )
 
+    def landed(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """Derived rows, written once for each folder of tables and session and read from then on."""
+        key = (self.sf_dir, f"{name}-{self.spark.sparkContext.applicationId}")
+        rows = make()
+        if key not in _LANDED:
+            path = work_dir(self.spark, name)
+            rows.write.parquet(path)
+            _LANDED[key] = path
+        return self.spark.read.schema(rows.schema).parquet(_LANDED[key])
+
     @cached_property
     def docs(self) -> DataFrame:
-        return normalize.union_sources([self.articles, self.filings])
+        return self.landed("docs", lambda: normalize.union_sources([self.articles, self.filings]))
 
     @cached_property
     def objects(self) -> DataFrame:
@@ -243,18 +261,15 @@ class Fixtures:
 
     @cached_property
     def names(self) -> DataFrame:
-        return gates.object_names(self.objects)
+        return self.landed("names", lambda: gates.object_names(self.objects))
 
     @cached_property
     def known(self) -> DataFrame:
         loaded = F.col("primary_document").isNull() & (F.col("source_kind") == "edgar") | (
             F.col("date") == "2024-03-05"
         )
-        return (
-            self.docs.where(loaded)
-            .select("source_kind", document_id().alias("document_id"))
-            .distinct()
-        )
+        ids = self.docs.where(loaded).select("source_kind", document_id().alias("document_id"))
+        return self.landed("known", ids.distinct)
 
     @cached_property
     def contents(self) -> DataFrame:

@@ -241,9 +241,8 @@ CTES: dict[str, str] = {
  row_number() over (partition by ingestion_key order by pos) as rn from o_fresh""",
     "o_gated": """select f.*, k.document_id is not null as skipped from o_first f left join o_known k
  on k.source_kind = f.source_kind and k.document_id = f.document_id where f.rn = 1""",
-    "o_gated_s": """select distinct * exclude (rn), false as skipped from (
-  select *, row_number() over (partition by ingestion_key order by pos) as rn from o_docs where pos % 2 = 0
-  union all select *, row_number() over (partition by ingestion_key order by pos) from o_docs) where rn = 1""",
+    "o_gated_s": """select * exclude (turn), false as skipped from (
+ select *, row_number() over (partition by ingestion_key order by pos % 2, pos) as turn from o_fresh) where turn = 1""",
     "o_pages": f"""select p.* from fx_html_pages p join fx_contents c on c.url = p.url
  where c.n_bytes > {SETTINGS.direct_max_bytes} or coalesce({error_flags('c.error')['size']}, false)""",
     **features_ctes("w", "fx_contents", "url", "text"),

@@ -8,7 +8,7 @@ of the other side, however often that key is repeated there.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from docflow.config import ARTICLES, FILINGS
 from docflow.functions.identity import document_id, ingestion_key
@@ -84,11 +84,17 @@ def split_known(docs: DataFrame, known: DataFrame) -> Split:
 
 
 def mark_known(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """Gate 2 as a flag. Both branches reuse the same two exchanges."""
-    fresh, old = split_known(docs, known)
-    return fresh.withColumn("skipped", F.lit(False)).unionByName(
-        old.withColumn("skipped", F.lit(True))
+    """Gate 2 as a flag: one join that asks for existence, so documents are made once and a
+    repeated id of the other side does not repeat them."""
+    keyed = _own_table_key(docs).withColumn("_own_id", F.col("document_id"))
+    theirs = known.select(
+        F.col("source_kind").alias("_known_family"), F.col("document_id").alias("_known_id")
     )
+    # Outer names must not be among those of the other side, or they would mean its columns.
+    same = (F.col("_known_family") == F.col("_family").outer()) & (
+        F.col("_known_id") == F.col("_own_id").outer()
+    )
+    return keyed.withColumn("skipped", theirs.where(same).exists()).drop("_family", "_own_id")
 
 
 def exists_probe(table: DataFrame, doc_id: str) -> bool:
@@ -99,16 +105,17 @@ def exists_probe(table: DataFrame, doc_id: str) -> bool:
 def one_per_ingestion_key(docs: DataFrame, pos: str = "pos") -> DataFrame:
     """The first document of each ingestion key and ``n_same_key``, how many had it.
 
-    The first is cut to one row per key in every input partition before the exchange;
-    the counts combine there too and join on the key alone, so full rows are never
-    sorted and a hot key sends one row per partition.
+    One aggregate gives both. It keeps the least row and the count of a key in every input
+    partition before the exchange, so documents are made once and a hot key sends one row
+    per partition.
     """
-    keyed = docs.withColumn("ingestion_key", ingestion_key())
-    rank = F.row_number().over(Window.partitionBy("ingestion_key").orderBy(pos, "url"))
-    firsts = keyed.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
-    counts = keyed.groupBy("ingestion_key").agg(F.count("*").alias("n_same_key"))
-    rest = [c for c in docs.columns if c != pos]
-    return firsts.join(counts, "ingestion_key").select("ingestion_key", "n_same_key", pos, *rest)
+    rest = [c for c in docs.columns if c not in (pos, "url")]
+    row = F.struct(pos, "url", *rest)
+    found = docs.groupBy(ingestion_key().alias("ingestion_key")).agg(
+        F.min_by(row, F.struct(pos, "url")).alias("_first"), F.count("*").alias("n_same_key")
+    )
+    columns = [c for c in docs.columns if c != pos]
+    return found.select("ingestion_key", "n_same_key", f"_first.{pos}", *[f"_first.{c}" for c in columns])
 
 
 def mark_duplicates(docs: DataFrame, pos: str = "pos") -> DataFrame:

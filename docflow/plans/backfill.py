@@ -109,7 +109,7 @@ def run_backfill(
     fresh, rejected = fresh_filings(holdings, filings, names, first_year, last_year)
     gated = mark_known(fresh.withColumn("document_id", document_id()), known)
     gated = kept(spark, gated, f"{work}/gated")
-    done = write_gated(spark, gated, contents, pages, known, settings, root, work, extractor)
+    done = write_gated(spark, gated, contents, pages, settings, root, work, extractor)
     counts = success_counts(with_success(gated, done))
     run = f"{root}/runs/{work.rsplit('/', 1)[-1]}"
     kept(spark, rejected, f"{run}/rejected")

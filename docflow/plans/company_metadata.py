@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docflow.config import METADATA, METADATA_TABLE
+from docflow.config import METADATA
 from docflow.functions.identity import metadata_id
 from docflow.functions.layout import metadata_stage_key
 from docflow.functions.text import strip
@@ -18,9 +18,9 @@ from docflow.operators.company_metadata import (
 )
 from docflow.operators.normalize import normalize_company
 from docflow.operators.split import Split
+from docflow.schemas import METADATA_ROW
 from docflow.session import work_dir
-from docflow.sinks import writers
-from docflow.sources.readers import path_exists
+from docflow.sinks import versions, writers
 
 # --- fixed values: summary messages ---
 NOT_FOUND = "No company metadata found."
@@ -105,15 +105,13 @@ def run_company_metadata(
     stage = writers.stage_company_metadata(spark, made.rows, root)
     rows = writers.read_company_metadata_rows(spark, stage)
     table = writers.table_path(root, METADATA)
-    new = rows
-    if path_exists(spark, table):
-        known = spark.read.schema("metadata_id string").parquet(table)
-        new = rows.join(known, "metadata_id", "left_anti").select(*rows.columns)
-    writers.append_load(new, table)
-    writers.append_load_log(rows, METADATA_TABLE, f"{root}/load_log")
+    known = versions.read(spark, table, METADATA_ROW).select("metadata_id")
+    new = rows.join(known, "metadata_id", "left_anti").select(*rows.columns)
+    writers.append_load(spark, new, table)
+    writers.append_load_log(rows, METADATA, f"{root}/load_log", prod_bucket)
     writers.promote_metadata(spark, root)
     requests = requested(companies, year, provider)
-    loaded = spark.read.schema("metadata_id string, company_ticker string, year long, provider string").parquet(table)
+    loaded = versions.read(spark, table, METADATA_ROW).select("metadata_id", "company_ticker", "year", "provider")
     keyed = loaded.withColumn("_key", metadata_stage_key()).dropDuplicates(["metadata_id"])
     summary = metadata_summary(requests, keyed, prod_bucket)
     path = work_dir(spark, "metadata").rsplit("/", 1)[-1]

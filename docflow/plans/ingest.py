@@ -43,7 +43,10 @@ from docflow.operators.split import Split
 from docflow.operators.summaries import fail_if_all_sources_failed, run_summary
 from docflow.plans.company_metadata import run_company_metadata
 from docflow.session import work_dir
-from docflow.sinks import writers
+from docflow.sinks import id_index, writers
+
+
+Known = Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -53,7 +56,8 @@ class Inputs:
     * ``requests``: :func:`build_requests`, one row per company, year and family;
     * ``articles``, ``filings``: items (``company_ticker, year, pos, item``);
     * ``names``: (prefix, filename) of the stored raw files;
-    * ``known``: (source_kind, document_id) already loaded;
+    * ``known``: (source_kind, document_id) already loaded, or a function that gives those of
+      the documents it is given (:func:`indexed`);
     * ``contents``: (url, source_gcs_uri, n_bytes, text, error), one row per URL;
       more URLs than the run needs do no harm, only gated documents are extracted;
     * ``pages``: (url, page_no, page_text, n_bytes) of files too large to be
@@ -66,7 +70,7 @@ class Inputs:
     articles: DataFrame
     filings: DataFrame
     names: DataFrame
-    known: DataFrame
+    known: DataFrame | Known
     contents: DataFrame
     pages: DataFrame
     errors: DataFrame | None = None
@@ -126,11 +130,31 @@ def discover(requests: DataFrame, articles: DataFrame, filings: DataFrame) -> Sp
     return Split(docs, union_sources(rejected))
 
 
+def first_documents(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """Documents past gate 1, one per ingestion key."""
+    fresh = anti_join_stored(docs, names).drop("prefix", "filename")
+    return one_per_ingestion_key(fresh).withColumn("document_id", document_id())
+
+
 def gate_documents(docs: DataFrame, names: DataFrame, known: DataFrame) -> DataFrame:
     """Documents past gate 1, one per ingestion key, flagged by gate 2."""
-    fresh = anti_join_stored(docs, names).drop("prefix", "filename")
-    firsts = one_per_ingestion_key(fresh).withColumn("document_id", document_id())
-    return mark_known(firsts, known)
+    return mark_known(first_documents(docs, names), known)
+
+
+def indexed(spark: SparkSession, root: str) -> Known:
+    """Known documents by the id index of the tables below ``root``: what is read grows with the
+    documents that are asked for, not with the tables."""
+
+    def known(docs: DataFrame) -> DataFrame:
+        found = []
+        for family in DEFAULT_SOURCES:
+            own = docs.where((F.col("source_kind") == FILINGS) == F.lit(family == FILINGS))
+            id_index.cover(spark, root, family, writers.table_path(root, family))
+            ids = id_index.lookup(spark, root, family, own.select("document_id"))
+            found.append(ids.select(F.lit(family).alias("source_kind"), "document_id"))
+        return union_sources(found)
+
+    return known
 
 
 def route_documents(docs: DataFrame, contents: DataFrame, settings: Settings) -> DataFrame:
@@ -202,7 +226,7 @@ def extract_documents(
 
 def ingest_documents(
     docs: DataFrame,
-    known: DataFrame,
+    known: DataFrame | None,
     contents: DataFrame,
     pages: DataFrame,
     settings: Settings,
@@ -213,7 +237,8 @@ def ingest_documents(
 ) -> tuple[DataFrame, DataFrame]:
     """(records, results) of documents: gate 2, source URI, extraction, stage rows.
 
-    ``results`` has one row per document with success, skipped and stage key. ``routed``
+    ``results`` has one row per document with success, skipped and stage key. ``known`` is not
+    needed for documents that gate 2 has flagged. ``routed``
     and ``chunks`` are :func:`route_documents` and :func:`document_chunks` of the
     documents not skipped, where a job has them written already.
     """
@@ -325,7 +350,6 @@ def write_gated(
     gated: DataFrame,
     contents: DataFrame,
     pages: DataFrame,
-    known: DataFrame,
     settings: Settings,
     root: str,
     work: str,
@@ -339,7 +363,7 @@ def write_gated(
     routed = kept(spark, route_documents(gated.where(~F.col("skipped")), contents, settings), f"{work}/routed")
     parts = writers.append_chunks(spark, document_chunks(routed, pages, settings), root, settings.chunk_prefix, f"{work}/chunks")
     records, _ = ingest_documents(
-        gated, known, contents, pages, settings, extractor=extractor, routed=routed, chunks=parts
+        gated, None, contents, pages, settings, extractor=extractor, routed=routed, chunks=parts
     )
     records = kept(spark, records, f"{work}/records")
     staged = writers.stage_documents(spark, records, root)
@@ -377,13 +401,30 @@ def run_ingest(
     docs = kept(spark, docs, f"{work}/discovered")
     if inputs.errors is not None:
         check_discovery(inputs.requests, docs, inputs.errors)
-    gated = kept(spark, gate_documents(docs, inputs.names, inputs.known), f"{work}/gated")
-    done = write_gated(
-        spark, gated, inputs.contents, inputs.pages, inputs.known, settings, root, work, extractor
-    )
-    outcomes = stored_outcomes(docs, inputs.names).unionByName(
-        document_outcomes(with_success(gated, done))
-    )
+    firsts = kept(spark, first_documents(docs, inputs.names), f"{work}/firsts")
+    stored = stored_outcomes(docs, inputs.names)
+    return finish_run(spark, firsts, stored, rejected, inputs, settings, root, work, extractor)
+
+
+def finish_run(
+    spark: SparkSession,
+    firsts: DataFrame,
+    stored: DataFrame,
+    rejected: DataFrame,
+    inputs: Inputs,
+    settings: Settings,
+    root: str,
+    work: str,
+    extractor: Extractor | None = None,
+) -> DataFrame:
+    """Gate 2, extraction and sinks of written first documents; the summary, kept below ``runs/``.
+
+    ``stored`` are outcome rows of what gate 1 found. The work folder is removed at the end.
+    """
+    known = inputs.known(firsts) if callable(inputs.known) else inputs.known
+    gated = kept(spark, mark_known(firsts, known), f"{work}/gated")
+    done = write_gated(spark, gated, inputs.contents, inputs.pages, settings, root, work, extractor)
+    outcomes = stored.unionByName(document_outcomes(with_success(gated, done)))
     summary = run_summary(request_keys(inputs.requests), outcomes, inputs.errors)
     run = f"{root}/runs/{work.rsplit('/', 1)[-1]}"
     kept(spark, rejected, f"{run}/rejected")
@@ -422,15 +463,18 @@ def load_and_promote(
 ) -> DataFrame:
     """Load each family's staged rows into its table, log them, move them to prod.
 
-    Rows an interrupted run has loaded already are not loaded twice. Returns the
-    (source_kind, document_id) that made it, kept in ``ids_path``.
+    Rows an interrupted run has loaded already are not loaded twice: the id index is brought
+    up to the table's version first. Returns the (source_kind, document_id) that made it,
+    kept in ``ids_path``.
     """
     for family in DEFAULT_SOURCES:
         rows = writers.read_staged(spark, staged[family], family)
-        new = rows.join(writers.loaded_ids(spark, root, family), "document_id", "left_anti")
         table = writers.table_path(root, family)
-        writers.append_load(new, table)
-        writers.append_load_log(rows, writers.TABLES[family], f"{root}/load_log")
+        id_index.cover(spark, root, family, table)
+        known = id_index.lookup(spark, root, family, rows.select("document_id"))
+        writers.append_load(spark, rows.join(known, "document_id", "left_anti").select(*rows.columns), table)
+        id_index.cover(spark, root, family, table)
+        writers.append_load_log(rows, family, f"{root}/load_log")
         rows.select(F.lit(family).alias("source_kind"), "document_id").write.mode(
             "append"
         ).parquet(ids_path)

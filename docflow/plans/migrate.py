@@ -137,9 +137,8 @@ def execute_migration(
         writers.rewrite_prod(spark, rows, root)
     prod = writers.read_prod(spark, root, FILINGS)
     if not skip_load:
-        loaded = prod.join(rows.select("document_id"), "document_id", "left_semi")
-        known = writers.loaded_ids(spark, root, FILINGS)
-        writers.append_load(loaded.join(known, "document_id", "left_anti"), target)
+        writers.create_filings_table(spark, prod, target)
+        writers.bulk_load(spark, [writers.prod_path(root, FILINGS)], target, among=rows)
     counted = prod if skip_load else writers.loaded_ids(spark, root, FILINGS)
     return MigrationReport(
         table_row_count(counted),

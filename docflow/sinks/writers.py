@@ -1,8 +1,8 @@
 """Writers: stage, load, promote, load log, tables and chunk parts.
 
 Keys are columns, not file names: one file per document would give billions of
-tiny objects. Files are shaped by a ``rebalance`` on the partition column, which
-lets AQE merge small partitions and split a date that holds most of the rows.
+tiny objects. Stage, prod and the tables are versioned (:mod:`docflow.sinks.versions`):
+every write is one commit.
 """
 
 from __future__ import annotations
@@ -24,19 +24,20 @@ from docflow.functions.layout import (
     STAGE_FILINGS,
     STAGE_METADATA,
     chunk_key,
+    metadata_stage_key,
 )
 from docflow.operators.records import (
     add_filing_columns,
     cast_stage_types,
-    evolve_schema,
     family_records,
 )
 from docflow.schemas import ARTICLE_RECORD, FILING_RECORD, INDEX_COLUMN, METADATA_ROW
-from docflow.session import work_dir
+from docflow.sinks import versions
 from docflow.sources.readers import path_exists
 
 CLUSTERING = ("company_ticker", "document_type")  # fixed value
-LOG_ROWS_PER_LINE = 1000
+# Files are cut by bytes; their rows are in this order, so a date or ticker prunes files.
+SORTED = ("date", *CLUSTERING)
 STAGE_FOLDERS = {ARTICLES: STAGE_ARTICLES + "documents", FILINGS: STAGE_FILINGS.rstrip("/")}
 PROD_FOLDERS = {ARTICLES: PROD_ARTICLES + "documents", FILINGS: PROD_FILINGS.rstrip("/")}
 
@@ -49,30 +50,15 @@ def _join(root: str, key: str) -> str:
     return f"{root.rstrip('/')}/{key}"
 
 
+def prod_path(root: str, family: str) -> str:
+    return _join(root, PROD_FOLDERS[family])
+
+
 def table_path(root: str, family: str) -> str:
     """Folder of a family's warehouse table; the three families never share one."""
     return _join(root, f"tables/{TABLES[family]}")
 
 
-DATE = ("date",)
-METADATA_FOLDERS = ("provider", "ticker", "year")
-
-
-def _write(
-    df: DataFrame, path: str, mode: str, folders: tuple[str, ...] = DATE,
-    replace_folders: bool = False,
-) -> None:
-    writer = (
-        df.hint("rebalance", *folders)
-        .sortWithinPartitions(*folders, *[c for c in CLUSTERING if c in df.columns])
-        .write.mode(mode)
-        .partitionBy(*folders)
-    )
-    if replace_folders:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
-
-
 def latest_per_key(
     rows: DataFrame, keys: tuple[str, ...], order: str = "ingestion_timestamp"
 ) -> DataFrame:
@@ -89,55 +75,9 @@ def latest_per_key(
     )
 
 
-def upsert(
-    spark: SparkSession, new: DataFrame, path: str, key: str,
-    folders: tuple[str, ...] = DATE,
-) -> None:
-    """Write rows so that a key has one row, the new one, in whatever folder it was.
-
-    New rows are appended; only folders that hold an older row of one of the keys are
-    rewritten, so a large folder is left alone until one of its rows changes. Both
-    parts are written to the work folder first: rows are computed once, and a commit
-    that is lost half-way leaves them there. Doing it again gives the same rows.
-    """
-    work = work_dir(spark, "upsert")
-    latest_per_key(new, (key,)).write.parquet(f"{work}/new")
-    new = spark.read.schema(new.schema).parquet(f"{work}/new")
-    names = list(folders)
-    if not path_exists(spark, f"{path}/{folders[0]}=*"):
-        _write(new, path, "append", folders)
-    else:
-        old = _read_folders(spark, path, new, folders)
-        stale = old.join(new.select(key), key, "left_semi").select(*names).distinct()
-        stale.write.parquet(f"{work}/stale")
-        stale = spark.read.schema(stale.schema).parquet(f"{work}/stale")
-        kept = old.join(stale, names, "left_semi").join(new.select(key), key, "left_anti")
-        rewritten = new.join(stale, names, "left_semi").unionByName(kept, allowMissingColumns=True)
-        rewritten.write.parquet(f"{work}/rewritten")
-        rewritten = spark.read.schema(rewritten.schema).parquet(f"{work}/rewritten")
-        _write(rewritten, path, "overwrite", folders, replace_folders=True)
-        _write(new.join(stale, names, "left_anti"), path, "append", folders)
-        emptied = stale.join(rewritten.select(*names).distinct(), names, "left_anti")
-        for row in emptied.collect():  # folder names
-            delete_path(spark, f"{path}/" + "/".join(f"{n}={_folder_value(row[n])}" for n in names))
-    delete_path(spark, work)
-
-
-def _folder_value(value: object) -> str:
-    """A partition value as Spark names its folder."""
-    unsafe = set('"#%\'*/:=?\\{}[]^') | {chr(i) for i in range(1, 32)} | {chr(127)}
-    return "".join(f"%{ord(c):02X}" if c in unsafe else c for c in str(value))
-
-
-def _read_folders(
-    spark: SparkSession, path: str, like: DataFrame, folders: tuple[str, ...]
-) -> DataFrame:
-    """Stored rows with all stored columns, those ``like`` has in its types.
-
-    Folder values are read in their declared type, not as Spark would guess it.
-    """
-    extra = [f for f in spark.read.parquet(path).schema if f.name not in like.columns]
-    return spark.read.schema(T.StructType([*like.schema.fields, *extra])).parquet(path)
+def upsert(spark: SparkSession, new: DataFrame, path: str, key: str) -> None:
+    """Commit rows so that a key has one row, the new one, whatever its date."""
+    versions.upsert(spark, latest_per_key(new, (key,)), path, key, SORTED)
 
 
 def stage_documents(spark: SparkSession, records: DataFrame, root: str) -> dict[str, str]:
@@ -151,75 +91,68 @@ def stage_documents(spark: SparkSession, records: DataFrame, root: str) -> dict[
 
 def _metadata_types(rows: DataFrame) -> DataFrame:
     declared = {f.name: f.dataType for f in METADATA_ROW}
-    typed = rows.select(*[F.col(n).cast(t).alias(n) for n, t in declared.items()])
-    return typed.withColumn("ticker", F.col("company_ticker"))
+    return rows.select(*[F.col(n).cast(t).alias(n) for n, t in declared.items()])
 
 
 def stage_company_metadata(spark: SparkSession, rows: DataFrame, root: str) -> str:
-    """Write metadata rows below ``provider=/ticker=/year=``; same id replaces."""
+    """Commit metadata rows to stage; same id replaces."""
     path = _join(root, STAGE_METADATA.rstrip("/"))
-    upsert(spark, _metadata_types(rows), path, "metadata_id", METADATA_FOLDERS)
+    upsert(spark, _metadata_types(rows), path, "metadata_id")
     return path
 
 
 def read_company_metadata_rows(spark: SparkSession, path: str) -> DataFrame:
     """Stored metadata rows, every column in its declared type."""
-    schema = T.StructType([*METADATA_ROW.fields, T.StructField("ticker", T.StringType())])
-    return spark.read.schema(schema).parquet(path).select(*METADATA_ROW.names)
+    return versions.read(spark, path, METADATA_ROW)
 
 
-def append_load(df: DataFrame, path: str) -> None:
-    """Append to a date-partitioned table folder; new columns are allowed.
-
-    Older files simply lack the new columns; :func:`read_loaded` merges them.
-    """
-    if "date" in df.columns:
-        _write(df, path, "append")
-    else:
-        df.write.mode("append").parquet(path)
+def append_load(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Append to a table; new columns are allowed, rows before them have nulls."""
+    versions.append(spark, df, path, SORTED)
 
 
 def read_loaded(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path)
-
+    return versions.read(spark, path)
 
-def append_to_table(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Append to a catalog table by column name, adding columns it lacks."""
-    existing = spark.table(table)
-    new = [f for f in df.schema if f.name not in existing.columns]
-    if new:
-        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
-        existing = spark.table(table)
-    aligned = existing.limit(0).unionByName(df, allowMissingColumns=True)
-    keys = [c for c in (*DATE, *CLUSTERING) if c in aligned.columns]
-    aligned.hint("rebalance", *keys[:1]).sortWithinPartitions(*keys).write.mode("append").insertInto(table)
 
+def bulk_load(spark: SparkSession, paths: list[str], table: str, among: DataFrame | None = None) -> bool:
+    """Load the rows of many staged paths that the table lacks, at once; an empty list does nothing.
 
-def bulk_load(spark: SparkSession, paths: list[str], table_path: str) -> bool:
-    """Load many staged paths at once; an empty list does nothing."""
-    if not paths:
+    The files of all paths, tables or folders of Parquet files, are one scan under the columns
+    of all; a column that a path lacks is null there. Two types of one column are an error.
+    ``among``: only rows with one of these document ids.
+    """
+    files: list[str] = []
+    schema = T.StructType([])
+    for path in paths:
+        version = versions.current(spark, path)
+        if version is not None:
+            files += [f"{path.rstrip('/')}/{f}" for f in version.files]
+            schema = versions.merged_schema(schema, version.schema)
+    plain = [p for p in paths if versions.current(spark, p) is None and path_exists(spark, p)]
+    if plain:  # one distributed pass over the footers of all
+        files += plain
+        schema = versions.merged_schema(schema, spark.read.option("mergeSchema", True).parquet(*plain).schema)
+    if not files:
         return False
-    append_load(evolve_schema([read_loaded(spark, path) for path in paths]), table_path)
+    rows = spark.read.schema(schema).parquet(*files)
+    if among is not None:
+        rows = rows.join(among.select("document_id"), "document_id", "left_semi")
+    if "document_id" in schema.names and versions.current(spark, table) is not None:
+        stored = versions.read(spark, table, T.StructType([T.StructField("document_id", T.StringType())]))
+        rows = rows.join(stored, "document_id", "left_anti")
+    append_load(spark, rows.select(*schema.names), table)
     return True
 
 
-def create_filings_table(
-    spark: SparkSession, source: DataFrame, table: str, location: str | None = None
-) -> None:
+def create_filings_table(spark: SparkSession, source: DataFrame, table: str) -> None:
     """Create the filings table if absent; an existing one is left as it is.
 
-    Columns are the source's without the index column, plus the filing columns
-    it lacks; partitioned by ``date``. :func:`append_to_table` keeps it clustered by
-    sorting what it writes.
+    Columns are the source's without the index column, plus the filing columns it lacks, each
+    in its declared type; rows will be sorted by date and the clustering columns in each file.
     """
-    shape = add_filing_columns(source.drop(INDEX_COLUMN)).schema
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shape)
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY (date){place}"
-    )
+    shape = cast_stage_types(add_filing_columns(source.drop(INDEX_COLUMN)), FILING_RECORD).schema
+    versions.create(spark, table, shape)
 
 
 def rewrite_prod(spark: SparkSession, rows: DataFrame, root: str) -> str:
@@ -259,14 +192,17 @@ def append_chunks(
     keyed = _keyed_chunks(chunks, prefix, "document_id")
     keyed.write.parquet(work)
     new = spark.read.schema(keyed.schema).parquet(work)
-    fresh = new
-    if path_exists(spark, path):
-        stored = spark.read.schema("key string").parquet(path)
-        fresh = new.join(stored, "key", "left_anti").select(*new.columns)
-    fresh.hint("rebalance").write.mode("append").parquet(path)
+    stored = versions.read(spark, path, T.StructType([T.StructField("key", T.StringType())]))
+    fresh = new.join(stored, "key", "left_anti").select(*new.columns)
+    versions.append(spark, fresh, path, ("key",))
     return new.select("document_id", "chunk_no", F.col("content").alias("chunk_text"))
 
 
+def read_chunks(spark: SparkSession, root: str, prefix: str) -> DataFrame:
+    """Chunk parts of all runs: document_id, chunk_no, key, content."""
+    return versions.read(spark, _join(root, prefix.strip("/")))
+
+
 def _log_value(field: T.StructField) -> Column:
     """Dates and times as ISO texts with milliseconds."""
     c = F.col(field.name)
@@ -279,77 +215,68 @@ def _log_value(field: T.StructField) -> Column:
 
 def read_staged(spark: SparkSession, path: str, family: str) -> DataFrame:
     """Staged records of a family; no rows where nothing is staged."""
-    return spark.read.schema(RECORDS[family]).parquet(path)
+    return versions.read(spark, path, RECORDS[family])
 
 
 def loaded_ids(spark: SparkSession, root: str, family: str) -> DataFrame:
     """Document ids of a family's table; empty where the table does not exist yet."""
-    path = table_path(root, family)
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], "document_id string")
-    return spark.read.schema("document_id string").parquet(path)
+    only = T.StructType([T.StructField("document_id", T.StringType())])
+    return versions.read(spark, table_path(root, family), only)
 
 
 def read_prod(spark: SparkSession, root: str, family: str) -> DataFrame:
     """A family's prod records with every stored column; no rows where there are none."""
     path = _join(root, PROD_FOLDERS[family])
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], RECORDS[family])
-    return _read_folders(spark, path, spark.createDataFrame([], RECORDS[family]), DATE)
+    version = versions.current(spark, path)
+    return versions.read(spark, path, RECORDS[family] if version is None else version.schema)
 
 
-def load_log_lines(
-    rows: DataFrame, table_id: str, rows_per_line: int = LOG_ROWS_PER_LINE
-) -> DataFrame:
-    """JSON log lines of a load: table, file, row count and the rows.
+def _stage_object(family: str) -> Column:
+    """Key of the stage object that a stored row stands for."""
+    if family == METADATA:
+        return metadata_stage_key()
+    file = F.concat(F.col("document_id"), F.lit(".parquet"))
+    if family == FILINGS:
+        return F.concat(F.lit(STAGE_FILINGS + "date="), F.col("date").cast("string"), F.lit("/"), file)
+    return F.concat(F.lit(STAGE_ARTICLES), file)
+
 
-    A load is one Parquet file. Its rows are logged in lines of at most
-    ``rows_per_line``, by their stored row number, so a line is bounded however large
-    the file. ``row_count`` counts the line's own rows, so counts add up to the load;
-    ``part_no`` numbers a file's lines from 0. ``rows`` must be a direct Parquet read.
+def load_log_lines(rows: DataFrame, family: str, bucket: str = "b") -> DataFrame:
+    """JSON log lines, one a load: table, staged object, row count and the rows.
+
+    A load is one staged object, and an object one document or metadata row, so lines need no
+    grouping and no line grows with the run.
     """
     values = [_log_value(f) for f in sorted(rows.schema.fields, key=lambda f: f.name)]
-    located = rows.select(
-        F.col("_metadata.file_path").alias("source_uri"),
-        F.col("_metadata.row_index").alias("_row"),
-        F.struct(*values).alias("_value"),
-    ).withColumn("part_no", F.floor(F.col("_row") / rows_per_line))
-    lines = located.groupBy("source_uri", "part_no").agg(
-        F.count("*").alias("row_count"),
-        F.sort_array(F.collect_list(F.struct("_row", "_value"))).alias("_rows"),
-    )
-    return lines.select(
+    return rows.select(
         F.to_json(
             F.struct(
-                "part_no",
-                "row_count",
-                F.transform("_rows", lambda r: r["_value"]).alias("rows"),
-                "source_uri",
-                F.lit(table_id).alias("table_id"),
+                F.lit(1).cast("long").alias("row_count"),
+                F.array(F.struct(*values)).alias("rows"),
+                F.concat(F.lit(f"gs://{bucket}/"), _stage_object(family)).alias("source_uri"),
+                F.lit(TABLES[family]).alias("table_id"),
             ),
             {"ignoreNullFields": "false"},
         ).alias("value")
     )
 
 
-def append_load_log(
-    rows: DataFrame, table_id: str, log_path: str, rows_per_line: int = LOG_ROWS_PER_LINE
-) -> None:
-    load_log_lines(rows, table_id, rows_per_line).write.mode("append").text(log_path)
+def append_load_log(rows: DataFrame, family: str, log_path: str, bucket: str = "b") -> None:
+    load_log_lines(rows, family, bucket).write.mode("append").text(log_path)
 
 
 def promote(spark: SparkSession, root: str, family: str) -> str:
-    """Copy a family's staged records to prod, then delete them from stage.
+    """Commit a family's staged records to prod, then clear stage.
 
-    Stage is deleted only after the prod write has committed; a failure in
-    between leaves both, and promoting again gives the same prod rows.
+    Stage is cleared only after prod has committed; a failure in between leaves both, and
+    promoting again gives the same prod rows.
     """
     if family not in STAGE_FOLDERS:
         raise ValueError(f"unsupported stage family: {family!r}")
     stage, prod = _join(root, STAGE_FOLDERS[family]), _join(root, PROD_FOLDERS[family])
-    if path_exists(spark, stage):
+    if versions.current(spark, stage) is not None:
         upsert(spark, read_staged(spark, stage, family), prod, "document_id")
-        delete_path(spark, stage)
+        versions.clear(spark, stage)
     return prod
 
 
@@ -357,10 +284,9 @@ def promote_metadata(spark: SparkSession, root: str) -> str:
     """Metadata objects follow the general stage rule to the prod prefix."""
     stage = _join(root, STAGE_METADATA.rstrip("/"))
     prod = stage.replace(_join(root, STAGE_ARTICLES), _join(root, PROD_ARTICLES), 1)
-    if path_exists(spark, stage):
-        rows = _metadata_types(read_company_metadata_rows(spark, stage))
-        upsert(spark, rows, prod, "metadata_id", METADATA_FOLDERS)
-        delete_path(spark, stage)
+    if versions.current(spark, stage) is not None:
+        upsert(spark, read_company_metadata_rows(spark, stage), prod, "metadata_id")
+        versions.clear(spark, stage)
     return prod
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
-from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docflow.functions.items import item_fields
+from docflow.schemas import ITEM
+from docflow.sinks import versions
+from docflow.sources import json_values
 
 # Company context comes from the landing folders:
 # .../company_ticker=<T>/year=<Y>/<response files>
@@ -63,44 +65,81 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def whole_value(text: Column) -> Column:
+    """A text that is one JSON value, as VARIANT; null if it is none or if more follows."""
+    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<variant>")
+    return F.when(F.array_size(wrapped) == 1, wrapped[0])
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The whole, encoded address of a path, as files below it are named."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.makeQualified(jvm_path).toUri().toString()
+
+
 def explode_items(lines: DataFrame) -> DataFrame:
     """One row per discovery item: its read fields ``item`` and its number.
 
-    A text is a JSON array of items or one item. Unreadable text becomes one
-    null item, which validation rejects, so nothing disappears silently. The
-    fields are taken inside the explode: later filters work on the result and
+    A text is a JSON array of items or one item. Any other text, also one with several
+    values in a row, becomes one null item, which validation rejects, so nothing disappears
+    silently. The fields are taken inside the explode: later filters work on the result and
     never parse again.
     """
-    parsed = F.coalesce(
-        F.from_json("value", "array<variant>"), F.array(F.try_parse_json("value"))
-    )
+    value = whole_value(F.col("value"))
+    parsed = F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array(value))
     items = F.transform(parsed, item_fields)
     rest = [c for c in lines.columns if c != "value"]
     filled = lines.where(F.col("value").rlike(r"\S"))
     return filled.select(*rest, F.posexplode(items).alias("item_no", "item"))
 
 
-def parse_items(lines: DataFrame) -> DataFrame:
-    """Items of landed texts with their exact position ``pos``."""
-    return (
-        explode_items(lines)
-        .withColumn("pos", F.struct("line_pos.*", "item_no"))
-        .drop("line_pos", "item_no")
-    )
+def cut_items(cut: DataFrame) -> DataFrame:
+    """Items of values that were cut out of landed texts, with their exact position ``pos``.
 
+    Text that is no object gives a null item for each of its values, or one if it cannot be
+    read; separators alone give none.
+    """
+    text = F.col("text").cast("string")
+    other = F.btrim(text, F.lit(" \t\r\n,[]\ufeff"))
+    values = F.array_size(F.from_json(F.concat(F.lit("["), other, F.lit("]")), "array<variant>"))
+    count = F.when(other == "", F.lit(0)).otherwise(F.coalesce(values, F.lit(1)))
+    none = F.lit(None).cast(f"struct<{ITEM}>")
+    items = F.when(
+        F.col("kind") == json_values.ITEM, F.array(item_fields(F.try_parse_json(text)))
+    ).otherwise(F.array_repeat(none, count))
+    place = [c for c in ("file", "split_start", "line") if c in cut.columns]
+    rest = [c for c in cut.columns if c not in (*place, "kind", "text", "at")]
+    return cut.select(*rest, F.struct(*place, "at").alias("pos"), F.explode(items).alias("item"))
+
+
+def read_items(spark: SparkSession, path: str, context: str = CONTEXT, whole_file: bool = True) -> DataFrame:
+    """Items of landed files: objects, arrays of them, several in a row, or a line each.
+
+    Files of any size are cut in parallel. With ``whole_file`` off a value may not span
+    lines, and what cannot be read in a line does not touch the next.
+    """
+    if whole_file:
+        if not path_exists(spark, path):
+            return cut_items(_nothing_cut(spark, context))
+        return cut_items(json_values.cut_files(spark, [path], context))
+    lines = text_lines(spark, path, context).withColumn("line", F.monotonically_increasing_id())
+    return cut_items(json_values.cut_texts(lines))
 
-def read_articles(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
-    """Landed article discovery responses as items with company context.
 
-    A response is a file of its own unless ``whole_file`` is off: then every line is a
-    response or an item, and files of any size are read in parallel.
-    """
-    return parse_items(landed_text(spark, path, whole_file=whole_file))
+def _nothing_cut(spark: SparkSession, context: str) -> DataFrame:
+    columns = "file string, split_start long, kind int, at long, text binary"
+    return spark.createDataFrame([], f"{context}, {columns}" if context else columns)
+
+
+def read_articles(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
+    """Landed article discovery responses as items with company context."""
+    return read_items(spark, path, whole_file=whole_file)
 
 
 def read_filings(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
     """Landed filing discovery responses; the same reader takes the wider item."""
-    return parse_items(landed_text(spark, path, whole_file=whole_file))
+    return read_items(spark, path, whole_file=whole_file)
 
 
 def read_company_metadata(
@@ -114,24 +153,29 @@ def read_company_metadata(
     lines = text_lines(spark, path, "company_ticker string, year int, provider string", whole_file)
     return lines.where(F.col("value").rlike(r"\S")).select(
         "company_ticker", "year", "provider", F.col("value").alias("body"),
-        F.try_parse_json("value").alias("response"),
+        whole_value(F.col("value")).alias("response"),
     )
 
 
 def read_holdings(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Holdings lines (file_no, line_no, ticker, name) of an ordered list of files.
 
-    All files are one read. A file's number is the place of its path in the list, found
-    in the name of the file a line comes from.
+    All files are one read. A file's number is the place of its path, or of the folder it
+    lies in, in the list: the whole path counts, not a part of it.
     """
     lines = landed_text(spark, paths, context="")
     record = F.from_json("value", "ticker string, name string")
-    names = [F.lit(quote("/" + p.split("://", 1)[-1].strip("/"), safe="/:=+,@!$&'()*;~")) for p in paths]
-    place = F.array_position(
-        F.transform(F.array(*names), lambda name: F.col("line_pos.file").contains(name)), F.lit(True)
+    scheme = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
+    numbers: dict[str, int] = {}
+    for number, path in enumerate(paths):
+        numbers.setdefault(re.sub(scheme, r"\1:/", _qualified(spark, path)), number)
+    known = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])
+    file = F.regexp_replace("line_pos.file", scheme, "$1:/")
+    place = F.coalesce(
+        F.try_element_at(known, file), F.try_element_at(known, F.regexp_replace(file, "/[^/]*$", ""))
     )
     return lines.where(F.col("value").rlike(r"\S")).select(
-        (place - 1).cast("int").alias("file_no"),
+        place.cast("int").alias("file_no"),
         F.col("line_pos").alias("line_no"),
         record["ticker"].alias("ticker"),
         record["name"].alias("name"),
@@ -188,8 +232,9 @@ def raw_texts(raw: DataFrame) -> DataFrame:
     return raw.select("path", "n_bytes", F.decode("content", "UTF-8").alias("text"))
 
 
-def read_stage(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    return spark.read.option("mergeSchema", merge_schema).parquet(path)
+def read_stage(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a staged or promoted table, of its newest version."""
+    return versions.read(spark, path)
 
 
 def read_table(spark: SparkSession, name: str, where: str = "true", **args) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from docflow.config import Settings
 from docflow.plans import ingest
 from docflow.schemas import ARTICLE_RECORD, METADATA_ROW
-from docflow.sinks import writers
+from docflow.sinks import versions, writers
 from docflow.sources import readers
 from docflow.streaming.ingest_stream import ingest_stream
 
@@ -44,11 +44,10 @@ def test_landed_responses_keep_order_context_and_bad_texts(spark, tmp_path):
     put(root / "company_ticker=B%3A" / "year=2023" / "a.json", '{"title":"c"}')
     put(root / "company_ticker=Z" / "year=2023" / "a.json", "not json")
     put(root / "company_ticker=Y" / "year=2023" / "a.json", "[]")
-    got = readers.read_articles(spark, str(root), whole_file=True).orderBy("pos").select(
-        "company_ticker", "year", F.try_variant_get("item.title", "$", "string"), "pos.item_no"
+    got = readers.read_articles(spark, str(root)).orderBy("company_ticker", "pos").select(
+        "company_ticker", "year", F.try_variant_get("item.title", "$", "string")
     )
-    rows = [tuple(r) for r in got.collect()]
-    assert sorted(rows, key=str) == sorted([("01", 2024, "a", 0), ("01", 2024, "b", 1), ("B:", 2023, "c", 0), ("Z", 2023, None, 0)], key=str)
+    assert [tuple(r) for r in got.collect()] == [("01", 2024, "a"), ("01", 2024, "b"), ("B:", 2023, "c"), ("Z", 2023, None)]
     assert readers.read_filings(spark, str(tmp_path / "nothing")).count() == 0
 
 
@@ -64,6 +63,19 @@ def test_lines_keep_their_order_over_many_splits(spark, tmp_path):
     assert [r["name"] for r in rows] == [None, "y"] + [str(i) for i in range(3000)]
 
 
+def test_holdings_files_are_told_apart_by_their_whole_path(spark, tmp_path):
+    names = ["h/a", "h/a2", "h/x", "z/h/x", "h a%/y"]
+    paths = []
+    for k, name in enumerate(names):
+        put(tmp_path / name, json.dumps({"ticker": f"T{k}", "name": name}) + "\n")
+        paths.append(str(tmp_path / name))
+    put(tmp_path / "folder" / "part-0", '{"ticker":"F","name":"in a folder"}')
+    for order in (paths, paths[::-1]):
+        listed = [*order, str(tmp_path / "folder")]
+        got = {r["name"]: r["file_no"] for r in readers.read_holdings(spark, listed).collect()}
+        assert got == {n: [*(p[len(str(tmp_path)) + 1 :] for p in order), "in a folder"].index(n) for n in [*names, "in a folder"]}
+
+
 def test_latest_snapshot(spark, tmp_path):
     for day in ("2026-05-11", "2026-05-12"):
         put(tmp_path / "m" / f"date={day}" / "companies.json", json.dumps([{"day": day}, {"day": "x"}]))
@@ -89,60 +101,88 @@ def test_stage_replaces_and_promote_moves(spark, tmp_path):
     late = TS + dt.timedelta(days=1)
     writers.stage_documents(spark, records(spark, ("a", "2026-01-01", "old", TS), ("a", "2026-01-01", "new", late), ("b", "2026-01-02", "b", TS)), root)
     paths = writers.stage_documents(spark, records(spark, ("b", "2026-01-02", "b2", late)), root)
-    assert titles(spark.read.parquet(paths["articles"])) == {"a": "new", "b": "b2"}
+    assert titles(readers.read_stage(spark, paths["articles"])) == {"a": "new", "b": "b2"}
     prod = writers.promote(spark, root, "articles")
     assert not readers.path_exists(spark, paths["articles"])
     writers.stage_documents(spark, records(spark, ("c", "2026-01-02", "c", late), ("a", "2026-01-03", "a3", late)), root)
     writers.promote(spark, root, "articles")
-    rows = spark.read.parquet(prod)
     # The article with a new date leaves its old one.
-    assert sorted((r["document_id"], r["title"], str(r["date"])) for r in rows.collect()) == [
+    assert sorted((r["document_id"], r["title"], str(r["date"])) for r in readers.read_stage(spark, prod).collect()) == [
         ("a", "a3", "2026-01-03"), ("b", "b2", "2026-01-02"), ("c", "c", "2026-01-02")
     ]
-    assert not readers.path_exists(spark, f"{prod}/date=2026-01-01")
     twice = records(spark, ("d", "2026-01-05", "one", TS), ("d", "2026-01-06", "two", TS), ("e", "2026-01-02", "e", TS))
-    before = {f.name for f in (tmp_path / "prod" / "knowledge" / "documents" / "date=2026-01-02").iterdir()}
+    before = set(versions.current(spark, prod).files)
     writers.stage_documents(spark, twice, root)
     writers.promote(spark, root, "articles")
-    assert titles(spark.read.parquet(prod)) == {"a": "a3", "b": "b2", "c": "c", "d": "two", "e": "e"}
-    # New documents are added to a folder without rewriting it.
-    assert before < {f.name for f in (tmp_path / "prod" / "knowledge" / "documents" / "date=2026-01-02").iterdir()}
+    assert titles(readers.read_stage(spark, prod)) == {"a": "a3", "b": "b2", "c": "c", "d": "two", "e": "e"}
+    # New documents are added without writing others again.
+    assert before < set(versions.current(spark, prod).files)
     assert prod.endswith("prod/knowledge/documents")
     with pytest.raises(ValueError):
         writers.promote(spark, root, "other")
 
 
+def test_promotion_that_ends_half_way_is_done_again(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    paths = writers.stage_documents(spark, records(spark, ("a", "2026-01-01", "a", TS)), root)
+    monkeypatch.setattr(versions, "clear", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        writers.promote(spark, root, "articles")
+    monkeypatch.undo()
+    assert titles(readers.read_stage(spark, paths["articles"])) == {"a": "a"}
+    prod = writers.promote(spark, root, "articles")
+    assert titles(readers.read_stage(spark, prod)) == {"a": "a"} and not readers.path_exists(spark, paths["articles"])
+
+
 def test_append_adds_columns(spark, tmp_path):
     path = str(tmp_path / "t")
     day = F.lit("2026-01-01").cast("date")
-    writers.append_load(spark.range(2).withColumn("date", day), path)
-    writers.append_load(spark.range(1).withColumn("date", day).withColumn("cik", F.lit("1")), path)
+    writers.append_load(spark, spark.range(2).withColumn("date", day), path)
+    writers.append_load(spark, spark.range(1).withColumn("date", day).withColumn("cik", F.lit("1")), path)
     assert sorted(str(r["cik"]) for r in writers.read_loaded(spark, path).collect()) == ["1", "None", "None"]
-    assert not writers.bulk_load(spark, [], path)
 
 
-def test_load_log_lines_are_bounded_and_add_up(spark, tmp_path):
-    path = str(tmp_path / "p")
-    spark.range(10).coalesce(1).select("id", F.lit(TS).alias("at"), F.lit(dt.date(2024, 12, 31)).alias("d"), F.lit(None).cast("string").alias("n")).write.parquet(path)
-    writers.append_load_log(spark.read.parquet(path), "documents", str(tmp_path / "log"), rows_per_line=4)
-    lines = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "log")).collect()]
-    assert sorted((line["part_no"], line["row_count"], len(line["rows"])) for line in lines) == [(0, 4, 4), (1, 4, 4), (2, 2, 2)]
-    assert {line["table_id"] for line in lines} == {"documents"}
-    assert sorted(row["id"] for line in lines for row in line["rows"]) == list(range(10))
-    assert list(lines[0]) == sorted(lines[0]) and list(lines[0]["rows"][0]) == ["at", "d", "id", "n"]
-    assert lines[0]["rows"][0]["at"] == "2026-01-01T00:00:00.000Z" and lines[0]["rows"][0]["n"] is None
+def test_bulk_load_is_one_scan_of_all_paths(spark, tmp_path):
+    table = str(tmp_path / "t")
+    assert not writers.bulk_load(spark, [], table)
+    paths = [str(tmp_path / f"s{k}") for k in range(6)]
+    for k, path in enumerate(paths[:4]):
+        rows = spark.createDataFrame([(f"d{k}", k)], "document_id string, n long")
+        writers.append_load(spark, rows if k % 2 else rows.withColumnRenamed("n", "m"), path)
+    spark.createDataFrame([("p4", "x")], "document_id string, cik string").write.parquet(paths[4])
+    spark.createDataFrame([("p5",)], "document_id string").write.parquet(paths[5])
+    assert writers.bulk_load(spark, paths[:5], table) and writers.bulk_load(spark, paths, table)
+    got = {r["document_id"]: (r["m"], r["n"], r["cik"]) for r in writers.read_loaded(spark, table).collect()}
+    assert got == {"d0": (0, None, None), "d1": (None, 1, None), "d2": (2, None, None), "d3": (None, 3, None), "p4": (None, None, "x"), "p5": (None, None, None)}
+    assert writers.read_loaded(spark, table).count() == 6
+    other = str(tmp_path / "o")
+    writers.bulk_load(spark, paths, other, among=spark.createDataFrame([("d2",), ("p4",)], "document_id string"))
+    assert sorted(r["document_id"] for r in writers.read_loaded(spark, other).collect()) == ["d2", "p4"]
+
+
+def test_a_load_is_one_log_line(spark, tmp_path):
+    rows = spark.range(3).select(
+        F.concat(F.lit("d"), "id").alias("document_id"), F.lit(TS).alias("at"), F.lit(dt.date(2024, 12, 31)).alias("date"), F.lit(None).cast("string").alias("n")
+    )
+    for family, folder in (("articles", "stage/knowledge"), ("edgar", "stage/edgar/v1/date=2024-12-31")):
+        writers.append_load_log(rows, family, str(tmp_path / family), "bucket")
+        lines = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / family)).collect()]
+        assert sorted(line["source_uri"] for line in lines) == [f"gs://bucket/{folder}/d{k}.parquet" for k in range(3)]
+        assert {line["table_id"] for line in lines} == {writers.TABLES[family]} and {line["row_count"] for line in lines} == {1}
+        assert list(lines[0]) == sorted(lines[0]) and list(lines[0]["rows"][0]) == ["at", "date", "document_id", "n"]
+        assert lines[0]["rows"][0]["at"] == "2026-01-01T00:00:00.000Z" and lines[0]["rows"][0]["n"] is None
 
 
 def test_filings_table_is_created_once(spark, tmp_path):
+    table = str(tmp_path / "w")
     source = records(spark, ("a", "2026-01-01", "t", TS)).drop("cik").withColumn("__index_level_0__", F.lit(1))
-    writers.create_filings_table(spark, source, "filings_once", str(tmp_path / "w"))
-    before = spark.table("filings_once").columns
-    assert "cik" in before and "__index_level_0__" not in before and before[-1] == "date"
-    writers.create_filings_table(spark, spark.range(1).withColumn("date", F.current_date()), "filings_once")
-    assert spark.table("filings_once").columns == before
-    writers.append_to_table(spark, source.drop("__index_level_0__").withColumn("extra", F.lit("e")), "filings_once")
-    assert spark.table("filings_once").head()["extra"] == "e"
-    spark.sql("DROP TABLE filings_once")
+    writers.create_filings_table(spark, source, table)
+    before = writers.read_loaded(spark, table)
+    assert "cik" in before.columns and "__index_level_0__" not in before.columns and before.count() == 0
+    writers.create_filings_table(spark, spark.range(1), table)
+    assert writers.read_loaded(spark, table).columns == before.columns
+    writers.append_load(spark, source.drop("__index_level_0__").withColumn("extra", F.lit("e")), table)
+    assert writers.read_loaded(spark, table).head()["extra"] == "e"
 
 
 def test_metadata_rows_keep_types_and_ids(spark, tmp_path):
@@ -193,18 +233,18 @@ def test_whole_ingest_job(spark, tmp_path):
     made = ingest.ingest_companies(inputs, SETTINGS)
     assert {r["company"]: r.asDict() for r in made.summary.collect()} == summary
     assert [(r["source_kind"], r["reject_reason"]) for r in made.rejected.collect()] == [("articles", "title")]
-    loaded = spark.read.parquet(writers.table_path(root, "articles"))
+    loaded = writers.read_loaded(spark, writers.table_path(root, "articles"))
     big = loaded.where("title = 'big'").head()
     # Three 16-byte pages against a 30-byte target.
     assert big["gemini_chunk_count"] == 3 and big["gemini_chunk_uris"][0].startswith("gs://b/stage/knowledge/gemini_chunks/")
-    parts = {r["key"]: r["content"] for r in spark.read.parquet(f"{root}/{SETTINGS.chunk_prefix}").collect()}
+    parts = {r["key"]: r["content"] for r in writers.read_chunks(spark, root, SETTINGS.chunk_prefix).collect()}
     assert set(big["gemini_chunk_uris"]) == {f"gs://b/{key}" for key in parts} and set(parts.values()) == {"Page words again"}
     assert spark.read.parquet(f"{root}/runs/*/rejected").count() == 1
-    filing = spark.read.parquet(writers.table_path(root, "edgar")).head()
+    filing = writers.read_loaded(spark, writers.table_path(root, "edgar")).head()
     assert filing["source_gcs_uri"].startswith("gs://b/source/edgar/BB/2024-03-01/com_bb_2024_") and filing["source_gcs_uri"].endswith(".htm")
     assert filing["filing_type"] == "10-K" and str(filing["date"]) == "2024-03-01"
     assert not readers.path_exists(spark, f"{root}/stage/edgar/v1")
-    assert spark.read.parquet(f"{root}/prod/edgar/v1").count() == 1
+    assert writers.read_prod(spark, root, "edgar").count() == 1
 
 
 def test_extraction_comes_after_the_gates_and_once(spark, tmp_path):
@@ -240,25 +280,50 @@ def test_an_interrupted_load_is_not_loaded_twice(spark, tmp_path):
     rows = records(spark, ("a", "2026-01-01", "t", TS))
     staged = writers.stage_documents(spark, rows, root)
     # Loaded, then lost before promotion: the rows are still in stage.
-    writers.append_load(writers.read_staged(spark, staged["articles"], "articles"), writers.table_path(root, "articles"))
+    writers.append_load(spark, writers.read_staged(spark, staged["articles"], "articles"), writers.table_path(root, "articles"))
     done = ingest.load_and_promote(spark, staged, root, f"{root}/ids")
     assert [r["document_id"] for r in done.collect()] == ["a"]
-    assert spark.read.parquet(writers.table_path(root, "articles")).count() == 1
-    assert spark.read.parquet(f"{root}/prod/knowledge/documents").count() == 1
+    assert writers.read_loaded(spark, writers.table_path(root, "articles")).count() == 1
+    assert writers.read_prod(spark, root, "articles").count() == 1
 
 
-def test_stream_takes_each_document_once(spark, tmp_path):
-    inputs = job_inputs(spark, tmp_path / "land")
+def landed_stream(spark, tmp_path, inputs):
+    """(land a response, start the stream and wait): titles in the table after each start."""
     landing, root = tmp_path / "in", str(tmp_path / "job")
-    body = json.dumps([{"title": f"t{i}", "url": f"u{i}", "filepath": f"d/f{i}.html"} for i in range(3)])
+
+    def land(name, *items):
+        put(landing / "source_kind=articles" / "company_ticker=AA" / "year=2024" / name, json.dumps(items))
 
     def run():
-        side = lambda: {"names": inputs.names.limit(0), "contents": inputs.contents, "pages": inputs.pages}
-        query = ingest_stream(spark, str(landing), root, str(tmp_path / "ckpt"), inputs.requests, side, SETTINGS)
-        query.awaitTermination()
-        return sorted(r["title"] for r in spark.read.parquet(writers.table_path(root, "articles")).collect())
-
-    put(landing / "source_kind=articles" / "company_ticker=AA" / "year=2024" / "r1.json", body)
-    assert run() == ["t0", "t1", "t2"]
-    put(landing / "source_kind=articles" / "company_ticker=AA" / "year=2024" / "r2.json", body)
-    assert run() == ["t0", "t1", "t2"]
+        side = lambda: {"names": inputs.names, "contents": inputs.contents, "pages": inputs.pages}
+        ingest_stream(spark, str(landing), root, str(tmp_path / "ckpt"), inputs.requests, side, SETTINGS).awaitTermination()
+        return sorted(r["title"] for r in writers.read_loaded(spark, writers.table_path(root, "articles")).collect())
+
+    return land, run, root
+
+
+def item(i, title=None, folder="d"):
+    return {"title": title or f"t{i}", "url": f"u{i}", "filepath": f"{folder}/f{i}.html"}
+
+
+def test_stream_takes_each_document_once(spark, tmp_path):
+    land, run, root = landed_stream(spark, tmp_path, job_inputs(spark, tmp_path / "land"))
+    land("r1.json", *[item(i) for i in range(4)], {"title": 3, "url": "x"})
+    assert run() == ["t0", "t2"]  # f1 is stored already, u3 failed
+    assert spark.read.parquet(f"{root}/runs/*/rejected").count() == 1
+    summary = spark.read.parquet(f"{root}/runs/*/summary").where("company = 'AA'").head()
+    assert (summary["discovered"], summary["processed"]) == (4, 2)
+    land("r2.json", *[item(i) for i in range(4)])
+    assert run() == ["t0", "t2"]
+
+
+def test_the_first_of_a_key_holds_across_restarts(spark, tmp_path):
+    land, run, _ = landed_stream(spark, tmp_path, job_inputs(spark, tmp_path / "land"))
+    land("r1.json", item(0, "first"), item(0, "second in the file", "e"))
+    assert run() == ["first"]
+    land("r2.json", item(0, "another of the key"), item(2))  # another document, the same key: no row
+    assert run() == ["first", "t2"]
+    land("r3.json", item(3, "failing"))
+    assert run() == ["first", "t2"]
+    land("r4.json", item(3, "other of its key"), item(3, "failing"))  # the first one may be tried again
+    assert run() == ["first", "t2"]

@@ -80,11 +80,11 @@ def test_execute(spark, tmp_path):
     report = migrate.execute_migration(spark, df, objects, root, "b", "b", **options)
     assert report.row_count.head()["row_count"] == 2 and tuple(report.counts.head()) == (2, 0)
     assert sorted(r["move"] for r in report.moves.collect()) == ["move", "move"] and report.by_date.count() == 2
-    table = {r["document_id"]: r for r in spark.read.parquet(f"{root}/tables/edgar").collect()}
+    table = {r["document_id"]: r for r in writers.read_loaded(spark, f"{root}/tables/edgar").collect()}
     assert table["d0"]["gemini_chunk_uris"] == ["gs://b/p1"] and table["d1"]["gemini_chunk_uris"] == []
     assert table["d1"]["source_gcs_uri"] == "gs://b/source/edgar/AA/2021-12-31/d1.htm"
     assert str(table["d1"]["date"]) == "2021-12-31" and table["d0"]["source_kind"] == "edgar"
-    assert "__index_level_0__" not in spark.read.parquet(f"{root}/prod/edgar/v1").columns
+    assert "__index_level_0__" not in writers.read_prod(spark, root, "edgar").columns
     skipped = migrate.execute_migration(spark, df, objects, str(tmp_path / "b"), "b", "b", skip_load=True, **options)
     assert skipped.row_count.head()["row_count"] == 2 and not readers.path_exists(spark, str(tmp_path / "b" / "tables"))
     with pytest.raises(FileNotFoundError):
@@ -97,13 +97,13 @@ def test_migration_keeps_other_rows_and_loads_once(spark, tmp_path):
     name = writers.PROD_FOLDERS["edgar"]
     old = [(i, "AA", DAY) for i in ("old1", "old2")] + [("keep", "AA", dt.date(2023, 1, 1))]
     rows_before = spark.createDataFrame(old, "document_id string, company_ticker string, date date")
-    rows_before.write.partitionBy("date").parquet(f"{root}/{name}")
-    writers.append_load(rows_before.where("document_id <> 'old2'"), writers.table_path(root, "edgar"))
+    writers.append_load(spark, rows_before, f"{root}/{name}")
+    writers.append_load(spark, rows_before.where("document_id <> 'old2'"), writers.table_path(root, "edgar"))
     df, objects = rows(spark, {"document_id": "mig"}), listing(spark, OLD + "d.htm")
     for _ in range(2):
         report = migrate.execute_migration(spark, df, objects, root, "b", "b", current_year=2026)
         assert ids(writers.read_prod(spark, root, "edgar")) == ["keep", "mig", "old1", "old2"]
-        assert ids(spark.read.parquet(writers.table_path(root, "edgar"))) == ["keep", "mig", "old1"]
+        assert ids(writers.read_loaded(spark, writers.table_path(root, "edgar"))) == ["keep", "mig", "old1"]
         assert report.row_count.head()["row_count"] == 3
     skipped = migrate.execute_migration(spark, rows(spark, {"document_id": "more"}), objects, root, "b", "b", skip_gcs=True, current_year=2026)
     assert skipped.row_count.head()["row_count"] == 3 and skipped.prod_uris.count() == 1
