@@ -66,7 +66,7 @@ select page_id as pos, 'T' || cast(page_id % 25 as varchar(9)) as company_ticker
    when page_id % 5 = 2 then ',"filepath":" data/shared/index.html "' else '' end
  || '}}' as item from pages""",
     "fx_filing_items": f"""
-select o_orderkey as pos, 'T' || cast(o_custkey as varchar(20)) as company_ticker,
+select o_orderkey as pos, 'T' || cast(1 + o_custkey % 100 as varchar(20)) as company_ticker,
  cast(2021 + (year(o_orderdate) - 1995) % 6 as int) as year,
  '{{"title":"Filing ' || o_orderpriority || '","url":"' || {_FILING_URL}
  || '","date":"' || substring(cast(cast(o_orderdate as date) as varchar(10)),1,10) || '"'

@@ -108,8 +108,14 @@ def _reject_reason(filing: bool) -> Column:
     return F.coalesce(*[F.when(bad, F.lit(name)) for name, bad in faults.items()])
 
 
-def mark_invalid(items: DataFrame, filing: bool = False) -> DataFrame:
-    """Add ``reject_reason``: the first field of the wrong type, null if fine."""
+def mark_invalid(items: DataFrame, filing: bool | None = False) -> DataFrame:
+    """Add ``reject_reason``: the first field of the wrong type, null if fine.
+
+    ``filing`` None: items of both families, told apart by ``source_kind``.
+    """
+    if filing is None:
+        both = F.when(F.col("source_kind") == FILINGS, _reject_reason(True))
+        return items.withColumn("reject_reason", both.otherwise(_reject_reason(False)))
     return items.withColumn("reject_reason", _reject_reason(filing))
 
 
@@ -126,9 +132,9 @@ def _item_date() -> Column:
     return F.when(field("item", "date").isNull(), F.col("year").cast("string")).otherwise(text)
 
 
-def _to_documents(items: DataFrame, source_kind: str, extra: dict[str, Column]) -> DataFrame:
+def _to_documents(items: DataFrame, source_kind: Column, extra: dict[str, Column]) -> DataFrame:
     none = F.lit(None).cast("string")
-    carried = [c for c in ("pos",) if c in items.columns]
+    carried = [c for c in ("pos", "reject_reason") if c in items.columns]
     typed = items.withColumn("type", document_type("item"))
     return normalize_document(
         typed.select(
@@ -145,7 +151,7 @@ def _to_documents(items: DataFrame, source_kind: str, extra: dict[str, Column])
             document_filepath("item", doc_type="type").alias("filepath"),
             F.lit(False).alias("downloaded"),
             none.alias("gcs_uri"),
-            F.lit(source_kind).alias("source_kind"),
+            source_kind.alias("source_kind"),
             *[extra.get(name, none).alias(name) for name in FILING_FIELDS],
         )
     )
@@ -153,7 +159,7 @@ def _to_documents(items: DataFrame, source_kind: str, extra: dict[str, Column])
 
 def articles_to_documents(items: DataFrame) -> DataFrame:
     """Valid article items (``item`` + company context) as documents."""
-    return _to_documents(items, ARTICLES, {})
+    return _to_documents(items, F.lit(ARTICLES), {})
 
 
 def filings_to_documents(items: DataFrame) -> DataFrame:
@@ -161,11 +167,27 @@ def filings_to_documents(items: DataFrame) -> DataFrame:
     items = items.withColumn(
         "company_id", default_company_id("company_id", "company_ticker")
     )
+    return _to_documents(items, F.lit(FILINGS), _filing_fields())
+
+
+def _filing_fields() -> dict[str, Column]:
     fields = {name: field_text("item", name) for name in FILING_FIELDS}
     fields["filing_type"] = F.coalesce(
         truthy_text("item", "filing_type"), field_text("item", "form")
     )
-    return _to_documents(items, FILINGS, fields)
+    return fields
+
+
+def items_to_documents(items: DataFrame) -> DataFrame:
+    """Items of both families, told apart by ``source_kind``, as documents in one pass.
+
+    ``reject_reason`` is kept where items have it: fields of a rejected item mean nothing.
+    """
+    filing = F.col("source_kind") == FILINGS
+    own_id = F.when(filing, default_company_id("company_id", "company_ticker"))
+    items = items.withColumn("company_id", own_id.otherwise(F.col("company_id")))
+    fields = {name: F.when(filing, value) for name, value in _filing_fields().items()}
+    return _to_documents(items, F.col("source_kind"), fields)
 
 
 def normalize_document(docs: DataFrame) -> DataFrame:
