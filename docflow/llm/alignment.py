@@ -25,6 +25,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -159,11 +160,12 @@ def align(texts: list[str], a: ByteLevel, pieces: Pieces) -> Aligned:
     sides = []
     for ids, table in ((all_a, a.texts), (all_b, pieces.texts)):
         offs = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
-        flat = np.fromiter((i for x in ids for i in x), np.int64, int(offs[-1]))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(offs[-1]))
         sides.append((flat, offs, np.cumsum(_lengths(table)[flat])))
     (ids_a, offs_a, ends_a), (ids_b, offs_b, ends_b) = sides
     # Both cover the same bytes, so between two neighbouring ends lies one token of each: a link.
-    ends = np.unique(np.concatenate([ends_a, ends_b]))
+    ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # two runs in order
+    ends = ends[np.append(ends[1:] != ends[:-1], True)] if len(ends) else ends
     link_a, link_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
     offs_l = np.searchsorted(link_a, offs_a)
     cut_a = np.zeros(len(ids_a), bool)
@@ -398,7 +400,8 @@ def aligned(index: DataFrame) -> DataFrame:
     counts = saved(counts, "pairs")
     tops = counts.groupBy("id_a").agg(F.max("count").alias("top"))  # a row for each id of A's vocabulary at most
     scored = counts.join(F.broadcast(tops), "id_a").select("pair", "count", (F.col("count") == F.col("top")).alias("is_best"))
-    postings = pairs.select("chunk", "pair", "docs", "planes").join(scored, "pair")
+    # Counts grow with the corpus: they are never broadcast, whatever their size.
+    postings = pairs.select("chunk", "pair", "docs", "planes").join(scored.hint("merge"), "pair")
     both = postings.unionByName(index.filter("pair is null").drop("pair", "n_docs", "docs", "planes"), allowMissingColumns=True)
     dealt = both.repartition("chunk").sortWithinPartitions("chunk", F.col("pair").isNull())
     sums = ", ".join(f"{c} long" for c in ["doc_id", *_EMPTY, "n_best", "count_sum"])

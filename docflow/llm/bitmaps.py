@@ -63,6 +63,7 @@ def merged(key: np.ndarray, data: np.ndarray, lens: np.ndarray) -> tuple[np.ndar
     """Bitmaps of equal key ORed together: the keys in order, their bitmaps and lengths."""
     owner, place = places_of(data, lens)
     distinct, group = np.unique(key, return_inverse=True)
-    both = np.unique(group[owner] * PLACES + place)
+    both = np.sort(group[owner] * PLACES + place)
+    both = both[np.append(both[1:] != both[:-1], True)] if len(both) else both
     counts = np.bincount(both // PLACES, minlength=len(distinct))
     return distinct, *packed(both % PLACES, counts)
