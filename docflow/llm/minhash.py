@@ -13,13 +13,19 @@ Sets with similarity s share none of the BANDS buckets with probability
 (1 - s ** ROWS) ** BANDS: 3e-6 at 4/5, and less above. This is the one loss of the method;
 more bands lower it.
 
-Stars. A bucket of n sets is not expanded into pairs. First every set meets the least id of
-all its buckets, which joins most copies. A bucket whose sets are then in one component is
-done. In the others some sets become centres of stars and meet the sets of other
-components, by the agreement of signatures and then by their full sets. A centre has then
-met all it can link to there and leaves the bucket. Each round has eight times as many
-centres a bucket, from the smallest components on, until all buckets are done. No candidate
-is dropped: every two sets of a bucket end in one component or have met.
+Stars. A bucket of n sets is not expanded into pairs. Every set meets the least id of all its
+buckets, by the agreement of signatures and then by their full sets, which joins most
+copies. A bucket whose sets are then in one component is done.
+
+Mixed buckets. Where several components are left in a bucket, its sets are dealt anew, and
+exactly, by shingles: in one order of all their shingles, rare ones first, two sets that
+link share one of the first n - 4n/5 + 1 of each, and behind the first shared one at least
+4/9 of both sizes must be left. A passage that many have in common stands last in that
+order, so it brings nothing together by itself. In these buckets some sets become centres
+of stars and meet the sets of other components. A centre has then met all it can link to
+there and leaves the bucket. Each round has sixteen times as many centres a bucket, from the
+smallest components on, until all buckets are done. No candidate is dropped: every two sets
+of a bucket end in one component or have met, or cannot link.
 
 Equal sets are one set throughout. Sets are compared by 64-bit hashes of shingles.
 """
@@ -40,6 +46,7 @@ ROWS, BANDS = 6, 42
 BINS = ROWS * BANDS
 PROBES = 64
 AGREE = 156  # bins in which two signatures agree at least if they are met by their sets: 202 expected at 4/5
+CENTRES = 16  # of a mixed bucket in its first round; each later one has so many times more
 SMALLEST = 4  # a set of fewer shingles links with equal ones only
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, bins binary"
 
@@ -174,25 +181,57 @@ def _linked(pairs: DataFrame, bins: DataFrame, texts: DataFrame) -> DataFrame:
     return out
 
 
-def _buckets(sets: DataFrame) -> DataFrame:
-    """(bucket, id, n, low) of buckets with two sets or more, low their least id; one of each
-    lot of buckets that hold the same sets."""
-    cells = sets.filter("bands is not null").select(F.explode("bands").alias("bucket"), "id", "n")
+def _shared(cells: DataFrame) -> DataFrame:
+    """(bucket, id, n, place, low): the cells (bucket, id, n, place) of buckets with two sets or
+    more, low their least id; of buckets that hold the same sets the one with the least places."""
     mark = F.xxhash64("id")
     sums = [F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("mark_a"), F.sum(F.shiftrightunsigned(mark, 32)).alias("mark_b")]
-    shared = cells.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("n").alias("size"), *sums)
-    one = shared.filter("low < high").groupBy("low", "high", "size", "mark_a", "mark_b").agg(F.min("bucket").alias("bucket"))
-    return cells.join(one.select("bucket", "low"), "bucket")
+    places = F.sum("place").alias("places")
+    shared = cells.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("n").alias("size"), places, *sums)
+    one = shared.filter("low < high").groupBy("low", "high", "size", "mark_a", "mark_b").agg(F.min(F.struct("places", "bucket")).alias("b"))
+    return cells.join(one.select("b.bucket", "low"), "bucket")
+
+
+def _buckets(sets: DataFrame) -> DataFrame:
+    """The shared cells of the sets' bands; a bucket of bands has no order, so all places are 0."""
+    cells = sets.filter("bands is not null").select(F.explode("bands").alias("bucket"), "id", "n", F.lit(0).cast("long").alias("place"))
+    return _shared(cells)
+
+
+def _shingled(batches: Batches) -> Batches:
+    """(id, text) -> (id, n, shingle) of every distinct shingle."""
+    for batch in batches:
+        for block in w.blocks(batch.column("text")):
+            sets = shingle_sets(block)
+            size = np.array([len(s) for s in sets], np.int64)
+            ids = batch.column("id").slice(block.first, block.n).to_numpy()
+            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            columns = [pa.array(np.repeat(ids, size)), pa.array(np.repeat(size, size)), pa.array(flat)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "shingle"])
+
+
+def _dealt_anew(texts: DataFrame) -> DataFrame:
+    """The shared cells of sets by the first of their shingles, rare ones first. Exact: sets that
+    link share one, and `place` is where each has it."""
+    every = saved(texts.mapInArrow(_shingled, "id long, n long, shingle long"), "shingles")
+    often = every.groupBy("shingle").agg(F.count("n").alias("often")).filter("often > 1")
+    known = every.join(often, "shingle", "left").fillna(1, ["often"])
+    order = F.expr("row_number() over (partition by id, n order by often, shingle)")
+    first = known.withColumn("place", (order - 1).cast("long")).filter(f"{OF} * (n - place) >= {NEAR} * n and often > 1")
+    return _shared(first.select(F.col("shingle").alias("bucket"), "id", "n", "place"))
 
 
 def _alike() -> F.Column:
-    return OF * F.least("n", "p_n") >= NEAR * F.greatest("n", "p_n")
+    """Whether sizes and places allow a link: of each set, what is behind its place must be
+    NEAR / (NEAR + OF) of both sizes together."""
+    left = F.least(F.col("n") - F.col("place"), F.col("p_n") - F.col("p_place"))
+    return (NEAR + OF) * left >= NEAR * (F.col("n") + F.col("p_n"))
 
 
 def _first_stars(members: DataFrame, sizes: DataFrame) -> DataFrame:
     """(u, v): each set of a bucket and the least id of its buckets, if their sizes allow a link."""
-    low = members.groupBy("id", "n").agg(F.min("low").alias("u")).filter("u < id")
-    centres = sizes.select(F.col("id").alias("u"), F.col("n").alias("p_n"))
+    low = members.groupBy("id", "n").agg(F.min("low").alias("u"), F.min("place").alias("place")).filter("u < id")
+    centres = sizes.select(F.col("id").alias("u"), F.col("n").alias("p_n"), F.lit(0).alias("p_place"))
     return low.join(centres, "u").filter(_alike()).select("u", F.col("id").alias("v"))
 
 
@@ -200,26 +239,36 @@ def _components_within(members: DataFrame, sets: DataFrame, texts: DataFrame) ->
     """(id, component) of all sets that link with another, from the buckets' members."""
     links = _linked(_first_stars(members, sets), sets, texts)
     comps = components(links)
-    members, centres = members.drop("low"), 1
+    forget(links)
+    members, centres = members.drop("low"), 0
     while True:
-        forget(links)
         known = members.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = known.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
         active = saved(known.join(mixed.filter("least < most").select("bucket"), "bucket"), "active")
         if active.isEmpty():
-            forget(active)
+            forget(active, members)
             return comps
-        cells = active.groupBy("bucket", "component").agg(F.min(F.struct(F.xxhash64("id"), "id", "n")).alias("p"), F.count("n").alias("size"))
+        if not centres:
+            some = active.select("id").distinct()
+            members, centres = saved(_dealt_anew(texts.join(some, "id", "left_semi")).drop("low"), "members"), CENTRES
+            forget(active)
+            continue
+        cells = active.groupBy("bucket", "component").agg(F.min(F.struct(F.xxhash64("id"), "id", "n", "place")).alias("p"), F.count("n").alias("size"))
         rank = F.expr("row_number() over (partition by bucket order by size, p.id)")
         chosen = cells.withColumn("rank", rank).filter(F.col("rank") <= centres)
-        chosen = saved(chosen.select("bucket", F.col("component").alias("p_component"), F.col("p.id").alias("p_id"), F.col("p.n").alias("p_n")), "centres")
+        chosen = saved(chosen.select("bucket", F.col("component").alias("p_component"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("id", "n", "place")]), "centres")
         met = active.join(chosen, "bucket").filter(_alike() & (F.col("component") != F.col("p_component")))
-        links = _linked(met.select(F.col("p_id").alias("u"), F.col("id").alias("v")).distinct(), sets, texts)
-        was, comps = comps, components(links.union(comps.select(F.col("id").alias("u"), F.col("component").alias("v"))))
+        met = saved(met.select(F.col("p_id").alias("u"), F.col("id").alias("v")).distinct(), "met")
+        if not met.isEmpty():
+            links = _linked(met, sets, texts)
+            if not links.isEmpty():
+                was, comps = comps, components(links.union(comps.select(F.col("id").alias("u"), F.col("component").alias("v"))))
+                forget(was)
+            forget(links)
         rest = active.join(chosen.select("bucket", F.col("p_id").alias("id")), ["bucket", "id"], "left_anti")
-        before, members = members, saved(rest.select("bucket", "id", "n"), "members")
-        forget(was, before, active, chosen)
-        centres *= 8
+        before, members = members, saved(rest.select("bucket", "id", "n", "place"), "members")
+        forget(before, active, chosen, met)
+        centres *= CENTRES
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -248,7 +297,7 @@ def classes(docs: DataFrame) -> DataFrame:
     texts = rows.withColumnRenamed("doc_id", "id").join(found.hint("merge"), "id", "left_semi").dropDuplicates()
     texts = saved(texts, "texts")
     comps = _components_within(members, bare, texts)
-    forget(texts, bare)
+    forget(texts, bare, members)
     out = whole.join(comps.select(F.col("id").alias("set_id"), "component"), "set_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "set_id", "doc_id").alias("component_id"))
 
