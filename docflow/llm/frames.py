@@ -46,6 +46,11 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def tidy(spark: SparkSession) -> None:
+    """From now on the session lets go of an execution's shuffles when it ends."""
+    spark.conf.set(_CLEANUP, "true")
+
+
 def forget(*tables: DataFrame | None) -> None:
     """Delete the folders of tables that `saved` returned; what was written from them stays.
 

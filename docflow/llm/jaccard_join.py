@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docflow.llm import words as w
 from docflow.llm.components import components
-from docflow.llm.frames import Batches, documents, saved
+from docflow.llm.frames import Batches, documents, forget, named, saved
 
 SHINGLE = 5
 NEAR, OF = 3, 4  # link when intersection / union >= 3/4
@@ -158,16 +158,75 @@ def _links(batches: Batches) -> Batches:
         yield pa.RecordBatch.from_arrays(kept.columns, names=["u", "v"])
 
 
+_SHARED = "cell long, doc_id long, place int, low long, high long, size long, mark_a long, mark_b long"
+
+
+def _of_two(batches: Batches) -> Batches:
+    """Rows in the order of (cell, doc_id) -> those of cells with two documents or more, and
+    behind them a row of the cell's marks (doc_id null). A document counts once in a cell; of
+    the cell at hand only the first row and the sums are kept from batch to batch."""
+    names = [x.split()[0] for x in _SHARED.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 5]
+    held: tuple[int, int, int] | None = None  # the first row of the cell at hand, while it is alone
+    marks = np.zeros(5, np.int64)  # of the cell at hand: low, high, size, two sums
+    cell = last = None
+
+    def table(columns: list) -> pa.RecordBatch:
+        n = len(columns[0])
+        full = [*columns, *[None] * (8 - len(columns))]
+        return pa.RecordBatch.from_arrays([pa.nulls(n, k) if c is None else pa.array(c, k) for c, k in zip(full, kinds, strict=True)], names=names)
+
+    def closed() -> Batches:
+        if cell is not None and marks[2] > 1:
+            yield table([[cell], None, None, *[[int(x)] for x in marks]])
+
+    for batch in batches:
+        cells, ids, places = (batch.column(c).to_numpy() for c in ("cell", "doc_id", "place"))
+        if not len(cells):
+            continue
+        new = np.ones(len(cells), bool)
+        new[1:] = (cells[1:] != cells[:-1]) | (ids[1:] != ids[:-1])
+        new[0] = cells[0] != cell or ids[0] != last
+        cells, ids, places = cells[new], ids[new], places[new]
+        if not len(cells):
+            continue
+        starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+        sizes = np.diff(np.append(starts, len(cells)))
+        hashed = ids.astype(np.uint64)
+        sums = [np.add.reduceat(w.mix(hashed ^ np.uint64(k)), starts).view(np.int64) for k in (0xA11, 0xB22)]
+        found = np.stack([ids[starts], ids[starts + sizes - 1], sizes, *sums], axis=1)
+        if cells[0] == cell:  # the cell at hand goes on
+            if held is not None:
+                yield table([[held[0]], [held[1]], [held[2]]])
+                held = None
+            found[:1, 2:] += marks[None, 2:]  # sums of hashes wrap
+            found[0, 0] = marks[0]
+        else:
+            yield from closed()
+            held = None
+        more = found[:, 2] > 1
+        rows = np.repeat(more, sizes)
+        done = np.flatnonzero(more[:-1])  # the last cell may go on
+        yield table([cells[rows], ids[rows], places[rows]])
+        if len(done):
+            yield table([cells[starts[done]], None, None, *found[done].T])
+        cell, last, marks = int(cells[-1]), int(ids[-1]), found[-1]
+        if not more[-1]:
+            held = (cell, int(ids[-1]), int(places[-1]))
+    yield from closed()
+
+
 def _regions(cells: DataFrame, classes: DataFrame) -> DataFrame:
-    """(region, id, n, place): the different sets of each region of two or more; n is the set's size."""
-    # Filters and columns that either reader would ask for stand before the exchange, so it is shared.
+    """(region, id, n, place): the different sets of each region of two or more; n is the set's size.
+
+    One pass over the cells in order finds those of two documents or more, and what tells
+    cells with the same documents: size, ends and two sums of hashes, which do not cancel.
+    """
     dealt = cells.filter("cell is not null and doc_id is not null").repartition("cell")
-    # Rows of a document may be repeated: in a sum, unlike an xor, they do not cancel. Halves do not overflow.
-    mark = F.xxhash64("doc_id")
-    halves = [F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("mark_a"), F.sum(F.shiftrightunsigned(mark, 32)).alias("mark_b")]
-    shared = dealt.groupBy("cell").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("place").alias("size"), *halves)
-    one = shared.filter("low < high").groupBy("low", "high", "size", "mark_a", "mark_b").agg(F.min("cell").alias("cell"))
-    inside = dealt.join(one.select("cell"), "cell", "left_semi")
+    shared = saved(dealt.sortWithinPartitions("cell", "doc_id").mapInArrow(_of_two, _SHARED), "cells")
+    marks = ["low", "high", "size", "mark_a", "mark_b"]
+    one = shared.filter("doc_id is null").groupBy(*marks).agg(F.min("cell").alias("cell"))
+    inside = shared.filter("doc_id is not null").select("cell", "doc_id", "place").join(one.select("cell"), "cell", "left_semi")
     columns = [F.col("cell").alias("region"), F.col("set_id").alias("id"), F.col("n_shingles").alias("n"), "place"]
     return inside.join(classes, "doc_id").select(*columns).distinct()
 
@@ -180,10 +239,11 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = saved(rows.mapInArrow(_first_pass, _SET), "sets")
     whole = first.filter("kind = 0").drop("counts")
     grouped = whole.filter("n_shingles > 0 and doc_id is not null")
-    names = grouped.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("set_id"))
+    keys = ["n_shingles", "set_a", "set_b"]
+    names = saved(grouped.groupBy(*keys).agg(F.min("doc_id").alias("set_id"), F.count("doc_id").alias("copies")), "names")
     own = F.when(F.col("doc_id").isNotNull(), F.col("set_id")).alias("set_id")
-    sets = whole.join(names, ["n_shingles", "set_a", "set_b"], "left").select("doc_id", "n_shingles", own)
-    sets = saved(sets, "classes")
+    sets = saved(named(whole, names, keys, "copies").select("doc_id", "n_shingles", own), "classes")
+    forget(names)
     often = first.filter("kind = 1").groupBy("set_a").agg(F.sum("n_shingles").alias("n"))
     table = often.orderBy(F.desc("n"), "set_a").limit(FREQUENT).toArrow()
     value, count = np.array(table.column("set_a")).view(np.uint64), np.array(table.column("n"))
@@ -194,7 +254,9 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     counts = first.filter("kind = 0 and doc_id is not null").select("doc_id", "counts")
     involved = regions.select(F.col("id").alias("doc_id")).distinct().hint("merge")
     texts = saved(known.join(involved, "doc_id", "left_semi"), "texts")
-    return sets, _joined(regions, counts, texts)
+    comps = _joined(regions, counts, texts)
+    forget(first, regions)
+    return sets, comps
 
 
 def _met(pairs: DataFrame, counts: DataFrame) -> DataFrame:
@@ -253,9 +315,11 @@ def _joined(regions: DataFrame, counts: DataFrame, texts: DataFrame) -> DataFram
         active = saved(known.join(whole.withColumn("small", small).drop("all"), "region"), "active")
         if comps is not None:
             if active.isEmpty():
+                forget(active, texts, members)
                 return comps
             ids = active.select(F.col("id").alias("doc_id")).distinct()
-            texts = saved(texts.join(ids, "doc_id", "left_semi"), "texts")
+            was, texts = texts, saved(texts.join(ids, "doc_id", "left_semi"), "texts")
+            forget(was)
         # The smallest cells give pivots; the last, largest cell never needs to while others are left.
         large = active.filter("not small").groupBy("region", "cells", "component").agg(
             F.count(F.lit(1)).alias("size"), F.min_by(F.struct("id", "n", "place", "gap"), F.struct(F.xxhash64("id"), "id")).alias("p")
@@ -268,13 +332,15 @@ def _joined(regions: DataFrame, counts: DataFrame, texts: DataFrame) -> DataFram
         new = _compared(met.filter("near").select("pivot", "other").distinct(), texts if comps is not None else texts.hint("merge"))
         if comps is not None:
             new = new.union(comps.select(F.col("id").alias("u"), F.col("component").alias("v")))
-        comps = saved(components(new), "components")
+        was, comps = comps, components(new)
+        forget(was)
         left = active.filter("not small").join(chosen.select("region", F.col("p_id").alias("id")), ["region", "id"], "left_anti")
         left = left.select("region", "id", "n", "place", "gap")
         if pivots == 1:
             gaps = met.select("region", F.col("other").alias("id"), F.col("apart").alias("__gap"))
             left = left.drop("gap").join(gaps, ["region", "id"], "left").withColumnRenamed("__gap", "gap")
-        members = saved(left, "members")
+        was, members = members, saved(left, "members")
+        forget(was, active, chosen, met)
         pivots *= 8
 
 

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from docflow.llm import components as c, jaccard_join as j
@@ -68,6 +69,36 @@ def test_cells_of_other_documents_are_not_merged(spark):
     assert sorted((r["region"], r["id"]) for r in got) == [(1, 1), (1, 5), (1, 9), (2, 1), (2, 7), (2, 9)]
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 1000])
+def test_cells_of_two_documents_in_any_batches(size):
+    rng = random.Random(size)
+    cells = sorted((rng.randrange(30), rng.randrange(12), 0) for _ in range(90)) + [(50, 1, 0), (50, 1, 0)]
+    cells += [(52, k, k) for k in range(7)] + [(53, 4, 0)]
+    batches = [pa.RecordBatch.from_pylist(cells_as_rows(cells[i : i + size])) for i in range(0, len(cells), size)]
+    rows = [r for b in j._of_two(iter(batches)) for r in b.to_pylist()]
+    want = {}
+    for cell, doc, _ in cells:
+        want.setdefault(cell, set()).add(doc)
+    want = {c: d for c, d in want.items() if len(d) > 1}
+    got = {}
+    for r in rows:
+        if r["doc_id"] is not None:
+            assert r["doc_id"] not in got.setdefault(r["cell"], [])
+            got[r["cell"]].append(r["doc_id"])
+    assert {c: set(d) for c, d in got.items()} == want
+    marks = {r["cell"]: (r["low"], r["high"], r["size"]) for r in rows if r["doc_id"] is None}
+    assert marks == {c: (min(d), max(d), len(d)) for c, d in want.items()}
+    sums = {}
+    for r in rows:
+        if r["doc_id"] is None:
+            sums.setdefault(frozenset(want[r["cell"]]), set()).add((r["mark_a"], r["mark_b"]))
+    assert all(len(v) == 1 for v in sums.values()) and len({next(iter(v)) for v in sums.values()}) == len(sums)
+
+
+def cells_as_rows(cells):
+    return [{"cell": c, "doc_id": d, "place": p} for c, d, p in cells]
+
+
 def test_awkward_rows(spark):
     rows = [(i, t) for i, t, *_ in plain.awkward()]
     compare(spark, rows)
