@@ -58,8 +58,8 @@ def _rules() -> str:
 
     def fences(keys: str, table: str) -> str:
         return f"""
-  select {keys} rule, {fence} as fence from (
-    select {keys} rule, {at.format(share=0.5)} as m, {at.format(share=0.75)} as h from (
+  select {keys} rule, {fence} as fence, n from (
+    select {keys} rule, max(total) as n, {at.format(share=0.5)} as m, {at.format(share=0.75)} as h from (
       select *, sum(n) over (partition by {keys} rule order by bucket) as upto, sum(n) over (partition by {keys} rule) as total from {table}
     ) group by all
   )"""
@@ -85,9 +85,16 @@ counted as (
   from w left join rep using (doc_id) left join dup using (doc_id)
 ),
 fine as (select lang, source, rule, bucket, count(*) as n from ({rules}) group by all),
-whole as (select rule, bucket, sum(n) as n from fine group by all),
 own as ({fences("lang, source,", "fine")}),
-top as ({fences("", "whole")}),
+weighed as (
+  select rule, fence, sum(least(n, total - n)) as weight
+  from own join (select rule, sum(n) as total from fine group by rule) using (rule) group by rule, fence
+),
+top as (
+  select rule, min(fence) as fence from (
+    select rule, fence, sum(weight) over (partition by rule order by fence) as upto, sum(weight) over (partition by rule) as of_all from weighed
+  ) where 2 * upto >= of_all group by rule
+),
 edges as (
   select lang, source, rule, greatest({low}, least(own.fence, {q.LEEWAY} * greatest({low}, top.fence))) as edge
   from own join top using (rule)

@@ -70,6 +70,28 @@ def test_query_equals_its_sql(spark, name):
     assert sorted(map(tuple, frame.select(names).collect())) == sorted(result.fetchall())
 
 
+def tables(spark, path, rows):
+    plain.frame(spark, rows).write.parquet(f"{path}/documents.parquet")
+    labels = [(r[0], k % 2, 0) for k, r in enumerate(rows) if r[0] is not None]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def test_awkward_rows_and_clashing_columns_pass(spark, tmp_path):
+    where = tables(spark, tmp_path, plain.awkward())
+    packed = c.run(spark, where).collect()
+    texts = {(i, t) for i, t, *_ in plain.awkward()}
+    assert {r["doc_id"] for r in packed} <= {i for i, _ in texts}
+    docs = spark.read.parquet(f"{where}/documents.parquet")
+    for _, stage in c.STAGES[1:4]:  # each by itself, on all rows
+        out = stage(spark, docs, where)
+        assert out.columns == docs.columns and out.count() <= docs.count()
+
+
+def test_no_documents_give_no_pieces(spark, tmp_path):
+    assert c.run(spark, tables(spark, tmp_path, [])).count() == 0
+
+
 def test_every_query_is_offered():
     assert set(c.QUERIES) <= set(entry.queries()) and set(c.SQL) <= set(entry.oracle_sql())
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in c.QUERIES if q != "pipeline"}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in c.QUERIES if q != "pipeline"}

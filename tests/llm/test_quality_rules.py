@@ -56,3 +56,22 @@ def test_sketches_merge_and_are_accurate(spark):
     for want, got in zip([3, 6, 9, 12, 15], sorted(values.values()), strict=True):
         assert abs(got - want) <= 1.01 * q.ACCURACY * want
     counted.unpersist()
+
+
+def test_the_sql_is_the_same_rule(spark, tmp_path):
+    import duckdb
+
+    from docflow.llm import oracles
+
+    clean = " ".join(f"word{i} and more" for i in range(40))
+    junk = " ".join(f"#$% w{i}" for i in range(60))
+    rows = [(i, f"{clean} {i}", "en", f"s{i % 4}", 1) for i in range(120)] + [(200 + i, f"{junk} {i}", "en", "junk", 1) for i in range(60)]
+    rows += [(400, None, "de", None, None), (401, "", None, "s1", 0)]
+    spark.createDataFrame(rows, plain.SCHEMA).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = q.op3_adaptive_rules(spark, str(tmp_path))
+    db = duckdb.connect()
+    db.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = db.execute(oracles.SQL["op3_adaptive_rules"])
+    order = [d[0] for d in want.description]
+    assert sorted(map(tuple, got.select(*order).collect())) == sorted(want.fetchall())
+    assert {r["doc_id"] for r in got.filter("kept").collect()} == set(range(120))
