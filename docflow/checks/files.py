@@ -29,7 +29,7 @@ from docflow.plans import backfill as backfill_plan
 from docflow.plans import company_metadata as metadata_plan
 from docflow.plans import ingest, migrate
 from docflow.session import work_dir
-from docflow.sinks import writers
+from docflow.sinks import journal, writers
 from docflow.sources import readers
 from docflow.streaming.ingest_stream import ingest_stream
 
@@ -257,6 +257,7 @@ _BEFORE = f"select document_id, date from {STAGED} where source_kind = 'edgar'"
  union all select document_id, 'table', 1 from (
  select document_id from ({_BEFORE}) union select document_id from o_candidates)
  union all select move, 'move', count(*) from ({_MOVES}) group by all
+ union all select 'planned', 'journal', count(*) from ({_MOVES}) where move = 'move' having count(*) > 0
  union all select row_date, 'date', count(*) from o_candidates group by all
  union all select 'rows', 'count', (select count(*) from (
   select document_id from ({_BEFORE}) union select document_id from o_candidates))""")
@@ -278,11 +279,13 @@ def _(t):
         return rows.select(F.col(key).alias("document_id"), F.lit(place).alias("place"), F.col(n).alias("n"))
 
     moves = report.moves.groupBy("move").agg(F.count("*").alias("n"))
+    planned = journal.read(t.spark, root).groupBy("state").agg(F.count("*").alias("n"))
     counted = report.row_count.withColumn("rows", F.lit("rows"))
     parts = [
         ids(writers.read_prod(t.spark, root, "edgar"), "prod"),
         ids(writers.read_loaded(t.spark, writers.table_path(root, "edgar")), "table"),
         named(moves, "move", "n", "move"),
+        named(planned, "state", "n", "journal"),
         named(report.by_date, "partition_date", "row_count", "date"),
         named(counted, "rows", "row_count", "count"),
     ]

@@ -830,6 +830,14 @@ def _(t):
     return comparable(_run(t).records, f"{RECORD}, {FILING}")
 
 
+@query("records_run_time", """select document_id, source_kind, '2026-03-04 05:06:07.89' as ingestion_timestamp
+ from o_records_c""")
+def _(t):
+    at = F.lit("2026-03-04 05:06:07.89").cast("timestamp")
+    made = ingest.ingest_companies(t.ingest_inputs(), SETTINGS, at).records
+    return made.select("document_id", "source_kind", F.col("ingestion_timestamp").cast("string"))
+
+
 @query("ingest_documents", f"select {RECORD} from o_records_c where source_kind = 'articles'")
 def _(t):
     return comparable(rc.family_records(_run(t).records, "articles"))

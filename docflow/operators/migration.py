@@ -76,8 +76,11 @@ def with_target(
 
 
 def exists_in_listing(moves: DataFrame, objects: DataFrame) -> DataFrame:
-    """``source_exists`` and ``target_exists`` against a listing of unique URIs."""
-    listed = objects.select(F.col("uri"), F.lit(True).alias("_hit"))
+    """``source_exists`` and ``target_exists`` against a listing; repeated URIs do no harm.
+
+    Both joins read the same distinct URIs, which are dealt out once.
+    """
+    listed = objects.select("uri").distinct().select("uri", F.lit(True).alias("_hit"))
 
     def flag(df: DataFrame, column: str, name: str) -> DataFrame:
         side = listed.select(F.col("uri").alias(column), F.col("_hit").alias(name))

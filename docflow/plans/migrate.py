@@ -24,7 +24,7 @@ from docflow.operators.migration import (
 )
 from docflow.operators.summaries import table_row_count
 from docflow.session import work_dir
-from docflow.sinks import writers
+from docflow.sinks import journal, writers
 
 
 class MigrationPlan(NamedTuple):
@@ -118,7 +118,9 @@ def execute_migration(
     unreadable URI. ``skip_gcs`` moves and writes nothing: prod is taken as it is and the
     candidates it holds are loaded. Migrated rows are written once and replace only their
     own older prod rows; rows the table has already are not loaded again, so the job can
-    be repeated and done in parts.
+    be repeated and done in parts. Byte moves are entered in the journal
+    (:mod:`docflow.sinks.journal`) before prod names their targets; a move that is under way
+    keeps its state.
     """
     plan = plan_migration(table, objects, source_bucket, prod_bucket, **options)
     work = work_dir(spark, "migrate")
@@ -134,6 +136,7 @@ def execute_migration(
             raise FileNotFoundError(f"source object not found: {broken['source_gcs_uri']!r}")
         flags = ("move", "source_exists", "target_exists")
         rows = normalize_legacy_rows(moves.drop(*flags), current_year)
+        journal.plan(spark, root, moves.where(F.col("move") == "move"))
         writers.rewrite_prod(spark, rows, root)
     prod = writers.read_prod(spark, root, FILINGS)
     if not skip_load:

@@ -4,7 +4,7 @@ import pytest
 
 from docflow.operators import migration as mg
 from docflow.plans import migrate
-from docflow.sinks import writers
+from docflow.sinks import journal, versions, writers
 from docflow.sources import readers
 
 ROW = (
@@ -110,6 +110,47 @@ def test_migration_keeps_other_rows_and_loads_once(spark, tmp_path):
     assert ids(writers.read_prod(spark, root, "edgar")) == ["keep", "mig", "old1", "old2"]
 
 
+def states(spark, root):
+    return {r["document_id"]: r["state"] for r in journal.read(spark, root).collect()}
+
+
+def test_moves_are_resumed_from_any_state(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    df = rows(spark, {}, {"source_gcs_uri": OLD + "e.htm"}, {"source_gcs_uri": OLD + "gone.htm"})
+    objects = listing(spark, OLD + "d.htm", OLD + "e.htm")
+
+    def run():
+        migrate.execute_migration(spark, df, objects, root, "b", "b", allow_missing=True, current_year=2026)
+
+    def ids_of(*names):
+        return spark.createDataFrame([(n,) for n in names], "document_id string")
+
+    run()
+    assert states(spark, root) == {"d0": "planned", "d1": "planned"}
+    journal.advance(spark, root, ids_of("d0", "unknown"), "verified")  # not copied yet
+    for state, before in zip(journal.STATES[1:], journal.STATES, strict=False):
+        # A step that dies before its commit leaves the state; it is done again.
+        monkeypatch.setattr(versions, "_rename", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            journal.advance(spark, root, ids_of("d0"), state)
+        monkeypatch.undo()
+        assert states(spark, root) == {"d0": before, "d1": "planned"}
+        assert [r["source_uri"] for r in journal.pending(spark, root, before).where("document_id = 'd0'").collect()] == [OLD + "d.htm"]
+        journal.advance(spark, root, ids_of("d0"), state)
+        run()  # planning again leaves moves that are under way, or done, alone
+        assert states(spark, root) == {"d0": state, "d1": "planned"}
+    for wrong in ("planned", "lost"):
+        with pytest.raises(ValueError):
+            journal.advance(spark, root, ids_of("d1"), wrong)
+
+
+def test_a_listing_may_repeat_itself(spark):
+    df = rows(spark, {}, {"source_gcs_uri": OLD + "lost.htm"})
+    once = mg.with_target(df, "b", 2026)
+    got = mg.exists_in_listing(once, listing(spark, OLD + "d.htm", OLD + "d.htm"))
+    assert sorted((r["document_id"], r["source_exists"], r["target_exists"]) for r in got.collect()) == [("d0", True, False), ("d1", False, False)]
+
+
 def test_dry_run_plan(spark):
     df = rows(spark, {}, {"date": None, "year": 2021}, {"date": None, "year": None})
     plan = migrate.plan_migration(df, None, "b", "p", current_year=2026)
