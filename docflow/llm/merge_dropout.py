@@ -7,10 +7,9 @@ the unit, sizes) falls below the dropout rate; so every occurrence of a word is
 its own, always with pieces of the vocabulary, and the same way on every run, machine and
 retry. Rate 0 gives the tokenizer's own ids.
 
-Workers remember only what no hash decides: the merges of a unit when none, or a given one
-or two, of them are banned. An occurrence whose hashes skip none of these merges has that
-result; one that skips some is looked up with the first of them banned too, and after
-LEVELS bans it is merged by itself.
+Workers remember only what no hash decides: the ids and merges of a unit when none is
+skipped. An occurrence whose hashes skip none of these merges has that result; one that skips
+some is merged under its own hashes.
 
 Decoding joins the pieces' bytes. A U+2581 in a text itself is written as bytes, so that
 every text comes back as it was.
@@ -42,8 +41,7 @@ SHORT = 48  # characters of a unit up to which units are merged together
 DECODED = 200_000  # ids decoded at a time
 TOGETHER = 2048  # units merged together, which bounds the memory
 AT_ONCE = 1 << 17  # units looked up at a time
-LEVELS = 2  # banned merges up to which results are remembered
-REMEMBERED = 300_000  # results remembered by number of banned merges
+REMEMBERED = 600_000  # units remembered
 MERGE = 1 << 60  # marks a merge among ids: place, left size << 16, right size << 32
 ALONE = 1 << 59  # in place of ids and merges: a unit that is always merged by itself
 
@@ -76,11 +74,6 @@ def hashed(keys: np.ndarray, rate: float) -> Drop:
     return lambda row, place, left, right: _mixed(keys[row], place, left, right) < limit
 
 
-def banned(bans: np.ndarray) -> Drop:
-    """(row, place, left, right) -> which merges are among the row's bans."""
-    return lambda row, place, left, right: (bans[row] == (MERGE | place | left << 16 | right << 32)[:, None]).any(axis=1)
-
-
 def merge(unit: str, words: Vocabulary, skip: Callable[[int, int, int], bool] | None = None) -> list[int]:
     """Ids of one unit of any length whose spaces are written as SIGN: the agenda is a heap."""
     pieces, n = words.pieces, len(unit)
@@ -158,145 +151,140 @@ def pairs_of(path: str) -> Pairs:
 
 def merge_together(
     codes: np.ndarray, sizes: np.ndarray, pairs: Pairs, drop: Drop | None = None, log: list | None = None
-) -> tuple[np.ndarray, ...]:
+) -> tuple[np.ndarray, np.ndarray]:
     """Merge units of at most SHORT characters, a row each, one merge of each row at a time.
 
     codes: code points by (unit, place), any value past a unit's size. log: gets the merges
-    made as (rows, merges). Returns the parts by (unit, place), how many each unit has, and
-    the characters in each part.
+    made as (rows, merges). Returns the parts by (unit, place of the first character), and how
+    many characters each has, 0 where no part begins.
     """
     n, width = codes.shape
     places = np.arange(width)
-    part = np.where(places < sizes[:, None], pairs.character[codes], pairs.other)
-    chars = np.ones((n, width), np.int64)
-    start = np.broadcast_to(places, (n, width)).copy()
-    count = sizes.copy()
-
-    def evaluate(row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(cost, piece) of the pairs that begin at these places; no cost: not a candidate."""
-        key = part[row, at] * pairs.width + part[row, at + 1]
+    limit = np.arange(n) * width + sizes  # where each row's characters end
+    part = np.append(np.where(places < sizes[:, None], pairs.character[codes], pairs.other), pairs.other)
+    chars = np.append((places < sizes[:, None]).astype(np.int64), 0)
+    after, before = np.arange(1, n * width + 2), np.arange(-1, n * width)
+    made = np.zeros(n * width, np.int64)
+    cost = np.full((n, width), np.inf)
+    flat = cost.reshape(-1)
+
+    def evaluate(row: np.ndarray, at: np.ndarray) -> None:
+        """Set cost and piece of the pairs that begin at these places; no cost: not a candidate."""
+        key = part[at] * pairs.width + part[after[at]]
         found = np.minimum(np.searchsorted(pairs.key, key), len(pairs.key) - 1)
-        good = (pairs.key[found] == key) & (at + 1 < count[row])
+        good = (pairs.key[found] == key) & (after[at] < limit[row])
         if drop is not None:
             some = np.flatnonzero(good)
             r, a = row[some], at[some]
-            good[some] = ~drop(r, start[r, a], chars[r, a], chars[r, a + 1])
-        return np.where(good, pairs.cost[found], np.inf), pairs.piece[found]
+            good[some] = ~drop(r, a - r * width, chars[a], chars[after[a]])
+        flat[at] = np.where(good, pairs.cost[found], np.inf)
+        made[at] = pairs.piece[found]
 
-    row, at = np.divmod(np.arange(n * (width - 1)), width - 1)
-    cost, made = (x.reshape(n, width - 1) for x in evaluate(row, at))
+    row, place = np.nonzero(places < sizes[:, None] - 1)
+    evaluate(row, row * width + place)
     alive = np.arange(n)
     while len(alive):
-        at = cost[alive].argmin(axis=1)  # of equal costs the leftmost
-        going = cost[alive, at] < np.inf
-        alive, at = alive[going], at[going]
-        if not len(alive):
-            break
+        place = cost[alive].argmin(axis=1)  # of equal costs the leftmost
+        at = alive * width + place
+        going = flat[at] < np.inf
+        alive, place, at = alive[going], place[going], at[going]
+        other = after[at]
         if log is not None:
-            log.append((alive, MERGE | start[alive, at] | chars[alive, at] << 16 | chars[alive, at + 1] << 32))
-        part[alive, at] = made[alive, at]
-        chars[alive, at] += chars[alive, at + 1]
-        later = np.minimum(places + (places > at[:, None]), width - 1)
-        for x in (part, chars, start):
-            x[alive] = np.take_along_axis(x[alive], later, axis=1)
-        later = np.minimum(places[:-1] + (places[:-1] > at[:, None]), width - 2)
-        for x in (cost, made):
-            x[alive] = np.take_along_axis(x[alive], later, axis=1)
-        count[alive] -= 1
-        cost[alive, width - 2] = np.inf
-        inner = at <= width - 2
-        for row, place in ((alive[at > 0], at[at > 0] - 1), (alive[inner], at[inner])):
-            cost[row, place], made[row, place] = evaluate(row, place)
-    return part, count, chars
+            log.append((alive, MERGE | place | chars[at] << 16 | chars[other] << 32))
+        part[at] = made[at]
+        chars[at] += chars[other]
+        chars[other], flat[other] = 0, np.inf
+        after[at] = following = after[other]
+        inner = following < limit[alive]
+        before[following[inner]] = at[inner]
+        left = place > 0
+        evaluate(np.concatenate([alive, alive[left]]), np.concatenate([at, before[at[left]]]))
+    return part[:-1].reshape(n, width), chars[:-1].reshape(n, width)
 
 
 def encode_units(
-    found: list[bytes], path: str, rate: float, keys: np.ndarray, bans: np.ndarray | None = None, log: list | None = None
+    found: list[bytes], path: str, rate: float, keys: np.ndarray, log: list | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all units in a row, how many each has). A U+2581 of the text is a part of its own
     that merges with nothing.
 
-    bans: merges by (unit, any) that are not made; log: gets the merges made, as (units,
-    merges); both for units that are not ALONE.
+    log: gets the merges made at rate 0, as (units, merges); ALONE for units that are merged
+    by themselves.
     """
     words, pairs = vocabulary(path), pairs_of(path)
     texts = [raw.decode("utf-8", "replace") for raw in found]
-    out: list[list[int] | None] = [None] * len(texts)
-    size = np.array([len(t) for t in texts], np.int64)
-    for i, t in enumerate(texts):
-        if len(t) > SHORT or SIGN in t:
-            skip = skips(int(keys[i]), rate) if rate > 0 else None
-            ids: list[int] = []
-            for k, part in enumerate(t.split(SIGN)):
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    alone = (size > SHORT) | np.fromiter((SIGN in t for t in texts), bool, len(texts))
+    lens = np.zeros(len(texts), np.int64)
+    parts: list[tuple[np.ndarray, np.ndarray]] = []  # units, their ids in a row
+    for i in np.flatnonzero(alone).tolist():
+        skip = skips(int(keys[i]), rate) if rate > 0 else None
+        ids: list[int] = []
+        if log is None:
+            for k, part in enumerate(texts[i].split(SIGN)):
                 ids += [words.byte_ids[x] for x in SIGN.encode()] if k else []
                 ids += merge(part.replace(" ", SIGN), words, skip) if part else []
-            out[i] = ids
-    waiting = np.array([ids is None for ids in out], bool)
+        lens[i] = len(ids)
+        parts.append((np.array([i]), np.array(ids, np.int64)))
+    if log is not None:
+        log.append((np.flatnonzero(alone), np.full(int(alone.sum()), ALONE)))
     groups, low = [], 1
-    for high in (8, 12, 16, 24, SHORT):
-        rows = np.flatnonzero(waiting & (size >= low) & (size <= high))
+    for high in (4, 6, 8, 10, 12, 16, 24, SHORT):
+        rows = np.flatnonzero(~alone & (size >= low) & (size <= high))
         groups += [(high, rows[k : k + TOGETHER]) for k in range(0, len(rows), TOGETHER)]
         low = high + 1
     known = len(words.texts)
     for high, rows in groups:
-        joined = "".join(texts[i].replace(" ", SIGN) for i in rows.tolist())
-        flat = np.frombuffer(joined.encode("utf-32-le"), "<u4").astype(np.int64)
+        joined = "".join([texts[i] for i in rows.tolist()]).replace(" ", SIGN)
         codes = np.zeros((len(rows), high), np.int64)
-        places = np.arange(high)
-        codes[places < size[rows][:, None]] = flat
-        drop = banned(bans[rows]) if bans is not None else hashed(keys[rows], rate) if rate > 0 else None
+        codes[np.arange(high) < size[rows][:, None]] = np.frombuffer(joined.encode("utf-32-le"), "<u4")
         made: list | None = [] if log is not None else None
-        part, count, chars = merge_together(codes, size[rows], pairs, drop, made)
+        part, chars = merge_together(codes, size[rows], pairs, hashed(keys[rows], rate) if rate > 0 else None, made)
         if log is not None:
             log += [(rows[r], merges) for r, merges in made]
-        plain = part[places < count[:, None]].tolist()
-        at = 0
-        for k, (i, n) in enumerate(zip(rows.tolist(), count.tolist(), strict=True)):
-            ids, at = plain[at : at + n], at + n
-            if max(ids) >= known:  # characters that are no piece, a part each
-                own, ends = texts[i].replace(" ", SIGN), np.cumsum(chars[k, :n]).tolist()
-                cuts = zip(ids, [0, *ends[:-1]], ends, strict=True)
-                ids = [y for x, a, b in cuts for y in ([x] if x < known else [words.byte_ids[z] for z in own[a:b].encode()])]
-            out[i] = ids
-    lens = np.array([len(x) for x in out], np.int64)
-    return np.fromiter((i for x in out for i in x), np.int32, int(lens.sum())), lens
-
-
-def remembered(found: list[bytes], path: str, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """What a memo holds of units that end in `level` banned merges of 8 bytes: (the ids and then
-    the merges made, in order, of all units in a row, how many each has)."""
-    n = len(found)
-    bans = np.frombuffer(b"".join(x[len(x) - 8 * level :] for x in found), "<i8").reshape(n, level)
-    plain = [x[: len(x) - 8 * level] for x in found]
-    texts = [x.decode("utf-8", "replace") for x in plain]
-    alone = np.array([len(t) > SHORT or SIGN in t for t in texts], bool)
-    some = np.flatnonzero(~alone)
+        begins = chars > 0
+        ids, count = part[begins], begins.sum(axis=1)
+        strange = np.flatnonzero(ids >= known)  # characters that are no piece, a part each
+        if len(strange):
+            letters, which = np.unique(codes[begins][strange], return_inverse=True)
+            spelt = [[words.byte_ids[x] for x in chr(c).encode()] for c in letters.tolist()]
+            n = np.array([len(x) for x in spelt], np.int64)
+            each = np.ones(len(ids), np.int64)
+            each[strange] = n[which]
+            owner = np.repeat(np.repeat(np.arange(len(rows)), count), each)
+            wide = np.repeat(ids, each)
+            wide[w.ragged((np.cumsum(each) - each)[strange], n[which])] = np.concatenate(spelt)[w.ragged((np.cumsum(n) - n)[which], n[which])]
+            ids, count = wide, np.bincount(owner, minlength=len(rows))
+        lens[rows] = count
+        parts.append((rows, ids))
+    out, starts = np.zeros(int(lens.sum()), np.int32), np.cumsum(lens) - lens
+    for rows, ids in parts:
+        out[w.ragged(starts[rows], lens[rows])] = ids
+    return out, lens
+
+
+def remembered(found: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """What the memo holds of units: (the ids at rate 0 and then the merges made, in order, of all
+    units in a row, how many each has)."""
     log: list[tuple[np.ndarray, np.ndarray]] = []
-    ids, lens = encode_units([plain[i] for i in some.tolist()], path, 0.0, np.zeros(0, np.uint64), bans[some] if level else None, log)
-    owner = np.concatenate([np.flatnonzero(alone), np.repeat(some, lens), *(some[r] for r, _ in log)])
-    values = np.concatenate([np.full(int(alone.sum()), ALONE, np.int64), ids.astype(np.int64), *(x for _, x in log)])
-    return values[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=n)
-
-
-def with_bans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, bans: np.ndarray) -> tuple[np.ndarray, w.Words]:
-    """The segments, each followed by its banned merges, as words."""
-    size, more = ends - starts, 8 * bans.shape[1]
-    total = size + more
-    at = np.cumsum(total) - total
-    out = np.empty(int(total.sum()), np.uint8)
-    out[w.ragged(at, size)] = buf[w.ragged(starts, size)]
-    out[(at + size)[:, None] + np.arange(more)] = np.ascontiguousarray(bans, "<i8").view(np.uint8).reshape(len(at), more)
-    none = np.zeros(0, np.int64)
-    return out, w.Words(at, at + total, none, none, w.hash_segments(out, at, at + total))
+    ids, lens = encode_units(found, path, 0.0, np.zeros(0, np.uint64), log)
+    total = lens + np.bincount(np.concatenate([r for r, _ in log]), minlength=len(found))
+    place = np.cumsum(total) - total
+    out = np.empty(int(total.sum()), np.int64)
+    out[w.ragged(place, lens)] = ids
+    place += lens
+    for unit, merges in log:  # a unit is in one row of the log at most
+        out[place[unit]] = merges
+        place[unit] += 1
+    return out, total
 
 
 class Occurrences:
-    """Ids of units that each have a key of their own. Memos save time and decide nothing."""
+    """Ids of units that each have a key of their own. The memo saves time and decides nothing."""
 
     def __init__(self, path: str, rate: float):
         self.path, self.rate = path, rate
-        makes = [lambda found, k=k: remembered(found, path, k) for k in range(LEVELS + 1)]
-        self.memos = [w.Memo(make, REMEMBERED) for make in makes]
+        self.memo = w.Memo(lambda found: remembered(found, path), REMEMBERED)
 
     def __call__(self, buf: np.ndarray, found: w.Words, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all units in a row, how many each has)."""
@@ -308,35 +296,23 @@ class Occurrences:
         return np.concatenate(ids), np.concatenate(lens)
 
     def _some(self, buf: np.ndarray, found: w.Words, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        drop = hashed(keys, self.rate)
-        which, alone, bans = np.arange(len(keys)), [], np.zeros((len(keys), 0), np.int64)
-        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # units, ids, how many each has
-        raw, at = buf, found
-        for level, memo in enumerate(self.memos):
-            if level:
-                raw, at = with_bans(buf, found.starts[which], found.ends[which], bans)
-            values, lens = memo(raw, at)
-            owner = np.repeat(np.arange(len(which)), lens)
-            again = np.zeros(len(which), bool)
-            again[owner[values == ALONE]] = True
-            alone.append(which[again])
-            merges = np.flatnonzero(values >= MERGE)
-            x, row = values[merges], which[owner[merges]]
-            out = merges[drop(row, x & 0xFFFF, x >> 16 & 0xFFFF, x >> 32 & 0xFFFF)]
-            other, first = np.unique(owner[out], return_index=True)
-            again[other] = True
-            mine = (values < ALONE) & ~again[owner]
-            done.append((which[~again], values[mine].astype(np.int32), np.bincount(owner[mine], minlength=len(which))[~again]))
-            bans = np.concatenate([bans[other], values[out[first]][:, None]], axis=1)
-            which = which[other]
-            if not len(which):
-                break
-        rest = np.concatenate([*alone, which])
-        texts = w.strings(buf, found.starts[rest], found.ends[rest])
-        done.append((rest, *encode_units(texts, self.path, self.rate, keys[rest])))
-        unit, ids, lens = (np.concatenate(x) for x in zip(*done, strict=True))
-        order, starts = np.argsort(unit), np.cumsum(lens) - lens
-        return ids[w.ragged(starts[order], lens[order])], lens[order]
+        values, lens = self.memo(buf, found)
+        owner = np.repeat(np.arange(len(keys)), lens)
+        again = np.zeros(len(keys), bool)
+        again[owner[values == ALONE]] = True
+        merges = np.flatnonzero(values >= MERGE)
+        x, row = values[merges], owner[merges]
+        again[row[hashed(keys, self.rate)(row, x & 0xFFFF, x >> 16 & 0xFFFF, x >> 32 & 0xFFFF)]] = True
+        mine = (values < ALONE) & ~again[owner]
+        rest = np.flatnonzero(again)
+        other, each = encode_units(w.strings(buf, found.starts[rest], found.ends[rest]), self.path, self.rate, keys[rest])
+        count = np.bincount(owner[mine], minlength=len(keys))
+        count[rest] = each
+        out, starts = np.empty(int(count.sum()), np.int32), np.cumsum(count) - count
+        plain = np.flatnonzero(~again)
+        out[w.ragged(starts[plain], count[plain])] = values[mine]
+        out[w.ragged(starts[rest], each)] = other
+        return out, count
 
 
 def encode(
