@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote, urlsplit
 
+from pyarrow.fs import LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docflow.functions.items import item_fields
 from docflow.schemas import ITEM
 from docflow.sinks import versions
-from docflow.sources import json_values
+from docflow.sources import json_values, listing
 
 # Company context comes from the landing folders:
 # .../company_ticker=<T>/year=<Y>/<response files>
@@ -182,13 +184,29 @@ def read_holdings(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def list_objects(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """(key, size) of every file below ``root``; contents are never read."""
+def list_objects(
+    spark: SparkSession, root: str, pattern: str | None = None, prefix: str = "",
+    filesystem: listing.FileSystem | None = None,
+) -> DataFrame:
+    """(key, size) of every file below ``root``; contents are never read.
+
+    Folders are opened in tasks, and the driver holds no listing, where tasks can open the
+    store: for local and shared folders, and wherever ``filesystem`` says how (a function
+    that gives a ``pyarrow.fs.FileSystem``; ``root`` without its scheme is the path in it).
+    Any other store is listed by Spark's file index, which the driver holds and which passes
+    over empty files.
+    """
+    address = urlsplit(_qualified(spark, root))
+    if filesystem is None and address.scheme == "file":
+        filesystem = LocalFileSystem
+    if filesystem is not None:
+        path = unquote(address.path) if address.scheme == "file" else f"{address.netloc}{unquote(address.path)}"
+        return listing.list_in_tasks(spark, filesystem, path, pattern, prefix)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     files = reader.load(root).select("path", F.col("length").alias("size"))
-    return files.select(_below(root).alias("key"), "size")
+    return files.select(_below(root).alias("key"), "size").where(F.startswith("key", F.lit(prefix)))
 
 
 def _below(root: str) -> Column:
@@ -198,17 +216,19 @@ def _below(root: str) -> Column:
 
 
 def latest_snapshot(
-    spark: SparkSession, root: str, name: str = "companies.json", multi_line: bool = True
-) -> DataFrame:
+    spark: SparkSession, root: str, name: str = "companies.json", multi_line: bool = True,
+    filesystem: listing.FileSystem | None = None,
+) -> DataFrame:
     """Rows of the newest ``date=.../companies.json`` below ``root``.
 
     The snapshot may be one JSON array file or a folder of JSON lines files
-    (``multi_line=False``). Only the greatest key, a short text, reaches the driver.
+    (``multi_line=False``). Each task gives the greatest key it lists, and one, a short text,
+    reaches the driver.
     """
     newest = None
     if path_exists(spark, root):
         snapshot = f"(?s)^(.*{re.escape(name)})(?:/[^/]+)?$"
-        keys = list_objects(spark, root).select(
+        keys = list_objects(spark, root, filesystem=filesystem).select(
             F.nullif(F.regexp_extract("key", snapshot, 1), F.lit("")).alias("key")
         )
         newest = keys.agg(F.max("key").alias("key")).head()["key"]

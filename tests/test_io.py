@@ -4,13 +4,14 @@ from dataclasses import replace
 
 import pandas as pd
 import pytest
+from pyarrow.fs import LocalFileSystem
 from pyspark.sql import functions as F
 
 from docflow.config import Settings
 from docflow.plans import ingest
 from docflow.schemas import ARTICLE_RECORD, METADATA_ROW
 from docflow.sinks import versions, writers
-from docflow.sources import readers
+from docflow.sources import listing, readers
 from docflow.streaming.ingest_stream import ingest_stream
 
 TS = dt.datetime(2026, 1, 1)
@@ -76,6 +77,30 @@ def test_holdings_files_are_told_apart_by_their_whole_path(spark, tmp_path):
         assert got == {n: [*(p[len(str(tmp_path)) + 1 :] for p in order), "in a folder"].index(n) for n in [*names, "in a folder"]}
 
 
+def test_listing_opens_folders_in_tasks(spark, tmp_path):
+    root = tmp_path / "my store"
+    keys = ["top.txt", "a/x.txt", "a/b/c/d/deep.txt", "a/b/y=1/z%20.txt", "a-b/x.txt", "date=1/n.json", "e/.hidden/x.txt", "e/_skip/x.txt", "e/_SUCCESS"]
+    for n, key in enumerate(keys):
+        (root / key).parent.mkdir(parents=True, exist_ok=True)
+        (root / key).write_bytes(b"." * n)
+    (root / "empty").mkdir()
+    seen = {k: n for n, k in enumerate(keys) if not k.startswith("e/")}
+
+    def got(**options):
+        return {r["key"]: r["size"] for r in listing.list_in_tasks(spark, LocalFileSystem, str(root), tasks=3, **options).collect()}
+
+    for levels in (0, 1, 2, 6):
+        assert got(levels=levels) == seen
+    assert got(pattern="*.txt", prefix="a/") == {k: n for k, n in seen.items() if k.startswith("a/")}
+    assert got(prefix="a/b/c/d/deep") == {"a/b/c/d/deep.txt": 2} and got(prefix="zz") == {}
+    for address in (str(root), f"file://{root}/"):
+        listed = readers.list_objects(spark, address)
+        assert {r["key"]: r["size"] for r in listed.collect()} == seen
+        assert "FileScan" not in listed._jdf.queryExecution().executedPlan().toString()
+    other = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(root))
+    assert {r["path"].split("/my store/")[1] for r in other.select("path").collect()} == {k for k, n in seen.items() if n}
+
+
 def test_latest_snapshot(spark, tmp_path):
     for day in ("2026-05-11", "2026-05-12"):
         put(tmp_path / "m" / f"date={day}" / "companies.json", json.dumps([{"day": day}, {"day": "x"}]))
