@@ -90,3 +90,12 @@ def test_attach_company_by_ticker(spark):
     )
     row = nz.attach_company(items(spark, [{"title": "t"}]), companies).head()
     assert (row["company_ticker"], row["company_name"], row["company_id"]) == ("AA", "New", "com_aa")
+
+
+def test_companies_are_merged_whatever_their_guessed_size(spark):
+    companies = spark.createDataFrame(
+        [("T1", "n", "c", "u")], "company_ticker string, company_name string, company_id string, base_url string"
+    )
+    joined = nz.attach_company(items(spark, [{"title": "t"}]).withColumn("company_ticker", F.lit(" t1")), companies)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and joined.count() == 1
