@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from docflow.functions.items import item_fields
 from docflow.operators import normalize as nz
+from docflow.sources.readers import explode_items
 
 CONTEXT = {"company_ticker": " aa ", "company_name": "Bramley", "company_id": " com_aa ", "base_url": " https://a "}
 
@@ -99,3 +100,24 @@ def test_companies_are_merged_whatever_their_guessed_size(spark):
     joined = nz.attach_company(items(spark, [{"title": "t"}]).withColumn("company_ticker", F.lit(" t1")), companies)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and joined.count() == 1
+
+
+def test_taken_fields_give_the_same_documents(spark):
+    good = {"title": "t", "url": "https://x/a.pdf"}
+    bodies = [good, {**good, "date": None}, {**good, "date": "2024-01-02", "filepath": " d/a.html "}, {**good, "filepath": "https://x"},
+              {**good, "title": 5}, {**good, "form": "8-k", "cik": "7"}, {**good, "filing_type": 4}, "not json"]
+    for filing, made in ((False, nz.articles_to_documents), (True, nz.filings_to_documents)):
+        whole = nz.split_invalid(items(spark, bodies), filing)
+        taken = nz.split_invalid(nz.take_fields(items(spark, bodies), filing), filing)
+        assert "item" not in taken.valid.columns
+        assert sorted(made(taken.valid).collect()) == sorted(made(whole.valid).collect())
+        reasons = [sorted(s.rejected.select("pos", "reject_reason").collect()) for s in (taken, whole)]
+        assert reasons[0] == reasons[1]
+
+
+def test_an_item_is_parsed_once(spark):
+    lines = spark.createDataFrame([('{"title":"a","url":"b"}',), ('[{"title":"c"},{"title":"d"}]',), ("{} {}",)], "value string")
+    found = explode_items(lines)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert sorted(r["item_no"] for r in found.collect()) == [0, 0, 0, 1]
