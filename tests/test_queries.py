@@ -44,3 +44,9 @@ def test_query_equals_its_sql(spark, db, name):
     names = [d[0] for d in result.description]
     assert sorted(names) == sorted(frame.columns)
     assert got == counted(names, result.fetchall())
+
+
+def test_filings_of_every_customer_are_counted(spark):
+    rows = registry.QUERIES["ingest_companies"](Fixtures(spark, SF)).where("discovered > 0").collect()
+    assert any(int(r["company"][1:]) > 100 for r in rows)
+    assert "% 100" not in registry.ORACLES["ingest_companies"]
