@@ -7,12 +7,15 @@ feature differences of sampled pairs. The cut between good and bad is the quanti
 scores at the share that label 0 has; scores are reported as the logistic function of
 their distance from the cut, so 0.5 is the cut.
 
-Fitting reads at most SAMPLE labelled rows of each label (those with the least hash of
-their id) and PAIRS pairs; scoring is one pass over the texts without a shuffle.
+Every labelled row takes part: the rows of the rarer label meet those of the other in turn, by
+their places in hash order, ROUNDS times each, and the cut counts the scores of all. Texts are
+read once for the features; what is fitted on are features, differences and scores, in tables
+of their own, of which the driver sees sums only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,11 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docflow.llm import words as w
-from docflow.llm.frames import doc_crc, documents, widened
+from docflow.llm.frames import doc_crc, documents, forget, ranked, saved, widened
 from docflow.llm.measures import measure
 
-SAMPLE = 15_000
-PAIRS = 120_000
+PAIRS = 120_000  # of a fit in memory
+ROUNDS = 2  # pairs of each row of the more frequent label
+BINS = 1024
 RIDGE = 1e-3
 STEPS = 40
 
@@ -50,9 +54,36 @@ class Ranker:
     weights: np.ndarray
     cut: float
 
+    def scaled(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.scale, -6, 6)
+
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        return self.scaled(x) @ self.weights - self.cut
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        raw = np.clip((x - self.mean) / self.scale, -6, 6) @ self.weights - self.cut
-        return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.raw(x), -30, 30)))
+
+
+def sums(d: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """A row for each feature: slope and curve of the pairwise logistic loss over differences d,
+    summed, and the number of pairs; what parts of the pairs give can be added up."""
+    p = 1 / (1 + np.exp(np.clip(d @ weights, -30, 30)))
+    count = np.full((d.shape[1], 1), len(d), dtype=np.float64)
+    return np.hstack([-(d.T @ p)[:, None], (d.T * (p * (1 - p))) @ d, count])
+
+
+def newton(width: int, of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The weights that minimise the loss; `of` gives the sums over all pairs at some weights."""
+    weights = np.zeros(width)
+    for _ in range(STEPS):
+        total = of(weights)
+        total = total[:, :-1] / total[0, -1]
+        slope, curve = total[:, 0] + RIDGE * weights, total[:, 1:] + RIDGE * np.eye(width)
+        step = np.linalg.solve(curve, slope)
+        weights = weights - step
+        if np.abs(step).max() < 1e-8:
+            break
+    return weights
 
 
 def fit(x: np.ndarray, good: np.ndarray, share_bad: float, pairs: int = PAIRS, seed: int = 7) -> Ranker:
@@ -65,15 +96,7 @@ def fit(x: np.ndarray, good: np.ndarray, share_bad: float, pairs: int = PAIRS, s
     rng = np.random.default_rng(seed)
     up, down = np.flatnonzero(good), np.flatnonzero(~good)
     d = z[rng.choice(up, pairs)] - z[rng.choice(down, pairs)]
-    weights = np.zeros(width)
-    for _ in range(STEPS):  # Newton steps on the pairwise logistic loss
-        p = 1 / (1 + np.exp(np.clip(d @ weights, -30, 30)))
-        slope = -(d.T @ p) / pairs + RIDGE * weights
-        curve = (d.T * (p * (1 - p))) @ d / pairs + RIDGE * np.eye(width)
-        step = np.linalg.solve(curve, slope)
-        weights = weights - step
-        if np.abs(step).max() < 1e-8:
-            break
+    weights = newton(width, lambda weights: sums(d, weights))
     raw = z @ weights
     # Each label's rows count as much as the label does among all labelled rows.
     each = np.where(good, (1 - share_bad) / good.sum(), share_bad / (~good).sum())
@@ -83,21 +106,8 @@ def fit(x: np.ndarray, good: np.ndarray, share_bad: float, pairs: int = PAIRS, s
     return Ranker(mean, scale, weights, float(pair.mean()))
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranker:
-    """Fit on `docs` that `labels` (doc_id, quality) marks 0 or 1; other labels are left out.
-
-    At most `sample` label rows of each kind are used; that many (id, label) pairs are
-    broadcast and that many feature rows come to the driver.
-    """
-    marked = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality")
-    counts = {r["quality"]: r["count"] for r in marked.groupBy("quality").count().collect()}
-    bad, good = counts.get(0, 0), counts.get(1, 0)
-    by_hash = [F.xxhash64("doc_id"), "doc_id"]
-    some = None
-    for q in (0, 1):
-        part = marked.filter(F.col("quality") == q).orderBy(*by_hash).limit(sample)
-        some = part if some is None else some.union(part)
-    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").drop("doc_id")
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id and features `x` of every row; a null text counts as the empty one."""
 
     def of(batch: pa.RecordBatch) -> list:
         x = [features(b) for b in w.blocks(batch.column("text"))]
@@ -106,13 +116,105 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranker:
         offsets = pa.array(np.arange(batch.num_rows + 1) * width, pa.int32())
         return [pa.ListArray.from_arrays(offsets, pa.array(flat))]
 
-    found = widened(rows, [("x", "array<double>")], of, without=("text",)).toArrow()
-    if found.num_rows == 0:
+    return widened(docs.select("doc_id", "text"), [("x", "array<double>")], of, without=("text",))
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.array(column.flatten()).reshape(len(column), -1)
+
+
+def _total(rows: DataFrame, column: str, of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum of what `of` gives of the batches of an array column; one small row a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [of(_matrix(batch.column(0))) for batch in batches if batch.num_rows]
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array([np.sum(parts, axis=0).ravel()])], names=["total"])
+
+    found = rows.select(column).mapInArrow(run, "total array<double>").toArrow().column("total")
+    return _matrix(found.combine_chunks()).sum(axis=0)
+
+
+def paired(rows: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """Features `up` of a good row and `down` of a bad one, so that each row is in some pair.
+
+    rows is (quality, x, place), the places gapless from 0 within each label.
+    """
+    rare = min(counts, key=lambda q: (counts[q], q))
+    names = ("down", "up") if rare == 0 else ("up", "down")
+    few = rows.filter(F.col("quality") == rare).select(F.col("place").alias("mate"), F.col("x").alias(names[0]))
+    turns = F.explode(F.sequence(F.lit(0), F.lit(ROUNDS - 1)))
+    many = rows.filter(F.col("quality") != rare).select(F.col("x").alias(names[1]), "place", turns.alias("turn"))
+    mate = (F.col("place") + F.col("turn") * (counts[rare] // ROUNDS)) % counts[rare]
+    return many.withColumn("mate", mate).join(few, "mate").select("up", "down")
+
+
+def cut_at(raw: DataFrame, counts: dict[int, int], share_bad: float) -> float:
+    """Where the bad rows' share of all weight is below, by raw (quality, raw) of all rows.
+
+    Each label's rows count as much as the label does among all labelled rows. Rows are counted
+    in bins, and the bin that has the place in bins again, until it holds one value.
+    """
+    weight = {0: share_bad / counts[0], 1: (1 - share_bad) / counts[1]}
+    goal, below = share_bad - 1e-12, 0.0
+    numbers = [F.count_if(F.col("quality") == q).alias(f"n{q}") for q in (0, 1)]
+    ends = [F.min("raw").alias("least"), F.max("raw").alias("most")]
+    found = raw.agg(*ends, *numbers).first()
+    while found["least"] < found["most"]:
+        least, most = found["least"], found["most"]
+        place = F.floor((F.col("raw") - least) / F.lit(most - least) * BINS)
+        inside = raw.filter(F.col("raw").between(least, most)).groupBy(F.least(place, F.lit(BINS - 1)).alias("bin"))
+        for found in sorted(inside.agg(*ends, *numbers).collect(), key=lambda r: r["bin"]):
+            held = sum(weight[q] * found[f"n{q}"] for q in (0, 1))
+            if below + held >= goal:
+                break
+            below += held
+        else:
+            below -= held
+    value, held = found["least"], sum(weight[q] * found[f"n{q}"] for q in (0, 1))
+    if below + held - weight[1 if found["n1"] else 0] >= goal:  # another row of this value follows
+        return value
+    above = raw.filter(F.col("raw") > value).agg(F.min("raw")).first()[0]
+    return value if above is None else (value + above) / 2
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> Ranker:
+    """Fit on `docs` that `labels` (doc_id, quality) marks 0 or 1; other labels are left out."""
+    x = saved(measured(docs), "features")
+    ranker = learned(x, labels)
+    forget(x)
+    return ranker
+
+
+def learned(x: DataFrame, labels: DataFrame) -> Ranker:
+    """Fit on all rows of x (doc_id, x) that labels mark; without both labels every score is 0.5."""
+    marked = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("quality").cast("int").alias("quality"))
+    share = marked.agg(F.avg(1 - F.col("quality"))).first()[0]
+    rows = x.join(marked, "doc_id").withColumn("spread", F.xxhash64("doc_id", "x"))
+    rows = saved(ranked(rows, ["quality"], ["doc_id"], "spread", "place").select("quality", "x", "place"), "labelled")
+    counts = {q: n for q, n in rows.groupBy("quality").count().collect()}
+    if len(counts) < 2:
+        forget(rows)
         width = features(next(w.blocks(pa.array([""])))).shape[1]
         return Ranker(np.zeros(width), np.ones(width), np.zeros(width), 0.0)
-    x = np.array(found.column("x").combine_chunks().flatten()).reshape(found.num_rows, -1)
-    q = np.array(found.column("quality"))
-    return fit(x, q == 1, bad / max(1, bad + good))
+    n = sum(counts.values())
+    mean = _total(rows, "x", lambda x: x.sum(axis=0)) / n
+    scale = np.sqrt(_total(rows, "x", lambda x: ((x - mean) ** 2).sum(axis=0)) / n) + 1e-9
+    whole = Ranker(mean, scale, np.zeros(len(mean)), 0.0)
+
+    def apart(batch: pa.RecordBatch) -> list:
+        d = whole.scaled(_matrix(batch.column("up"))) - whole.scaled(_matrix(batch.column("down")))
+        return [pa.ListArray.from_arrays(pa.array(np.arange(len(d) + 1) * d.shape[1], pa.int32()), pa.array(d.ravel()))]
+
+    pairs = saved(widened(paired(rows, counts), [("d", "array<double>")], apart, without=("up", "down")), "pairs")
+    width = len(mean)
+    weights = newton(width, lambda at: _total(pairs, "d", lambda d: sums(d, at)).reshape(width, -1))
+    forget(pairs)
+    whole = Ranker(mean, scale, weights, 0.0)
+    raw = saved(widened(rows, [("raw", "double")], lambda b: [pa.array(whole.raw(_matrix(b.column("x"))))], without=("x", "place")), "raw")
+    cut = cut_at(raw, counts, share)
+    forget(rows, raw)
+    return Ranker(mean, scale, weights, cut)
 
 
 def scored(docs: DataFrame, ranker: Ranker, keep_text: bool = True) -> DataFrame:
@@ -125,21 +227,21 @@ def scored(docs: DataFrame, ranker: Ranker, keep_text: bool = True) -> DataFrame
     return widened(docs, [("score", "double")], of, without=() if keep_text else ("text",))
 
 
-def accept(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def accept(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents with a score of 0.5 or more, with their own columns.
 
     Repeated rows are judged alike; extra columns pass through, also one named score.
     """
     inner = docs.select(F.struct("*").alias("__row"), "text")
-    ranker = learn(docs, labels, sample)
+    ranker = learn(docs, labels)
     return scored(inner, ranker, keep_text=False).filter("score >= 0.5").select("__row.*")
 
 
 def op9_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score from a ranker that learned from the rows not held out."""
-    docs = documents(spark, sf_dir).select("doc_id", "text")
+    x = saved(measured(documents(spark, sf_dir)), "features")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(doc_crc("doc_id") % 3 != 1)
-    ranker = learn(docs, labels)
-    out = scored(docs, ranker, keep_text=False)
+    ranker = learned(x, labels)
+    out = widened(x, [("score", "double")], lambda batch: [pa.array(ranker.score(_matrix(batch.column("x"))))], without=("x",))
     held = F.coalesce(doc_crc("doc_id") % 3 == 1, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -45,3 +45,32 @@ def test_awkward_rows_and_labels(spark):
     none = labels.filter("false")
     assert q.accept(docs, none).count() == docs.count()
     assert q.accept(docs.filter("false"), labels).count() == 0
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    texts = [f"word{i % 7} " * (1 + i % 40) + "\n" * (i % 3) for i in range(17_000)] + ["# * $ | " * (1 + i % 9) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = docs.select("doc_id", (docs.doc_id < 17_000).cast("int").alias("quality"))
+    ranker = q.learn(docs, labels)
+    x = np.concatenate([q.features(b) for b in q.w.blocks(q.pa.array(texts))])
+    assert np.allclose(ranker.mean, x.mean(axis=0)) and np.allclose(ranker.scale, x.std(axis=0), atol=1e-6)
+    score = ranker.score(x)
+    assert (score < 0.5).sum() == 400 and (score[-400:] < 0.5).all()
+
+
+def test_each_row_has_a_pair(spark):
+    rows = [(0, [float(i)], i) for i in range(5)] + [(1, [float(i)], i) for i in range(13)]
+    frame = spark.createDataFrame(rows, "quality int, x array<double>, place long")
+    pairs = q.paired(frame, {0: 5, 1: 13}).collect()
+    assert len(pairs) == 13 * q.ROUNDS
+    assert {p["up"][0] for p in pairs} == set(range(13)) and {p["down"][0] for p in pairs} == set(range(5))
+
+
+def test_cut_is_the_quantile_of_all_scores(spark):
+    rng = np.random.default_rng(3)
+    for values in (rng.normal(size=900), rng.integers(0, 5, 900) / 3, np.zeros(900)):
+        good = rng.random(900) < 0.7
+        order = np.sort(values)
+        bad = int((~good).sum())
+        frame = spark.createDataFrame([(int(g), float(v)) for g, v in zip(good, values)], "quality int, raw double")
+        assert q.cut_at(frame, {0: bad, 1: 900 - bad}, bad / 900) == (order[bad - 1] + order[bad]) / 2
