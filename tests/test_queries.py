@@ -50,3 +50,12 @@ def test_filings_of_every_customer_are_counted(spark):
     rows = registry.QUERIES["ingest_companies"](Fixtures(spark, SF)).where("discovered > 0").collect()
     assert any(int(r["company"][1:]) > 100 for r in rows)
     assert "% 100" not in registry.ORACLES["ingest_companies"]
+
+
+def test_folders_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(40).selectExpr("cast(id as string) as value", "id % 20 as k").coalesce(1)
+    files._to_folders(rows, str(tmp_path / "out"), "k")
+    found = spark.read.text(str(tmp_path / "out"))
+    assert sorted((r["k"], r["value"]) for r in found.collect()) == sorted((i % 20, str(i)) for i in range(40))
+    parts = {p.name.split("-")[1] for p in (tmp_path / "out").glob("k=*/part-*")}
+    assert len(parts) > 1
