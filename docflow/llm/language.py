@@ -20,14 +20,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from docflow.llm import words as w
-from docflow.llm.frames import Batches, doc_crc, documents, widened
+from docflow.llm.frames import Batches, doc_crc, documents, numbered, widened
 
 SLOTS = 1 << 15
 ORDERS = (2, 3, 4)
 SWITCH = 12.0
 RARE_SCRIPT = 0.005
 UNKNOWN = "und"
-BLOCK = 6 << 20  # many texts go through the Viterbi pass together
+BLOCK = 2 << 20  # of texts that go through the Viterbi pass together; its arrays take some 60 times as much
 
 # First code point of each script's main ranges; a range ends where the next begins.
 SCRIPTS = [
@@ -195,6 +195,17 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, switch: float = SWITCH) -> n
     return label
 
 
+def _memo(model: Model) -> w.Memo:
+    """Of each word its scores by language, and whether it has a letter."""
+    width = len(model.names)
+
+    def make(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        both = np.concatenate([word_scores(model, found), (_scripts(found) >= 0)[:, None]], axis=1)
+        return both.astype(np.float32).ravel(), np.full(len(found), width + 1, np.int64)
+
+    return w.Memo(make, max(50_000, 2_000_000 // (width + 1)))
+
+
 def _label(model: Model, memo: w.Memo, block: w.Block) -> tuple[np.ndarray, np.ndarray, tuple]:
     """By text: language number (-1: none) and score; spans as (text, first word, words, language)."""
     words = w.split_words(block)
@@ -228,15 +239,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text", without: tuple[s
     width = len(model.names)
     span_type = T._parse_datatype_string("array<struct<lang: string, first: int, words: int>>")
 
-    def make(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        both = np.concatenate([word_scores(model, found), (_scripts(found) >= 0)[:, None]], axis=1)
-        return both.astype(np.float32).ravel(), np.full(len(found), width + 1, np.int64)
-
     memo: list[w.Memo] = []
 
     def rows(batch: pa.RecordBatch) -> list:
         if not memo:
-            memo.append(w.Memo(make, max(50_000, 2_000_000 // (width + 1))))
+            memo.append(_memo(model))
         picks, scores, spans, lens = [], [], [], []
         for block in w.blocks(batch.column(text), BLOCK) if width else []:
             pick, score, (doc, first, size, label) = _label(model, memo[0], block)
@@ -266,9 +273,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text", without: tuple[s
 def accept(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents with a language, most of whose words are in it, with their own columns."""
     model = learn(docs)
-    inner = docs.select(F.struct("*").alias("__row"), "text")
-    found = identify(inner, model, without=("text",))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("__row.*")
+    inner = numbered(docs)
+    found = identify(inner, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return found.select(*inner.columns).toDF(*docs.columns)
 
 
 def op4_viterbi_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

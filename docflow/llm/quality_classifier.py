@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docflow.llm import words as w
-from docflow.llm.frames import doc_crc, documents, forget, ranked, saved, widened
+from docflow.llm.frames import doc_crc, documents, forget, numbered, ranked, saved, widened
 from docflow.llm.measures import measure
 
 PAIRS = 120_000  # of a fit in memory
@@ -232,9 +232,9 @@ def accept(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Repeated rows are judged alike; extra columns pass through, also one named score.
     """
-    inner = docs.select(F.struct("*").alias("__row"), "text")
+    inner = numbered(docs)
     ranker = learn(docs, labels)
-    return scored(inner, ranker, keep_text=False).filter("score >= 0.5").select("__row.*")
+    return scored(inner, ranker).filter("score >= 0.5").select(*inner.columns).toDF(*docs.columns)
 
 
 def op9_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,12 @@
 import itertools
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from docflow.llm import language as g
+from docflow.llm import words as w
+from docflow.llm.frames import numbered
 from tests.llm import plain
 
 ENGLISH = "the house and the garden are by the river where we went with them this morning".split()
@@ -63,6 +67,27 @@ def test_awkward_and_empty(spark):
     assert g.accept(docs).columns == docs.columns
 
 
+def test_a_block_takes_little_memory():
+    rng = np.random.default_rng(3)
+    model = g.Model(list("abcdefgh"), rng.normal(size=(g.SLOTS, 8)).astype(np.float32), np.ones((len(g.SCRIPT_NAMES), 8), bool))
+    texts = pa.array([" ".join(rng.choice(ENGLISH + GERMAN, 400)) for _ in range(3_500)])
+    memo, seen = g._memo(model), 0
+    tracemalloc.start()
+    for block in w.blocks(texts, g.BLOCK):
+        g._label(model, memo, block)
+        seen += block.n
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == len(texts) and texts.nbytes > 6 << 20 and peak < 200e6
+
+
+def test_accept_passes_each_text_once_and_keeps_columns(spark):
+    docs = plain.frame(spark, training()).withColumnsRenamed({"text": "Text", "n_chars": "score"}).selectExpr("*", "1 as `__row`", "2 as spans", "'x' as `a.b`")
+    assert numbered(docs).columns.count("text") == 1 and len(numbered(docs).columns) == len(docs.columns)
+    got = g.accept(docs)
+    assert got.schema == docs.schema and sorted(map(repr, got.collect())) == sorted(map(repr, docs.collect()))
+
+
 def test_held_out_accuracy(spark):
     rows = g.op4_viterbi_spans(spark, "/root/testdata/sf0.001").join(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang"), "doc_id")
     held = rows.filter("held_out").collect()
