@@ -12,6 +12,7 @@ from docflow.plans import ingest
 from docflow.schemas import ARTICLE_RECORD, METADATA_ROW
 from docflow.sinks import versions, writers
 from docflow.sources import listing, readers
+from docflow.streaming import ingest_stream as stream
 from docflow.streaming.ingest_stream import ingest_stream
 
 TS = dt.datetime(2026, 1, 1)
@@ -352,3 +353,43 @@ def test_the_first_of_a_key_holds_across_restarts(spark, tmp_path):
     assert run() == ["first", "t2"]
     land("r4.json", item(3, "other of its key"), item(3, "failing"))  # the first one may be tried again
     assert run() == ["first", "t2"]
+
+
+def test_rows_without_state_share_groups(spark, tmp_path):
+    inputs = job_inputs(spark, tmp_path / "land")
+    value = F.concat(F.lit('{"title": 3, "url": "u'), "id", F.lit('"}'))  # a title that is no text is rejected
+    columns = [readers.item_fields(F.parse_json(value)).alias("item"), F.lit("AA").alias("company_ticker"), F.lit(2024).alias("year"), F.lit("articles").alias("source_kind")]
+    items = spark.range(3 * stream.SPREAD).select(*columns, F.struct(F.lit("f").alias("file"), F.col("id").alias("at")).alias("pos"))
+    rows = stream.stream_rows(inputs.requests, items, inputs.names)
+    found = rows.groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("group").alias("groups")).collect()
+    assert [(r["kind"], r["n"]) for r in found] == [(stream.REJECTED, 3 * stream.SPREAD)]
+    assert 100 < found[0]["groups"] <= stream.SPREAD
+
+
+class _State:
+    def __init__(self, winner):
+        self.exists, self.get = winner is not None, (winner,)
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+
+@pytest.mark.parametrize("winner", [None, "a", "b", ""])
+def test_single_rows_are_judged_as_others_are(winner):
+    row = {name: None for name in stream.ROW.names} | {"group": "k", "file": "f", "at": 1}
+
+    def result(*frames):
+        state = _State(winner)
+        out = list(stream._first_of_key(("k",), iter(frames), state))
+        return [(r["kind"], r["document_id"], r["n_same_key"]) for f in out for r in f.to_dict("records")], state.get
+
+    for kind, doc, n in ((stream.NEW, "a", 1), (stream.NEW, None, 1), (stream.NEW, "a", 3), (stream.REJECTED, None, 1)):
+        one = pd.DataFrame([row | {"kind": kind, "document_id": doc, "n_same_key": n}], columns=stream.ROW.names)
+        other = pd.DataFrame([row | {"kind": stream.STORED, "n_same_key": 1}], columns=stream.ROW.names)
+        alone, state = result(one)
+        beside, same = result(pd.concat([one, other]))
+        assert state == same and sorted(map(str, alone)) == sorted(str(r) for r in beside if r[0] != stream.STORED)
+    more = pd.DataFrame([row | {"kind": stream.NEW, "document_id": "b", "n_same_key": 2, "at": 0}], columns=stream.ROW.names)
+    first = pd.DataFrame([row | {"kind": stream.NEW, "document_id": "a", "n_same_key": 1}], columns=stream.ROW.names)
+    expected = {None: [("new", "b", 3)], "a": [("new", "a", 3)], "b": [("new", "b", 3)], "": []}[winner]
+    assert result(first, more)[0] == expected == result(pd.concat([first, more]))[0]
