@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docflow.llm import words as w
 from docflow.llm.components import components
-from docflow.llm.frames import Batches, documents, forget, named, saved
+from docflow.llm.frames import Batches, dealt, documents, forget, named, saved
 
 SHINGLE = 4
 NEAR, OF = 4, 5  # link when intersection / union >= 4/5
@@ -242,7 +242,7 @@ def _components_within(members: DataFrame, sets: DataFrame, texts: DataFrame) ->
     forget(links)
     members, centres = members.drop("low"), 0
     while True:
-        known = members.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        known = dealt(members).join(dealt(comps), "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = known.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
         active = saved(known.join(mixed.filter("least < most").select("bucket"), "bucket"), "active")
         if active.isEmpty():
@@ -253,7 +253,7 @@ def _components_within(members: DataFrame, sets: DataFrame, texts: DataFrame) ->
             members, centres = saved(_dealt_anew(texts.join(some, "id", "left_semi")).drop("low"), "members"), CENTRES
             forget(active)
             continue
-        cells = active.groupBy("bucket", "component").agg(F.min(F.struct(F.xxhash64("id"), "id", "n", "place")).alias("p"), F.count("n").alias("size"))
+        cells = dealt(active).groupBy("bucket", "component").agg(F.min(F.struct(F.xxhash64("id"), "id", "n", "place")).alias("p"), F.count("n").alias("size"))
         rank = F.expr("row_number() over (partition by bucket order by size, p.id)")
         chosen = cells.withColumn("rank", rank).filter(F.col("rank") <= centres)
         chosen = saved(chosen.select("bucket", F.col("component").alias("p_component"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("id", "n", "place")]), "centres")
@@ -265,7 +265,7 @@ def _components_within(members: DataFrame, sets: DataFrame, texts: DataFrame) ->
                 was, comps = comps, components(links.union(comps.select(F.col("id").alias("u"), F.col("component").alias("v"))))
                 forget(was)
             forget(links)
-        rest = active.join(chosen.select("bucket", F.col("p_id").alias("id")), ["bucket", "id"], "left_anti")
+        rest = dealt(active).join(dealt(chosen).select("bucket", F.col("p_id").alias("id")), ["bucket", "id"], "left_anti")
         before, members = members, saved(rest.select("bucket", "id", "n", "place"), "members")
         forget(before, active, chosen, met)
         centres *= CENTRES
