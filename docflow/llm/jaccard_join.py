@@ -10,7 +10,9 @@ order of all shingles, frequent ones last. A document's nearest cells are those
 first shingles in this order; two documents that link differ in at most a quarter of
 either, so a document that is copied to its first |x| - ceil(3|x|/4) + 1 cells shares one
 with each that it links to. Cells with the same documents are one region, named by the
-first of them.
+first of them. A row stays in a cell only if another of the cell may link with it by the
+sizes and places of both: shingles that unlike documents share by chance, which grow faster
+than the documents, are dropped where they meet.
 
 Further levels. In a region one document is pivot and meets the others. Components of the
 links found are the region's new cells. A region within one component is done: more links
@@ -34,19 +36,22 @@ Equal sets are one document throughout. Sets are compared by 64-bit hashes of sh
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docflow.llm import words as w
 from docflow.llm.components import components
-from docflow.llm.frames import Batches, documents, forget, named, saved
+from docflow.llm.frames import Batches, dealt, documents, forget, named, saved
 
 SHINGLE = 5
 NEAR, OF = 3, 4  # link when intersection / union >= 3/4
 FREQUENT = 1 << 18  # shingles known as frequent; only the order depends on it
 BUCKETS = 256
 LEAF = 64
+WHOLE = 1 << 15  # rows of a cell that are held at once
 _SET = "kind int, doc_id long, n_shingles long, set_a long, set_b long, counts binary"
 
 
@@ -80,57 +85,130 @@ def bucket_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 def _first_pass(batches: Batches) -> Batches:
     """Of each document id, size, two checksums and bucket counts of its set (kind 0); of
-    shingles frequent in a batch the count and the hash (kind 1: n_shingles, set_a)."""
+    shingles frequent in a block the count and the hash (kind 1: n_shingles, set_a)."""
     names = ["kind", "doc_id", "n_shingles", "set_a", "set_b", "counts"]
     for batch in batches:
-        sets = sets_of(batch.column("text"))
-        flat, size = _flat(sets)
-        offs = np.concatenate([[0], np.cumsum(size)])
-        mixed = w.mix(flat ^ np.uint64(0x9E3779B97F4A7C15))
-        sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)]) for x in (flat, mixed)]
-        a, b = (s[offs[1:]] - s[offs[:-1]] for s in sums)
-        n = len(size)
-        counts = pa.array([row.tobytes() for row in bucket_counts(sets)], pa.binary())
-        columns = [pa.array(np.zeros(n, np.int32)), batch.column("doc_id"), pa.array(size), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), counts]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
-        value, count = np.unique(flat, return_counts=True)
-        some = count >= max(4, n // 2000)
-        k = int(some.sum())
-        columns = [pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.array(count[some].astype(np.int64)), pa.array(value[some].view(np.int64)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
+        for block in w.blocks(batch.column("text")):
+            sets = shingle_sets(block)
+            flat, size = _flat(sets)
+            offs = np.concatenate([[0], np.cumsum(size)])
+            mixed = w.mix(flat ^ np.uint64(0x9E3779B97F4A7C15))
+            sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)]) for x in (flat, mixed)]
+            a, b = (s[offs[1:]] - s[offs[:-1]] for s in sums)
+            n = len(size)
+            counts = pa.array([row.tobytes() for row in bucket_counts(sets)], pa.binary())
+            ids = batch.column("doc_id").slice(block.first, block.n)
+            columns = [pa.array(np.zeros(n, np.int32)), ids, pa.array(size), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), counts]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+            value, count = np.unique(flat, return_counts=True)
+            some = count >= max(4, n // 2000)
+            k = int(some.sum())
+            columns = [pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.array(count[some].astype(np.int64)), pa.array(value[some].view(np.int64)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _cells(docs: DataFrame, frequent: np.ndarray, level: np.ndarray) -> DataFrame:
-    """(cell, doc_id, place): the documents' first shingles in the order of all, and their places.
+    """(cell, doc_id, place, n): the documents' first shingles in the order of all, their places
+    and the size of the set.
 
     A cell is a number: the shingle's level of frequency, then its hash, so cells compare
-    as shingles do. Of equal sets in a batch the least id is taken.
+    as shingles do. Of equal sets in a block the least id is taken.
     """
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            ids = np.array(batch.column("doc_id"))
-            sets = sets_of(batch.column("text"))
-            least: dict[bytes, int] = {}
-            for i, s in enumerate(sets):
-                key = s.tobytes()
-                if len(s) and (key not in least or ids[i] < ids[least[key]]):
-                    least[key] = i
-            mine = sorted(least.values())
-            flat, size = _flat([sets[i] for i in mine])
-            cell = (flat >> np.uint64(7)).astype(np.int64)
-            if len(frequent):
-                at = np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)
-                cell |= np.where(frequent[at] == flat, level[at], 0) << 57
-            owner = np.repeat(np.arange(len(mine)), size)
-            order = np.lexsort((cell, owner))
-            take = size - (NEAR * size + OF - 1) // OF + 1
-            picked = order[w.ragged(np.cumsum(size) - size, take)]
-            place = w.ragged(np.zeros(len(mine), np.int64), take)
-            columns = [pa.array(cell[picked]), pa.array(ids[mine][owner[picked]], pa.int64()), pa.array(place, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["cell", "doc_id", "place"])
-
-    return docs.mapInArrow(run, "cell long, doc_id long, place int")
+            every = np.array(batch.column("doc_id"))
+            for block in w.blocks(batch.column("text")):
+                ids = every[block.first : block.last]
+                sets = shingle_sets(block)
+                least: dict[bytes, int] = {}
+                for i, s in enumerate(sets):
+                    key = s.tobytes()
+                    if len(s) and (key not in least or ids[i] < ids[least[key]]):
+                        least[key] = i
+                mine = sorted(least.values())
+                flat, size = _flat([sets[i] for i in mine])
+                cell = (flat >> np.uint64(7)).astype(np.int64)
+                if len(frequent):
+                    at = np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)
+                    cell |= np.where(frequent[at] == flat, level[at], 0) << 57
+                owner = np.repeat(np.arange(len(mine)), size)
+                order = np.lexsort((cell, owner))
+                take = size - (NEAR * size + OF - 1) // OF + 1
+                picked = order[w.ragged(np.cumsum(size) - size, take)]
+                place = w.ragged(np.zeros(len(mine), np.int64), take)
+                columns = [pa.array(cell[picked]), pa.array(ids[mine][owner[picked]], pa.int64()), pa.array(place, pa.int32()), pa.array(size[owner[picked]], pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=["cell", "doc_id", "place", "n"])
+
+    return docs.mapInArrow(run, "cell long, doc_id long, place int, n int")
+
+
+def _may_link(cell: np.ndarray, place: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether another row of the same cell may link with each, by sizes and places.
+
+    Two sets whose first common shingle has these places share at most the least of n - place,
+    and a link needs NEAR / (NEAR + OF) of both sizes; so each row has a largest size it can
+    link to, and both must keep to the other's.
+    """
+    order = np.lexsort((n, cell))
+    cell, place, n = cell[order], place[order], n[order]
+    most = (NEAR + OF) * (n - place) // NEAR - n
+    group = np.cumsum(np.concatenate([[0], cell[1:] != cell[:-1]]))
+    starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+    span = int(max(n.max(), most.max())) + 1
+    end = np.searchsorted(group * span + n, group * span + np.maximum(most, 0), side="right")
+    first, here = starts[group], np.arange(len(cell))
+    longest = int(np.diff(np.append(starts, len(cell))).max())
+    highest = [most]  # by k: the largest `most` of 2 ** k rows from each on
+    while 2 << len(highest) - 1 <= longest:
+        step, last = 1 << len(highest) - 1, highest[-1]
+        highest.append(np.concatenate([np.maximum(last[:-step], last[step:]), last[-step:]]))
+    table = np.stack(highest)
+
+    def found(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether one of the rows low .. high - 1 can link to sets as large as this row's."""
+        some = high > low
+        k = np.frexp(np.where(some, high - low, 1).astype(np.float64))[1] - 1
+        low = np.where(some, low, 0)
+        high = np.where(some, high - (1 << k), 0)
+        return some & (np.maximum(table[k, low], table[k, high]) >= n)
+
+    out = np.zeros(len(cell), bool)
+    out[order] = found(first, np.minimum(here, end)) | found(here + 1, end)
+    return out
+
+
+def _partnered(batches: Batches) -> Batches:
+    """Rows (cell, doc_id, place, n) in the order of cells -> those that may link with another of
+    their cell. Cells of more than WHOLE rows pass as they are."""
+    names = ["cell", "doc_id", "place", "n"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    held = np.zeros((4, 0), np.int64)  # the rows of the last cell, which may go on
+    passing = None  # a cell that is too large to be held
+
+    def table(rows: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows, kinds, strict=True)], names=names)
+
+    for batch in batches:
+        rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names])
+        if passing is not None:
+            more = np.searchsorted(rows[0], passing, side="right")
+            if more:
+                yield table(rows[:, :more])
+            rows = rows[:, more:]
+        if not rows.shape[1]:
+            continue
+        passing = None
+        rows = np.concatenate([held, rows], axis=1)
+        cut = np.searchsorted(rows[0], rows[0, -1])
+        if cut:
+            yield table(rows[:, :cut][:, _may_link(rows[0, :cut], rows[2, :cut], rows[3, :cut])])
+        held = rows[:, cut:]
+        if held.shape[1] > WHOLE:
+            yield table(held)
+            passing, held = held[0, 0], held[:, :0]
+    if held.shape[1]:
+        yield table(held[:, _may_link(held[0], held[2], held[3])])
 
 
 def _count_distances(batches: Batches) -> Batches:
@@ -145,15 +223,15 @@ def _count_distances(batches: Batches) -> Batches:
 
 
 def _links(batches: Batches) -> Batches:
-    """(pivot, other, text_p, text_o) -> (u, v) of those that link. A pivot's set is made once a batch."""
+    """(pivot, other, text_p, text_o) -> (u, v) of those that link. A pivot's set is made once a block."""
     for batch in batches:
-        _, one, which = np.unique(np.array(batch.column("pivot")), return_index=True, return_inverse=True)
-        left = sets_of(batch.column("text_p").take(pa.array(one)))
-        right = sets_of(batch.column("text_o"))
-        near = []
-        for k, s in zip(which.tolist(), right, strict=True):
-            common = len(np.intersect1d(left[k], s, assume_unique=True))
-            near.append(OF * common >= NEAR * (len(left[k]) + len(s) - common))
+        pivots, near = np.array(batch.column("pivot")), []
+        for block in w.blocks(batch.column("text_o")):
+            _, one, which = np.unique(pivots[block.first : block.last], return_index=True, return_inverse=True)
+            left = sets_of(batch.column("text_p").take(pa.array(block.first + one)))
+            for k, s in zip(which.tolist(), shingle_sets(block), strict=True):
+                common = len(np.intersect1d(left[k], s, assume_unique=True))
+                near.append(OF * common >= NEAR * (len(left[k]) + len(s) - common))
         kept = batch.select(["pivot", "other"]).filter(pa.array(near, pa.bool_()))
         yield pa.RecordBatch.from_arrays(kept.columns, names=["u", "v"])
 
@@ -216,14 +294,16 @@ def _of_two(batches: Batches) -> Batches:
     yield from closed()
 
 
-def _regions(cells: DataFrame, classes: DataFrame) -> DataFrame:
+def _regions(cells: DataFrame, classes: DataFrame, useful: Callable[[Batches], Batches] = iter) -> DataFrame:
     """(region, id, n, place): the different sets of each region of two or more; n is the set's size.
+    Of the rows of a cell those that `useful` leaves are taken.
 
     One pass over the cells in order finds those of two documents or more, and what tells
     cells with the same documents: size, ends and two sums of hashes, which do not cancel.
     """
     dealt = cells.filter("cell is not null and doc_id is not null").repartition("cell")
-    shared = saved(dealt.sortWithinPartitions("cell", "doc_id").mapInArrow(_of_two, _SHARED), "cells")
+    ordered = dealt.sortWithinPartitions("cell", "doc_id", "place")
+    shared = saved(ordered.mapInArrow(lambda batches: _of_two(useful(batches)), _SHARED), "cells")
     marks = ["low", "high", "size", "mark_a", "mark_b"]
     one = shared.filter("doc_id is null").groupBy(*marks).agg(F.min("cell").alias("cell"))
     inside = shared.filter("doc_id is not null").select("cell", "doc_id", "place").join(one.select("cell"), "cell", "left_semi")
@@ -250,11 +330,9 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     level = np.minimum(np.floor(np.log2(np.maximum(count, 1))).astype(np.int64) + 1, 63)
     order = np.argsort(value)
     classes = sets.filter("set_id is not null")
-    regions = saved(_regions(_cells(known, value[order], level[order]), classes), "regions")
+    regions = saved(_regions(_cells(known, value[order], level[order]), classes, _partnered), "regions")
     counts = first.filter("kind = 0 and doc_id is not null").select("doc_id", "counts")
-    involved = regions.select(F.col("id").alias("doc_id")).distinct().hint("merge")
-    texts = saved(known.join(involved, "doc_id", "left_semi"), "texts")
-    comps = _joined(regions, counts, texts)
+    comps = _joined(regions, counts, known)
     forget(first, regions)
     return sets, comps
 
@@ -269,15 +347,19 @@ def _met(pairs: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(u, v) of the pairs (pivot, other) whose texts link.
+    """(u, v) of the pairs (pivot, other) whose texts link, a saved table.
 
-    A pivot's text goes to its pairs, and these to the other documents, so that a pivot
-    of many is compared by many tasks.
+    Of docs only the texts of pairs are kept. A pivot's text goes to its pairs, and these to
+    the other documents, so that a pivot of many is compared by many tasks.
     """
+    ids = pairs.select(F.explode(F.array("pivot", "other")).alias("doc_id")).distinct().hint("merge")
+    docs = saved(docs.join(ids, "doc_id", "left_semi"), "texts")
     left = docs.select(F.col("doc_id").alias("pivot"), F.col("text").alias("text_p"))
     right = docs.select(F.col("doc_id").alias("other"), F.col("text").alias("text_o"))
     rows = pairs.join(left, "pivot").join(right, "other").select("pivot", "other", "text_p", "text_o")
-    return rows.mapInArrow(_links, "u long, v long")
+    out = saved(rows.mapInArrow(_links, "u long, v long"), "links")
+    forget(docs)
+    return out
 
 
 def _meetings(active: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -299,29 +381,31 @@ def _meetings(active: DataFrame, chosen: DataFrame) -> DataFrame:
     return found[0].union(found[1])
 
 
-def _joined(regions: DataFrame, counts: DataFrame, texts: DataFrame) -> DataFrame:
-    """Components of all links within regions, by rounds of pivots."""
+def _joined(regions: DataFrame, counts: DataFrame, docs: DataFrame) -> DataFrame:
+    """Components of all links within regions, by rounds of pivots.
+
+    Texts (of docs) are read only for pairs that are close by their counts; a round without
+    such pairs leaves the components as they are.
+    """
     comps = None
     members = regions.withColumn("gap", F.lit(None).cast("long"))  # count distance to the region's first pivot
     pivots = 1
     while True:
-        known = members.withColumn("component", F.col("id"))
+        held = dealt(members)
+        known = held.withColumn("component", F.col("id"))
         if comps is not None:
-            named = comps.withColumnRenamed("component", "__c")
-            known = members.join(named, "id", "left").withColumn("component", F.coalesce("__c", "id")).drop("__c")
+            named = dealt(comps).withColumnRenamed("component", "__c")
+            known = held.join(named, "id", "left").withColumn("component", F.coalesce("__c", "id")).drop("__c")
         cells = known.groupBy("region", "component").agg(F.count(F.lit(1)).alias("size"))
         whole = cells.groupBy("region").agg(F.count(F.lit(1)).alias("cells"), F.sum("size").alias("all")).filter("cells > 1")
         small = F.lit(False) if comps is None else F.col("all") <= LEAF
         active = saved(known.join(whole.withColumn("small", small).drop("all"), "region"), "active")
         if comps is not None:
             if active.isEmpty():
-                forget(active, texts, members)
+                forget(active, members)
                 return comps
-            ids = active.select(F.col("id").alias("doc_id")).distinct()
-            was, texts = texts, saved(texts.join(ids, "doc_id", "left_semi"), "texts")
-            forget(was)
         # The smallest cells give pivots; the last, largest cell never needs to while others are left.
-        large = active.filter("not small").groupBy("region", "cells", "component").agg(
+        large = dealt(active).filter("not small").groupBy("region", "cells", "component").agg(
             F.count(F.lit(1)).alias("size"), F.min_by(F.struct("id", "n", "place", "gap"), F.struct(F.xxhash64("id"), "id")).alias("p")
         )
         rank = F.expr("row_number() over (partition by region order by size, p.id)")
@@ -329,12 +413,15 @@ def _joined(regions: DataFrame, counts: DataFrame, texts: DataFrame) -> DataFram
         fields = [F.col(f"p.{c}").alias(f"p_{c}") for c in ("id", "n", "place", "gap")]
         chosen = saved(chosen.select("region", F.col("component").alias("p_component"), *fields), "pivots")
         met = saved(_met(_meetings(active, chosen), counts), "met")
-        new = _compared(met.filter("near").select("pivot", "other").distinct(), texts if comps is not None else texts.hint("merge"))
-        if comps is not None:
-            new = new.union(comps.select(F.col("id").alias("u"), F.col("component").alias("v")))
-        was, comps = comps, components(new)
-        forget(was)
-        left = active.filter("not small").join(chosen.select("region", F.col("p_id").alias("id")), ["region", "id"], "left_anti")
+        near = saved(met.filter("near").select("pivot", "other").distinct(), "near")
+        if comps is None or not near.isEmpty():
+            found = new = _compared(near, docs)
+            if comps is not None:
+                new = found.union(comps.select(F.col("id").alias("u"), F.col("component").alias("v")))
+            was, comps = comps, components(new)
+            forget(was, found)
+        forget(near)
+        left = dealt(active).filter("not small").join(dealt(chosen).select("region", F.col("p_id").alias("id")), ["region", "id"], "left_anti")
         left = left.select("region", "id", "n", "place", "gap")
         if pivots == 1:
             gaps = met.select("region", F.col("other").alias("id"), F.col("apart").alias("__gap"))

@@ -95,6 +95,59 @@ def test_cells_of_two_documents_in_any_batches(size):
     assert all(len(v) == 1 for v in sums.values()) and len({next(iter(v)) for v in sums.values()}) == len(sums)
 
 
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_rows_that_may_link_with_another_of_their_cell(monkeypatch, size):
+    rng = random.Random(size)
+    for most in (3, 40, 400):
+        rows = sorted((rng.randrange(9), rng.randrange(20), rng.randrange(n // 4 + 1), n) for n in (rng.randrange(1, 60) for _ in range(most)))
+        names = ["cell", "doc_id", "place", "n"]
+        batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows[i : i + size]]) for i in range(0, len(rows), size)]
+        want = []
+        for i, (cell, _, place, n) in enumerate(rows):
+            others = [r for k, r in enumerate(rows) if k != i and r[0] == cell]
+            if any(7 * min(n - place, m - at) >= 3 * (n + m) for _, _, at, m in others):
+                want.append(rows[i])
+        assert [tuple(r.values()) for b in j._partnered(iter(batches)) for r in b.to_pylist()] == want
+        with monkeypatch.context() as m:  # cells that are not held pass whole
+            m.setattr(j, "WHOLE", 5)
+            got = {tuple(r.values()) for b in j._partnered(iter(batches)) for r in b.to_pylist()}
+        assert set(want) <= got <= set(rows)
+
+
+def test_shingles_shared_by_chance_make_no_region(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"d{i}w{k}" for k in range(200 if i % 2 else 60)) for i in range(60)]
+    for i in range(60):  # every two neighbours, too unlike in size, share one shingle
+        at = rng.randrange(1, 50)
+        words = texts[i].split()
+        words[at : at + 5] = texts[i - 1].split()[at : at + 5]
+        texts[i] = " ".join(words)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(1)
+    none = j.np.zeros(0, "uint64"), j.np.zeros(0, "int64")
+    cells = j._cells(docs, *none).localCheckpoint()
+    classes = spark.createDataFrame([(i, 56, i) for i in range(60)], "doc_id long, n_shingles long, set_id long")
+    every, some = j._regions(cells, classes).count(), j._regions(cells, classes, j._partnered).count()
+    assert some == 0 < every
+
+
+def test_sets_are_made_in_blocks(monkeypatch):
+    most = []
+    make = j.shingle_sets
+
+    def seen(block):
+        most.append(len(block.buf))
+        return make(block)
+
+    monkeypatch.setattr(j, "shingle_sets", seen)
+    text = " ".join(f"w{k}" for k in range(20_000))
+    texts = pa.array([f"{i} {text}" for i in range(60)])
+    ids = pa.array(range(60), pa.int64())
+    list(j._first_pass(iter([pa.RecordBatch.from_arrays([ids, texts], names=["doc_id", "text"])])))
+    pairs = pa.RecordBatch.from_arrays([ids, ids, texts, texts], names=["pivot", "other", "text_p", "text_o"])
+    assert sum(b.num_rows for b in j._links(iter([pairs]))) == 60
+    assert max(most) <= j.w.BLOCK_BYTES
+
+
 def cells_as_rows(cells):
     return [{"cell": c, "doc_id": d, "place": p} for c, d, p in cells]
 
@@ -134,3 +187,28 @@ def test_components_of_random_graphs(spark, seed):
     got = {r["id"]: r["component"] for r in c.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: find(x) for x in root}
     assert c.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+@pytest.mark.parametrize("few", [0, 1 << 17])
+def test_components_of_few_edges_need_no_exchange(spark, monkeypatch, few):
+    rng = random.Random(few)
+    edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(50)] + [(200 + i, 201 + i) for i in range(30)]
+    plans = []
+    keep = c.saved
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, label)
+
+    monkeypatch.setattr(c, "saved", seen)
+    monkeypatch.setattr(c, "FEW", few)
+    got = {r["id"]: r["component"] for r in c.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, {a}).add(b)
+        near.setdefault(b, {b}).add(a)
+    want = {x: x for a, b in edges if a != b for x in (a, b)}
+    for _ in want:
+        want = {x: min(want[y] for y in near[x]) for x in want}
+    assert got == want
+    assert any("Exchange hashpartitioning" in p for p in plans[1:]) == (few == 0)
