@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 from dataclasses import replace
 
 import pandas as pd
@@ -393,3 +394,24 @@ def test_single_rows_are_judged_as_others_are(winner):
     first = pd.DataFrame([row | {"kind": stream.NEW, "document_id": "a", "n_same_key": 1}], columns=stream.ROW.names)
     expected = {None: [("new", "b", 3)], "a": [("new", "a", 3)], "b": [("new", "b", 3)], "": []}[winner]
     assert result(first, more)[0] == expected == result(pd.concat([first, more]))[0]
+
+
+def test_firsts_over_time_follow_the_rule_of_one_key(spark, tmp_path):
+    rng, model = random.Random(5), {}
+    schema = "kind string, ingestion_key string, document_id string, n_same_key long, file string, at long, url string"
+    for number in range(3):
+        rows = [
+            (rng.choice([stream.NEW] * 5 + [stream.STORED]), rng.choice([None, *"klmnop"][: 5 + number]), rng.choice([None, "a", "b", "c"]), rng.randint(1, 2), f"f{rng.randint(0, 1)}", at, "u")
+            for at in range(30)
+        ]
+        expected = []
+        for key in {r[1] for r in rows}:
+            own = [dict(zip(schema.replace(",", "").split()[::2], r, strict=True)) for r in rows if r[1] == key and r[0] == stream.NEW]
+            state = model.setdefault(key, _State(None))
+            best = [r for f in stream._first_of_key((key,), iter([pd.DataFrame(own)] if own else []), state) for r in f.to_dict("records")]
+            expected += [(r["ingestion_key"], r["document_id"], r["n_same_key"], r["file"], r["at"], r["url"]) for r in best]
+        batch = spark.createDataFrame(rows, schema).withColumns({"group": F.lit("g"), "reject_reason": F.lit(None).cast("string")})
+        for attempt in range(2):  # the batch is done again, as after a failure
+            found = stream.firsts_over_time(spark, batch, str(tmp_path / "state"), str(tmp_path / f"out{number}-{attempt}"))
+            got = found.select("ingestion_key", "document_id", "n_same_key", "file", "at", "url").collect()
+            assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))

@@ -59,3 +59,12 @@ def test_folders_are_written_by_many_tasks(spark, tmp_path):
     assert sorted((r["k"], r["value"]) for r in found.collect()) == sorted((i % 20, str(i)) for i in range(40))
     parts = {p.name.split("-")[1] for p in (tmp_path / "out").glob("k=*/part-*")}
     assert len(parts) > 1
+
+
+def test_a_folder_has_one_file_in_the_order_of_a_column(spark, tmp_path):
+    rows = spark.range(60).selectExpr("cast(59 - id as string) as value", "id % 20 as k", "59 - id as pos").repartition(7)
+    for _ in range(2):
+        files._to_folders(rows, str(tmp_path / "out"), "k", order="pos")
+    texts = [p.read_text().split() for p in (tmp_path / "out").glob("k=*/part-*")]
+    assert len(texts) == 40 and all(t == sorted(t, key=int) and len(t) == 3 for t in texts)
+    assert len({p.name.split("-")[1] for p in (tmp_path / "out").glob("k=*/part-*")}) > 1
