@@ -24,12 +24,14 @@ regions are done, so the components are exact.
 
 Who meets. Documents too unlike in size, or whose shingles after the region's are too few
 to link (the first shingle two documents share names a region they meet in), do not. Of
-each set the shingles are counted in 256 hash buckets; the distance of these counts (the
-sum of absolute differences) is a pseudometric that is never above the symmetric
-difference, and a link allows (|x| + |y|) / 7. Boundary documents are those within the
-triangle inequality's window: their count distances to the region's first pivot differ by
-no more than that. Pairs within it are compared by counts, and only those that are close
-there by their texts.
+each set the shingles are counted in hash buckets, 256 or so many more that a bucket has FULL
+at most on average: in fuller ones unlike documents come close by chance. Counts of two sets
+are compared in the buckets of the smaller number. The distance of these counts (the sum of
+absolute differences) is never above the symmetric difference, and a link allows
+(|x| + |y|) / 7. In 256 buckets it is a pseudometric: boundary documents are those within the
+triangle inequality's window, whose distances there to the region's first pivot differ by no
+more than that. Pairs within it are compared by counts, and only those that are close there by
+their texts.
 
 Equal sets are one document throughout. Sets are compared by 64-bit hashes of shingles.
 """
@@ -40,6 +42,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docflow.llm import words as w
@@ -50,6 +53,9 @@ SHINGLE = 5
 NEAR, OF = 3, 4  # link when intersection / union >= 3/4
 FREQUENT = 1 << 18  # shingles known as frequent; only the order depends on it
 BUCKETS = 256
+FULL = 8  # shingles a bucket on average, at most; MOST buckets, whatever the set's size
+MOST = 1 << 16
+ASKED = 1 << 20  # ids of documents whose texts are compared that go to all tasks: some tens of MB
 LEAF = 64
 WHOLE = 1 << 15  # rows of a cell that are held at once
 _SET = "kind int, doc_id long, n_shingles long, set_a long, set_b long, counts binary"
@@ -76,11 +82,25 @@ def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(sets) if sets else np.zeros(0, np.uint64)), size
 
 
-def bucket_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """By (set, bucket): how many shingles of the set are in the bucket, 255 at most."""
+def bucket_counts(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """Of each set how many shingles are in each bucket, 255 at most. Buckets are the first bits of
+    hashes, 256 or a larger power of two that goes with the set's size."""
     flat, size = _flat(sets)
-    at = np.repeat(np.arange(len(sets)), size) * BUCKETS + (flat >> np.uint64(56)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=len(sets) * BUCKETS), 255).astype(np.uint8).reshape(-1, BUCKETS)
+    wide = np.full(len(sets), BUCKETS)
+    while (more := (wide * FULL < size) & (wide < MOST)).any():
+        wide[more] *= 2
+    bits = np.log2(wide).astype(np.uint64)
+    begin = np.cumsum(wide) - wide
+    at = np.repeat(begin, size) + (flat >> np.repeat(np.uint64(64) - bits, size)).astype(np.int64)
+    counts = np.minimum(np.bincount(at, minlength=int(wide.sum())), 255).astype(np.uint8)
+    return np.split(counts, begin[1:]) if sets else []
+
+
+def _folded(counts: np.ndarray, wide: int) -> np.ndarray:
+    """Rows of counts in fewer buckets: neighbours are added up."""
+    if counts.shape[1] == wide:
+        return counts.astype(np.int16)
+    return np.minimum(counts.reshape(len(counts), wide, -1).sum(axis=2, dtype=np.int32), 255).astype(np.int16)
 
 
 def _first_pass(batches: Batches) -> Batches:
@@ -212,14 +232,20 @@ def _partnered(batches: Batches) -> Batches:
 
 
 def _count_distances(batches: Batches) -> Batches:
-    """(..., counts_p, counts_o) -> (..., apart): the distance of the bucket counts."""
+    """(..., counts_p, counts_o) -> (..., apart, apart_by_all): the distances of the bucket counts, in
+    BUCKETS buckets and in all that both have."""
     for batch in batches:
-        left, right = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for c in ("counts_p", "counts_o")
-        )
-        apart = np.abs(left - right).sum(axis=1, dtype=np.int64)
+        both = [batch.column(c) for c in ("counts_p", "counts_o")]
+        wide = np.stack([pc.binary_length(x).to_numpy(zero_copy_only=False) for x in both]).astype(np.int64)
+        apart = np.zeros((2, batch.num_rows), np.int64)
+        for p, o in np.unique(wide, axis=1).T.tolist():
+            at = np.flatnonzero((wide[0] == p) & (wide[1] == o))
+            rows = [np.frombuffer(b"".join(x.take(pa.array(at)).to_pylist()), np.uint8).reshape(-1, n) for x, n in zip(both, (p, o), strict=True)]
+            for k, n in enumerate((BUCKETS, min(p, o))):
+                left, right = (_folded(x, n) for x in rows)
+                apart[k, at] = np.abs(left - right).sum(axis=1, dtype=np.int64)
         names = [n for n in batch.schema.names if n not in ("counts_p", "counts_o")]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(apart)], names=[*names, "apart"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *map(pa.array, apart)], names=[*names, "apart", "apart_by_all"])
 
 
 def _links(batches: Batches) -> Batches:
@@ -338,22 +364,26 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _met(pairs: DataFrame, counts: DataFrame) -> DataFrame:
-    """(region, pivot, other, apart, near): pairs with the distance of their bucket counts."""
+    """(region, pivot, other, apart, near): pairs with the distance of their counts in BUCKETS buckets,
+    and whether they may link by those in all buckets."""
     left = counts.select(F.col("doc_id").alias("pivot"), F.col("counts").alias("counts_p"))
     right = counts.select(F.col("doc_id").alias("other"), F.col("counts").alias("counts_o"))
     rows = pairs.join(left, "pivot").join(right, "other").select("region", "pivot", "other", "n_both", "counts_p", "counts_o")
-    found = rows.mapInArrow(_count_distances, "region long, pivot long, other long, n_both long, apart long")
-    return found.withColumn("near", 7 * F.col("apart") <= F.col("n_both"))
+    found = rows.mapInArrow(_count_distances, "region long, pivot long, other long, n_both long, apart long, apart_by_all long")
+    return found.withColumn("near", 7 * F.col("apart_by_all") <= F.col("n_both")).drop("apart_by_all")
 
 
 def _compared(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """(u, v) of the pairs (pivot, other) whose texts link, a saved table.
 
-    Of docs only the texts of pairs are kept. A pivot's text goes to its pairs, and these to
-    the other documents, so that a pivot of many is compared by many tasks.
+    Of docs only the texts of pairs are kept; up to ASKED ids go to the texts, which are not
+    shuffled then. A pivot's text goes to its pairs, and these to the other documents, so that a
+    pivot of many is compared by many tasks.
     """
-    ids = pairs.select(F.explode(F.array("pivot", "other")).alias("doc_id")).distinct().hint("merge")
-    docs = saved(docs.join(ids, "doc_id", "left_semi"), "texts")
+    ids = saved(pairs.select(F.explode(F.array("pivot", "other")).alias("doc_id")).distinct(), "ids")
+    asked = F.broadcast(ids) if ids.count() <= ASKED else ids.hint("merge")
+    docs = saved(docs.join(asked, "doc_id", "left_semi"), "texts")
+    forget(ids)
     left = docs.select(F.col("doc_id").alias("pivot"), F.col("text").alias("text_p"))
     right = docs.select(F.col("doc_id").alias("other"), F.col("text").alias("text_o"))
     rows = pairs.join(left, "pivot").join(right, "other").select("pivot", "other", "text_p", "text_o")

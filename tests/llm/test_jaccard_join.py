@@ -212,3 +212,37 @@ def test_components_of_few_edges_need_no_exchange(spark, monkeypatch, few):
         want = {x: min(want[y] for y in near[x]) for x in want}
     assert got == want
     assert any("Exchange hashpartitioning" in p for p in plans[1:]) == (few == 0)
+
+
+def test_long_texts_that_are_unlike_are_apart_by_counts():
+    rng = random.Random(3)
+
+    def text(n):
+        return [f"w{rng.randrange(5000)}" for _ in range(n)]
+
+    first = text(12000)
+    edited = list(first)
+    for k in range(0, 12000, 400):
+        edited[k] = "other"
+    texts = [first, edited, first[:9500], text(12000), text(11000), text(1500), text(40)]
+    sets = j.sets_of(pa.array([" ".join(t) for t in texts]))
+    counts = j.bucket_counts(sets)
+    assert [len(c) for c in counts] == [2048, 2048, 2048, 2048, 2048, 256, 256]
+    for a, b in [(a, b) for a in range(len(sets)) for b in range(len(sets))]:
+        columns = {"n_both": [len(sets[a]) + len(sets[b])], "counts_p": [counts[a].tobytes()], "counts_o": [counts[b].tobytes()]}
+        (row,) = next(iter(j._count_distances(iter([pa.RecordBatch.from_pydict(columns)])))).to_pylist()
+        common = len(set(sets[a].tolist()) & set(sets[b].tolist()))
+        both = row["n_both"]
+        assert row["apart"] <= row["apart_by_all"] <= both - 2 * common  # never above the symmetric difference
+        linked = j.OF * common >= j.NEAR * (both - common)
+        assert linked == ({a, b} <= {0, 1, 2} or a == b)
+        assert (7 * row["apart_by_all"] <= both) == linked
+
+
+def test_texts_of_pairs_are_found_with_many_ids_as_with_few(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a b c d e f g h{i // 2}") for i in range(12)], "doc_id long, text string")
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(0, 11)], "pivot long, other long")
+    want = {(i, i + 1) for i in range(0, 11, 2)}
+    for most in (j.ASKED, 3):
+        monkeypatch.setattr(j, "ASKED", most)
+        assert {tuple(r) for r in j._compared(pairs, docs).collect()} == want
