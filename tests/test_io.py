@@ -415,3 +415,28 @@ def test_firsts_over_time_follow_the_rule_of_one_key(spark, tmp_path):
             found = stream.firsts_over_time(spark, batch, str(tmp_path / "state"), str(tmp_path / f"out{number}-{attempt}"))
             got = found.select("ingestion_key", "document_id", "n_same_key", "file", "at", "url").collect()
             assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+
+
+def test_raw_documents_are_read_in_tasks_as_by_spark(spark, tmp_path, monkeypatch):
+    root = tmp_path / "a b%20c"
+    for k in range(40):
+        put(root / f"k={k}" / "x.txt", f"text é {k}\n" * (k % 4))  # a fourth of the files is empty
+    put(root / "k=1" / "deep" / "er" / "y.txt", "deep")
+    put(root / "k=1" / "z.html", "other")
+    put(root / "k=1" / "_hidden.txt", "hidden")
+    put(root / "top.txt", "top")
+    monkeypatch.setattr(listing, "CONTENT_BYTES", 50)
+
+    def rows(frame):
+        return sorted((r["path"], r["n_bytes"], bytes(r["content"])) for r in frame.collect())
+
+    for pattern in ("*.txt", None):
+        in_tasks = readers.read_raw_documents(spark, str(root), pattern)
+        assert "binaryFile" not in in_tasks._jdf.queryExecution().toString()
+        by_spark = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern or "*").load(str(root))
+        want = rows(by_spark.selectExpr("path", "length as n_bytes", "content"))
+        assert rows(in_tasks) == want and len(want) == (32 if pattern else 33)
+    # Contents that nobody asks for are not read; globs and single files are as before.
+    assert "ArrowEvalPython" not in in_tasks.select("path", "n_bytes")._jdf.queryExecution().executedPlan().toString()
+    assert rows(readers.read_raw_documents(spark, str(tmp_path / "*" / "k=3"))) == [r for r in want if "/k=3/" in r[0]]
+    assert [r[2] for r in rows(readers.read_raw_documents(spark, str(root / "top.txt")))] == [b"top"]

@@ -68,3 +68,13 @@ def test_a_folder_has_one_file_in_the_order_of_a_column(spark, tmp_path):
     texts = [p.read_text().split() for p in (tmp_path / "out").glob("k=*/part-*")]
     assert len(texts) == 40 and all(t == sorted(t, key=int) and len(t) == 3 for t in texts)
     assert len({p.name.split("-")[1] for p in (tmp_path / "out").glob("k=*/part-*")}) > 1
+
+
+def test_raw_files_are_those_of_spark(spark, tmp_path):
+    rows = spark.createDataFrame([("é\nb", 1), (None, 2), ("", 3), ("x", None), ("same", 5), ("same", 5)], "value string, k long")
+    found = []
+    for name, write in (("own", files._to_raw_files), ("spark", lambda rows, path: files._to_folders(rows, path, "k"))):
+        for path in (f"{tmp_path}/{name}", f"file://{tmp_path}/{name}-uri"):
+            write(rows, path)
+            found.append({p.parent.name: p.read_bytes() for p in (tmp_path / path.rsplit("/", 1)[1]).glob("k=*/part-*.txt")})
+    assert len(found[0]) == 5 and all(f == found[0] for f in found)
